@@ -31,10 +31,11 @@ def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_
         return ~same_site(cur["site"], prev["site"]) | (cur["etime"] - prev["etime"] >= gap)
 
     walked = number_blocks(rows, ["id"], chunk, order, ["site", "etime"], breaks, out="_m")
-    head = F.min(F.struct(*order, "stime", "site"))
-    tail = F.max(F.struct(*order, "etime"))
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(order)]
+    head = F.min(F.struct(*keys, F.col("stime").alias("_stime"), F.col("site").alias("_site")))
+    tail = F.max(F.struct(*keys, F.col("etime").alias("_etime")))
     return walked.groupBy("id", "_m").agg(
-        head["stime"].alias("stime"), head["site"].alias("site"), tail["etime"].alias("etime")
+        head["_stime"].alias("stime"), head["_site"].alias("site"), tail["_etime"].alias("etime")
     ).drop("_m")
 
 

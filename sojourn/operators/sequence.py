@@ -116,3 +116,23 @@ def day_chunk(seconds_col: str, width: int = 86400) -> Column:
 def rank_chunk(rank_col: str, size: int) -> Column:
     """Slice key for scans over a dense 1-based rank: exactly ``size`` rows per slice."""
     return ((F.col(rank_col).cast("long") - 1) / F.lit(size)).cast("long")
+
+
+def running_total(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence[str], value: str,
+                  out: str) -> DataFrame:
+    """Running sum of ``value`` per ``key`` in ``order``, computed per slice.
+
+    Slice totals come from a hash aggregate of the input (no sort), their
+    offsets from a window per key over slices only, then one join back on the
+    slice key.
+    """
+    key = list(key)
+    w = Window.partitionBy(*key, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                   Window.currentRow)
+    staged = df.withColumn("_ls", F.sum(value).over(w))
+    totals = df.groupBy(*key, chunk).agg(F.sum(value).alias("_tot"))
+    ws = Window.partitionBy(*key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = totals.select(*key, chunk, (F.sum("_tot").over(ws) - F.col("_tot")).alias("_off"))
+    return (staged.join(offsets, on=[*key, chunk], how="inner")
+            .withColumn(out, F.col("_off") + F.col("_ls"))
+            .drop("_off", "_ls"))

@@ -174,8 +174,7 @@ def _clean_points(src: str, strict_sites: bool) -> str:
             + site_rule.replace("site", "replace(site, '\"', '')"))
 
 
-def oracle_sql() -> dict[str, str]:
-    q: dict[str, str] = {}
+def _core(q: dict[str, str]) -> None:
     a, b = DAY_RANGE
     m0, _ = MIDNIGHT_RANGE
 
@@ -233,4 +232,82 @@ def oracle_sql() -> dict[str, str]:
     q["trace_relay"] = _q(f"SELECT {SEG_COLS} FROM m1", "points", extra=trace_relay_ctes("points"))
     q["trace_interval"] = _q(f"SELECT DISTINCT {SEG_COLS} FROM q1", "intervals",
                              extra=trace_split_ctes("intervals", 300, 300, ["run", "short"], intervals=True))
+
+
+def _more(q: dict[str, str]) -> None:
+    s, e = JOB_START, JOB_END
+    q["segment_to_tsv"] = _q(f"SELECT stime AS t, {_segment_line('1')} AS line FROM m1", "points",
+                             extra=trace_relay_ctes("points"))
+    q["events_per_id"] = _q(
+        """SELECT id, CAST(sum(n) OVER (PARTITION BY id ORDER BY t, site ROWS UNBOUNDED PRECEDING) - n + 1 AS BIGINT)
+             AS pos, t, site, n
+           FROM (SELECT id, t, site, CAST(count(*) AS BIGINT) AS n FROM points GROUP BY id, t, site)""", "points")
+    q["flatten_events"] = _q(
+        "SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY t, site) AS BIGINT) AS pos, t, site FROM points",
+        "points")
+
+    # jobs over the whole table
+    q["job_trace_points"] = _q(
+        f"SELECT stime AS t, {_segment_line('1')} AS line FROM m1", "points_dirty",
+        extra=[f"c AS ({_clean_points('points_dirty', False)} AND t >= {s} AND t < {e})"] + trace_relay_ctes("c"))
+    q["job_trace_split"] = _q(
+        f"SELECT DISTINCT stime AS t, {_segment_line('1')} AS line FROM q1", "points_dirty",
+        extra=[f"c AS ({_clean_points('points_dirty', True)} AND t >= {s} AND t < {e})"]
+        + trace_split_ctes("c", 300, 1800, ["run", "short"]))
+    q["job_trace_endpoints"] = _q(
+        f"SELECT stime AS t, {_segment_line('2')} AS line FROM m1", "intervals_null",
+        extra=[f"""ep AS (SELECT id, stime AS t, site FROM intervals_null WHERE stime >= {s} AND stime < {e}
+                   UNION ALL SELECT id, etime AS t, site FROM intervals_null
+                   WHERE stime >= {s} AND stime < {e} AND etime IS NOT NULL)""",
+               f"c AS ({_clean_points('ep', False)})"] + trace_relay_ctes("c"))
+    q["job_log_export"] = _q(
+        f"SELECT t, {_tsv(LOG_COLS.split(', '))} AS line FROM log WHERE t >= {s} AND t < {e} "
+        f"AND t BETWEEN 1000000000 AND 9999999999", "log")
+
+    # statistics and the mark
+    stats = (f"""stats AS (SELECT job, CAST(count(*) AS BIGINT) AS count_in, max(t) AS max_in,
+                 CAST(count(*) FILTER (WHERE t BETWEEN 1000000000 AND 9999999999) AS BIGINT) AS count_out,
+                 CAST(greatest({s}, max(t) FILTER (WHERE t BETWEEN 1000000000 AND 9999999999)) AS BIGINT) AS max_out
+               FROM (SELECT 'job' || CAST(user_id AS VARCHAR) AS job,
+                            CASE WHEN event_id % 97 = 0 THEN {T} * 1000 ELSE {T} END AS t FROM events)
+               GROUP BY job)""")
+    q["write_stats"] = _q("SELECT * FROM stats", extra=[stats])
+    q["next_watermark"] = _q(
+        f"""SELECT job, CAST(CASE WHEN count_in = count_out OR max_in = max_out THEN {e}
+                  ELSE max_out + CASE WHEN max_out < {e} THEN 1 ELSE 0 END END AS BIGINT) AS stop_time,
+                  count_out AS result_nums FROM stats""", extra=[stats])
+
+    # control state
+    norm = "SELECT id, trim(type) AS type, trim(name) AS name, trim(value) AS value FROM control"
+    latest = "SELECT type, name, max(id) AS id, arg_max(value, id) AS value FROM {src} GROUP BY type, name"
+    q["state_latest"] = _q(
+        "SELECT id, type, name, value FROM (" + latest.format(src="n") + ")", "control",
+        extra=[f"n AS ({norm})"])
+    q["state_upsert"] = _q(
+        """SELECT coalesce(o.id, u.id) AS id, coalesce(o.type, u.type) AS type, coalesce(o.name, u.name) AS name,
+                  coalesce(u.value, o.value) AS value
+           FROM o FULL OUTER JOIN u ON o.type = u.type AND o.name = u.name""", "control",
+        extra=[f"n AS ({norm})", "o AS (" + latest.format(src="(SELECT * FROM n WHERE id % 2 = 0)") + ")",
+               "u AS (" + latest.format(src="(SELECT * FROM n WHERE id % 2 = 1)") + ")"])
+    q["state_delete"] = _q(
+        """SELECT id, type, name, value FROM n WHERE id % 2 = 0 AND NOT EXISTS (
+             SELECT 1 FROM n d WHERE d.id % 2 = 1 AND d.name = 'error' AND d.type = n.type AND d.name = n.name)""",
+        "control", extra=[f"n AS ({norm})"])
+    q["state_exists"] = _q(
+        """SELECT DISTINCT p.type, p.name, EXISTS (SELECT 1 FROM n b WHERE b.id % 2 = 0 AND b.name IN ('click', 'view')
+                 AND b.type = p.type AND b.name = p.name) AS "exists"
+           FROM n p WHERE p.id % 2 = 1""", "control", extra=[f"n AS ({norm})"])
+
+    # sinks: the published line multiset equals the input lines
+    q["publish_lines"] = _q("SELECT line FROM lines", "lines")
+    q["compact_lines"] = _q("SELECT line FROM lines", "lines")
+    end_text = "2024-02-01 00:00:00"
+    q["audit_append"] = _q(f"SELECT '{end_text}' AS ts, 'trace_relay' AS title, CAST(count(*) AS VARCHAR) AS content "
+                           "FROM m1", "points", extra=trace_relay_ctes("points"))
+
+
+def oracle_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    _core(q)
+    _more(q)
     return q

@@ -1,0 +1,4 @@
+from .audit import audit_append, read_audit
+from .lines import compact_lines, publish_lines
+
+__all__ = ["audit_append", "compact_lines", "publish_lines", "read_audit"]
