@@ -91,10 +91,10 @@ def number_blocks(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
         - F.col("_tot"))
     summary = summary.select(*key, chunk, "_prev", "_fb", "_off")
 
-    joined = staged.join(summary, on=[*key, chunk], how="inner")
+    joined = _join_on_slice(staged, summary, [*key, chunk])
     first = F.col("_pos") == 1
     result = joined.select(
-        *[F.col(c) for c in df.columns],
+        *[staged[c] for c in df.columns],
         (F.col("_off") + F.col("_lc")).alias(out),
         F.when(first, F.col("_fb") == 1).otherwise(F.col("_lb") == 1).alias("starts"),
         *[F.when(first, F.col("_prev")[c]).otherwise(F.col(f"_lag_{c}")).alias(f"prev_{c}")
@@ -103,6 +103,23 @@ def number_blocks(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
     return result
 
 
+def _join_on_slice(rows: DataFrame, summary: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Join the per-slice summary back to the slice's rows.
+
+    Null-safe equality is deliberate: with plain ``=`` the optimizer infers
+    ``isnotnull`` filters for the join keys and pushes them into one branch
+    only, the two branches that read the slice rows stop being identical and
+    Spark recomputes the whole input instead of reusing its shuffle.
+    """
+    s = summary.select(*[F.col(c).alias(f"_s_{c}") for c in cols],
+                       *[c for c in summary.columns if c not in cols])
+    cond = None
+    for c in cols:
+        e = rows[c].eqNullSafe(s[f"_s_{c}"])
+        cond = e if cond is None else cond & e
+    return rows.join(s, on=cond, how="inner")
+
+
 def day_chunk(seconds_col: str, width: int = 86400) -> Column:
     """Slice key for time-ordered scans: the ``width``-second bucket of a time.
 
@@ -133,6 +150,5 @@ def running_total(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
     totals = df.groupBy(*key, chunk).agg(F.sum(value).alias("_tot"))
     ws = Window.partitionBy(*key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = totals.select(*key, chunk, (F.sum("_tot").over(ws) - F.col("_tot")).alias("_off"))
-    return (staged.join(offsets, on=[*key, chunk], how="inner")
-            .withColumn(out, F.col("_off") + F.col("_ls"))
-            .drop("_off", "_ls"))
+    joined = _join_on_slice(staged, offsets, [*key, chunk])
+    return joined.select(*[staged[c] for c in df.columns], (F.col("_off") + F.col("_ls")).alias(out))

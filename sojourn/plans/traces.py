@@ -21,25 +21,27 @@ from ..operators.runs import RELAY_RULE, SLICE_SEGMENTS, SPLIT_RULE, SPLIT_RULE_
 from ..operators.segments import DWELL_GAP, dwell_segments, interval_segments
 from ..operators.sequence import rank_chunk
 from ..operators.smoothing import MIN_RELAY_RUN, relay_by_dwell, split_equal
+from .stage import materialize
 
 SLICE_RUNS = 100_000
 
 
 def split_runs(segments: DataFrame, dur: int, gap: int, head_included: bool) -> DataFrame:
     """Runs marked and each run cut into equal slices; ``(id, *key, stime, site, etime)``."""
-    runs = mark_runs(segments, dur, gap)
+    runs = mark_runs(materialize(segments, "segments"), dur, gap)
     return split_equal(runs, run_key(head_included))
 
 
 def relay_runs(segments: DataFrame, dur: int = RELAY_RULE[0], gap: int = RELAY_RULE[1],
                min_run: int = MIN_RELAY_RUN) -> DataFrame:
     """Runs (head included) re-laid by dwell; ``(id, run, ord, stime, site, etime)``."""
-    runs = mark_runs(segments, dur, gap)
+    runs = mark_runs(materialize(segments, "segments"), dur, gap)
     return relay_by_dwell(runs, ["run"], min_run)
 
 
 def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP, slice_runs: int = SLICE_RUNS) -> DataFrame:
     """Re-merge re-laid slices in ``(run, ord)`` order; slices of ``slice_runs`` runs."""
+    relaid = materialize(relaid, "relaid")
     return remerge(relaid.withColumn("_chunk", rank_chunk("run", slice_runs)), ["run", "ord"], "_chunk", gap)
 
 
