@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.merge import dedupe_segments, remerge
 from ..operators.runs import RELAY_RULE, SLICE_SEGMENTS, SPLIT_RULE, SPLIT_RULE_TIGHT, mark_runs, run_key
-from ..operators.segments import DWELL_GAP, dwell_segments, interval_segments
+from ..operators.segments import DAY_SLICE, DWELL_GAP, dwell_segments, interval_segments
 from ..operators.sequence import rank_chunk
 from ..operators.smoothing import MIN_RELAY_RUN, relay_by_dwell, split_equal
 from .stage import materialize
@@ -26,16 +26,17 @@ from .stage import materialize
 SLICE_RUNS = 100_000
 
 
-def split_runs(segments: DataFrame, dur: int, gap: int, head_included: bool) -> DataFrame:
+def split_runs(segments: DataFrame, dur: int, gap: int, head_included: bool,
+               slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
     """Runs marked and each run cut into equal slices; ``(id, *key, stime, site, etime)``."""
-    runs = mark_runs(materialize(segments, "segments"), dur, gap)
+    runs = mark_runs(materialize(segments, "segments"), dur, gap, slice_segments)
     return split_equal(runs, run_key(head_included))
 
 
 def relay_runs(segments: DataFrame, dur: int = RELAY_RULE[0], gap: int = RELAY_RULE[1],
-               min_run: int = MIN_RELAY_RUN) -> DataFrame:
+               min_run: int = MIN_RELAY_RUN, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
     """Runs (head included) re-laid by dwell; ``(id, run, ord, stime, site, etime)``."""
-    runs = mark_runs(materialize(segments, "segments"), dur, gap)
+    runs = mark_runs(materialize(segments, "segments"), dur, gap, slice_segments)
     return relay_by_dwell(runs, ["run"], min_run)
 
 
@@ -45,20 +46,28 @@ def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP, slice_runs: int = SL
     return remerge(relaid.withColumn("_chunk", rank_chunk("run", slice_runs)), ["run", "ord"], "_chunk", gap)
 
 
-def trace_split_excl(points: DataFrame) -> DataFrame:
-    return dedupe_segments(split_runs(dwell_segments(points), *SPLIT_RULE, head_included=False))
+def trace_split_excl(points: DataFrame, slice_seconds: int = DAY_SLICE,
+                     slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+    segs = dwell_segments(points, slice_seconds=slice_seconds)
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE, head_included=False, slice_segments=slice_segments))
 
 
-def trace_split_incl(points: DataFrame) -> DataFrame:
-    return dedupe_segments(split_runs(dwell_segments(points), *SPLIT_RULE_TIGHT, head_included=True))
+def trace_split_incl(points: DataFrame, slice_seconds: int = DAY_SLICE,
+                     slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+    segs = dwell_segments(points, slice_seconds=slice_seconds)
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=True, slice_segments=slice_segments))
 
 
-def trace_relay(points: DataFrame) -> DataFrame:
-    return remerge_relaid(relay_runs(dwell_segments(points), *RELAY_RULE))
+def trace_relay(points: DataFrame, slice_seconds: int = DAY_SLICE, slice_segments: int = SLICE_SEGMENTS,
+                slice_runs: int = SLICE_RUNS) -> DataFrame:
+    segs = dwell_segments(points, slice_seconds=slice_seconds)
+    return remerge_relaid(relay_runs(segs, *RELAY_RULE, slice_segments=slice_segments), slice_runs=slice_runs)
 
 
-def trace_interval(intervals: DataFrame) -> DataFrame:
-    return dedupe_segments(split_runs(interval_segments(intervals), *SPLIT_RULE_TIGHT, head_included=False))
+def trace_interval(intervals: DataFrame, slice_seconds: int = DAY_SLICE,
+                   slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+    segs = interval_segments(intervals, slice_seconds=slice_seconds)
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=False, slice_segments=slice_segments))
 
 
 __all__ = ["SLICE_SEGMENTS", "relay_runs", "remerge_relaid", "split_runs", "trace_interval", "trace_relay",
