@@ -151,11 +151,12 @@ def runs_head_included(spark, sf):
 
 
 def split_equal_q(spark, sf):
-    return split_equal(mark_runs(dwell_segments(_points(spark, sf)), *RELAY_RULE), ["run"])
+    segs = traces.sliced_point_segments(_points(spark, sf))
+    return split_equal(mark_runs(segs, *RELAY_RULE, chunk="_sc"), ["run"])
 
 
 def relay_by_dwell_q(spark, sf):
-    return traces.relay_runs(dwell_segments(_points(spark, sf)), *RELAY_RULE)
+    return traces.relay_runs(traces.sliced_point_segments(_points(spark, sf)), *RELAY_RULE)
 
 
 def remerge_q(spark, sf):

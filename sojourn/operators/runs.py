@@ -28,16 +28,25 @@ SPLIT_RULE = (300, 1800)        # split job, head excluded
 SPLIT_RULE_TIGHT = (300, 300)   # second split variant and the interval job
 
 
-def mark_runs(segments: DataFrame, dur: int, gap: int, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+def mark_runs(segments: DataFrame, dur: int, gap: int, slice_segments: int = SLICE_SEGMENTS,
+              chunk: str | None = None) -> DataFrame:
     """Segments ``(id, seg, stime, site, etime)`` with dense ``seg`` ->
-    the same rows plus ``short`` (bool) and ``run`` (dense per id from 1)."""
-    segs = segments.withColumn("_chunk", rank_chunk("seg", slice_segments))
+    the same rows plus ``short`` (bool) and ``run`` (dense per id from 1).
+
+    ``chunk`` names an existing slice column (``seg`` cut into blocks) when
+    the input is already partitioned on ``(id, chunk)``; otherwise slices of
+    ``slice_segments`` segments are made here."""
+    if chunk is None:
+        segs = segments.withColumn("_chunk", rank_chunk("seg", slice_segments))
+        chunk = "_chunk"
+    else:
+        segs = segments
 
     def breaks(prev, cur):
         short = ((cur["etime"] - cur["stime"]) < dur) & ((cur["stime"] - prev["etime"]) < gap)
         return ~F.coalesce(short, F.lit(False))
 
-    walked = number_blocks(segs, ["id"], "_chunk", ["seg"], ["stime", "etime"], breaks, out="run")
+    walked = number_blocks(segs, ["id"], chunk, ["seg"], ["stime", "etime"], breaks, out="run")
     return walked.select(*[c for c in segments.columns], (~F.col("starts")).alias("short"), "run")
 
 

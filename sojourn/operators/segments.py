@@ -30,6 +30,15 @@ def dwell_segments(points: DataFrame, gap: int = DWELL_GAP, slice_seconds: int =
     Order within an id is ``(t, site)``; the label is the first event's site
     text, ``etime`` the last event's time.  ``seg`` is dense per id from 1.
     """
+    return merge_segment_parts(dwell_segment_parts(points, gap, slice_seconds))
+
+
+def dwell_segment_parts(points: DataFrame, gap: int = DWELL_GAP, slice_seconds: int = DAY_SLICE) -> DataFrame:
+    """The walk of :func:`dwell_segments` summarized per ``(id, slice, seg)``.
+
+    Grouped on the walk's own partitioning (no shuffle); a segment that spans
+    slices has one part per slice.  :func:`merge_segment_parts` finishes it, so
+    the caller chooses the shuffle that merges the parts (see ``plans``)."""
     pts = (points.select("id", "t", "site")
            .where(F.col("id").isNotNull() & F.col("t").isNotNull() & F.col("site").isNotNull())
            .distinct()
@@ -39,13 +48,20 @@ def dwell_segments(points: DataFrame, gap: int = DWELL_GAP, slice_seconds: int =
         return ~same_site(cur["site"], prev["site"]) | (cur["t"] - prev["t"] >= gap)
 
     walked = number_blocks(pts, ["id"], "_chunk", ["t", "site"], ["t", "site"], breaks, out="seg")
-    return walked.groupBy("id", "seg").agg(
-        F.min("t").alias("stime"),
-        F.min(F.struct("t", "site"))["site"].alias("site"),
+    return walked.groupBy("id", "_chunk", "seg").agg(
+        F.min(F.struct("t", "site")).alias("head"),
         F.max("t").alias("etime"),
     )
 
 
+def merge_segment_parts(parts: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Parts -> segments ``(id, seg, stime, site, etime)`` (plus ``extra_keys``,
+    which must be functions of ``(id, seg)``)."""
+    head = F.min("head")
+    return parts.groupBy("id", *extra_keys, "seg").agg(
+        head["t"].alias("stime"), head["site"].alias("site"), F.max("etime").alias("etime"))
+
+
 def interval_segments(intervals: DataFrame, gap: int = DWELL_GAP, slice_seconds: int = DAY_SLICE) -> DataFrame:
     """Intervals ``(id, stime, site, etime)`` -> segments ``(id, seg, stime, site, etime)``.
 

@@ -61,6 +61,7 @@ def number_blocks(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
     staged = df.select(
         "*",
         F.row_number().over(w).alias("_pos"),
+        F.lead(F.lit(True)).over(w).isNull().alias("_end"),
         *[F.lag(c).over(w).alias(f"_lag_{c}") for c in carry],
     )
     local_prev = _rows(carry, lambda c: F.col(f"_lag_{c}"))
@@ -72,9 +73,11 @@ def number_blocks(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
         .otherwise(F.lit(0).cast("long")))
     staged = staged.withColumn("_lc", F.sum("_lb").over(running))
 
-    # One row per slice: grouped on the window's own partitioning, so no shuffle.
+    # One row per slice, from its first and last rows only; grouped on the
+    # window's own partitioning, so no shuffle.
     packed = F.struct(*carry)
-    summary = staged.groupBy(*key, chunk).agg(
+    edges = staged.where((F.col("_pos") == 1) | F.col("_end"))
+    summary = edges.groupBy(*key, chunk).agg(
         F.min_by(packed, F.col("_pos")).alias("_first"),
         F.max_by(packed, F.col("_pos")).alias("_last"),
         F.max("_lc").alias("_tot"),

@@ -10,6 +10,8 @@ late in the job then recomputes from that table instead of from the scan.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 
 from ..session import shared_dir
@@ -17,6 +19,8 @@ from ..session import shared_dir
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
+    if os.environ.get("SOJOURN_NO_STAGE_TABLES") == "1":
+        return df
     spark = df.sparkSession
     path = shared_dir(spark, "stages", name)
     df.write.parquet(path)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.merge import dedupe_segments, remerge
 from ..operators.runs import RELAY_RULE, SLICE_SEGMENTS, SPLIT_RULE, SPLIT_RULE_TIGHT, mark_runs, run_key
-from ..operators.segments import DAY_SLICE, DWELL_GAP, dwell_segments, interval_segments
+from ..operators.segments import DAY_SLICE, DWELL_GAP, dwell_segment_parts, interval_segments, merge_segment_parts
 from ..operators.sequence import rank_chunk
 from ..operators.smoothing import MIN_RELAY_RUN, relay_by_dwell, split_equal
 from .stage import materialize
@@ -26,17 +26,35 @@ from .stage import materialize
 SLICE_RUNS = 100_000
 
 
-def split_runs(segments: DataFrame, dur: int, gap: int, head_included: bool,
-               slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    """Runs marked and each run cut into equal slices; ``(id, *key, stime, site, etime)``."""
-    runs = mark_runs(materialize(segments, "segments"), dur, gap, slice_segments)
+def sliced_segments(segments: DataFrame, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+    """Segments written to the shared folder, then hash-partitioned on
+    ``(id, _sc)`` with ``_sc`` = blocks of ``slice_segments`` segments -- the
+    partitioning every run-marking window below uses, so it is shuffled once."""
+    segs = materialize(segments, "segments")
+    return segs.withColumn("_sc", rank_chunk("seg", slice_segments)).repartition("id", "_sc")
+
+
+def sliced_point_segments(points: DataFrame, slice_seconds: int = DAY_SLICE,
+                          slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+    """As :func:`sliced_segments` for point events, merging the per-slice
+    segment parts after that one shuffle instead of before it."""
+    parts = materialize(dwell_segment_parts(points, slice_seconds=slice_seconds), "segment-parts")
+    parts = parts.withColumn("_sc", rank_chunk("seg", slice_segments)).repartition("id", "_sc")
+    return merge_segment_parts(parts, ("_sc",))
+
+
+def split_runs(segments: DataFrame, dur: int, gap: int, head_included: bool) -> DataFrame:
+    """Sliced segments -> runs marked, each run cut into equal slices;
+    ``(id, *key, stime, site, etime)``."""
+    runs = mark_runs(segments, dur, gap, chunk="_sc")
     return split_equal(runs, run_key(head_included))
 
 
 def relay_runs(segments: DataFrame, dur: int = RELAY_RULE[0], gap: int = RELAY_RULE[1],
-               min_run: int = MIN_RELAY_RUN, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    """Runs (head included) re-laid by dwell; ``(id, run, ord, stime, site, etime)``."""
-    runs = mark_runs(materialize(segments, "segments"), dur, gap, slice_segments)
+               min_run: int = MIN_RELAY_RUN) -> DataFrame:
+    """Sliced segments -> runs (head included) re-laid by dwell;
+    ``(id, run, ord, stime, site, etime)``."""
+    runs = mark_runs(segments, dur, gap, chunk="_sc")
     return relay_by_dwell(runs, ["run"], min_run)
 
 
@@ -48,27 +66,27 @@ def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP, slice_runs: int = SL
 
 def trace_split_excl(points: DataFrame, slice_seconds: int = DAY_SLICE,
                      slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    segs = dwell_segments(points, slice_seconds=slice_seconds)
-    return dedupe_segments(split_runs(segs, *SPLIT_RULE, head_included=False, slice_segments=slice_segments))
+    segs = sliced_point_segments(points, slice_seconds, slice_segments)
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE, head_included=False))
 
 
 def trace_split_incl(points: DataFrame, slice_seconds: int = DAY_SLICE,
                      slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    segs = dwell_segments(points, slice_seconds=slice_seconds)
-    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=True, slice_segments=slice_segments))
+    segs = sliced_point_segments(points, slice_seconds, slice_segments)
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=True))
 
 
 def trace_relay(points: DataFrame, slice_seconds: int = DAY_SLICE, slice_segments: int = SLICE_SEGMENTS,
                 slice_runs: int = SLICE_RUNS) -> DataFrame:
-    segs = dwell_segments(points, slice_seconds=slice_seconds)
-    return remerge_relaid(relay_runs(segs, *RELAY_RULE, slice_segments=slice_segments), slice_runs=slice_runs)
+    segs = sliced_point_segments(points, slice_seconds, slice_segments)
+    return remerge_relaid(relay_runs(segs, *RELAY_RULE), slice_runs=slice_runs)
 
 
 def trace_interval(intervals: DataFrame, slice_seconds: int = DAY_SLICE,
                    slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    segs = interval_segments(intervals, slice_seconds=slice_seconds)
-    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=False, slice_segments=slice_segments))
+    segs = sliced_segments(interval_segments(intervals, slice_seconds=slice_seconds), slice_segments)
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=False))
 
 
-__all__ = ["SLICE_SEGMENTS", "relay_runs", "remerge_relaid", "split_runs", "trace_interval", "trace_relay",
-           "trace_split_excl", "trace_split_incl"]
+__all__ = ["SLICE_SEGMENTS", "relay_runs", "remerge_relaid", "sliced_point_segments", "sliced_segments", "split_runs",
+           "trace_interval", "trace_relay", "trace_split_excl", "trace_split_incl"]
