@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 
 from ..operators.merge import dedupe_segments, remerge
 from ..operators.runs import RELAY_RULE, SLICE_SEGMENTS, SPLIT_RULE, SPLIT_RULE_TIGHT, mark_runs, run_key
-from ..operators.segments import DAY_SLICE, DWELL_GAP, dwell_segment_parts, interval_segments, merge_segment_parts
+from ..operators.segments import (DAY_SLICE, DWELL_GAP, dwell_segment_parts, interval_segments, merge_segment_parts,
+                                  number_segment_parts)
 from ..operators.sequence import rank_chunk
 from ..operators.smoothing import MIN_RELAY_RUN, relay_by_dwell, split_equal
 from .stage import materialize
@@ -39,6 +40,7 @@ def sliced_point_segments(points: DataFrame, slice_seconds: int = DAY_SLICE,
     """As :func:`sliced_segments` for point events, merging the per-slice
     segment parts after that one shuffle instead of before it."""
     parts = materialize(dwell_segment_parts(points, slice_seconds=slice_seconds), "segment-parts")
+    parts = number_segment_parts(parts)
     parts = parts.withColumn("_sc", rank_chunk("seg", slice_segments)).repartition("id", "_sc")
     return merge_segment_parts(parts, ("_sc",))
 

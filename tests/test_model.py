@@ -43,7 +43,8 @@ def random_intervals(seed, n_ids=4, n=120):
     return out
 
 
-SLICES = dict(slice_seconds=900, slice_segments=3)
+SLICES = dict(slice_seconds=900, slice_segments=3)        # narrower than the gap: generic walk
+HALO = dict(slice_seconds=7200, slice_segments=3)          # gap-wide slices: halo walk
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -55,6 +56,10 @@ def test_segments_and_pipelines_match_model(spark, seed):
     assert rows(traces.trace_split_excl(pts, **SLICES)) == model.pipeline(data, "split_excl")
     assert rows(traces.trace_split_incl(pts, **SLICES)) == model.pipeline(data, "split_incl")
     assert rows(traces.trace_relay(pts, **SLICES, slice_runs=2)) == model.pipeline(data, "relay")
+    halo = dwell_segments(pts, slice_seconds=HALO["slice_seconds"]).select("id", "stime", "site", "etime")
+    assert rows(halo) == model.pipeline(data, "segments")
+    assert rows(traces.trace_relay(pts, **HALO, slice_runs=2)) == model.pipeline(data, "relay")
+    assert rows(traces.trace_split_excl(pts, **HALO)) == model.pipeline(data, "split_excl")
 
 
 @pytest.mark.parametrize("seed", [4, 5])
@@ -70,4 +75,6 @@ def test_interval_pipeline_matches_model(spark, seed):
 def test_default_slices_match_tiny_slices(spark):
     data = random_points(9, n_ids=3, n=300)
     pts = spark.createDataFrame(data, "id string, t long, site string")
-    assert rows(traces.trace_relay(pts)) == rows(traces.trace_relay(pts, **SLICES, slice_runs=1))
+    want = rows(traces.trace_relay(pts, **SLICES, slice_runs=1))
+    assert rows(traces.trace_relay(pts)) == want
+    assert rows(traces.trace_relay(pts, slice_seconds=10800, slice_segments=7, slice_runs=3)) == want
