@@ -132,9 +132,12 @@ def interval_segments(intervals: DataFrame, gap: int = DWELL_GAP, slice_seconds:
     rows = intervals.select("id", "stime", "site", "etime").where(
         F.col("id").isNotNull() & F.col("stime").isNotNull() & F.col("site").isNotNull()
         & F.col("etime").isNotNull())
-    keep_copies = F.when(F.col("stime") - F.col("etime") >= gap, F.monotonically_increasing_id())
-    rows = (rows.withColumn("_copy", keep_copies)
-            .distinct()
+    # Fold duplicates (partial aggregate) and number the copies deterministically;
+    # only inverted intervals keep one row per copy.
+    counted = rows.groupBy("id", "stime", "site", "etime").agg(F.count(F.lit(1)).alias("_n"))
+    copies = F.when(F.col("stime") - F.col("etime") >= gap, F.sequence(F.lit(1).cast("long"), F.col("_n")))
+    rows = (counted.select("id", "stime", "site", "etime",
+                           F.explode(F.coalesce(copies, F.array(F.lit(0).cast("long")))).alias("_copy"))
             .withColumn("_chunk", day_chunk("stime", slice_seconds)))
 
     def breaks(prev, cur):

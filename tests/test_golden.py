@@ -108,3 +108,12 @@ def test_next_watermark(spark):
     got = dict((j, s) for j, s, _ in next_watermark(stats, 100).collect())
     assert [got[f"j{i}"] for i in range(4)] == [c[4] for c in cases]
     assert [next_watermark_value(ci, mi, co, mo, 100) for ci, mi, co, mo, _ in cases] == [c[4] for c in cases]
+
+
+def test_interval_duplicates(spark):
+    def segs(data):
+        df = spark.createDataFrame([("device-000001", *r) for r in data], "id string, stime long, site string, etime long")
+        return _segs(interval_segments(df))
+    assert segs([(0, "A", 100), (0, "A", 100)]) == [(0, "A", 100)]
+    # An inverted interval does not absorb its twin: stime - etime >= 7200 breaks.
+    assert segs([(10000, "A", 100), (10000, "A", 100)]) == [(10000, "A", 100), (10000, "A", 100)]
