@@ -22,7 +22,7 @@ from .operators.merge import remerge
 from .operators.runs import RELAY_RULE, SPLIT_RULE, mark_runs
 from .operators.segments import dwell_segments, interval_segments
 from .operators.sequence import day_chunk
-from .operators.smoothing import split_equal
+from .operators.smoothing import relay_by_dwell, split_equal
 from .operators.state import state_delete, state_exists, state_latest, state_upsert
 from .operators.watermark import next_watermark, write_stats
 from .plans import jobs, traces
@@ -156,7 +156,9 @@ def split_equal_q(spark, sf):
 
 
 def relay_by_dwell_q(spark, sf):
-    return traces.relay_runs(traces.sliced_point_segments(_points(spark, sf)), *RELAY_RULE)
+    """Row path: runs marked per segment, then the re-lay."""
+    segs = traces.sliced_point_segments(_points(spark, sf))
+    return relay_by_dwell(mark_runs(segs, *RELAY_RULE, chunk="_sc"), ["run"])
 
 
 def remerge_q(spark, sf):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import same_site
 from .segments import DWELL_GAP
-from .sequence import number_blocks
+from .sequence import halo_walk, number_blocks, number_parts
 
 
 def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_GAP) -> DataFrame:
@@ -39,6 +39,26 @@ def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_
     ).drop("_m")
 
 
+def remerge_sliced(rows: DataFrame, order: Sequence[str], chunk: str, in_halo, gap: int = DWELL_GAP) -> DataFrame:
+    """:func:`remerge` in one sorted pass per slice when each slice's first row
+    depends only on rows flagged by ``in_halo`` in the previous slice (see
+    :func:`sequence.halo_walk`)."""
+    order = list(order)
+
+    def breaks(prev, cur):
+        return ~same_site(cur["site"], prev["site"]) | (cur["etime"] - prev["etime"] >= gap)
+
+    walked = halo_walk(rows, ["id"], chunk, order, in_halo, ["site", "etime"], breaks, out="lm")
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(order)]
+    parts = walked.groupBy("id", chunk, "lm").agg(
+        F.min(F.struct(*keys, F.col("stime").alias("_stime"), F.col("site").alias("_site"))).alias("head"),
+        F.max(F.struct(*keys, F.col("etime").alias("_etime"))).alias("tail"))
+    numbered = number_parts(parts, ["id"], chunk, "lm", "_m")
+    head, tail = F.min("head"), F.max("tail")
+    return numbered.groupBy("id", "_m").agg(
+        head["_stime"].alias("stime"), head["_site"].alias("site"), tail["_etime"].alias("etime")).drop("_m")
+
+
 def dedupe_segments(df: DataFrame) -> DataFrame:
     """Exact duplicates of ``(id, stime, site, etime)`` removed (a partial
     aggregate: duplicates fold map-side before the shuffle)."""

@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import same_site
-from ..plans.stage import materialize
-from .sequence import day_chunk, number_blocks
+from .sequence import day_chunk, halo_walk, number_blocks, number_parts
 
 # Fixed value: two hours of silence (or a site change) ends a stay.
 DWELL_GAP = 7200
@@ -31,8 +30,7 @@ def dwell_segments(points: DataFrame, gap: int = DWELL_GAP, slice_seconds: int =
     Order within an id is ``(t, site)``; the label is the first event's site
     text, ``etime`` the last event's time.  ``seg`` is dense per id from 1.
     """
-    parts = materialize(dwell_segment_parts(points, gap, slice_seconds), "segment-parts")
-    return merge_segment_parts(number_segment_parts(parts))
+    return merge_segment_parts(number_segment_parts(dwell_segment_parts(points, gap, slice_seconds)))
 
 
 def _folded_points(points: DataFrame, slice_seconds: int) -> DataFrame:
@@ -53,38 +51,26 @@ def dwell_segment_parts(points: DataFrame, gap: int = DWELL_GAP, slice_seconds:
 
     When ``gap <= slice_seconds`` only the last ``gap`` seconds of a slice can
     influence the next one (a longer silence always breaks), so those rows are
-    copied into the next slice as a read-only *halo* and one sorted pass per
-    slice decides every break exactly.  Otherwise the generic sliced walk is
-    used.
+    the halo of :func:`sequence.halo_walk` and one sorted pass per slice
+    decides every break.  Otherwise the generic sliced walk is used.
     """
     pts = _folded_points(points, slice_seconds)
+
+    def breaks(prev, cur):
+        return ~same_site(cur["site"], prev["site"]) | (cur["t"] - prev["t"] >= gap)
+
     if gap > slice_seconds:
-        return _parts_from_walk(pts, gap)
+        return _parts_from_walk(pts, breaks)
     width = F.lit(slice_seconds).cast("long")
     tail = (F.col("t") - F.col("_chunk") * width) >= (width - gap)
-    own = F.struct(F.col("_chunk").alias("c"), F.lit(False).alias("h"))
-    copy = F.struct((F.col("_chunk") + 1).alias("c"), F.lit(True).alias("h"))
-    # One pass: a row in the last `gap` seconds of its slice is also emitted
-    # into the next slice (no union, so the folded input is read once).
-    rows = (pts.select("id", "t", "site", F.explode(F.when(tail, F.array(own, copy)).otherwise(F.array(own)))
-                       .alias("_s"))
-            .select("id", "t", "site", F.col("_s.c").alias("_chunk"), F.col("_s.h").alias("_halo")))
-    w = Window.partitionBy("id", "_chunk").orderBy("t", "site")
-    prev_t, prev_site = F.lag("t").over(w), F.lag("site").over(w)
-    opens = prev_t.isNull() | ~same_site(F.col("site"), prev_site) | (F.col("t") - prev_t >= gap)
-    walked = rows.select("*", opens.cast("long").alias("_opens")).where(~F.col("_halo"))
-    walked = walked.withColumn("lseg", F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding,
-                                                                           Window.currentRow)))
+    walked = halo_walk(pts, ["id"], "_chunk", ["t", "site"], tail, ["t", "site"], breaks, out="lseg")
     return walked.groupBy("id", "_chunk", "lseg").agg(
         F.min(F.struct("t", "site")).alias("head"),
         F.max("t").alias("etime"),
     )
 
 
-def _parts_from_walk(pts: DataFrame, gap: int) -> DataFrame:
-    def breaks(prev, cur):
-        return ~same_site(cur["site"], prev["site"]) | (cur["t"] - prev["t"] >= gap)
-
+def _parts_from_walk(pts: DataFrame, breaks) -> DataFrame:
     walked = number_blocks(pts, ["id"], "_chunk", ["t", "site"], ["t", "site"], breaks, out="seg")
     # Already numbered globally: one part per (slice, segment), lseg = seg.
     return walked.groupBy("id", "_chunk", F.col("seg").alias("lseg")).agg(
@@ -94,21 +80,10 @@ def _parts_from_walk(pts: DataFrame, gap: int) -> DataFrame:
 
 
 def number_segment_parts(parts: DataFrame) -> DataFrame:
-    """Add the dense per-id segment number ``seg`` to segment parts.
-
-    ``seg = lseg + (segments started in earlier slices)``; the offsets come
-    from a window per id over slices only.  Reads ``parts`` twice, so pass a
-    written table (see ``plans/stage.py``)."""
+    """Add the dense per-id segment number ``seg`` to segment parts."""
     if "_numbered" in parts.columns:
         return parts.withColumnRenamed("lseg", "seg").drop("_numbered")
-    per_slice = parts.groupBy("id", "_chunk").agg(F.max("lseg").alias("_n"))
-    ws = Window.partitionBy("id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = per_slice.select(F.col("id").alias("_id"), F.col("_chunk").alias("_c"),
-                               (F.sum("_n").over(ws) - F.col("_n")).alias("_off"))
-    cond = parts["id"].eqNullSafe(offsets["_id"]) & parts["_chunk"].eqNullSafe(offsets["_c"])
-    return (parts.join(offsets, on=cond, how="inner")
-            .select(*[parts[c] for c in parts.columns if c != "lseg"],
-                    (F.col("_off") + F.col("lseg")).alias("seg")))
+    return number_parts(parts, ["id"], "_chunk", "lseg", "seg")
 
 
 def merge_segment_parts(parts: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:

@@ -155,3 +155,51 @@ def running_total(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
     offsets = totals.select(*key, chunk, (F.sum("_tot").over(ws) - F.col("_tot")).alias("_off"))
     joined = _join_on_slice(staged, offsets, [*key, chunk])
     return joined.select(*[staged[c] for c in df.columns], (F.col("_off") + F.col("_ls")).alias(out))
+
+
+def halo_walk(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence[str], in_halo: Column,
+              carry: Sequence[str], breaks: BreakRule, out: str) -> DataFrame:
+    """One sorted pass per slice for rules with a bounded look-back.
+
+    Rows for which ``in_halo`` holds are also emitted, read-only, into slice
+    ``chunk + 1``.  The caller guarantees that whenever a slice's first row
+    depends on the previous slice, the row it depends on is in that halo (for
+    a dense rank sliced in blocks, the block's last row; for a time gap rule,
+    the last ``gap`` seconds of the slice).  Every break is then decided
+    inside one window pass; no summary has to be joined back to the rows.
+
+    Returns the slice's own rows with ``opens`` (bool) and ``out`` = number of
+    blocks opened so far inside the slice (0 = rows that continue the block
+    open at the end of the previous slice).  :func:`number_parts` turns
+    per-slice parts into dense per-key numbers.
+    """
+    key = list(key)
+    carry = list(carry)
+    own = F.struct(F.col(chunk).alias("c"), F.lit(False).alias("h"))
+    copy = F.struct((F.col(chunk) + 1).alias("c"), F.lit(True).alias("h"))
+    others = [c for c in df.columns if c != chunk]
+    rows = (df.select(*others, F.explode(F.when(in_halo, F.array(own, copy)).otherwise(F.array(own))).alias("_s"))
+            .select(*others, F.col("_s.c").alias(chunk), F.col("_s.h").alias("_halo")))
+    w = Window.partitionBy(*key, chunk).orderBy(*order)
+    prev = _rows(carry, lambda c: F.lag(c).over(w))
+    first = F.lag(F.lit(1)).over(w).isNull()
+    opens = F.when(first, F.lit(True)).otherwise(F.coalesce(breaks(prev, _rows(carry, F.col)), F.lit(True)))
+    walked = rows.select("*", opens.alias("opens")).where(~F.col("_halo")).drop("_halo")
+    return walked.withColumn(out, F.sum(F.col("opens").cast("long")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+
+def number_parts(parts: DataFrame, key: Sequence[str], chunk: str, local: str, out: str) -> DataFrame:
+    """Dense per-key numbers for per-slice parts: ``out = local + (blocks
+    opened in earlier slices)``.
+
+    The parts are shuffled once on ``(key, chunk)``; the per-slice maxima and
+    the parts themselves both read that one shuffle, and the offsets come from
+    a window per key over slices only."""
+    key = list(key)
+    parts = parts.repartition(*key, chunk)
+    per_slice = parts.groupBy(*key, chunk).agg(F.max(local).alias("_n"))
+    ws = Window.partitionBy(*key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = per_slice.select(*key, chunk, (F.sum("_n").over(ws) - F.col("_n")).alias("_off"))
+    joined = _join_on_slice(parts, offsets, [*key, chunk])
+    return joined.select(*[parts[c] for c in parts.columns if c != local], (F.col("_off") + parts[local]).alias(out))

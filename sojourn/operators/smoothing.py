@@ -28,21 +28,42 @@ from pyspark.sql import functions as F
 MIN_RELAY_RUN = 3
 
 
-def split_equal(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``(id, seg, stime, site, etime, *key)`` -> ``(id, *key, stime, site, etime)``."""
-    k = ["id", *key]
-    per_site = rows.groupBy(*k, "site").agg(
+def _site_aggregates() -> list:
+    seg_t = F.struct("seg", "stime", "etime")
+    return [
+        F.count(F.lit(1)).cast("long").alias("cnt"),
+        F.min("stime").alias("m"),
+        F.sum(F.col("etime") - F.col("stime")).cast("long").alias("d"),
         F.min("seg").alias("fp"),
-        F.min(F.struct("seg", "stime"))["stime"].alias("first_start"),
         F.max("seg").alias("lp"),
-        F.max(F.struct("seg", "etime"))["etime"].alias("last_end"),
-    )
+        F.min(seg_t).alias("first"),
+        F.max(seg_t).alias("last"),
+    ]
+
+
+def site_stats(rows: DataFrame, key: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+    """Per ``(id, *key, site)``: segment count, earliest start, total dwell,
+    first/last segment.  A partial aggregate (combined map-side)."""
+    return rows.groupBy("id", *extra, *key, "site").agg(*_site_aggregates())
+
+
+def merge_site_stats(parts: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Merge :func:`site_stats` computed on pieces of a run."""
+    return parts.groupBy("id", *key, "site").agg(
+        F.sum("cnt").cast("long").alias("cnt"), F.min("m").alias("m"), F.sum("d").cast("long").alias("d"),
+        F.min("fp").alias("fp"), F.max("lp").alias("lp"), F.min("first").alias("first"),
+        F.max("last").alias("last"))
+
+
+def split_from_stats(stats: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Equal split from per-site statistics -> ``(id, *key, stime, site, etime)``."""
+    k = ["id", *key]
     whole = Window.partitionBy(*k)
     seen = Window.partitionBy(*k).orderBy("fp")
-    sized = per_site.select(
+    sized = stats.select(
         *k, "site",
-        F.min(F.struct("fp", "first_start")).over(whole)["first_start"].alias("lo"),
-        F.max(F.struct("lp", "last_end")).over(whole)["last_end"].alias("hi"),
+        F.min(F.struct("fp", F.col("first.stime").alias("s"))).over(whole)["s"].alias("lo"),
+        F.max(F.struct("lp", F.col("last.etime").alias("e"))).over(whole)["e"].alias("hi"),
         F.count(F.lit(1)).over(whole).cast("long").alias("k"),
         (F.row_number().over(seen) - 1).cast("long").alias("r"),
     )
@@ -55,8 +76,8 @@ def split_equal(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def relay_by_dwell(rows: DataFrame, key: Sequence[str] = ("run",), min_run: int = MIN_RELAY_RUN) -> DataFrame:
-    """``(id, seg, stime, site, etime, *key)`` -> ``(id, *key, ord, stime, site, etime)``.
+def relay_from_stats(stats: DataFrame, key: Sequence[str] = ("run",), min_run: int = MIN_RELAY_RUN) -> DataFrame:
+    """Re-lay from per-site statistics -> ``(id, *key, ord, stime, site, etime)``.
 
     ``ord`` orders the output inside its run: the slice position for re-laid
     runs, the segment number for runs passed through.
@@ -66,20 +87,11 @@ def relay_by_dwell(rows: DataFrame, key: Sequence[str] = ("run",), min_run: int
     the running total dwell, i.e. two running windows.
     """
     k = ["id", *key]
-    seg_t = F.struct("seg", "stime", "etime")
-    per_site = rows.groupBy(*k, "site").agg(
-        F.count(F.lit(1)).cast("long").alias("cnt"),
-        F.min("stime").alias("m"),
-        F.sum(F.col("etime") - F.col("stime")).cast("long").alias("d"),
-        F.min("seg").alias("fp"),
-        F.min(seg_t).alias("first"),
-        F.max(seg_t).alias("last"),
-    )
     whole = Window.partitionBy(*k)
     ordered = Window.partitionBy(*k).orderBy("m", "fp")
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    staged = per_site.select(
-        "*",
+    staged = stats.select(
+        *k, "site", "cnt", "m", "d", "fp", "first", "last",
         F.sum("cnt").over(whole).alias("n"),
         F.row_number().over(ordered).cast("long").alias("pos"),
         F.sum("d").over(upto).alias("S"),
@@ -97,3 +109,13 @@ def relay_by_dwell(rows: DataFrame, key: Sequence[str] = ("run",), min_run: int
     out = staged.select(*k, "site", F.explode(F.when(F.col("n") >= min_run, relaid).otherwise(kept)).alias("p"))
     return out.select(*k, F.col("p.ord").alias("ord"), F.col("p.stime").alias("stime"), "site",
                       F.col("p.etime").alias("etime"))
+
+
+def split_equal(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``(id, seg, stime, site, etime, *key)`` -> ``(id, *key, stime, site, etime)``."""
+    return split_from_stats(site_stats(rows, key), key)
+
+
+def relay_by_dwell(rows: DataFrame, key: Sequence[str] = ("run",), min_run: int = MIN_RELAY_RUN) -> DataFrame:
+    """``(id, seg, stime, site, etime, *key)`` -> ``(id, *key, ord, stime, site, etime)``."""
+    return relay_from_stats(site_stats(rows, key), key, min_run)

@@ -16,12 +16,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.merge import dedupe_segments, remerge
-from ..operators.runs import RELAY_RULE, SLICE_SEGMENTS, SPLIT_RULE, SPLIT_RULE_TIGHT, mark_runs, run_key
+from pyspark.sql import functions as F
+
+from ..operators.merge import dedupe_segments, remerge_sliced
+from ..operators.runs import RELAY_RULE, SLICE_SEGMENTS, SPLIT_RULE, SPLIT_RULE_TIGHT, run_key, run_site_parts
 from ..operators.segments import (DAY_SLICE, DWELL_GAP, dwell_segment_parts, interval_segments, merge_segment_parts,
                                   number_segment_parts)
 from ..operators.sequence import rank_chunk
-from ..operators.smoothing import MIN_RELAY_RUN, relay_by_dwell, split_equal
+from ..operators.smoothing import MIN_RELAY_RUN, merge_site_stats, relay_from_stats, split_from_stats
 from .stage import materialize
 
 SLICE_RUNS = 100_000
@@ -30,7 +32,7 @@ SLICE_RUNS = 100_000
 def sliced_segments(segments: DataFrame, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
     """Segments written to the shared folder, then hash-partitioned on
     ``(id, _sc)`` with ``_sc`` = blocks of ``slice_segments`` segments -- the
-    partitioning every run-marking window below uses, so it is shuffled once."""
+    partitioning the run walk uses, so it is shuffled once."""
     segs = materialize(segments, "segments")
     return segs.withColumn("_sc", rank_chunk("seg", slice_segments)).repartition("id", "_sc")
 
@@ -45,50 +47,57 @@ def sliced_point_segments(points: DataFrame, slice_seconds: int = DAY_SLICE,
     return merge_segment_parts(parts, ("_sc",))
 
 
-def split_runs(segments: DataFrame, dur: int, gap: int, head_included: bool) -> DataFrame:
-    """Sliced segments -> runs marked, each run cut into equal slices;
-    ``(id, *key, stime, site, etime)``."""
-    runs = mark_runs(segments, dur, gap, chunk="_sc")
-    return split_equal(runs, run_key(head_included))
+def run_stats(segments: DataFrame, dur: int, gap: int, head_included: bool,
+              slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+    """Sliced segments -> per ``(id, run[, short], site)`` statistics."""
+    parts = run_site_parts(segments, dur, gap, head_included, slice_segments)
+    return merge_site_stats(parts, run_key(head_included))
+
+
+def split_runs(segments: DataFrame, dur: int, gap: int, head_included: bool,
+               slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+    """Sliced segments -> each run cut into equal slices; ``(id, *key, stime, site, etime)``."""
+    key = run_key(head_included)
+    return split_from_stats(run_stats(segments, dur, gap, head_included, slice_segments), key)
 
 
 def relay_runs(segments: DataFrame, dur: int = RELAY_RULE[0], gap: int = RELAY_RULE[1],
-               min_run: int = MIN_RELAY_RUN) -> DataFrame:
+               min_run: int = MIN_RELAY_RUN, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
     """Sliced segments -> runs (head included) re-laid by dwell;
     ``(id, run, ord, stime, site, etime)``."""
-    runs = mark_runs(segments, dur, gap, chunk="_sc")
-    return relay_by_dwell(runs, ["run"], min_run)
+    return relay_from_stats(run_stats(segments, dur, gap, True, slice_segments), ["run"], min_run)
 
 
 def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP, slice_runs: int = SLICE_RUNS) -> DataFrame:
-    """Re-merge re-laid slices in ``(run, ord)`` order; slices of ``slice_runs`` runs."""
-    relaid = materialize(relaid, "relaid")
-    return remerge(relaid.withColumn("_chunk", rank_chunk("run", slice_runs)), ["run", "ord"], "_chunk", gap)
+    """Re-merge re-laid slices in ``(run, ord)`` order, in slices of
+    ``slice_runs`` runs; the last run of a slice is the next slice's halo."""
+    relaid = materialize(relaid, "relaid").withColumn("_chunk", rank_chunk("run", slice_runs))
+    return remerge_sliced(relaid, ["run", "ord"], "_chunk", (F.col("run") % slice_runs) == 0, gap)
 
 
 def trace_split_excl(points: DataFrame, slice_seconds: int = DAY_SLICE,
                      slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
     segs = sliced_point_segments(points, slice_seconds, slice_segments)
-    return dedupe_segments(split_runs(segs, *SPLIT_RULE, head_included=False))
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE, head_included=False, slice_segments=slice_segments))
 
 
 def trace_split_incl(points: DataFrame, slice_seconds: int = DAY_SLICE,
                      slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
     segs = sliced_point_segments(points, slice_seconds, slice_segments)
-    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=True))
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=True, slice_segments=slice_segments))
 
 
 def trace_relay(points: DataFrame, slice_seconds: int = DAY_SLICE, slice_segments: int = SLICE_SEGMENTS,
                 slice_runs: int = SLICE_RUNS) -> DataFrame:
     segs = sliced_point_segments(points, slice_seconds, slice_segments)
-    return remerge_relaid(relay_runs(segs, *RELAY_RULE), slice_runs=slice_runs)
+    return remerge_relaid(relay_runs(segs, *RELAY_RULE, slice_segments=slice_segments), slice_runs=slice_runs)
 
 
 def trace_interval(intervals: DataFrame, slice_seconds: int = DAY_SLICE,
                    slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
     segs = sliced_segments(interval_segments(intervals, slice_seconds=slice_seconds), slice_segments)
-    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=False))
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=False, slice_segments=slice_segments))
 
 
-__all__ = ["SLICE_SEGMENTS", "relay_runs", "remerge_relaid", "sliced_point_segments", "sliced_segments", "split_runs",
-           "trace_interval", "trace_relay", "trace_split_excl", "trace_split_incl"]
+__all__ = ["SLICE_SEGMENTS", "relay_runs", "remerge_relaid", "run_stats", "sliced_point_segments", "sliced_segments",
+           "split_runs", "trace_interval", "trace_relay", "trace_split_excl", "trace_split_incl"]
