@@ -53,7 +53,8 @@ def remerge_sliced(rows: DataFrame, order: Sequence[str], chunk: str, in_halo, g
     parts = walked.groupBy("id", chunk, "lm").agg(
         F.min(F.struct(*keys, F.col("stime").alias("_stime"), F.col("site").alias("_site"))).alias("head"),
         F.max(F.struct(*keys, F.col("etime").alias("_etime"))).alias("tail"))
-    numbered = number_parts(parts, ["id"], chunk, "lm", "_m")
+    from ..plans.stage import materialize
+    numbered = number_parts(materialize(parts, "merge-parts"), ["id"], chunk, "lm", "_m")
     head, tail = F.min("head"), F.max("tail")
     return numbered.groupBy("id", "_m").agg(
         head["_stime"].alias("stime"), head["_site"].alias("site"), tail["_etime"].alias("etime")).drop("_m")

@@ -56,24 +56,28 @@ def run_key(head_included: bool) -> list[str]:
 
 
 def run_site_parts(segments: DataFrame, dur: int, gap: int, head_included: bool, slice_segments: int,
-                   chunk: str = "_sc") -> DataFrame:
+                   chunk: str = "_sc", halo_flag: str | None = None) -> DataFrame:
     """Runs marked and reduced to per-site statistics in one sorted pass.
 
     ``segments`` must be partitioned on ``(id, chunk)`` with
     ``chunk = rank_chunk(seg, slice_segments)``.  A segment's rule looks at the
     previous segment only, which for a slice's first row is the previous
     slice's last segment (``seg % slice_segments == 0``): that one row per
-    slice border is the halo.  Statistics are kept per run *part* (a run that
-    crosses slices has one part per slice), numbered, and returned as
-    ``(id, run[, short], site, cnt, m, d, fp, lp, first, last)`` parts for
-    :func:`smoothing.merge_site_stats`.
+    slice border is the halo (already present when ``halo_flag`` names its
+    flag column).  Statistics are kept per run *part* (a run that crosses
+    slices has one part per slice); the parts are written as a stage table,
+    numbered, and returned as ``(id, run[, short], site, cnt, m, d, fp, lp,
+    first, last)`` for :func:`smoothing.merge_site_stats`.
     """
+    from ..plans.stage import materialize
+
     def breaks(prev, cur):
         short = ((cur["etime"] - cur["stime"]) < dur) & ((cur["stime"] - prev["etime"]) < gap)
         return ~F.coalesce(short, F.lit(False))
 
     in_halo = (F.col("seg") % slice_segments) == 0
-    walked = halo_walk(segments, ["id"], chunk, ["seg"], in_halo, ["stime", "etime"], breaks, out="lrun")
+    walked = halo_walk(segments, ["id"], chunk, ["seg"], in_halo, ["stime", "etime"], breaks, out="lrun",
+                       halo_flag=halo_flag)
     walked = walked.withColumn("short", ~F.col("opens"))
     parts = site_stats(walked, ["lrun"] if head_included else ["lrun", "short"], extra=[chunk])
-    return number_parts(parts, ["id"], chunk, "lrun", "run").drop(chunk)
+    return number_parts(materialize(parts, "run-parts"), ["id"], chunk, "lrun", "run").drop(chunk)

@@ -55,6 +55,7 @@ def number_blocks(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
     """
     key = list(key)
     carry = list(carry)
+    df = _keys_present(df, key)
     w = Window.partitionBy(*key, chunk).orderBy(*order)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -106,21 +107,33 @@ def number_blocks(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
     return result
 
 
-def _join_on_slice(rows: DataFrame, summary: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Join the per-slice summary back to the slice's rows.
+def _keys_present(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows with a null key are dropped (they cannot be walked); stating it
+    once here also tells the optimizer, so later joins add no filters."""
+    cond = None
+    for k in key:
+        e = F.col(k).isNotNull()
+        cond = e if cond is None else cond & e
+    return df.where(cond)
+
 
-    Null-safe equality is deliberate: with plain ``=`` the optimizer infers
-    ``isnotnull`` filters for the join keys and pushes them into one branch
-    only, the two branches that read the slice rows stop being identical and
-    Spark recomputes the whole input instead of reusing its shuffle.
+def _join_on_slice(rows: DataFrame, summary: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Join a per-slice summary back to the slice's rows on plain equality.
+
+    Keys are never null here (ids are filtered before every walk and slice
+    numbers are built non-nullable), so the optimizer infers no ``isnotnull``
+    filter that would reach only one of the two branches reading the same
+    input -- that would stop them sharing its shuffle.  Plain keys also keep
+    the row side's ``(id, slice)`` partitioning usable by a sort-merge join
+    when the summary is too large to broadcast.
     """
     s = summary.select(*[F.col(c).alias(f"_s_{c}") for c in cols],
                        *[c for c in summary.columns if c not in cols])
     cond = None
     for c in cols:
-        e = rows[c].eqNullSafe(s[f"_s_{c}"])
+        e = rows[c] == s[f"_s_{c}"]
         cond = e if cond is None else cond & e
-    return rows.join(s, on=cond, how="inner")
+    return rows.join(s, on=cond, how="inner").drop(*[f"_s_{c}" for c in cols])
 
 
 def day_chunk(seconds_col: str, width: int = 86400) -> Column:
@@ -130,12 +143,12 @@ def day_chunk(seconds_col: str, width: int = 86400) -> Column:
     86,400 distinct seconds times the sites seen in one second.
     """
     c = F.col(seconds_col).cast("long")
-    return ((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("long")
+    return F.coalesce(((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("long"), F.lit(0).cast("long"))
 
 
 def rank_chunk(rank_col: str, size: int) -> Column:
     """Slice key for scans over a dense 1-based rank: exactly ``size`` rows per slice."""
-    return ((F.col(rank_col).cast("long") - 1) / F.lit(size)).cast("long")
+    return F.coalesce(((F.col(rank_col).cast("long") - 1) / F.lit(size)).cast("long"), F.lit(0).cast("long"))
 
 
 def running_total(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence[str], value: str,
@@ -147,6 +160,7 @@ def running_total(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
     slice key.
     """
     key = list(key)
+    df = _keys_present(df, key)
     w = Window.partitionBy(*key, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding,
                                                                    Window.currentRow)
     staged = df.withColumn("_ls", F.sum(value).over(w))
@@ -157,16 +171,28 @@ def running_total(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
     return joined.select(*[staged[c] for c in df.columns], (F.col("_off") + F.col("_ls")).alias(out))
 
 
-def halo_walk(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence[str], in_halo: Column,
-              carry: Sequence[str], breaks: BreakRule, out: str) -> DataFrame:
+def with_halo(df: DataFrame, chunk: str, in_halo: Column, flag: str = "_halo") -> DataFrame:
+    """Rows for which ``in_halo`` holds are emitted twice: in their own slice
+    and, flagged read-only, in slice ``chunk + 1``.  One pass (``explode``),
+    no union, so the input is read once."""
+    own = F.struct(F.col(chunk).alias("c"), F.lit(False).alias("h"))
+    copy = F.struct((F.col(chunk) + 1).alias("c"), F.lit(True).alias("h"))
+    others = [c for c in df.columns if c != chunk]
+    return (df.select(*others, F.explode(F.when(in_halo, F.array(own, copy)).otherwise(F.array(own))).alias("_s"))
+            .select(*others, F.col("_s.c").alias(chunk), F.col("_s.h").alias(flag)))
+
+
+def halo_walk(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence[str], in_halo: Column | None,
+              carry: Sequence[str], breaks: BreakRule, out: str, halo_flag: str | None = None) -> DataFrame:
     """One sorted pass per slice for rules with a bounded look-back.
 
     Rows for which ``in_halo`` holds are also emitted, read-only, into slice
-    ``chunk + 1``.  The caller guarantees that whenever a slice's first row
-    depends on the previous slice, the row it depends on is in that halo (for
-    a dense rank sliced in blocks, the block's last row; for a time gap rule,
-    the last ``gap`` seconds of the slice).  Every break is then decided
-    inside one window pass; no summary has to be joined back to the rows.
+    ``chunk + 1`` (or the input already carries such copies, flagged by the
+    boolean column ``halo_flag``).  The caller guarantees that whenever a
+    slice's first row depends on the previous slice, the row it depends on is
+    in that halo (for a dense rank sliced in blocks, the block's last row; for
+    a time gap rule, the last ``gap`` seconds of the slice).  Every break is
+    then decided inside one window pass; no summary is joined back to rows.
 
     Returns the slice's own rows with ``opens`` (bool) and ``out`` = number of
     blocks opened so far inside the slice (0 = rows that continue the block
@@ -175,16 +201,16 @@ def halo_walk(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence[str
     """
     key = list(key)
     carry = list(carry)
-    own = F.struct(F.col(chunk).alias("c"), F.lit(False).alias("h"))
-    copy = F.struct((F.col(chunk) + 1).alias("c"), F.lit(True).alias("h"))
-    others = [c for c in df.columns if c != chunk]
-    rows = (df.select(*others, F.explode(F.when(in_halo, F.array(own, copy)).otherwise(F.array(own))).alias("_s"))
-            .select(*others, F.col("_s.c").alias(chunk), F.col("_s.h").alias("_halo")))
+    df = _keys_present(df, key)
+    if halo_flag is None:
+        rows, halo_flag = with_halo(df, chunk, in_halo), "_halo"
+    else:
+        rows = df
     w = Window.partitionBy(*key, chunk).orderBy(*order)
     prev = _rows(carry, lambda c: F.lag(c).over(w))
     first = F.lag(F.lit(1)).over(w).isNull()
     opens = F.when(first, F.lit(True)).otherwise(F.coalesce(breaks(prev, _rows(carry, F.col)), F.lit(True)))
-    walked = rows.select("*", opens.alias("opens")).where(~F.col("_halo")).drop("_halo")
+    walked = rows.select("*", opens.alias("opens")).where(~F.col(halo_flag)).drop(halo_flag)
     return walked.withColumn(out, F.sum(F.col("opens").cast("long")).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
@@ -193,11 +219,13 @@ def number_parts(parts: DataFrame, key: Sequence[str], chunk: str, local: str, o
     """Dense per-key numbers for per-slice parts: ``out = local + (blocks
     opened in earlier slices)``.
 
-    The parts are shuffled once on ``(key, chunk)``; the per-slice maxima and
-    the parts themselves both read that one shuffle, and the offsets come from
-    a window per key over slices only."""
+    ``parts`` is read twice (per-slice maxima, and the parts themselves), so
+    pass a written table (``plans/stage.py``): Spark would otherwise recompute
+    the walk that produced them.  The offsets come from a window per key over
+    slices only and are joined back on plain ``(key, chunk)`` keys.
+    """
     key = list(key)
-    parts = parts.repartition(*key, chunk)
+    parts = _keys_present(parts, key)
     per_slice = parts.groupBy(*key, chunk).agg(F.max(local).alias("_n"))
     ws = Window.partitionBy(*key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = per_slice.select(*key, chunk, (F.sum("_n").over(ws) - F.col("_n")).alias("_off"))

@@ -22,36 +22,46 @@ from ..operators.merge import dedupe_segments, remerge_sliced
 from ..operators.runs import RELAY_RULE, SLICE_SEGMENTS, SPLIT_RULE, SPLIT_RULE_TIGHT, run_key, run_site_parts
 from ..operators.segments import (DAY_SLICE, DWELL_GAP, dwell_segment_parts, interval_segments, merge_segment_parts,
                                   number_segment_parts)
-from ..operators.sequence import rank_chunk
+from ..operators.sequence import rank_chunk, with_halo
 from ..operators.smoothing import MIN_RELAY_RUN, merge_site_stats, relay_from_stats, split_from_stats
 from .stage import materialize
 
 SLICE_RUNS = 100_000
 
 
-def sliced_segments(segments: DataFrame, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+def sliced_segments(segments: DataFrame, slice_segments: int = SLICE_SEGMENTS, halo: bool = False) -> DataFrame:
     """Segments written to the shared folder, then hash-partitioned on
     ``(id, _sc)`` with ``_sc`` = blocks of ``slice_segments`` segments -- the
-    partitioning the run walk uses, so it is shuffled once."""
-    segs = materialize(segments, "segments")
-    return segs.withColumn("_sc", rank_chunk("seg", slice_segments)).repartition("id", "_sc")
+    partitioning the run walk uses.  With ``halo`` each block's last segment
+    is also copied into the next block (flag ``_halo``) before that one
+    shuffle."""
+    segs = materialize(segments, "segments").withColumn("_sc", rank_chunk("seg", slice_segments))
+    if halo:
+        segs = with_halo(segs, "_sc", (F.col("seg") % slice_segments) == 0)
+    return segs.repartition("id", "_sc")
 
 
 def sliced_point_segments(points: DataFrame, slice_seconds: int = DAY_SLICE,
-                          slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    """As :func:`sliced_segments` for point events, merging the per-slice
-    segment parts after that one shuffle instead of before it."""
+                          slice_segments: int = SLICE_SEGMENTS, halo: bool = False) -> DataFrame:
+    """As :func:`sliced_segments` for point events: segment parts are written,
+    numbered, copied into the next block when they belong to a block's last
+    segment, and merged after the one shuffle on ``(id, _sc)``."""
     parts = materialize(dwell_segment_parts(points, slice_seconds=slice_seconds), "segment-parts")
-    parts = number_segment_parts(parts)
-    parts = parts.withColumn("_sc", rank_chunk("seg", slice_segments)).repartition("id", "_sc")
-    return merge_segment_parts(parts, ("_sc",))
+    parts = number_segment_parts(parts).withColumn("_sc", rank_chunk("seg", slice_segments))
+    extra: tuple[str, ...] = ("_sc",)
+    if halo:
+        parts = with_halo(parts, "_sc", (F.col("seg") % slice_segments) == 0)
+        extra = ("_sc", "_halo")
+    return merge_segment_parts(parts.repartition("id", "_sc"), extra)
 
 
 def run_stats(segments: DataFrame, dur: int, gap: int, head_included: bool,
               slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    """Sliced segments -> per ``(id, run[, short], site)`` statistics."""
-    parts = run_site_parts(segments, dur, gap, head_included, slice_segments)
-    return merge_site_stats(parts, run_key(head_included))
+    """Sliced segments (with halo copies) -> per ``(id, run[, short], site)``
+    statistics, partitioned on ``(id, run)`` for the per-run windows."""
+    flag = "_halo" if "_halo" in segments.columns else None
+    parts = run_site_parts(segments, dur, gap, head_included, slice_segments, halo_flag=flag)
+    return merge_site_stats(parts.repartition("id", "run"), run_key(head_included))
 
 
 def split_runs(segments: DataFrame, dur: int, gap: int, head_included: bool,
@@ -77,25 +87,25 @@ def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP, slice_runs: int = SL
 
 def trace_split_excl(points: DataFrame, slice_seconds: int = DAY_SLICE,
                      slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    segs = sliced_point_segments(points, slice_seconds, slice_segments)
+    segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True)
     return dedupe_segments(split_runs(segs, *SPLIT_RULE, head_included=False, slice_segments=slice_segments))
 
 
 def trace_split_incl(points: DataFrame, slice_seconds: int = DAY_SLICE,
                      slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    segs = sliced_point_segments(points, slice_seconds, slice_segments)
+    segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True)
     return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=True, slice_segments=slice_segments))
 
 
 def trace_relay(points: DataFrame, slice_seconds: int = DAY_SLICE, slice_segments: int = SLICE_SEGMENTS,
                 slice_runs: int = SLICE_RUNS) -> DataFrame:
-    segs = sliced_point_segments(points, slice_seconds, slice_segments)
+    segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True)
     return remerge_relaid(relay_runs(segs, *RELAY_RULE, slice_segments=slice_segments), slice_runs=slice_runs)
 
 
 def trace_interval(intervals: DataFrame, slice_seconds: int = DAY_SLICE,
                    slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    segs = sliced_segments(interval_segments(intervals, slice_seconds=slice_seconds), slice_segments)
+    segs = sliced_segments(interval_segments(intervals, slice_seconds=slice_seconds), slice_segments, halo=True)
     return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=False, slice_segments=slice_segments))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sojourn.operators.segments import dwell_segment_parts, merge_segment_parts, number_segment_parts
 from sojourn.plans import traces
+from sojourn.plans.stage import materialize
 from tests import model
 from tests.conftest import rows
 
@@ -32,7 +33,7 @@ def test_hot_id_walk_spreads_over_partitions(spark):
         per_part = {r["p"]: r["n"] for r in hot.groupBy("p").agg(F.countDistinct("_chunk").alias("n")).collect()}
         # 20 day slices of one id land in many of the 16 partitions, not one.
         assert len(per_part) >= 8 and max(per_part.values()) <= 5
-        segs = merge_segment_parts(number_segment_parts(parts.repartition("id", "_chunk")))
+        segs = merge_segment_parts(number_segment_parts(materialize(parts, "t-parts")))
         assert rows(segs.select("id", "stime", "site", "etime")) == model.pipeline(data, "segments")
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
