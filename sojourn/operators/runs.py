@@ -65,12 +65,9 @@ def run_site_parts(segments: DataFrame, dur: int, gap: int, head_included: bool,
     slice's last segment (``seg % slice_segments == 0``): that one row per
     slice border is the halo (already present when ``halo_flag`` names its
     flag column).  Statistics are kept per run *part* (a run that crosses
-    slices has one part per slice); the parts are written as a stage table,
-    numbered, and returned as ``(id, run[, short], site, cnt, m, d, fp, lp,
+    slices has one part per slice); the parts are numbered and returned as ``(id, run[, short], site, cnt, m, d, fp, lp,
     first, last)`` for :func:`smoothing.merge_site_stats`.
     """
-    from ..plans.stage import materialize
-
     def breaks(prev, cur):
         short = ((cur["etime"] - cur["stime"]) < dur) & ((cur["stime"] - prev["etime"]) < gap)
         return ~F.coalesce(short, F.lit(False))
@@ -80,4 +77,4 @@ def run_site_parts(segments: DataFrame, dur: int, gap: int, head_included: bool,
                        halo_flag=halo_flag)
     walked = walked.withColumn("short", ~F.col("opens"))
     parts = site_stats(walked, ["lrun"] if head_included else ["lrun", "short"], extra=[chunk])
-    return number_parts(materialize(parts, "run-parts"), ["id"], chunk, "lrun", "run").drop(chunk)
+    return number_parts(parts, ["id"], chunk, "lrun", "run").drop(chunk)

@@ -219,10 +219,14 @@ def number_parts(parts: DataFrame, key: Sequence[str], chunk: str, local: str, o
     """Dense per-key numbers for per-slice parts: ``out = local + (blocks
     opened in earlier slices)``.
 
-    ``parts`` is read twice (per-slice maxima, and the parts themselves), so
-    pass a written table (``plans/stage.py``): Spark would otherwise recompute
-    the walk that produced them.  The offsets come from a window per key over
-    slices only and are joined back on plain ``(key, chunk)`` keys.
+    ``parts`` is read twice: for the per-slice maxima and for the parts
+    themselves.  When it is a written table (``plans/stage.py``) both reads
+    are scans.  Otherwise Spark runs the sorted pass that produced the parts
+    once per reader -- a second sort of bounded slices, but no extra shuffle,
+    since both readers share the walk's input exchange.  At small sizes that
+    is cheaper than writing a table, and the pipelines write only the larger
+    boundaries.  The offsets come from a window per key over slices only and
+    are joined back on plain ``(key, chunk)`` keys.
     """
     key = list(key)
     parts = _keys_present(parts, key)
