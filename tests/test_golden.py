@@ -117,3 +117,13 @@ def test_interval_duplicates(spark):
     assert segs([(0, "A", 100), (0, "A", 100)]) == [(0, "A", 100)]
     # An inverted interval does not absorb its twin: stime - etime >= 7200 breaks.
     assert segs([(10000, "A", 100), (10000, "A", 100)]) == [(10000, "A", 100), (10000, "A", 100)]
+
+
+def test_flatten_expands_large_entries_in_pieces(spark):
+    from sojourn.operators.lists import events_per_id, flatten_events
+    pts = spark.createDataFrame([("device-000001", 5, "A")] * 7 + [("device-000001", 9, "B")] * 2
+                                + [("device-000001", 3, "A")], "id string, t long, site string")
+    listed = events_per_id(pts)
+    assert rows(listed.select("pos", "t", "site", "n")) == [(1, 3, "A", 1), (2, 5, "A", 7), (9, 9, "B", 2)]
+    flat = rows(flatten_events(listed, piece=3).select("pos", "t", "site"))
+    assert flat == [(1, 3, "A")] + [(p, 5, "A") for p in range(2, 9)] + [(9, 9, "B"), (10, 9, "B")]

@@ -44,3 +44,14 @@ def test_audit_append(spark):
     audit_append(spark, path, "import", "ok", path="/x", nbytes=10, duration_ms=5)
     got = sorted((r.title, r.content, r.bytes) for r in read_audit(spark, path).collect())
     assert got == [("import", "ok", 10), ("job1", "app,1,2", None)]
+
+
+def test_compaction_mirrors_subdirectories(spark):
+    staging = shared_dir(spark, "t-stage-nested")
+    library = shared_dir(spark, "t-library-nested")
+    for sub, n in (("a", 300), ("b/c", 200)):
+        _lines(spark, n).select("line").repartition(5).write.text(f"{staging}/{sub}")
+    out = compact_lines(spark, staging, library, limit_bytes=10 ** 9, limit_seconds=0)
+    assert out["files_in"] == 10
+    assert spark.read.text(f"{library}/a").count() == 300
+    assert spark.read.text(f"{library}/b/c").count() == 200
