@@ -8,15 +8,19 @@ below ``gap`` seconds, otherwise it opens a new segment.
 Both fold exact duplicate rows first (a partial aggregate, combined map-side):
 a duplicate always extends the segment it follows, so the result is unchanged,
 and a hot id's raw rows collapse to its distinct seconds before any shuffle by
-id.  The walk itself is :func:`sequence.number_blocks` over one-day slices.
+id.  Points are walked by :func:`sequence.halo_walk` over one-day slices (a
+silence of ``gap`` always breaks, so only a slice's last ``gap`` seconds reach
+the next); intervals, whose previous end can reach arbitrarily far, by the
+generic :func:`sequence.number_blocks`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import same_site
+from ..plans.stage import materialize
 from .sequence import day_chunk, halo_walk, number_blocks, number_parts
 
 # Fixed value: two hours of silence (or a site change) ends a stay.
@@ -30,7 +34,6 @@ def dwell_segments(points: DataFrame, gap: int = DWELL_GAP, slice_seconds: int =
     Order within an id is ``(t, site)``; the label is the first event's site
     text, ``etime`` the last event's time.  ``seg`` is dense per id from 1.
     """
-    from ..plans.stage import materialize
     parts = materialize(dwell_segment_parts(points, gap, slice_seconds), "segment-parts")
     return merge_segment_parts(number_segment_parts(parts))
 
