@@ -93,44 +93,66 @@ def compact_lines(spark: SparkSession, staging: str, library: str, limit_bytes:
     Per staging directory, files older than ``limit_seconds`` are published;
     younger files are taken in name order into groups that reach
     ``limit_bytes`` and full groups are published; the rest stay staged for a
-    later run.  Published lines are rewritten into ``ceil(bytes / limit)``
-    files under the same relative directory of ``library`` and the staged
-    copies are deleted.  Line-based: a file without a final newline does not
-    fuse with the next one.
+    later run.  Choosing files needs only the listing (metadata).
+
+    All published lines move in **one** Spark job, whatever the number of
+    directories: each line keeps its directory (from ``_metadata.file_path``),
+    is hashed into one of that directory's ``ceil(bytes / limit)`` buckets,
+    and the job writes one folder per directory; those folders are then
+    renamed into the same relative paths under ``library`` and the staged
+    copies deleted.  Line-based: a file without a final newline does not fuse
+    with the next one.
     """
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
-    files = _data_files(spark, staging)
+    fs, root_path = _fs(spark, staging)
+    root = fs.makeQualified(root_path).toString().rstrip("/")
     by_dir: dict[str, list[tuple[str, int, int]]] = {}
-    for d, path, size, mtime in files:
+    for d, path, size, mtime in _data_files(spark, staging):
         by_dir.setdefault(d, []).append((path, size, mtime))
-    fs, p = _fs(spark, staging)
-    root = fs.makeQualified(p).toString().rstrip("/")
-    published_files = 0
-    written_files = 0
-    published_bytes = 0
+    chosen: list[str] = []
+    dirs: list[tuple[str, int]] = []           # (directory, number of output files)
     for d, entries in sorted(by_dir.items()):
-        chosen, group, group_bytes = [], [], 0
+        picked, group, group_bytes = [], [], 0
         for path, size, mtime in entries:
             if now_ms - mtime >= limit_seconds * 1000:
-                chosen.append((path, size))
+                picked.append((path, size))
                 continue
             group.append((path, size))
             group_bytes += size
             if group_bytes >= limit_bytes:
-                chosen.extend(group)
+                picked.extend(group)
                 group, group_bytes = [], 0
-        if not chosen:
-            continue
-        nbytes = sum(s for _, s in chosen)
-        n_out = max(1, math.ceil(nbytes / limit_bytes))
+        if picked:
+            chosen.extend(p for p, _ in picked)
+            dirs.append((d, max(1, math.ceil(sum(sz for _, sz in picked) / limit_bytes))))
+    if not chosen:
+        return {"files_in": 0, "files_out": 0, "bytes": 0}
+
+    index = {d: i for i, (d, _) in enumerate(dirs)}
+    n_files = F.create_map(*[x for i, (_, n) in enumerate(dirs) for x in (F.lit(i), F.lit(n))])
+    dir_of = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
+    dir_index = F.create_map(*[x for d, i in index.items() for x in (F.lit(d), F.lit(i))])[dir_of]
+    lines = (spark.read.text(chosen)
+             .select(F.col("value").alias("line"), dir_index.alias("_d"))
+             .withColumn("_b", F.pmod(F.hash("line"), n_files[F.col("_d")])))
+    out = shared_dir(spark, "compact-out")
+    lines.repartition("_d", "_b").drop("_b").write.partitionBy("_d").text(out)
+
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    files_out = 0
+    for d, i in index.items():
         rel = d[len(root):].lstrip("/")
-        dest = library.rstrip("/") + ("/" + rel if rel else "")
-        spark.read.text([p for p, _ in chosen]).repartition(n_out).write.mode("append").text(dest)
-        fs, _ = _fs(spark, staging)
-        jvm = spark.sparkContext._jvm
-        for p, _ in chosen:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(p), False)
-        published_files += len(chosen)
-        written_files += n_out
-        published_bytes += nbytes
-    return {"files_in": published_files, "files_out": written_files, "bytes": published_bytes}
+        dest = Path(library.rstrip("/") + ("/" + rel if rel else ""))
+        lfs = dest.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        lfs.mkdirs(dest)
+        for _, path, _, _ in _data_files(spark, f"{out}/_d={i}"):
+            src = Path(path)
+            lfs.rename(src, Path(dest, src.getName()))
+            files_out += 1
+    for p in chosen:
+        fs.delete(Path(p), False)
+    fs.delete(Path(out), True)
+    picked_set = set(chosen)
+    nbytes = sum(size for d in by_dir.values() for p, size, _ in d if p in picked_set)
+    return {"files_in": len(chosen), "files_out": files_out, "bytes": nbytes}
