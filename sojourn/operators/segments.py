@@ -16,7 +16,7 @@ generic :func:`sequence.number_blocks`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import same_site
@@ -69,9 +69,21 @@ def dwell_segment_parts(points: DataFrame, gap: int = DWELL_GAP, slice_seconds:
     width = F.lit(slice_seconds).cast("long")
     tail = (F.col("t") - F.col("_chunk") * width) >= (width - gap)
     walked = halo_walk(pts, ["id"], "_chunk", ["t", "site"], tail, ["t", "site"], breaks, out="lseg")
-    return walked.groupBy("id", "_chunk", "lseg").agg(
-        F.min(F.struct("t", "site")).alias("head"),
-        F.max("t").alias("etime"),
+    # Parts straight from the ordered rows, no aggregate (a struct minimum
+    # would need a sort-based aggregate, i.e. a second sort of every row): a
+    # part's head is the row that opens it (or the slice's first row), its
+    # end the t of the row before the next head.  These windows reuse the
+    # walk's order, so no sort is added.
+    w = Window.partitionBy("id", "_chunk").orderBy("t", "site")
+    edges = walked.select(
+        "*",
+        F.lag(F.lit(1)).over(w).isNull().alias("_first"),
+        F.coalesce(F.lead("opens").over(w), F.lit(True)).alias("_last"),
+    ).where(F.col("opens") | F.col("_first") | F.col("_last"))
+    edges = edges.select("*", F.lead("t").over(w).alias("_next_t"))
+    return edges.where(F.col("opens") | F.col("_first")).select(
+        "id", "_chunk", "lseg", F.struct("t", "site").alias("head"),
+        F.when(F.col("_last"), F.col("t")).otherwise(F.col("_next_t")).alias("etime"),
     )
 
 
