@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference's for the same results.
+# Fixed values that must equal the original job's for the same results.
 EPOCH_MIN = 1000000000          # smallest ten-digit number
 EPOCH_MAX = 9999999999          # largest ten-digit number
 MIN_ID_LENGTH = 11              # ids must be longer than 10 characters

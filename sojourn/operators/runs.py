@@ -23,7 +23,7 @@ from .smoothing import site_stats
 
 SLICE_SEGMENTS = 100_000
 
-# The (duration, gap) pairs the reference jobs use.
+# The (duration, gap) pairs the original jobs use.
 RELAY_RULE = (60, 180)          # re-lay job, head included
 SPLIT_RULE = (300, 1800)        # split job, head excluded
 SPLIT_RULE_TIGHT = (300, 300)   # second split variant and the interval job

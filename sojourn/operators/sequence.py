@@ -1,28 +1,30 @@
-"""Skew-tolerant ordered scans per id.
+"""Skew-tolerant ordered walks per id.
 
-The reference walks each id's whole, time-sorted list in one task
+The original job walks each id's whole, time-sorted list in one task
 (``groupByKey`` then a loop).  On Spark the obvious rewrite,
 ``Window.partitionBy(id)``, has the same flaw: one id that holds a third of
 all rows is sorted and scanned by one task.
 
-``number_blocks`` splits each id's sequence into bounded *slices*
-``(id, chunk)`` -- a chunk column that is non-decreasing in the scan order,
-e.g. the day of the event or ``seg div K`` -- and scans the slices in
-parallel:
-
-1. one window pass per slice gives each row its in-slice ``lag`` values and a
-   running count of breaks after the slice's first row;
-2. a per-slice summary (first row, last row, number of breaks) is reduced by a
-   window per id over *slices* only -- its size is the number of slices, not
-   the number of rows -- which decides whether each slice's first row breaks
-   from the previous slice's last row and the offset of every slice's block
-   numbers;
-3. the summary is joined back on ``(id, chunk)``.  The big side is already
-   partitioned on that key, so only the summary moves (or is broadcast, if
-   Spark's own size check allows it).
-
-The result equals a single ordered walk over the whole id: block numbers are
-1-based and dense per id.
+Every walk here runs over bounded *slices* ``(id, chunk)`` -- a chunk column
+that does not decrease along the walk order, e.g. the day of an event or
+``(rank - 1) div K`` -- so a hot id is spread over many tasks.  Two forms:
+
+``halo_walk`` + ``number_parts``
+    For rules with a bounded look-back.  The rows a slice's first row can
+    depend on (its *halo*) are copied into that slice in the same pass; one
+    sorted window pass per slice then decides every break.  Blocks are
+    summarized into per-slice parts, and ``number_parts`` gives them dense
+    per-id numbers from a window per id over slices only.
+
+``number_blocks``
+    For any rule.  One window pass per slice gives in-slice ``lag`` values
+    and break counts; a per-slice summary (first row, last row, number of
+    breaks) is reduced by a window per id over slices only and joined back
+    on ``(id, chunk)``, whose partitioning the row side already has.
+
+Both equal a single ordered walk over the whole id: block numbers are
+1-based and dense per id.  ``running_total`` is the same idea for a running
+sum.
 """
 
 from __future__ import annotations

@@ -1,11 +1,12 @@
 """Stage boundaries written to the shared folder.
 
-Each per-id walk joins a small per-slice summary back to its own input, so
-its input is referenced twice.  When walks are chained, that doubling
-compounds: the plan of the third walk carries eight copies of the first.
-Writing the output of a walk as a table in the cluster's shared folder
-(``spark.checkpoint.dir``) keeps every later plan linear, and a lost executor
-late in the job then recomputes from that table instead of from the scan.
+Numbering the parts of a walk reads them twice (per-slice counts, and the
+parts themselves).  Left lazy, each later plan would carry every earlier walk
+twice over, and the doubling compounds along a pipeline.  The pipelines
+therefore write two boundaries -- the event-walk parts and the re-laid slices
+-- as Parquet tables under the cluster's shared folder
+(``spark.checkpoint.dir``): later plans stay linear, and a lost executor late
+in the job recomputes from that table instead of from the scan.
 """
 
 from __future__ import annotations
