@@ -103,11 +103,16 @@ def number_segment_parts(parts: DataFrame) -> DataFrame:
     return number_parts(parts, ["id"], "_chunk", "lseg", "seg")
 
 
-def merge_segment_parts(parts: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """Numbered parts -> segments ``(id, seg, stime, site, etime)`` (plus
-    ``extra_keys``, which must be functions of ``(id, seg)``)."""
+def merge_segment_parts(parts: DataFrame, slice_keys: tuple[str, ...] = (),
+                        trailing_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Numbered parts -> segments ``(id, seg, stime, site, etime)``.
+
+    Grouped by ``(id, *slice_keys, seg, *trailing_keys)`` -- the extra keys
+    must be functions of ``(id, seg)`` or flags.  Keys in this order leave the
+    rows sorted by ``(id, slice, seg)``, which is exactly the order the run
+    walk needs next, so it adds no sort of its own."""
     head = F.min("head")
-    return parts.groupBy("id", *extra_keys, "seg").agg(
+    return parts.groupBy("id", *slice_keys, "seg", *trailing_keys).agg(
         head["t"].alias("stime"), head["site"].alias("site"), F.max("etime").alias("etime"))
 
 

@@ -29,21 +29,26 @@ MIN_RELAY_RUN = 3
 
 
 def _site_aggregates() -> list:
-    seg_t = F.struct("seg", "stime", "etime")
+    # Numeric buffers only (min_by/max_by keyed on seg instead of struct
+    # minima), so Spark can hash-aggregate without sorting the rows.
     return [
         F.count(F.lit(1)).cast("long").alias("cnt"),
         F.min("stime").alias("m"),
         F.sum(F.col("etime") - F.col("stime")).cast("long").alias("d"),
         F.min("seg").alias("fp"),
         F.max("seg").alias("lp"),
-        F.min(seg_t).alias("first"),
-        F.max(seg_t).alias("last"),
+        F.min_by("stime", "seg").alias("fs"),
+        F.min_by("etime", "seg").alias("fe"),
+        F.max_by("stime", "seg").alias("ls"),
+        F.max_by("etime", "seg").alias("le"),
     ]
 
 
 def site_stats(rows: DataFrame, key: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
-    """Per ``(id, *key, site)``: segment count, earliest start, total dwell,
-    first/last segment.  A partial aggregate (combined map-side)."""
+    """Per ``(id, *key, site)``: segment count ``cnt``, earliest start ``m``,
+    total dwell ``d``, first/last segment number ``fp``/``lp`` and that
+    segment's start/end (``fs``, ``fe`` / ``ls``, ``le``).  A partial
+    aggregate (combined map-side)."""
     return rows.groupBy("id", *extra, *key, "site").agg(*_site_aggregates())
 
 
@@ -51,19 +56,21 @@ def merge_site_stats(parts: DataFrame, key: Sequence[str]) -> DataFrame:
     """Merge :func:`site_stats` computed on pieces of a run."""
     return parts.groupBy("id", *key, "site").agg(
         F.sum("cnt").cast("long").alias("cnt"), F.min("m").alias("m"), F.sum("d").cast("long").alias("d"),
-        F.min("fp").alias("fp"), F.max("lp").alias("lp"), F.min("first").alias("first"),
-        F.max("last").alias("last"))
+        F.min("fp").alias("fp"), F.max("lp").alias("lp"),
+        F.min_by("fs", "fp").alias("fs"), F.min_by("fe", "fp").alias("fe"),
+        F.max_by("ls", "lp").alias("ls"), F.max_by("le", "lp").alias("le"))
 
 
 def split_from_stats(stats: DataFrame, key: Sequence[str]) -> DataFrame:
     """Equal split from per-site statistics -> ``(id, *key, stime, site, etime)``."""
     k = ["id", *key]
-    whole = Window.partitionBy(*k)
     seen = Window.partitionBy(*k).orderBy("fp")
+    # Whole-run aggregates use the same order with a full frame: one sort serves both.
+    whole = seen.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sized = stats.select(
         *k, "site",
-        F.min(F.struct("fp", F.col("first.stime").alias("s"))).over(whole)["s"].alias("lo"),
-        F.max(F.struct("lp", F.col("last.etime").alias("e"))).over(whole)["e"].alias("hi"),
+        F.min_by("fs", "fp").over(whole).alias("lo"),
+        F.max_by("le", "lp").over(whole).alias("hi"),
         F.count(F.lit(1)).over(whole).cast("long").alias("k"),
         (F.row_number().over(seen) - 1).cast("long").alias("r"),
     )
@@ -87,11 +94,12 @@ def relay_from_stats(stats: DataFrame, key: Sequence[str] = ("run",), min_run: i
     the running total dwell, i.e. two running windows.
     """
     k = ["id", *key]
-    whole = Window.partitionBy(*k)
     ordered = Window.partitionBy(*k).orderBy("m", "fp")
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Whole-run total with the same order and a full frame: one sort serves both.
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     staged = stats.select(
-        *k, "site", "cnt", "m", "d", "fp", "first", "last",
+        *k, "site", "cnt", "m", "d", "fp", "fs", "fe", "lp", "ls", "le",
         F.sum("cnt").over(whole).alias("n"),
         F.row_number().over(ordered).cast("long").alias("pos"),
         F.sum("d").over(upto).alias("S"),
@@ -103,8 +111,8 @@ def relay_from_stats(stats: DataFrame, key: Sequence[str] = ("run",), min_run: i
                         end.cast("long").alias("etime"))
 
     relaid = F.array(piece(F.col("pos"), F.col("X") - F.col("d"), F.col("X")))
-    first = piece(F.col("first.seg"), F.col("first.stime"), F.col("first.etime"))
-    last = piece(F.col("last.seg"), F.col("last.stime"), F.col("last.etime"))
+    first = piece(F.col("fp"), F.col("fs"), F.col("fe"))
+    last = piece(F.col("lp"), F.col("ls"), F.col("le"))
     kept = F.when(F.col("cnt") >= 2, F.array(first, last)).otherwise(F.array(first))
     out = staged.select(*k, "site", F.explode(F.when(F.col("n") >= min_run, relaid).otherwise(kept)).alias("p"))
     return out.select(*k, F.col("p.ord").alias("ord"), F.col("p.stime").alias("stime"), "site",

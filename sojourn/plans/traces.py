@@ -48,11 +48,11 @@ def sliced_point_segments(points: DataFrame, slice_seconds: int = DAY_SLICE,
     segment, and merged after the one shuffle on ``(id, _sc)``."""
     parts = materialize(dwell_segment_parts(points, slice_seconds=slice_seconds), "segment-parts")
     parts = number_segment_parts(parts).withColumn("_sc", rank_chunk("seg", slice_segments))
-    extra: tuple[str, ...] = ("_sc",)
+    trailing: tuple[str, ...] = ()
     if halo:
         parts = with_halo(parts, "_sc", (F.col("seg") % slice_segments) == 0)
-        extra = ("_sc", "_halo")
-    return merge_segment_parts(parts.repartition("id", "_sc"), extra)
+        trailing = ("_halo",)
+    return merge_segment_parts(parts.repartition("id", "_sc"), ("_sc",), trailing)
 
 
 def run_stats(segments: DataFrame, dur: int, gap: int, head_included: bool,
