@@ -117,7 +117,15 @@ def merge_segment_parts(parts: DataFrame, slice_keys: tuple[str, ...] = (),
 
 
 def interval_segments(intervals: DataFrame, gap: int = DWELL_GAP, slice_seconds: int = DAY_SLICE) -> DataFrame:
-    """Intervals ``(id, stime, site, etime)`` -> segments ``(id, seg, stime, site, etime)``.
+    """Intervals ``(id, stime, site, etime)`` -> segments ``(id, seg, stime, site, etime)``
+    (see :func:`interval_segment_parts`)."""
+    parts = materialize(interval_segment_parts(intervals, gap, slice_seconds), "interval-parts")
+    return number_interval_parts(parts, gap)
+
+
+def interval_segment_parts(intervals: DataFrame, gap: int = DWELL_GAP, slice_seconds: int = DAY_SLICE) -> DataFrame:
+    """The walk of :func:`interval_segments`, summarized per day slice:
+    ``(id, _chunk, lseg, stime, site, etime)``.
 
     The gap is measured from the previous row's ``etime`` (it may be
     negative); the segment's ``etime`` is its *last* row's, not the largest.
@@ -125,6 +133,13 @@ def interval_segments(intervals: DataFrame, gap: int = DWELL_GAP, slice_seconds:
 
     A duplicate row merges into its twin unless ``stime - etime >= gap`` (an
     inverted interval); only such rows keep their multiplicity.
+
+    The previous row's end can lie arbitrarily far back, so no halo bounds the
+    look-back.  Instead one sorted pass per day slice finds the breaks
+    *inside* the slice (``lseg`` counts them) and reads parts off the ordered
+    rows.  The only cross-slice question -- does a slice's first row break
+    from the last row of the previous non-empty slice? -- is answered later on
+    a per-slice summary of the written parts (:func:`number_interval_parts`).
     """
     rows = intervals.select("id", "stime", "site", "etime").where(
         F.col("id").isNotNull() & F.col("stime").isNotNull() & F.col("site").isNotNull()
@@ -141,9 +156,48 @@ def interval_segments(intervals: DataFrame, gap: int = DWELL_GAP, slice_seconds:
         return ~same_site(cur["site"], prev["site"]) | (cur["stime"] - prev["etime"] >= gap)
 
     order = ["stime", "site", "etime", "_copy"]
-    walked = number_blocks(rows, ["id"], "_chunk", order, ["stime", "site", "etime"], breaks, out="seg")
-    return walked.groupBy("id", "seg").agg(
-        F.min("stime").alias("stime"),
-        F.min(F.struct(*order))["site"].alias("site"),
-        F.max(F.struct(*order))["etime"].alias("etime"),
+    w = Window.partitionBy("id", "_chunk").orderBy(*order)
+    prev = {"site": F.lag("site").over(w), "etime": F.lag("etime").over(w)}
+    first = F.lag(F.lit(1)).over(w).isNull()
+    inner = F.when(first, F.lit(False)).otherwise(
+        F.coalesce(breaks(prev, {"site": F.col("site"), "stime": F.col("stime")}), F.lit(True)))
+    walked = rows.select("*", first.alias("_first"), inner.alias("_inner"))
+    walked = walked.select("*", F.sum(F.col("_inner").cast("long")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("lseg"),
+        F.coalesce(F.lead("_inner").over(w), F.lit(True)).alias("_last"))
+    edges = walked.where(F.col("_first") | F.col("_inner") | F.col("_last"))
+    edges = edges.select("*", F.lead("etime").over(w).alias("_next_end"))
+    return edges.where(F.col("_first") | F.col("_inner")).select(
+        "id", "_chunk", "lseg", "stime", "site",
+        F.when(F.col("_last"), F.col("etime")).otherwise(F.col("_next_end")).alias("etime"))
+
+
+def number_interval_parts(parts: DataFrame, gap: int = DWELL_GAP) -> DataFrame:
+    """Segments from interval parts: decide each slice's first-row break on a
+    per-slice summary and merge parts that continue across slices."""
+    def breaks(prev, cur):
+        return ~same_site(cur["site"], prev["site"]) | (cur["stime"] - prev["etime"] >= gap)
+
+    # Per slice: its first row (part 0's head), its last row's end and site
+    # (last part; all rows of a part share the site up to case), internal breaks.
+    per_slice = parts.groupBy("id", "_chunk").agg(
+        F.min_by("stime", "lseg").alias("_fs"), F.min_by("site", "lseg").alias("_fsite"),
+        F.max_by("etime", "lseg").alias("_le"), F.max_by("site", "lseg").alias("_lsite"),
+        F.max("lseg").alias("_n"))
+    ws = Window.partitionBy("id").orderBy("_chunk")
+    cross = F.when(F.lag("_le").over(ws).isNull(), F.lit(True)).otherwise(F.coalesce(
+        breaks({"site": F.lag("_lsite").over(ws), "etime": F.lag("_le").over(ws)},
+               {"site": F.col("_fsite"), "stime": F.col("_fs")}), F.lit(True)))
+    per_slice = per_slice.select("id", "_chunk", "_n", cross.cast("long").alias("_fb"))
+    per_slice = per_slice.select(
+        F.col("id").alias("_s_id"), F.col("_chunk").alias("_s_chunk"), "_fb",
+        (F.sum(F.col("_fb") + F.col("_n")).over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+         - F.col("_fb") - F.col("_n")).alias("_off"))
+    numbered = parts.join(per_slice, (parts["id"] == per_slice["_s_id"]) & (parts["_chunk"] == per_slice["_s_chunk"]))
+    numbered = numbered.select("id", "_chunk", (F.col("_off") + F.col("_fb") + F.col("lseg")).alias("seg"),
+                               "stime", "site", "etime")
+    return numbered.groupBy("id", "seg").agg(
+        F.min_by("stime", "_chunk").alias("stime"),
+        F.min_by("site", "_chunk").alias("site"),
+        F.max_by("etime", "_chunk").alias("etime"),
     )

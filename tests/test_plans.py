@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sojourn.catalog import QUERIES
-from sojourn.operators.segments import dwell_segment_parts, interval_segments
+from sojourn.operators.merge import remerge
+from sojourn.operators.segments import dwell_segment_parts, interval_segment_parts
+from sojourn.operators.sequence import day_chunk
 from sojourn.session import shared_dir
 from sojourn.sources import tables as tb
 from sojourn.sources.scans import scan_range
@@ -35,7 +37,12 @@ def _walk(spark):
 
 
 def _interval_walk(spark):
-    return interval_segments(tb.intervals(tb.read_table(spark, SF_SMALL, "events")))
+    return interval_segment_parts(tb.intervals(tb.read_table(spark, SF_SMALL, "events")))
+
+
+def _generic_walk(spark):
+    rows = tb.intervals(tb.read_table(spark, SF_SMALL, "events")).withColumn("_chunk", day_chunk("stime"))
+    return remerge(rows, ["stime", "site", "etime"], "_chunk")
 
 
 def test_only_needed_columns_are_read(no_aqe):
@@ -54,12 +61,17 @@ def test_day_partitions_are_pruned(no_aqe):
         (F.col("t") >= 1704477600) & (F.col("t") < 1704520800)).count()
 
 
-@pytest.mark.parametrize("walk", [_walk, _interval_walk])
+@pytest.mark.parametrize("walk", [_walk, _interval_walk, _generic_walk])
 def test_sliced_walk_reads_its_input_once(no_aqe, walk):
     plan = plan_of(walk(no_aqe))
     assert plan.count("FileScan") == 1
-    # The halo walk is one branch; the generic walk's two branches share the slice shuffle.
-    assert walk is _walk or "ReusedExchange" in plan
+    # Halo and interval walks are one branch; the generic walk's two branches share the slice shuffle.
+    assert walk is not _generic_walk or "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("walk", [_walk, _interval_walk])
+def test_single_branch_walks_sort_rows_once(no_aqe, walk):
+    assert plan_of(walk(no_aqe)).count("Sort [") == 1
 
 
 @pytest.mark.parametrize("name", ["trace_relay", "trace_split_excl", "trace_interval", "job_trace_points"])
@@ -68,7 +80,7 @@ def test_no_python_on_the_hot_path(no_aqe, name):
     assert "EvalPython" not in plan and "PythonUDF" not in plan
 
 
-@pytest.mark.parametrize("walk", [_walk, _interval_walk])
+@pytest.mark.parametrize("walk", [_walk, _interval_walk, _generic_walk])
 def test_row_windows_partition_by_slice(no_aqe, walk):
     """Row-level windows partition by (id, slice); only the slice summary is
     windowed per id, and it reads one row per slice."""
