@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.stage import materialize
 from .sequence import halo_walk, number_blocks, number_parts, rank_chunk
 from .smoothing import site_stats
 
@@ -65,7 +66,7 @@ def run_site_parts(segments: DataFrame, dur: int, gap: int, head_included: bool,
     slice's last segment (``seg % slice_segments == 0``): that one row per
     slice border is the halo (already present when ``halo_flag`` names its
     flag column).  Statistics are kept per run *part* (a run that crosses
-    slices has one part per slice); the parts are numbered and returned as ``(id, run[, short], site, cnt, m, d, fp, lp,
+    slices has one part per slice); the parts are written, numbered and returned as ``(id, run[, short], site, cnt, m, d, fp, lp,
     first, last)`` for :func:`smoothing.merge_site_stats`.
     """
     def breaks(prev, cur):
@@ -77,4 +78,5 @@ def run_site_parts(segments: DataFrame, dur: int, gap: int, head_included: bool,
                        halo_flag=halo_flag)
     walked = walked.withColumn("short", ~F.col("opens"))
     parts = site_stats(walked, ["lrun"] if head_included else ["lrun", "short"], extra=[chunk])
-    return number_parts(parts, ["id"], chunk, "lrun", "run").drop(chunk)
+    # Numbering reads the parts twice: written once, the walk runs once.
+    return number_parts(materialize(parts, "run-parts"), ["id"], chunk, "lrun", "run").drop(chunk)

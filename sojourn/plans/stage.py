@@ -1,12 +1,13 @@
 """Stage boundaries written to the shared folder.
 
 Numbering the parts of a walk reads them twice (per-slice counts, and the
-parts themselves).  Left lazy, each later plan would carry every earlier walk
-twice over, and the doubling compounds along a pipeline.  The pipelines
-therefore write two boundaries -- the event-walk parts and the re-laid slices
--- as Parquet tables under the cluster's shared folder
-(``spark.checkpoint.dir``): later plans stay linear, and a lost executor late
-in the job recomputes from that table instead of from the scan.
+parts themselves).  Left lazy, Spark would run the walk once per reader, and
+every later plan would carry each earlier walk twice over -- a doubling that
+compounds along a pipeline.  The pipelines therefore write the event-walk,
+interval-walk and run-walk parts and the re-laid slices as Parquet tables
+under the cluster's shared folder (``spark.checkpoint.dir``): later plans stay
+linear, and a lost executor late in the job recomputes from such a table
+instead of from the scan.
 """
 
 from __future__ import annotations
