@@ -29,9 +29,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _data_files(spark: SparkSession, root: str) -> list[tuple[str, str, int, int]]:
+def _data_files(spark: SparkSession, root: str, encoded: bool = False) -> list[tuple]:
     """``(directory, path, size, mtime_ms)`` of every data file under ``root``
-    (hidden ``_``/``.`` files skipped), in name order per directory."""
+    (hidden ``_``/``.`` files skipped), in name order per directory.  With
+    ``encoded`` a fifth field holds the directory as a URL-encoded URI -- the
+    form Spark uses in ``_metadata.file_path``."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
@@ -42,8 +44,9 @@ def _data_files(spark: SparkSession, root: str) -> list[tuple[str, str, int, int
         name = st.getPath().getName()
         if name.startswith("_") or name.startswith("."):
             continue
-        out.append((st.getPath().getParent().toString(), st.getPath().toString(), st.getLen(),
-                    st.getModificationTime()))
+        parent = st.getPath().getParent()
+        row = (parent.toString(), st.getPath().toString(), st.getLen(), st.getModificationTime())
+        out.append(row + (parent.toUri().toString(),) if encoded else row)
     return sorted(out)
 
 
@@ -107,8 +110,10 @@ def compact_lines(spark: SparkSession, staging: str, library: str, limit_bytes:
     fs, root_path = _fs(spark, staging)
     root = fs.makeQualified(root_path).toString().rstrip("/")
     by_dir: dict[str, list[tuple[str, int, int]]] = {}
-    for d, path, size, mtime in _data_files(spark, staging):
+    uri_of: dict[str, str] = {}
+    for d, path, size, mtime, uri in _data_files(spark, staging, encoded=True):
         by_dir.setdefault(d, []).append((path, size, mtime))
+        uri_of[d] = uri
     chosen: list[str] = []
     dirs: list[tuple[str, int]] = []           # (directory, number of output files)
     for d, entries in sorted(by_dir.items()):
@@ -131,7 +136,7 @@ def compact_lines(spark: SparkSession, staging: str, library: str, limit_bytes:
     index = {d: i for i, (d, _) in enumerate(dirs)}
     n_files = F.create_map(*[x for i, (_, n) in enumerate(dirs) for x in (F.lit(i), F.lit(n))])
     dir_of = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
-    dir_index = F.create_map(*[x for d, i in index.items() for x in (F.lit(d), F.lit(i))])[dir_of]
+    dir_index = F.create_map(*[x for d, i in index.items() for x in (F.lit(uri_of[d]), F.lit(i))])[dir_of]
     lines = (spark.read.text(chosen)
              .select(F.col("value").alias("line"), dir_index.alias("_d"))
              .withColumn("_b", F.pmod(F.hash("line"), n_files[F.col("_d")])))
@@ -140,6 +145,9 @@ def compact_lines(spark: SparkSession, staging: str, library: str, limit_bytes:
 
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
+    if fs.exists(Path(f"{out}/_d=__HIVE_DEFAULT_PARTITION__")):
+        # A line whose directory was not recognised: publish nothing, delete nothing.
+        raise RuntimeError(f"compaction could not place some lines; staged files left untouched ({out})")
     files_out = 0
     for d, i in index.items():
         rel = d[len(root):].lstrip("/")

@@ -49,9 +49,11 @@ def test_audit_append(spark):
 def test_compaction_mirrors_subdirectories(spark):
     staging = shared_dir(spark, "t-stage-nested")
     library = shared_dir(spark, "t-library-nested")
-    for sub, n in (("a", 300), ("b/c", 200)):
+    for sub, n in (("a", 300), ("b/c", 200), ("d e%", 100)):
         _lines(spark, n).select("line").repartition(5).write.text(f"{staging}/{sub}")
     out = compact_lines(spark, staging, library, limit_bytes=10 ** 9, limit_seconds=0)
-    assert out["files_in"] == 10
+    assert out["files_in"] == 15
     assert spark.read.text(f"{library}/a").count() == 300
     assert spark.read.text(f"{library}/b/c").count() == 200
+    assert spark.read.text(f"{library}/d e%").count() == 100
+    assert _data_files(spark, staging) == []
