@@ -50,6 +50,13 @@ def _data_files(spark: SparkSession, root: str, encoded: bool = False) -> list[t
     return sorted(out)
 
 
+def _move(fs, src, dest) -> None:
+    """Rename one file; Hadoop reports failure by returning false, so check it
+    -- the caller deletes its staging folder afterwards."""
+    if not fs.rename(src, dest):
+        raise RuntimeError(f"could not move {src} to {dest}; staging left in place")
+
+
 def staged_bytes(spark: SparkSession, root: str) -> int:
     """Total size of the data files under ``root`` (file metadata only)."""
     return sum(size for _, _, size, _ in _data_files(spark, root))
@@ -83,7 +90,7 @@ def publish_lines(df: DataFrame, targets: Sequence[str], num_files: int | None =
             tfs.mkdirs(tp)
             for _, path, _, _ in _data_files(spark, f"{staging}/_lib={k}"):
                 src = jvm.org.apache.hadoop.fs.Path(path)
-                fs.rename(src, jvm.org.apache.hadoop.fs.Path(tp, src.getName()))
+                _move(fs, src, jvm.org.apache.hadoop.fs.Path(tp, src.getName()))
         fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
     got = obs.get
     return {"rows": int(got.get("rows") or 0), "max_t": got.get("max_t")}
@@ -156,7 +163,7 @@ def compact_lines(spark: SparkSession, staging: str, library: str, limit_bytes:
         lfs.mkdirs(dest)
         for _, path, _, _ in _data_files(spark, f"{out}/_d={i}"):
             src = Path(path)
-            lfs.rename(src, Path(dest, src.getName()))
+            _move(lfs, src, Path(dest, src.getName()))
             files_out += 1
     for p in chosen:
         fs.delete(Path(p), False)
