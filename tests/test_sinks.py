@@ -57,3 +57,16 @@ def test_compaction_mirrors_subdirectories(spark):
     assert spark.read.text(f"{library}/b/c").count() == 200
     assert spark.read.text(f"{library}/d e%").count() == 100
     assert _data_files(spark, staging) == []
+
+
+def test_failed_rename_raises_before_cleanup():
+    import pytest
+
+    from sojourn.sinks.lines import _move
+
+    class RefusingFS:
+        def rename(self, src, dest):
+            return False
+
+    with pytest.raises(RuntimeError):
+        _move(RefusingFS(), "staged/part-0", "library/part-0")
