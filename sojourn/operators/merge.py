@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import same_site
+from ..plans.stage import materialize
 from .segments import DWELL_GAP
 from .sequence import halo_walk, number_blocks, number_parts
 
@@ -23,20 +24,59 @@ def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_
     """``(id, *order, stime, site, etime, chunk)`` -> ``(id, stime, site, etime)``.
 
     ``order`` is a total order per id and ``chunk`` a slice key that does not
-    decrease along it (see :func:`sequence.number_blocks`).
+    decrease along it.  One sorted pass per slice finds the merges *inside*
+    the slice and reads parts off the ordered rows; the parts are written, and
+    whether a slice's first row continues the previous non-empty slice's last
+    row is decided on a per-slice summary (a window per id over slices only).
     """
     order = list(order)
 
     def breaks(prev, cur):
         return ~same_site(cur["site"], prev["site"]) | (cur["etime"] - prev["etime"] >= gap)
 
-    walked = number_blocks(rows, ["id"], chunk, order, ["site", "etime"], breaks, out="_m")
+    rows = rows.where(F.col("id").isNotNull())
+    w = Window.partitionBy("id", chunk).orderBy(*order)
+    first = F.lag(F.lit(1)).over(w).isNull()
+    prev = {"site": F.lag("site").over(w), "etime": F.lag("etime").over(w)}
+    inner = F.when(first, F.lit(False)).otherwise(
+        F.coalesce(breaks(prev, {"site": F.col("site"), "etime": F.col("etime")}), F.lit(True)))
+    walked = rows.select("*", first.alias("_first"), inner.alias("_inner"))
+    walked = walked.select(
+        "*",
+        F.sum(F.col("_inner").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        .alias("lm"),
+        F.coalesce(F.lead("_inner").over(w), F.lit(True)).alias("_last"))
     keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(order)]
-    head = F.min(F.struct(*keys, F.col("stime").alias("_stime"), F.col("site").alias("_site")))
-    tail = F.max(F.struct(*keys, F.col("etime").alias("_etime")))
-    return walked.groupBy("id", "_m").agg(
-        head["_stime"].alias("stime"), head["_site"].alias("site"), tail["_etime"].alias("etime")
-    ).drop("_m")
+    tail_of_row = F.struct(*keys, F.col("etime").alias("_etime"))
+    edges = walked.where(F.col("_first") | F.col("_inner") | F.col("_last"))
+    edges = edges.select("*", F.lead(tail_of_row).over(w).alias("_next_tail"))
+    parts = edges.where(F.col("_first") | F.col("_inner")).select(
+        "id", F.col(chunk).alias("_c"), "lm",
+        F.struct(*keys, F.col("stime").alias("_stime"), F.col("site").alias("_site"),
+                 F.col("etime").alias("_hetime")).alias("head"),
+        F.when(F.col("_last"), tail_of_row).otherwise(F.col("_next_tail")).alias("tail"))
+    parts = materialize(parts, "remerge-parts")
+
+    # Per slice: first row (part 0's head), last row's end and site (the last
+    # part's; rows of a part share the site up to case), merges broken inside.
+    per_slice = parts.groupBy("id", "_c").agg(
+        F.min_by(F.col("head._site"), "lm").alias("_fsite"), F.min_by(F.col("head._hetime"), "lm").alias("_fe"),
+        F.max_by(F.col("tail._etime"), "lm").alias("_le"), F.max_by(F.col("head._site"), "lm").alias("_lsite"),
+        F.max("lm").alias("_n"))
+    ws = Window.partitionBy("id").orderBy("_c")
+    cross = F.when(F.lag("_le").over(ws).isNull(), F.lit(True)).otherwise(F.coalesce(
+        breaks({"site": F.lag("_lsite").over(ws), "etime": F.lag("_le").over(ws)},
+               {"site": F.col("_fsite"), "etime": F.col("_fe")}), F.lit(True)))
+    per_slice = per_slice.select("id", "_c", "_n", cross.cast("long").alias("_fb"))
+    per_slice = per_slice.select(
+        F.col("id").alias("_s_id"), F.col("_c").alias("_s_c"), "_fb",
+        (F.sum(F.col("_fb") + F.col("_n")).over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+         - F.col("_fb") - F.col("_n")).alias("_off"))
+    numbered = parts.join(per_slice, (parts["id"] == per_slice["_s_id"]) & (parts["_c"] == per_slice["_s_c"]))
+    numbered = numbered.select("id", (F.col("_off") + F.col("_fb") + F.col("lm")).alias("_m"), "head", "tail")
+    head, tail = F.min("head"), F.max("tail")
+    return numbered.groupBy("id", "_m").agg(
+        head["_stime"].alias("stime"), head["_site"].alias("site"), tail["_etime"].alias("etime")).drop("_m")
 
 
 def remerge_sliced(rows: DataFrame, order: Sequence[str], chunk: str, in_halo, gap: int = DWELL_GAP) -> DataFrame:

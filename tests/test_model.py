@@ -78,3 +78,15 @@ def test_default_slices_match_tiny_slices(spark):
     want = rows(traces.trace_relay(pts, **SLICES, slice_runs=1))
     assert rows(traces.trace_relay(pts)) == want
     assert rows(traces.trace_relay(pts, slice_seconds=10800, slice_segments=7, slice_runs=3)) == want
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_remerge_matches_model_across_slices(spark, seed):
+    from sojourn.operators.merge import remerge
+    from sojourn.operators.sequence import day_chunk
+
+    data = sorted(set(random_intervals(seed)))
+    iv = spark.createDataFrame(data, "id string, stime long, site string, etime long")
+    got = remerge(iv.withColumn("_chunk", day_chunk("stime", 600)), ["stime", "site", "etime"], "_chunk")
+    want = sorted((i, *s) for i, r in model.by_id(data).items() for s in model.remerge(sorted(r)))
+    assert rows(got.select("id", "stime", "site", "etime")) == want

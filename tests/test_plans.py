@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sojourn.catalog import QUERIES
-from sojourn.operators.merge import remerge
+from sojourn.functions import same_site
 from sojourn.operators.segments import dwell_segment_parts, interval_segment_parts
-from sojourn.operators.sequence import day_chunk
+from sojourn.operators.sequence import day_chunk, number_blocks
 from sojourn.session import shared_dir
 from sojourn.sources import tables as tb
 from sojourn.sources.scans import scan_range
@@ -42,7 +42,8 @@ def _interval_walk(spark):
 
 def _generic_walk(spark):
     rows = tb.intervals(tb.read_table(spark, SF_SMALL, "events")).withColumn("_chunk", day_chunk("stime"))
-    return remerge(rows, ["stime", "site", "etime"], "_chunk")
+    return number_blocks(rows, ["id"], "_chunk", ["stime", "site", "etime"], ["site", "etime"],
+                         lambda prev, cur: ~same_site(cur["site"], prev["site"]))
 
 
 def test_only_needed_columns_are_read(no_aqe):
