@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .rules import op10_quality_rules
+from .simhash import op4_simhash_golay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_simhash_golay": op4_simhash_golay,
     "op10_quality_rules": op10_quality_rules,
 }
 
