@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .rules import op10_quality_rules
 from .simhash import op4_simhash_golay
+from .winnow import op2_winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_winnowing": op2_winnowing,
     "op4_simhash_golay": op4_simhash_golay,
     "op10_quality_rules": op10_quality_rules,
 }
