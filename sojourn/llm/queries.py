@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .rules import op10_quality_rules
+from .secrets import ORACLE as OP9_SQL
+from .secrets import op9_blob_ledger
 from .simhash import op4_simhash_golay
 from .winnow import op2_winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_winnowing": op2_winnowing,
     "op4_simhash_golay": op4_simhash_golay,
+    "op9_blob_ledger": op9_blob_ledger,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_blob_ledger": OP9_SQL,
+}
