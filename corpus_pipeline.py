@@ -1,23 +1,55 @@
-"""The corpus pipeline: raw documents to encoded training text, stage by stage."""
+"""The corpus pipeline: raw documents to encoded training text, stage by stage.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on every row that the stage
+before it kept.  All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sojourn.llm.common import read_table, stage_table
+from sojourn.llm.pieces import encode
 from sojourn.llm.rules import keep_good
+from sojourn.llm.secrets import redact
+from sojourn.llm.simhash import one_of_each
+from sojourn.llm.winnow import drop_contaminated
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group: that with the smallest doc_id."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark window occurs."""
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, every secret found masked by its kind."""
+    return redact(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document its piece ids."""
+    return encode(docs).select("doc_id", "n_chunks", "ids")
+
+
 STAGES = [
-    ("quality rules", quality),
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secret scan", secret_scan),
+    ("encoding", encoding),
 ]
 
-ORACLE_SQL = None  # an isolation forest, Golay keys and BPE ids are not SQL; tests/llm has brute-force versions
+ORACLE_SQL = None  # an isolation forest, Golay keys and piece ids are not SQL; tests/llm has brute-force versions
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .pieces import op8_sentencepiece
 from .rules import op10_quality_rules
 from .secrets import ORACLE as OP9_SQL
 from .secrets import op9_blob_ledger
@@ -15,6 +16,7 @@ from .winnow import op2_winnowing
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_winnowing": op2_winnowing,
     "op4_simhash_golay": op4_simhash_golay,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_blob_ledger": op9_blob_ledger,
     "op10_quality_rules": op10_quality_rules,
 }
