@@ -6,21 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .extract import op5_text_tag_ratio
 from .pieces import op8_sentencepiece
 from .rules import op10_quality_rules
 from .secrets import ORACLE as OP9_SQL
 from .secrets import op9_blob_ledger
 from .simhash import op4_simhash_golay
+from .warc import ORACLE as OP1_SQL
+from .warc import op1_chunked_warc
 from .winnow import op2_winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chunked_warc": op1_chunked_warc,
     "op2_winnowing": op2_winnowing,
     "op4_simhash_golay": op4_simhash_golay,
+    "op5_text_tag_ratio": op5_text_tag_ratio,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_blob_ledger": op9_blob_ledger,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_chunked_warc": OP1_SQL,
     "op9_blob_ledger": OP9_SQL,
 }
