@@ -264,10 +264,12 @@ def _matched(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: ``n_words``, ``n_hit``, ``items`` (ids whose windows occur, sorted as strings)."""
     runs, found = _matched(docs, items)
-    return (runs.select("row", "doc_id", "n_words", "run").join(found, "run", "left")
-            .groupBy("row", "doc_id", "n_words")
-            .agg(F.coalesce(F.sum("n_hit"), F.lit(0)).cast("long").alias("n_hit"), F.flatten(F.collect_list("items")).alias("items"))
-            .select("doc_id", "n_words", "n_hit", F.array_sort(F.transform(F.array_distinct("items"), lambda x: x.cast("string"))).alias("items")))
+    hit = (runs.where("run is not null").select("row", "doc_id", "n_words", "run").join(found, "run", "left")
+           .groupBy("row", "doc_id", "n_words")
+           .agg(F.coalesce(F.sum("n_hit"), F.lit(0)).cast("long").alias("n_hit"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+           .select("doc_id", "n_words", "n_hit", F.array_sort(F.transform("items", lambda x: x.cast("string"))).alias("items")))
+    clean = runs.where("run is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
+    return hit.unionByName(clean)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
