@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .extract import op5_text_tag_ratio
+from .lines import ORACLE as OP6_SQL
+from .lines import op6_line_dedup
 from .pieces import op8_sentencepiece
 from .rules import op10_quality_rules
 from .secrets import ORACLE as OP9_SQL
@@ -21,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_winnowing": op2_winnowing,
     "op4_simhash_golay": op4_simhash_golay,
     "op5_text_tag_ratio": op5_text_tag_ratio,
+    "op6_line_dedup": op6_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_blob_ledger": op9_blob_ledger,
     "op10_quality_rules": op10_quality_rules,
@@ -28,5 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chunked_warc": OP1_SQL,
+    "op6_line_dedup": OP6_SQL,
     "op9_blob_ledger": OP9_SQL,
 }
