@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .extract import op5_text_tag_ratio
 from .lines import ORACLE as OP6_SQL
 from .lines import op6_line_dedup
+from .ngrams import op3_elias_fano_lm
 from .pieces import op8_sentencepiece
 from .rules import op10_quality_rules
 from .secrets import ORACLE as OP9_SQL
@@ -21,6 +22,7 @@ from .winnow import op2_winnowing
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chunked_warc": op1_chunked_warc,
     "op2_winnowing": op2_winnowing,
+    "op3_elias_fano_lm": op3_elias_fano_lm,
     "op4_simhash_golay": op4_simhash_golay,
     "op5_text_tag_ratio": op5_text_tag_ratio,
     "op6_line_dedup": op6_line_dedup,
