@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .extract import op5_text_tag_ratio
+from .kneser import op7_kneser_ney
 from .lines import ORACLE as OP6_SQL
 from .lines import op6_line_dedup
 from .ngrams import op3_elias_fano_lm
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_golay": op4_simhash_golay,
     "op5_text_tag_ratio": op5_text_tag_ratio,
     "op6_line_dedup": op6_line_dedup,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_blob_ledger": op9_blob_ledger,
     "op10_quality_rules": op10_quality_rules,
