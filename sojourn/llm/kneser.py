@@ -27,6 +27,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 
@@ -90,10 +91,9 @@ def block_rows(docs: DataFrame, folder: str) -> DataFrame:
                 lists.append(distinct)
             counted = np.bincount(number, weights=times * np.repeat([bool(x) for x in good], size), minlength=at).astype(np.int64)
             path = f"{folder}/{block:016x}-{uuid.uuid4().hex}"
-            text_lang = "\n".join("" if x is None else "=" + x.replace("\\", "\\\\").replace("\n", "\\n") for x in langs)
             arrays.save(path, {
                 "doc": np.array([i if i is not None else 0 for i in ids], np.int64), "null": np.array([i is None for i in ids]),
-                "good": np.array([bool(x) for x in good]), "size": size, "lang": np.frombuffer(text_lang.encode(), np.uint8),
+                "good": np.array([bool(x) for x in good]), "size": size, "lang": np.frombuffer(json.dumps(langs).encode(), np.uint8),
                 "number": number, "times": times.astype(np.uint32)}, compress=True)
             spelled = [x for x, d in zip(names, lists) for _ in range(len(d))]
             columns = [np.full(at + 1, block), np.append(np.arange(at), -1), pa.array([*spelled, None], pa.string()),
@@ -168,9 +168,8 @@ def scores(rows: DataFrame, table: DataFrame) -> DataFrame:
         log[part["k"].to_numpy()] = part["log"].to_numpy(np.float64)
         doc, null, good, size, lang, number, times = arrays.load(path, ["doc", "null", "good", "size", "lang", "number", "times"])
         first = np.cumsum(size) - size
-        names = [None if x == "" else x[1:].replace("\\n", "\n").replace("\\\\", "\\") for x in lang.tobytes().decode().split("\n")]
         total = np.add.reduceat(log[number] * times, first)
-        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(doc.copy(), null.copy()), "lang": names, "trusted": good.copy(),
+        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(doc.copy(), null.copy()), "lang": json.loads(lang.tobytes()), "trusted": good.copy(),
                              "n_tokens": np.add.reduceat(times.astype(np.int64), first), "log10_prob": pd.array(total, "Float64")})
 
     out = met.unionByName(files).groupBy("block").applyInPandas(run, SCORE_SCHEMA)
