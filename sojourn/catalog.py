@@ -27,10 +27,11 @@ from .operators.state import state_delete, state_exists, state_latest, state_ups
 from .operators.watermark import next_watermark, write_stats
 from .plans import jobs, traces
 from .session import shared_dir
-from .sinks import audit_append, compact_lines, publish_lines, read_audit
-from .sinks.lines import staged_bytes
+from .sinks import audit_append, compact_lines, publish_lines, published, read_audit
+from .sinks.lines import read_lines, staged_bytes
 from .sources import tables as tb
 from .sources.scans import endpoint_events, point_events, scan_range
+from .streaming import read_control, run_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
 SEG = ["id", "stime", "site", "etime"]
@@ -59,10 +60,12 @@ def log_scan_half_open(spark, sf):
 
 
 def day_pruned_scan(spark, sf):
-    """The historical start-day-only read of a range past midnight."""
+    """A range past midnight over a log stored by day: only its two days are read."""
     start, end = O.MIDNIGHT_RANGE
-    rows = tb.log(tb.events_in_range(_events(spark, sf), start, end))
-    return scan_range(rows, "t", start, end, day_col="day", start_day_only=True, columns=tb.LOG_COLUMNS)
+    path = shared_dir(spark, "log-by-day")
+    tb.log(_events(spark, sf)).repartition("day").write.partitionBy("day").parquet(path)
+    stored = spark.read.schema(tb.log(_events(spark, sf)).schema).parquet(path)
+    return scan_range(stored, "t", start, end, day_col="day", columns=tb.LOG_COLUMNS)
 
 
 def point_scan(spark, sf):
@@ -200,6 +203,36 @@ def job_trace_endpoints(spark, sf):
     return jobs.job_trace_endpoints(tb.intervals(_job_events(spark, sf), null_ends=True), O.JOB_START, O.JOB_END)
 
 
+def job_split_endpoints(spark, sf):
+    return jobs.job_split_endpoints(tb.intervals_dirty(_job_events(spark, sf)), O.JOB_START, O.JOB_END)
+
+
+def job_log_export_closed(spark, sf):
+    """The closed-end export: rows of the last second are part of the slice."""
+    start, end = O.MIDNIGHT_RANGE[0], O.CLOSED_END
+    rows = tb.log(tb.events_in_range(_events(spark, sf), start, end, inclusive_end=True))
+    return jobs.job_log_export(rows, tb.LOG_COLUMNS, "t", start, end, inclusive_end=True)
+
+
+def job_incremental(spark, sf):
+    """Three runs of the export job -- two slices and an empty one: the published lines, the
+    marks after each run and the audit rows."""
+    events = _events(spark, sf)
+    control, audit = shared_dir(spark, "control"), shared_dir(spark, "audit")
+    targets = [shared_dir(spark, "library", f"inc{i}") for i in range(2)]
+
+    def export(start, end):
+        return jobs.job_log_export(tb.log(tb.events_in_range(events, start, end)), tb.LOG_COLUMNS, "t", start, end)
+
+    for end in O.INCREMENT_ENDS:
+        run_increment(spark, "export", export, targets, control, end, O.JOB_START, audit, num_files=3)
+    lines = published(spark, targets).select(F.lit("line").alias("kind"), F.lit(None).cast("string").alias("name"), F.col("line").alias("value"))
+    marks = read_control(spark, control).select(F.lit("mark").alias("kind"), "name", "value")
+    runs = read_audit(spark, audit).select(F.lit("audit").alias("kind"), F.col("title").alias("name"),
+                                           F.substring_index("content", ",", -2).alias("value"))
+    return lines.unionByName(marks).unionByName(runs)
+
+
 def job_log_export(spark, sf):
     return jobs.job_log_export(tb.log(_job_events(spark, sf)), tb.LOG_COLUMNS, "t", O.JOB_START, O.JOB_END)
 
@@ -236,6 +269,11 @@ def _odd(df):
     return df.where(F.col("id") % 2 == 1)
 
 
+def _renamed(df):
+    """Keys of two thirds of the rows changed, so that many are absent from the base."""
+    return df.withColumn("name", F.when(F.col("id") % 3 == 0, F.col("name")).otherwise(F.concat("name", F.lit("-old"))))
+
+
 def state_latest_q(spark, sf):
     return state_latest(_control(spark, sf)).select("id", "type", "name", "value")
 
@@ -247,12 +285,12 @@ def state_upsert_q(spark, sf):
 
 def state_delete_q(spark, sf):
     c = _control(spark, sf)
-    return state_delete(_even(c), _odd(c).where(F.col("name") == "error"))
+    return state_delete(_even(c), _renamed(_odd(c)))
 
 
 def state_exists_q(spark, sf):
     c = _control(spark, sf)
-    return state_exists(_even(c).where(F.col("name").isin("click", "view")), _odd(c))
+    return state_exists(_even(c), _renamed(_odd(c)))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -261,7 +299,7 @@ def publish_lines_q(spark, sf):
     lines = tb.lines(tb.read_table(spark, sf, "documents")).withColumn("t", F.lit(None).cast("long"))
     targets = [shared_dir(spark, "library", f"lib{i}") for i in range(2)]
     publish_lines(lines, targets, num_files=4)
-    return spark.read.text(targets).select(F.col("value").alias("line"))
+    return published(spark, targets)
 
 
 def compact_lines_q(spark, sf):
@@ -271,16 +309,19 @@ def compact_lines_q(spark, sf):
     lines.repartition(16).write.text(staging)
     total = staged_bytes(spark, staging)
     # No file is old enough: only full groups move; the rest stays staged.
-    compact_lines(spark, staging, library, limit_bytes=max(1, total // 3), limit_seconds=10 ** 9)
-    return spark.read.text([library, staging]).select(F.col("value").alias("line"))
+    libraries = [f"{library}/{k}" for k in range(2)]
+    compact_lines(spark, staging, libraries, limit_bytes=max(1, total // 3), limit_seconds=10 ** 9)
+    return read_lines(spark, [library, staging])
 
 
 def audit_append_q(spark, sf):
     n = traces.trace_relay(_points(spark, sf)).count()
     path = shared_dir(spark, "audit")
     ts = _dt.datetime.fromtimestamp(O.JOB_END, tz=_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    size = tb.log(_events(spark, sf)).select(F.sum(F.length(tsv_line(*tb.LOG_COLUMNS)) + 1)).first()[0]
     audit_append(spark, path, "trace_relay", str(n), ts=ts)
-    return read_audit(spark, path).select("ts", "title", "content")
+    audit_append(spark, path, "import", "log", ts=ts, path="library/log", nbytes=size, duration_ms=0)
+    return read_audit(spark, path)
 
 
 QUERIES: dict[str, Query] = {
@@ -314,7 +355,10 @@ QUERIES: dict[str, Query] = {
     "job_trace_points": job_trace_points,
     "job_trace_split": job_trace_split,
     "job_trace_endpoints": job_trace_endpoints,
+    "job_split_endpoints": job_split_endpoints,
     "job_log_export": job_log_export,
+    "job_log_export_closed": job_log_export_closed,
+    "job_incremental": job_incremental,
     "write_stats": write_stats_q,
     "next_watermark": next_watermark_q,
     "state_latest": state_latest_q,

@@ -31,20 +31,13 @@ def events_per_id(points: DataFrame, slice_seconds: int = 86400) -> DataFrame:
 def flatten_events(listed: DataFrame, piece: int = EXPAND_PIECE) -> DataFrame:
     """``(id, pos, t, site, n)`` -> one row per event ``(id, pos, t, site)``.
 
-    Entries with more than ``piece`` copies are first cut into pieces that are
-    spread over tasks, so no single task expands an unbounded entry.
+    Every entry is cut into pieces of at most ``piece`` copies, the pieces are
+    spread over tasks and then expanded, so no task expands an unbounded entry.
     """
-    def expand(df: DataFrame) -> DataFrame:
-        return df.select("id", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("pos"),
-                         "t", "site")
-
-    small = listed.where(F.col("n") <= piece)
-    big = listed.where(F.col("n") > piece)
     k = F.lit(piece).cast("long")
-    pieces = (big.select("id", "t", "site", "pos", "n",
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / k).cast("long")))
-                         .alias("_p"))
+    last = F.floor((F.col("n") - 1) / k).cast("long")
+    pieces = (listed.select("id", "t", "site", "pos", "n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_p"))
               .select("id", "t", "site", (F.col("pos") + F.col("_p") * k).alias("pos"),
                       F.least(k, F.col("n") - F.col("_p") * k).alias("n"))
               .repartition("id", "pos"))
-    return expand(small).unionByName(expand(pieces))
+    return pieces.select("id", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("pos"), "t", "site")

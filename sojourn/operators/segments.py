@@ -54,18 +54,17 @@ def dwell_segment_parts(points: DataFrame, gap: int = DWELL_GAP, slice_seconds:
     that spans slices has one part per slice.  :func:`number_segment_parts`
     gives every part its dense segment number.
 
-    When ``gap <= slice_seconds`` only the last ``gap`` seconds of a slice can
-    influence the next one (a longer silence always breaks), so those rows are
-    the halo of :func:`sequence.halo_walk` and one sorted pass per slice
-    decides every break.  Otherwise the generic sliced walk is used.
+    Only the last ``gap`` seconds of a slice can influence the next one (a longer
+    silence always breaks), so those rows are the halo of
+    :func:`sequence.halo_walk` and one sorted pass per slice decides every
+    break.  Slices are therefore at least ``gap`` seconds wide.
     """
+    slice_seconds = max(slice_seconds, gap)
     pts = _folded_points(points, slice_seconds)
 
     def breaks(prev, cur):
         return ~same_site(cur["site"], prev["site"]) | (cur["t"] - prev["t"] >= gap)
 
-    if gap > slice_seconds:
-        return _parts_from_walk(pts, breaks)
     width = F.lit(slice_seconds).cast("long")
     tail = (F.col("t") - F.col("_chunk") * width) >= (width - gap)
     walked = halo_walk(pts, ["id"], "_chunk", ["t", "site"], tail, ["t", "site"], breaks, out="lseg")
@@ -87,19 +86,8 @@ def dwell_segment_parts(points: DataFrame, gap: int = DWELL_GAP, slice_seconds:
     )
 
 
-def _parts_from_walk(pts: DataFrame, breaks) -> DataFrame:
-    walked = number_blocks(pts, ["id"], "_chunk", ["t", "site"], ["t", "site"], breaks, out="seg")
-    # Already numbered globally: one part per (slice, segment), lseg = seg.
-    return walked.groupBy("id", "_chunk", F.col("seg").alias("lseg")).agg(
-        F.min(F.struct("t", "site")).alias("head"),
-        F.max("t").alias("etime"),
-    ).withColumn("_numbered", F.lit(True))
-
-
 def number_segment_parts(parts: DataFrame) -> DataFrame:
     """Add the dense per-id segment number ``seg`` to segment parts."""
-    if "_numbered" in parts.columns:
-        return parts.withColumnRenamed("lseg", "seg").drop("_numbered")
     return number_parts(parts, ["id"], "_chunk", "lseg", "seg")
 
 

@@ -31,13 +31,19 @@ def state_latest(rows: DataFrame) -> DataFrame:
 
 
 def state_upsert(base: DataFrame, updates: DataFrame) -> DataFrame:
-    """Update the value of existing keys, insert new ones; the newest update of
-    a key wins.  An updated row keeps its id, an inserted row brings its own."""
-    old = state_latest(base).alias("o")
-    new = state_latest(updates).alias("u")
-    merged = old.join(new, on=KEY, how="full_outer")
-    return merged.select(F.coalesce(F.col("o.id"), F.col("u.id")).alias("id"), *KEY,
-                         F.coalesce(F.col("u.value"), F.col("o.value")).alias("value"))
+    """Update the value of every base row whose key has an update, keep all
+    other base rows, and insert keys the base lacks.  The newest update of a key
+    wins; an updated row keeps its id, an inserted row brings its own.
+
+    The update side is unique per key; a base key with very many rows is a
+    skewed left side, which Spark's skew-join handling splits."""
+    rows = normalized(base)
+    new = state_latest(updates)
+    fresh = new.select(*KEY, F.struct("value").alias("_u"))
+    kept = rows.join(fresh, on=KEY, how="left").select(
+        "id", *KEY, F.when(F.col("_u").isNotNull(), F.col("_u.value")).otherwise(F.col("value")).alias("value"))
+    added = new.join(keys_of(base), on=KEY, how="left_anti").select("id", *KEY, "value")
+    return kept.unionByName(added)
 
 
 def state_delete(base: DataFrame, doomed: DataFrame) -> DataFrame:

@@ -32,11 +32,16 @@ VIEWS = {
         {T} + CAST(floor(value) AS BIGINT) AS etime FROM events""",
     "intervals_null": f"""SELECT {DEVICE} AS id, {T} AS stime, event_type AS site,
         CASE WHEN event_id % 3 = 0 THEN NULL ELSE {T} + CAST(floor(value) AS BIGINT) END AS etime FROM events""",
+    "intervals_dirty": f"""SELECT id, stime, CASE WHEN event_type = 'error' THEN event_type
+             WHEN event_id % 7 = 0 THEN '"' || rpad(event_type, 14, '_') || '"' ELSE rpad(event_type, 14, '_') END AS site,
+        etime FROM (SELECT event_id, event_type, {DEVICE} AS id, {T} AS stime,
+        CASE WHEN event_id % 3 = 0 THEN NULL ELSE {T} + CAST(floor(value) AS BIGINT) END AS etime FROM events)""",
     "log": f"""SELECT event_id, {T} AS t, CASE WHEN event_id % 4 = 0 THEN NULL ELSE user_id END AS user_id,
         event_type, props, strftime(ts, '%Y%m%d') AS day FROM events""",
     "control": """SELECT event_id AS id, 'job' || CAST(user_id AS VARCHAR) AS type, event_type AS name,
         ' ' || CAST(event_id AS VARCHAR) || ' ' AS value FROM events""",
-    "lines": """SELECT regexp_replace(coalesce(text, ''), '[\r\n]', ' ', 'g') AS line FROM documents""",
+    "lines": """SELECT replace(coalesce(text, ''), chr(10), CASE WHEN doc_id % 2 = 0 THEN chr(13) ELSE ' ' END) AS line
+        FROM documents""",
 }
 
 
@@ -150,10 +155,12 @@ def _q(body: str, *views: str, extra: list[str] | None = None) -> str:
 # Fixed ranges used by the queries (epoch seconds, UTC).
 DAY_RANGE = (1704412800, 1704499200)          # 2024-01-05, half-open
 MIDNIGHT_RANGE = (1704477600, 1704520800)     # 2024-01-05 18:00 .. 2024-01-06 06:00
+DAY_SECONDS = 86400
 CLOSED_END = 1704520400                       # an existing event's second at sf0.01
 FULL_RANGE = (1704067200, 1706745600)         # 2024-01-01 .. 2024-02-01: the whole table
 JOB_START = FULL_RANGE[0]
 JOB_END = FULL_RANGE[1]
+INCREMENT_ENDS = (1705276800, JOB_END, JOB_END + DAY_SECONDS)   # two slices and an empty one
 LOG_COLS = "event_id, t, user_id, event_type, props"
 SEG_COLS = "id, stime, site, etime"
 
@@ -185,7 +192,7 @@ def _core(q: dict[str, str]) -> None:
     q["log_scan_half_open"] = _q(
         f"SELECT {LOG_COLS} FROM log WHERE day = '20240105' AND t >= {a} AND t < {b}", "log")
     q["day_pruned_scan"] = _q(
-        f"SELECT {LOG_COLS} FROM log WHERE day = '20240105' AND t >= {m0} AND t < {MIDNIGHT_RANGE[1]}", "log")
+        f"SELECT {LOG_COLS} FROM log WHERE t >= {m0} AND t < {MIDNIGHT_RANGE[1]}", "log")
     q["point_scan"] = _q(
         f"SELECT id, t, site FROM points WHERE t >= {m0} AND t < {MIDNIGHT_RANGE[1]}", "points")
     q["endpoint_events"] = _q(
@@ -264,6 +271,23 @@ def _more(q: dict[str, str]) -> None:
         f"SELECT t, {_tsv(LOG_COLS.split(', '))} AS line FROM log WHERE t >= {s} AND t < {e} "
         f"AND t BETWEEN 1000000000 AND 9999999999", "log")
 
+    q["job_split_endpoints"] = _q(
+        f"SELECT DISTINCT stime AS t, {_segment_line('2')} AS line FROM q1", "intervals_dirty",
+        extra=[f"""ep AS (SELECT id, stime AS t, site FROM intervals_dirty WHERE stime >= {s} AND stime < {e}
+                   UNION ALL SELECT id, etime AS t, site FROM intervals_dirty
+                   WHERE stime >= {s} AND stime < {e} AND etime IS NOT NULL)""",
+               f"c AS ({_clean_points('ep', True)})"] + trace_split_ctes("c", 300, 1800, ["run", "short"]))
+    q["job_log_export_closed"] = _q(
+        f"SELECT t, {_tsv(LOG_COLS.split(', '))} AS line FROM log WHERE t >= {MIDNIGHT_RANGE[0]} AND t <= {CLOSED_END} "
+        f"AND t BETWEEN 1000000000 AND 9999999999", "log")
+    starts = (s, *INCREMENT_ENDS[:-1])
+    q["job_incremental"] = _q(
+        f"SELECT 'line' AS kind, CAST(NULL AS VARCHAR) AS name, {_tsv(LOG_COLS.split(', '))} AS value FROM log "
+        f"WHERE t >= {s} AND t < {INCREMENT_ENDS[-1]} "
+        + " ".join(f"UNION ALL SELECT 'audit', 'export', '{a},{b}' UNION ALL SELECT 'mark', 'stopTime', '{b}' "
+                   f"UNION ALL SELECT 'mark', 'resultNums', (SELECT CAST(count(*) AS VARCHAR) FROM log WHERE t >= {a} AND t < {b})"
+                   for a, b in zip(starts, INCREMENT_ENDS)), "log")
+
     # statistics and the mark
     stats = (f"""stats AS (SELECT job, CAST(count(*) AS BIGINT) AS count_in, max(t) AS max_in,
                  CAST(count(*) FILTER (WHERE t BETWEEN 1000000000 AND 9999999999) AS BIGINT) AS count_out,
@@ -279,31 +303,35 @@ def _more(q: dict[str, str]) -> None:
 
     # control state
     norm = "SELECT id, trim(type) AS type, trim(name) AS name, trim(value) AS value FROM control"
+    probes = ("p AS (SELECT type, CASE WHEN id % 3 = 0 THEN name ELSE name || '-old' END AS name FROM n WHERE id % 2 = 1)")
     latest = "SELECT type, name, max(id) AS id, arg_max(value, id) AS value FROM {src} GROUP BY type, name"
     q["state_latest"] = _q(
         "SELECT id, type, name, value FROM (" + latest.format(src="n") + ")", "control",
         extra=[f"n AS ({norm})"])
     q["state_upsert"] = _q(
-        """SELECT coalesce(o.id, u.id) AS id, coalesce(o.type, u.type) AS type, coalesce(o.name, u.name) AS name,
-                  coalesce(u.value, o.value) AS value
-           FROM o FULL OUTER JOIN u ON o.type = u.type AND o.name = u.name""", "control",
-        extra=[f"n AS ({norm})", "o AS (" + latest.format(src="(SELECT * FROM n WHERE id % 2 = 0)") + ")",
+        """SELECT o.id, o.type, o.name, CASE WHEN u.id IS NOT NULL THEN u.value ELSE o.value END AS value
+           FROM o LEFT JOIN u ON o.type = u.type AND o.name = u.name
+           UNION ALL SELECT id, type, name, value FROM u
+           WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.type = u.type AND o.name = u.name)""", "control",
+        extra=[f"n AS ({norm})", "o AS (SELECT * FROM n WHERE id % 2 = 0)",
                "u AS (" + latest.format(src="(SELECT * FROM n WHERE id % 2 = 1)") + ")"])
     q["state_delete"] = _q(
         """SELECT id, type, name, value FROM n WHERE id % 2 = 0 AND NOT EXISTS (
-             SELECT 1 FROM n d WHERE d.id % 2 = 1 AND d.name = 'error' AND d.type = n.type AND d.name = n.name)""",
-        "control", extra=[f"n AS ({norm})"])
+             SELECT 1 FROM p WHERE p.type = n.type AND p.name = n.name)""",
+        "control", extra=[f"n AS ({norm})", probes])
     q["state_exists"] = _q(
-        """SELECT DISTINCT p.type, p.name, EXISTS (SELECT 1 FROM n b WHERE b.id % 2 = 0 AND b.name IN ('click', 'view')
-                 AND b.type = p.type AND b.name = p.name) AS "exists"
-           FROM n p WHERE p.id % 2 = 1""", "control", extra=[f"n AS ({norm})"])
+        """SELECT DISTINCT p.type, p.name, EXISTS (SELECT 1 FROM n b WHERE b.id % 2 = 0
+                 AND b.type = p.type AND b.name = p.name) AS "exists" FROM p""", "control", extra=[f"n AS ({norm})", probes])
 
     # sinks: the published line multiset equals the input lines
     q["publish_lines"] = _q("SELECT line FROM lines", "lines")
     q["compact_lines"] = _q("SELECT line FROM lines", "lines")
     end_text = "2024-02-01 00:00:00"
-    q["audit_append"] = _q(f"SELECT '{end_text}' AS ts, 'trace_relay' AS title, CAST(count(*) AS VARCHAR) AS content "
-                           "FROM m1", "points", extra=trace_relay_ctes("points"))
+    q["audit_append"] = _q(f"SELECT '{end_text}' AS ts, 'trace_relay' AS title, CAST(count(*) AS VARCHAR) AS content, "
+                           "CAST(NULL AS VARCHAR) AS path, CAST(NULL AS BIGINT) AS bytes, CAST(NULL AS BIGINT) AS duration_ms FROM m1 "
+                           f"UNION ALL SELECT '{end_text}', 'import', 'log', 'library/log', "
+                           f"CAST(sum(length({_tsv(LOG_COLS.split(', '))}) + 1) AS BIGINT), 0 FROM log",
+                           "points", "log", extra=trace_relay_ctes("points"))
 
 
 def oracle_sql() -> dict[str, str]:

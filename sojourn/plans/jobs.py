@@ -50,17 +50,22 @@ def job_trace_split(points_raw: DataFrame, start: int, end: int) -> DataFrame:
     return job_trace_points(points_raw, start, end, strict_sites=True, pipeline=traces.trace_split_excl)
 
 
-def job_trace_endpoints(intervals_raw: DataFrame, start: int, end: int,
+def job_trace_endpoints(intervals_raw: DataFrame, start: int, end: int, strict_sites: bool = False,
                         pipeline: Callable[[DataFrame], DataFrame] = traces.trace_relay) -> DataFrame:
     """Interval log: the range applies to ``stime``; both ends become points."""
     sliced = scan_range(intervals_raw, "stime", start, end)
-    return segments_to_lines(pipeline(clean_points(endpoint_events(sliced))), INTERVAL_SOURCE)
+    return segments_to_lines(pipeline(clean_points(endpoint_events(sliced), strict_sites)), INTERVAL_SOURCE)
+
+
+def job_split_endpoints(intervals_raw: DataFrame, start: int, end: int) -> DataFrame:
+    """The strict split job over an interval log: both ends as points, 14-character sites,
+    head-excluded equal split."""
+    return job_trace_endpoints(intervals_raw, start, end, strict_sites=True, pipeline=traces.trace_split_excl)
 
 
 def job_log_export(log_rows: DataFrame, columns: Sequence[str], time_col: str, start: int, end: int,
-                   inclusive_end: bool = False, day_col: str | None = "day",
-                   start_day_only: bool = False) -> DataFrame:
+                   inclusive_end: bool = False, day_col: str | None = "day") -> DataFrame:
     """Generic log slice -> ``(t, line)``; rows whose time is not ten digits are dropped."""
-    sliced = scan_range(log_rows, time_col, start, end, inclusive_end, day_col, start_day_only)
+    sliced = scan_range(log_rows, time_col, start, end, inclusive_end, day_col)
     return (sliced.where(is_epoch_seconds(time_col))
             .select(F.col(time_col).cast("long").alias("t"), tsv_line(*columns).alias("line")))

@@ -4,13 +4,16 @@
 receives the session the platform built.  ``shared_dir`` is the one place that
 decides where intermediate tables and sink output go: the cluster's
 ``spark.checkpoint.dir`` (a shared file system), never a machine-local folder.
-A private temporary folder is created only when the setting is absent, which is
-the local / test case.
+Without the setting a private temporary folder serves a local master (tests),
+whose driver and executors are one process; any other master raises.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -43,12 +46,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session; only where it is unset
-    (local runs, tests) is a private temporary folder created and registered.
+    Reads ``spark.checkpoint.dir`` from the session; only where it is unset and
+    the master is local is a private temporary folder created, registered, and
+    deleted when the process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master is {master})")
         base = tempfile.mkdtemp(prefix="sojourn-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     base = base.rstrip("/")

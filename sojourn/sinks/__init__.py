@@ -1,4 +1,4 @@
 from .audit import audit_append, read_audit
-from .lines import compact_lines, publish_lines
+from .lines import compact_lines, publish_lines, published
 
-__all__ = ["audit_append", "compact_lines", "publish_lines", "read_audit"]
+__all__ = ["audit_append", "compact_lines", "publish_lines", "published", "read_audit"]

@@ -1,26 +1,36 @@
 """Line sinks: publish ``(t, line)`` rows as text files, and compact small files.
 
-Publishing keeps the original contract -- files land in a staging area first
-and are promoted to one of several library directories -- but the staging and
-the all-or-nothing promotion are Spark's file commit protocol: a failed or
-retried task never leaves a partial file, part files carry unique names (no
-overwrite on name collision), and the row count / newest time for the
-high-water mark are collected in the same pass as the write (``observe``).
-
-Only file *metadata* (listing, rename, delete) goes through the driver, as in
-any Hadoop file job; line data always moves through Spark tasks.
+Publishing stages all files of a run beside its first target, then renames one
+folder per target (``<target>/run=<id>``).  The run's id makes it repeatable: a
+run that stopped half-way resumes its renames from the complete staging folder,
+and a run with a commit marker publishes nothing again.  Row count and newest
+time for the high-water mark are collected in the same pass as the write
+(``observe``).
+
+Compaction works on bytes: the listing is a table, groups are formed per
+directory, and every task streams the files of its groups into one output file.
+No line is parsed, hashed or shuffled, so a line's bytes (carriage returns too)
+and the size of an output depend on neither the shuffle setting nor the lines.
+A manifest written before the first output makes it restartable.
+
+The driver handles one folder per target and one manifest, never single files.
 """
 
 from __future__ import annotations
 
-import math
+import json
+import re
 import time
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+_COPY_BYTES = 4 << 20
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,145 +39,221 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _data_files(spark: SparkSession, root: str, encoded: bool = False) -> list[tuple]:
-    """``(directory, path, size, mtime_ms)`` of every data file under ``root``
-    (hidden ``_``/``.`` files skipped), in name order per directory.  With
-    ``encoded`` a fifth field holds the directory as a URL-encoded URI -- the
-    form Spark uses in ``_metadata.file_path``."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    it = fs.listFiles(p, True)
-    out = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if name.startswith("_") or name.startswith("."):
-            continue
-        parent = st.getPath().getParent()
-        row = (parent.toString(), st.getPath().toString(), st.getLen(), st.getModificationTime())
-        out.append(row + (parent.toUri().toString(),) if encoded else row)
-    return sorted(out)
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _read_small(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_small(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
 
 
 def _move(fs, src, dest) -> None:
-    """Rename one file; Hadoop reports failure by returning false, so check it
-    -- the caller deletes its staging folder afterwards."""
+    """Rename; Hadoop reports failure by returning false, so check it."""
     if not fs.rename(src, dest):
         raise RuntimeError(f"could not move {src} to {dest}; staging left in place")
 
 
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """``path``, ``length`` and ``modificationTime`` of every data file under ``root`` (names that begin
+    with ``_`` or ``.`` are skipped); contents are not read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            .select("path", "length", "modificationTime"))
+
+
 def staged_bytes(spark: SparkSession, root: str) -> int:
     """Total size of the data files under ``root`` (file metadata only)."""
-    return sum(size for _, _, size, _ in _data_files(spark, root))
+    return int(listing(spark, root).agg(F.sum("length")).first()[0] or 0)
+
+
+def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines of all files under ``paths``; only a line feed ends a line."""
+    return (spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(list(paths))
+            .select(F.col("value").alias("line")))
 
 
-def publish_lines(df: DataFrame, targets: Sequence[str], num_files: int | None = None) -> dict:
-    """Write the ``line`` column of ``df`` into the ``targets`` directories.
+def published(spark: SparkSession, targets: Sequence[str]) -> DataFrame:
+    """The lines that :func:`publish_lines` has put under ``targets``."""
+    return read_lines(spark, targets)
 
-    Lines are spread over the targets by a hash of the line; ``num_files``
-    fixes the number of output files (a ``repartition`` just before the write,
-    so upstream parallelism is untouched).  Returns ``{"rows", "max_t"}``
-    observed during the write.
+
+def publish_lines(df: DataFrame, targets: Sequence[str], num_files: int | None = None, run_id: str | None = None) -> dict:
+    """Write the ``line`` column of ``df`` under the ``targets`` directories.
+
+    Each output partition goes to one target, so a run makes ``num_files`` files
+    in all (fewer if there are fewer rows; without it, one per partition of
+    ``df``).  An empty run makes none.  ``run_id`` names the run: repeating it
+    resumes or skips, see the module notes.  Returns ``{"rows", "max_t"}``.
     """
     spark = df.sparkSession
-    obs = Observation("publish")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("t").alias("max_t"))
-    out = observed.select("line")
-    if num_files:
-        out = out.repartition(num_files)
-    targets = list(targets)
-    if len(targets) == 1:
-        out.write.mode("append").text(targets[0])
-    else:
-        staging = shared_dir(spark, "publish-staging")
-        (out.withColumn("_lib", F.pmod(F.hash("line"), F.lit(len(targets))))
-            .write.partitionBy("_lib").text(staging))
-        fs, _ = _fs(spark, staging)
-        jvm = spark.sparkContext._jvm
-        for k, target in enumerate(targets):
-            tfs, tp = _fs(spark, target)
-            tfs.mkdirs(tp)
-            for _, path, _, _ in _data_files(spark, f"{staging}/_lib={k}"):
-                src = jvm.org.apache.hadoop.fs.Path(path)
-                _move(fs, src, jvm.org.apache.hadoop.fs.Path(tp, src.getName()))
-        fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
-    got = obs.get
-    return {"rows": int(got.get("rows") or 0), "max_t": got.get("max_t")}
-
-
-def compact_lines(spark: SparkSession, staging: str, library: str, limit_bytes: int,
+    targets = [t.rstrip("/") for t in targets]
+    run = re.sub(r"[^A-Za-z0-9._-]", "_", run_id or uuid.uuid4().hex)
+    marker, staging = f"{targets[0]}/_committed/{run}", f"{targets[0]}/_staging/{run}"
+    if _exists(spark, marker):
+        return json.loads(_read_small(spark, marker))
+    if not _exists(spark, f"{staging}/_stats"):
+        _delete(spark, staging)  # an unfinished write: nothing of it has been promoted
+        obs = Observation("publish")
+        out = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("t").alias("max_t")).select("line")
+        if num_files:
+            out = out.repartition(num_files)
+        (out.withColumn("_lib", F.spark_partition_id() % len(targets))
+            .write.partitionBy("_lib").option("lineSep", "\n").text(staging))
+        fs, folders = _fs(spark, f"{staging}/_lib=*")
+        got = obs.get if len(fs.globStatus(folders)) else {}  # Spark drops the observation of a plan it proves empty
+        _write_small(spark, f"{staging}/_stats", json.dumps({"rows": int(got.get("rows") or 0), "max_t": got.get("max_t")}))
+    stats = json.loads(_read_small(spark, f"{staging}/_stats"))
+    for k, target in enumerate(targets):
+        if stats["rows"]:
+            _promote(spark, f"{staging}/_lib={k}", target, run)
+    _write_small(spark, marker, json.dumps(stats))
+    _delete(spark, staging)
+    return stats
+
+
+def _promote(spark: SparkSession, staged: str, target: str, run: str) -> None:
+    """Rename a staged folder to ``<target>/run=<run>``; from another file system it is copied beside first."""
+    fs, src = _fs(spark, staged)
+    if not fs.exists(src):  # no partition of this target, or promoted by an earlier attempt
+        return
+    tfs, dest = _fs(spark, f"{target}/run={run}")
+    if fs.getUri().equals(tfs.getUri()):
+        fs.mkdirs(dest.getParent())
+        _move(fs, src, dest)
+        return
+    _, beside = _fs(spark, f"{target}/_staging/{run}")
+    if not tfs.exists(dest):
+        tfs.delete(beside, True)
+        util, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil, spark.sparkContext._jsc.hadoopConfiguration()
+        tfs.mkdirs(beside.getParent())
+        if not util.copy(fs, src, tfs, beside, False, conf):
+            raise RuntimeError(f"could not copy {src} to {beside}; staging left in place")
+        _move(tfs, beside, dest)
+
+
+def _open(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and plain path of a Hadoop path (which is not percent-encoded)."""
+    m = re.match(r"([A-Za-z][\w+.-]*):(?://([^/]*))?(/.*)", path)
+    if not m or m[1] == "file":
+        return pafs.LocalFileSystem(), m[3] if m else path
+    fs, root = pafs.FileSystem.from_uri(f"{m[1]}://{m[2] or ''}/")
+    return fs, root.rstrip("/") + m[3]
+
+
+def _groups(files: DataFrame, limit_bytes: int, limit_seconds: float, now_ms: int) -> DataFrame:
+    """Per directory: files older than ``limit_seconds``, and younger ones as far as they fill groups of
+    ``limit_bytes``, in name order; ``directory``, ``group``, ``path``, ``length``."""
+    rows = files.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("directory"), "path", "length",
+                        F.unix_millis("modificationTime").alias("mtime"))
+
+    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("path")
+        old = now_ms - pdf["mtime"] >= limit_seconds * 1000
+        out, number = [], 0
+        for part, keep_rest in ((pdf[old], True), (pdf[~old], False)):
+            held, size = [], 0
+            for path, length in zip(part["path"], part["length"]):
+                held.append((path, length))
+                size += length
+                if size >= limit_bytes:
+                    out += [(number, *h) for h in held]
+                    held, size, number = [], 0, number + 1
+            if held and keep_rest:
+                out += [(number, *h) for h in held]
+                number += 1
+        done = pd.DataFrame(out, columns=["group", "path", "length"])
+        done.insert(0, "directory", pdf["directory"].iloc[0])
+        return done
+
+    return rows.groupBy("directory").applyInPandas(fill, "directory string, group long, path string, length long")
+
+
+def compact_lines(spark: SparkSession, staging: str, library: str | Sequence[str], limit_bytes: int,
                   limit_seconds: float, now_ms: int | None = None) -> dict:
-    """Merge small staged line files into files of about ``limit_bytes``.
-
-    Per staging directory, files older than ``limit_seconds`` are published;
-    younger files are taken in name order into groups that reach
-    ``limit_bytes`` and full groups are published; the rest stay staged for a
-    later run.  Choosing files needs only the listing (metadata).
-
-    All published lines move in **one** Spark job, whatever the number of
-    directories: each line keeps its directory (from ``_metadata.file_path``),
-    is hashed into one of that directory's ``ceil(bytes / limit)`` buckets,
-    and the job writes one folder per directory; those folders are then
-    renamed into the same relative paths under ``library`` and the staged
-    copies deleted.  Line-based: a file without a final newline does not fuse
-    with the next one.
+    """Merge small staged line files into files of at least ``limit_bytes``, less than that plus one file.
+
+    Per staging directory, files older than ``limit_seconds`` are published; younger files are taken in
+    name order into groups that reach ``limit_bytes`` and full groups are published; the rest stay staged
+    for a later run.  A group becomes one file under the same relative path of one of the ``library``
+    folders (dealt by a hash of the group).  A file without a final line feed gets one, so it does not
+    fuse with the next.  Sources are deleted only after all outputs stand; a run that stopped half-way is
+    finished first by the next call.
     """
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
-    fs, root_path = _fs(spark, staging)
-    root = fs.makeQualified(root_path).toString().rstrip("/")
-    by_dir: dict[str, list[tuple[str, int, int]]] = {}
-    uri_of: dict[str, str] = {}
-    for d, path, size, mtime, uri in _data_files(spark, staging, encoded=True):
-        by_dir.setdefault(d, []).append((path, size, mtime))
-        uri_of[d] = uri
-    chosen: list[str] = []
-    dirs: list[tuple[str, int]] = []           # (directory, number of output files)
-    for d, entries in sorted(by_dir.items()):
-        picked, group, group_bytes = [], [], 0
-        for path, size, mtime in entries:
-            if now_ms - mtime >= limit_seconds * 1000:
-                picked.append((path, size))
-                continue
-            group.append((path, size))
-            group_bytes += size
-            if group_bytes >= limit_bytes:
-                picked.extend(group)
-                group, group_bytes = [], 0
-        if picked:
-            chosen.extend(p for p, _ in picked)
-            dirs.append((d, max(1, math.ceil(sum(sz for _, sz in picked) / limit_bytes))))
-    if not chosen:
-        return {"files_in": 0, "files_out": 0, "bytes": 0}
-
-    index = {d: i for i, (d, _) in enumerate(dirs)}
-    n_files = F.create_map(*[x for i, (_, n) in enumerate(dirs) for x in (F.lit(i), F.lit(n))])
-    dir_of = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
-    dir_index = F.create_map(*[x for d, i in index.items() for x in (F.lit(uri_of[d]), F.lit(i))])[dir_of]
-    lines = (spark.read.text(chosen)
-             .select(F.col("value").alias("line"), dir_index.alias("_d"))
-             .withColumn("_b", F.pmod(F.hash("line"), n_files[F.col("_d")])))
-    out = shared_dir(spark, "compact-out")
-    lines.repartition("_d", "_b").drop("_b").write.partitionBy("_d").text(out)
+    libraries = [library.rstrip("/")] if isinstance(library, str) else [x.rstrip("/") for x in library]
+    plan = f"{staging.rstrip('/')}/_compaction"
+    if not _exists(spark, f"{plan}/_SUCCESS"):
+        _delete(spark, plan)
+        fs, p = _fs(spark, staging)
+        root = fs.makeQualified(p).toString().rstrip("/")
+        run = uuid.uuid4().hex
+        folders = [f"{lfs.makeQualified(lp).toString()}" for lfs, lp in (_fs(spark, x) for x in libraries)]
+        key = F.xxhash64("directory", "group")
+        lib = F.element_at(F.array(*map(F.lit, folders)), (F.pmod(key, F.lit(len(folders))) + 1).cast("int"))
+        (_groups(listing(spark, staging), limit_bytes, limit_seconds, now_ms)
+         .groupBy("directory", "group").agg(F.array_sort(F.collect_list("path")).alias("paths"), F.sum("length").alias("bytes"))
+         .select(F.concat(lib, F.substring(F.col("directory"), len(root) + 1, 1 << 30), F.lit(f"/merged-{run}-"), F.hex(key), F.lit(".txt")).alias("out"),
+                 "paths", "bytes")
+         .write.parquet(plan))
+    groups = spark.read.schema("out string, paths array<string>, bytes long").parquet(plan)
+    n_out, n_in, size = groups.agg(F.count("*"), F.sum(F.size("paths")), F.sum("bytes")).first()
+    if n_out:
+        tasks = min(n_out, 10 * spark.sparkContext.defaultParallelism)
+        dealt = groups.select("out", "paths").repartition(tasks)
+        for step in (_merge_groups, _delete_sources):
+            dealt.mapInArrow(step, "n long").agg(F.sum("n")).first()
+    _delete(spark, plan)
+    return {"files_in": int(n_in or 0), "files_out": int(n_out), "bytes": int(size or 0)}
 
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    if fs.exists(Path(f"{out}/_d=__HIVE_DEFAULT_PARTITION__")):
-        # A line whose directory was not recognised: publish nothing, delete nothing.
-        raise RuntimeError(f"compaction could not place some lines; staged files left untouched ({out})")
-    files_out = 0
-    for d, i in index.items():
-        rel = d[len(root):].lstrip("/")
-        dest = Path(library.rstrip("/") + ("/" + rel if rel else ""))
-        lfs = dest.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        lfs.mkdirs(dest)
-        for _, path, _, _ in _data_files(spark, f"{out}/_d={i}"):
-            src = Path(path)
-            _move(lfs, src, Path(dest, src.getName()))
-            files_out += 1
-    for p in chosen:
-        fs.delete(Path(p), False)
-    fs.delete(Path(out), True)
-    picked_set = set(chosen)
-    nbytes = sum(size for d in by_dir.values() for p, size, _ in d if p in picked_set)
-    return {"files_in": len(chosen), "files_out": files_out, "bytes": nbytes}
+
+def _done(n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+
+def _merge_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for out, paths in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            fs, final = _open(out)
+            if fs.get_file_info(final).type == pafs.FileType.NotFound:  # else made by an earlier attempt
+                folder, name = final.rsplit("/", 1)
+                fs.create_dir(folder, recursive=True)
+                part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+                with fs.open_output_stream(part, compression=None) as sink:
+                    for path in paths:
+                        sfs, source = _open(path)
+                        end = b"\n"
+                        with sfs.open_input_stream(source, compression=None) as f:
+                            while data := f.read(_COPY_BYTES):
+                                sink.write(data)
+                                end = data[-1:]
+                        if end != b"\n":
+                            sink.write(b"\n")
+                fs.move(part, final)
+        yield _done(b.num_rows)
+
+
+def _delete_sources(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for paths in b.column(1).to_pylist():
+            for path in paths:
+                fs, source = _open(path)
+                if fs.get_file_info(source).type != pafs.FileType.NotFound:
+                    fs.delete_file(source)
+        yield _done(b.num_rows)

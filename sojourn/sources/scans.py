@@ -17,7 +17,7 @@ from ..functions import day_of_epoch
 
 
 def days_between(start: int, end: int) -> list[str]:
-    """``yyyyMMdd`` of every UTC day from ``start``'s to ``end``'s."""
+    """``yyyyMMdd`` of every UTC day from ``start``'s to ``end``'s, both included."""
     first = _dt.datetime.strptime(day_of_epoch(start), "%Y%m%d")
     last = _dt.datetime.strptime(day_of_epoch(end), "%Y%m%d")
     out = []
@@ -34,19 +34,17 @@ def range_predicate(time_col: str | Column, start: int, end: int, inclusive_end:
 
 
 def scan_range(df: DataFrame, time_col: str, start: int, end: int, inclusive_end: bool = False,
-               day_col: str | None = None, start_day_only: bool = False,
-               columns: list[str] | None = None) -> DataFrame:
+               day_col: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """Rows with ``start <= time < end`` (``<= end`` when ``inclusive_end``).
 
-    With ``day_col`` the day partitions from ``start``'s day to ``end``'s are
-    selected; ``start_day_only=True`` keeps the historical behaviour of
-    reading only the start day (a range past midnight then loses rows).
+    With ``day_col`` exactly the day partitions that the range touches are
+    selected: from ``start``'s day to that of the range's last second.
     """
     if start >= end:
         raise ValueError("end must be greater than start")
     cond = range_predicate(time_col, start, end, inclusive_end)
     if day_col is not None:
-        days = [day_of_epoch(start)] if start_day_only else days_between(start, end)
+        days = days_between(start, end if inclusive_end else end - 1)
         cond = F.col(day_col).isin(days) & cond
     out = df.where(cond)
     return out.select(*columns) if columns else out

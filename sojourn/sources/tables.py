@@ -90,6 +90,16 @@ def intervals(events: DataFrame, n_ids: int = POINT_IDS, null_ends: bool = False
                          F.col("event_type").alias("site"), etime.alias("etime"))
 
 
+def intervals_dirty(events: DataFrame, n_ids: int = POINT_IDS) -> DataFrame:
+    """Raw-looking intervals: as ``intervals`` with null ends, sites padded to 14
+    characters (``error`` is not) and quoted on every seventh event."""
+    padded = F.rpad("event_type", 14, "_")
+    site = (F.when(F.col("event_type") == "error", F.col("event_type"))
+            .when(F.col("event_id") % 7 == 0, F.concat(F.lit('"'), padded, F.lit('"')))
+            .otherwise(padded))
+    return intervals(events.withColumn("event_type", site), n_ids, null_ends=True)
+
+
 LOG_COLUMNS = ["event_id", "t", "user_id", "event_type", "props"]
 
 
@@ -117,5 +127,6 @@ def control(events: DataFrame) -> DataFrame:
 
 
 def lines(documents: DataFrame) -> DataFrame:
-    """One text line per document (line breaks folded to blanks)."""
-    return documents.select(F.regexp_replace(F.coalesce("text", F.lit("")), "[\r\n]", " ").alias("line"))
+    """One text line per document: line feeds become blanks, or carriage returns in every second document."""
+    other = F.when(F.col("doc_id") % 2 == 0, F.lit("\r")).otherwise(F.lit(" "))
+    return documents.select(F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), other).alias("line"))

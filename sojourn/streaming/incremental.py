@@ -7,8 +7,9 @@ the number of rows written are saved and an audit line is appended.
 The control table is append-only (``id, type, name, value`` with increasing
 ids, read back through :func:`operators.state.state_latest`), so a run that
 dies half-way leaves the previous mark in force and the batch is simply
-processed again.  Line output is all-or-nothing per run (Spark's commit
-protocol), so the mark advances to ``end`` whenever the write succeeds.
+processed again.  Publishing carries the slice as its run id: a rerun of a
+slice whose lines were already committed publishes nothing again, so each slice
+is delivered once.  An empty slice publishes no file and moves the mark.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators.state import state_latest
 from ..operators.watermark import next_watermark_value
+from ..plans.stage import stage_tables
 from ..sinks import audit_append, publish_lines
 
 CONTROL_SCHEMA = "id bigint, type string, name string, value string"
@@ -29,16 +31,19 @@ RESULT_NUMS = "resultNums"
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(CONTROL_SCHEMA).parquet(path)
-    except Exception:  # no table yet
+    """The control table; empty only if it does not exist yet.  Any other error raises, so a
+    storage fault never looks like a job without a mark."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return spark.createDataFrame([], CONTROL_SCHEMA)
+    return spark.read.schema(CONTROL_SCHEMA).parquet(path)
 
 
 def saved_value(spark: SparkSession, path: str, job: str, name: str) -> str | None:
-    """The newest value of ``(job, name)``; one row reaches the driver."""
-    row = (state_latest(read_control(spark, path))
-           .where((F.col("type") == job) & (F.col("name") == name)).select("value").first())
+    """The newest value of ``(job, name)``, names compared without case; one row reaches the driver."""
+    rows = read_control(spark, path).select("id", F.lower("type").alias("type"), F.lower("name").alias("name"), "value")
+    row = (state_latest(rows).where((F.col("type") == job.strip().lower()) & (F.col("name") == name.strip().lower()))
+           .select("value").first())
     return None if row is None else row[0]
 
 
@@ -60,7 +65,8 @@ def run_increment(spark: SparkSession, job: str, run: Callable[[int, int], DataF
     start = int(saved) if saved is not None else first_start
     if start >= end:
         return {"start": start, "end": end, "rows": 0, "stop_time": start}
-    stats = publish_lines(run(start, end), targets, num_files=num_files)
+    with stage_tables(spark):
+        stats = publish_lines(run(start, end), targets, num_files=num_files, run_id=f"{job}-{start}-{end}")
     rows, max_t = stats["rows"], stats["max_t"]
     if rows == 0:
         stop = end                       # empty slice: move on, nothing written

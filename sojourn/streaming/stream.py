@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..plans.stage import stage_tables
 from ..session import shared_dir
 
 
@@ -30,7 +31,8 @@ def start_trace_stream(spark: SparkSession, source_dir: str, schema: str,
     source = reader.parquet(source_dir)
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        to_lines(batch).select("line").write.mode("overwrite").text(f"{target_dir.rstrip('/')}/batch={epoch_id}")
+        with stage_tables(spark):
+            to_lines(batch).select("line").write.mode("overwrite").text(f"{target_dir.rstrip('/')}/batch={epoch_id}")
 
     writer = (source.writeStream.foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint_dir or shared_dir(spark, "stream-checkpoint")))

@@ -11,7 +11,7 @@ from sojourn.operators.segments import dwell_segment_parts, interval_segment_par
 from sojourn.operators.sequence import day_chunk, number_blocks
 from sojourn.session import shared_dir
 from sojourn.sources import tables as tb
-from sojourn.sources.scans import scan_range
+from sojourn.sources.scans import days_between, scan_range
 from tests.conftest import SF_SMALL
 
 
@@ -62,6 +62,16 @@ def test_day_partitions_are_pruned(no_aqe):
         (F.col("t") >= 1704477600) & (F.col("t") < 1704520800)).count()
 
 
+def test_registered_day_scan_reads_two_days(no_aqe):
+    plan = plan_of(QUERIES["day_pruned_scan"](no_aqe, SF_SMALL))
+    days = set(re.findall(r"2024\d{4}", re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)))
+    assert days == {"20240105", "20240106"}
+
+
+def test_a_half_open_range_that_ends_at_midnight_stays_in_its_day():
+    assert days_between(1704412800, 1704499200 - 1) == ["20240105"]
+
+
 @pytest.mark.parametrize("walk", [_walk, _interval_walk, _generic_walk])
 def test_sliced_walk_reads_its_input_once(no_aqe, walk):
     plan = plan_of(walk(no_aqe))

@@ -1,41 +1,142 @@
-"""Line publishing, compaction and the audit table."""
+"""Line publishing, compaction, the audit table and the folders they use."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
+from sojourn import session
+from sojourn.catalog import _points
+from sojourn.plans import jobs, stage, traces
 from sojourn.session import shared_dir
-from sojourn.sinks import audit_append, compact_lines, publish_lines, read_audit
-from sojourn.sinks.lines import _data_files, staged_bytes
+from sojourn.sinks import audit_append, compact_lines, lines, publish_lines, published, read_audit
+from sojourn.sinks.lines import listing, read_lines, staged_bytes
+from tests.conftest import SF_SMALL
 
 
 def _lines(spark, n=500):
     return spark.range(n).select(F.col("id").alias("t"), F.concat(F.lit("line-"), F.col("id").cast("string")).alias("line"))
 
 
-def test_publish_spreads_over_targets_and_observes(spark):
+def _files(folder):
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs if not f.startswith((".", "_")) and "/_" not in d)
+
+
+def _texts(df):
+    return sorted(r[0] for r in df.select("line").collect())
+
+
+def test_publish_makes_the_asked_number_of_files(spark):
     df = _lines(spark)
-    targets = [shared_dir(spark, "t-lib", str(i)) for i in range(2)]
-    stats = publish_lines(df, targets, num_files=3)
-    assert stats == {"rows": 500, "max_t": 499}
-    back = sorted(r[0] for r in spark.read.text(targets).collect())
-    assert back == sorted(r[0] for r in df.select("line").collect())
-    for t in targets:
-        assert 1 <= len(_data_files(spark, t)) <= 3
+    targets = [shared_dir(spark, "t-lib", str(i)) for i in range(3)]
+    assert publish_lines(df, targets, num_files=4) == {"rows": 500, "max_t": 499}
+    assert _texts(published(spark, targets)) == _texts(df)
+    assert sum(len(_files(t)) for t in targets) == 4 and all(_files(t) for t in targets)
+    assert not os.path.exists(f"{targets[0]}/_staging/x") and os.listdir(f"{targets[0]}/_staging") == []
+
+
+def test_a_run_that_failed_half_way_resumes_without_duplicates(spark, monkeypatch):
+    df = _lines(spark)
+    targets = [shared_dir(spark, "t-half", str(i)) for i in range(3)]
+    real, calls = lines._move, []
+
+    def second_fails(fs, src, dest):
+        calls.append(dest)
+        if len(calls) == 2:
+            raise RuntimeError("refused")
+        real(fs, src, dest)
+
+    monkeypatch.setattr(lines, "_move", second_fails)
+    with pytest.raises(RuntimeError):
+        publish_lines(df, targets, num_files=5, run_id="job/1")
+    monkeypatch.setattr(lines, "_move", real)
+    assert 0 < len(_texts(published(spark, [t for t in targets if os.path.exists(t)]))) < 500
+    assert publish_lines(df, targets, num_files=5, run_id="job/1") == {"rows": 500, "max_t": 499}
+    assert publish_lines(_lines(spark, 7), targets, num_files=5, run_id="job/1") == {"rows": 500, "max_t": 499}
+    assert _texts(published(spark, targets)) == _texts(df)
+
+
+def test_an_empty_run_publishes_no_file(spark):
+    target = shared_dir(spark, "t-empty")
+    assert publish_lines(_lines(spark, 0), [target], run_id="e") == {"rows": 0, "max_t": None}
+    assert publish_lines(_lines(spark).where("t < 0"), [target], run_id="f") == {"rows": 0, "max_t": None}
+    assert _files(target) == []
+
+
+def test_failed_rename_raises():
+    class RefusingFS:
+        def rename(self, src, dest):
+            return False
+
+    with pytest.raises(RuntimeError):
+        lines._move(RefusingFS(), "staged/part-0", "library/part-0")
 
 
 def test_compaction_publishes_full_groups_then_old_files(spark):
-    staging = shared_dir(spark, "t-stage")
-    library = shared_dir(spark, "t-library")
+    staging, library = shared_dir(spark, "t-stage"), shared_dir(spark, "t-library")
     df = _lines(spark, 2000)
     df.select("line").repartition(20).write.text(staging)
     total = staged_bytes(spark, staging)
     first = compact_lines(spark, staging, library, limit_bytes=total // 4, limit_seconds=10 ** 9)
     assert 0 < first["files_in"] < 20 and first["files_out"] <= 4
-    mid = sorted(r[0] for r in spark.read.text([library, staging]).collect())
-    assert mid == sorted(r[0] for r in df.select("line").collect())
+    assert _texts(read_lines(spark, [library, staging])) == _texts(df)
     second = compact_lines(spark, staging, library, limit_bytes=total // 4, limit_seconds=0)
-    assert first["files_in"] + second["files_in"] == 20
-    assert _data_files(spark, staging) == []
-    assert spark.read.text(library).count() == 2000
+    assert first["files_in"] + second["files_in"] == 20 and _files(staging) == []
+    assert read_lines(spark, [library]).count() == 2000
+
+
+@pytest.mark.parametrize("aqe,parts", [("true", 1), ("false", 40)])
+def test_compaction_keeps_bytes_and_sizes(spark, tmp_path, aqe, parts):
+    """Carriage returns survive, one line may fill half the input, and sizes do not depend on the session."""
+    staging, libraries = tmp_path / "in", [str(tmp_path / "lib0"), str(tmp_path / "lib1")]
+    staging.mkdir()
+    hot, want = b"the same line\n", []
+    for k in range(60):
+        data = hot * 400 + b"".join(b"%d-%d a\rb\r\n" % (k, i) for i in range(500))
+        data = data[:-1] if k % 3 == 0 else data  # no final line feed
+        (staging / f"f{k:03d}.txt").write_bytes(data)
+        want += (data if data.endswith(b"\n") else data + b"\n").split(b"\n")[:-1]
+    size = sum(f.stat().st_size for f in staging.iterdir())
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        limit = size // 20
+        got = compact_lines(spark, str(staging), libraries, limit_bytes=limit, limit_seconds=0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    out = [f for lib in libraries for f in _files(lib)]
+    sizes = sorted(os.path.getsize(f) for f in out)
+    assert got["files_in"] == 60 and got["files_out"] == len(out) >= 15
+    assert sizes[1] >= limit and sizes[-1] < 2 * limit + 2  # the last group may be small
+    assert all(os.path.isdir(lib) for lib in libraries)
+    assert sorted(x for f in out for x in open(f, "rb").read().split(b"\n")[:-1]) == sorted(want)
+    assert _files(staging) == []
+
+
+def test_compaction_resumes_from_its_manifest(spark, monkeypatch):
+    staging, library = shared_dir(spark, "t-again"), shared_dir(spark, "t-again-lib")
+    df = _lines(spark, 900)
+    df.select("line").repartition(9).write.text(staging)
+    monkeypatch.setattr(lines, "_delete_sources", lines._merge_groups)  # outputs stand, sources stay
+    monkeypatch.setattr(lines, "_delete", lambda spark, path: None)
+    compact_lines(spark, staging, library, limit_bytes=1, limit_seconds=0)
+    assert len(_files(staging)) == 9
+    monkeypatch.undo()
+    assert compact_lines(spark, staging, library, limit_bytes=10 ** 9, limit_seconds=0)["files_out"] == 9
+    assert _files(staging) == [] and _texts(read_lines(spark, [library])) == _texts(df)
+    assert compact_lines(spark, staging, library, limit_bytes=1, limit_seconds=0) == {"files_in": 0, "files_out": 0, "bytes": 0}
+
+
+def test_compaction_mirrors_subdirectories(spark):
+    staging, library = shared_dir(spark, "t-stage-nested"), shared_dir(spark, "t-library-nested")
+    for sub, n in (("a", 300), ("b/c", 200), ("d e%", 100)):
+        _lines(spark, n).select("line").repartition(5).write.text(f"{staging}/{sub}")
+    assert compact_lines(spark, staging, library, limit_bytes=10 ** 9, limit_seconds=0)["files_in"] == 15
+    for sub, n in (("a", 300), ("b/c", 200), ("d e%", 100)):
+        assert read_lines(spark, [f"{library}/{sub}"]).count() == n
+    assert listing(spark, staging).count() == 0
 
 
 def test_audit_append(spark):
@@ -46,27 +147,40 @@ def test_audit_append(spark):
     assert got == [("import", "ok", 10), ("job1", "app,1,2", None)]
 
 
-def test_compaction_mirrors_subdirectories(spark):
-    staging = shared_dir(spark, "t-stage-nested")
-    library = shared_dir(spark, "t-library-nested")
-    for sub, n in (("a", 300), ("b/c", 200), ("d e%", 100)):
-        _lines(spark, n).select("line").repartition(5).write.text(f"{staging}/{sub}")
-    out = compact_lines(spark, staging, library, limit_bytes=10 ** 9, limit_seconds=0)
-    assert out["files_in"] == 15
-    assert spark.read.text(f"{library}/a").count() == 300
-    assert spark.read.text(f"{library}/b/c").count() == 200
-    assert spark.read.text(f"{library}/d e%").count() == 100
-    assert _data_files(spark, staging) == []
+def test_stage_tables_go_when_the_result_is_written(spark):
+    made = []
+    real = stage.shared_dir
 
+    def noted(s, *parts):
+        made.append(real(s, *parts))
+        return made[-1]
 
-def test_failed_rename_raises_before_cleanup():
-    import pytest
+    stage.shared_dir = noted
+    try:
+        target = shared_dir(spark, "t-scope")
+        with stage.stage_tables(spark):
+            publish_lines(jobs.segments_to_lines(traces.trace_relay(_points(spark, SF_SMALL)), "1"), [target])
+    finally:
+        stage.shared_dir = real
+    assert made and not any(os.path.exists(p) for p in made) and _files(target)
 
-    from sojourn.sinks.lines import _move
 
-    class RefusingFS:
-        def rename(self, src, dest):
-            return False
+def test_a_cluster_without_a_shared_folder_raises():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
 
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session(), "x")
+    Session.sparkContext.master = "local-cluster[2,1,1024]"
     with pytest.raises(RuntimeError):
-        _move(RefusingFS(), "staged/part-0", "library/part-0")
+        session.shared_dir(Session(), "x")

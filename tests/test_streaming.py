@@ -1,12 +1,13 @@
 """Incremental runs resume from the saved mark; the stream equals the batch job."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from sojourn.plans import jobs
 from sojourn.session import shared_dir
-from sojourn.sinks import read_audit
+from sojourn.sinks import publish_lines, published, read_audit
 from sojourn.sources import tables as tb
-from sojourn.streaming import run_increment, saved_value, start_trace_stream
+from sojourn.streaming import incremental, run_increment, saved_value, start_trace_stream
 from tests.conftest import SF_SMALL
 
 START, MID, END = 1704067200, 1705276800, 1706745600
@@ -28,8 +29,10 @@ def test_increments_cover_the_range_once(spark):
     second = run_increment(spark, "logjob", run, [target], control, END, START, audit)
     assert second["start"] == MID and saved_value(spark, control, "logjob", "stopTime") == str(END)
     assert first["rows"] + second["rows"] == events.count()
-    assert spark.read.text(target).count() == events.count()
-    assert read_audit(spark, audit).count() == 2
+    empty = run_increment(spark, "LogJob", run, [target], control, END + 86400, START, audit)   # names match without case
+    assert empty == {"start": END, "end": END + 86400, "rows": 0, "stop_time": END + 86400}
+    assert published(spark, [target]).count() == events.count()
+    assert read_audit(spark, audit).count() == 3
     assert raw.count() == events.count()
 
 
@@ -46,3 +49,23 @@ def test_stream_matches_batch(spark):
     got = sorted(r[0] for r in spark.read.text(out).select(F.col("value")).collect())
     want = sorted(r[0] for r in to_lines(spark.read.parquet(src)).select("line").collect())
     assert got == want and len(got) > 0
+
+
+def test_a_storage_error_does_not_reset_the_mark(spark, tmp_path):
+    control = str(tmp_path / "control")
+    incremental.save_values(spark, control, "job", {"stopTime": "7"})
+    assert saved_value(spark, control, "JOB", "STOPTIME") == "7"
+    for f in (tmp_path / "control").glob("*.parquet"):
+        f.write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        saved_value(spark, control, "job", "stopTime")
+    assert saved_value(spark, str(tmp_path / "none"), "job", "stopTime") is None
+
+
+def test_a_slice_committed_before_its_mark_is_not_published_again(spark, tmp_path):
+    """A crash between publishing and saving the mark: the rerun adds no line."""
+    control, target = str(tmp_path / "control"), str(tmp_path / "out")
+    run = lambda a, b: spark.range(a, b).selectExpr("id AS t", "cast(id AS string) AS line")
+    publish_lines(run(0, 10), [target], run_id="job-0-10")
+    got = run_increment(spark, "job", run, [target], control, 10, 0)
+    assert got["rows"] == 10 and published(spark, [target]).count() == 10
