@@ -21,7 +21,7 @@ from .operators.lists import events_per_id, flatten_events
 from .operators.merge import remerge
 from .operators.runs import RELAY_RULE, SPLIT_RULE, mark_runs
 from .operators.segments import dwell_segments, interval_segments
-from .operators.sequence import day_chunk
+from .operators.sequence import range_slices
 from .operators.smoothing import relay_by_dwell, split_equal
 from .operators.state import state_delete, state_exists, state_latest, state_upsert
 from .operators.watermark import next_watermark, write_stats
@@ -155,18 +155,18 @@ def runs_head_included(spark, sf):
 
 def split_equal_q(spark, sf):
     segs = traces.sliced_point_segments(_points(spark, sf))
-    return split_equal(mark_runs(segs, *RELAY_RULE, chunk="_sc"), ["run"])
+    return split_equal(mark_runs(segs, *RELAY_RULE), ["run"])
 
 
 def relay_by_dwell_q(spark, sf):
     """Row path: runs marked per segment, then the re-lay."""
     segs = traces.sliced_point_segments(_points(spark, sf))
-    return relay_by_dwell(mark_runs(segs, *RELAY_RULE, chunk="_sc"), ["run"])
+    return relay_by_dwell(mark_runs(segs, *RELAY_RULE), ["run"])
 
 
 def remerge_q(spark, sf):
-    rows = tb.intervals(_events(spark, sf)).distinct().withColumn("_chunk", day_chunk("stime"))
-    return remerge(rows, ["stime", "site", "etime"], "_chunk")
+    order = ["stime", "site", "etime"]
+    return remerge(range_slices(tb.intervals(_events(spark, sf)).distinct(), order), order, "_chunk")
 
 
 def trace_split_excl(spark, sf):

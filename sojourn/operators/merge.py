@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..functions import same_site
 from ..plans.stage import materialize
 from .segments import DWELL_GAP
-from .sequence import halo_walk, number_blocks, number_parts
 
 
 def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_GAP) -> DataFrame:
@@ -79,38 +78,6 @@ def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_
         head["_stime"].alias("stime"), head["_site"].alias("site"), tail["_etime"].alias("etime")).drop("_m")
 
 
-def remerge_sliced(rows: DataFrame, order: Sequence[str], chunk: str, in_halo, gap: int = DWELL_GAP) -> DataFrame:
-    """:func:`remerge` in one sorted pass per slice when each slice's first row
-    depends only on rows flagged by ``in_halo`` in the previous slice (see
-    :func:`sequence.halo_walk`)."""
-    order = list(order)
-
-    def breaks(prev, cur):
-        return ~same_site(cur["site"], prev["site"]) | (cur["etime"] - prev["etime"] >= gap)
-
-    walked = halo_walk(rows, ["id"], chunk, order, in_halo, ["site", "etime"], breaks, out="lm")
-    # Parts read off the ordered rows (same order as the walk, so no sort):
-    # the head row opens a part (or starts the slice); the tail is the row
-    # before the next head.
-    w = Window.partitionBy("id", chunk).orderBy(*order)
-    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(order)]
-    tail_of_row = F.struct(*keys, F.col("etime").alias("_etime"))
-    edges = walked.select(
-        "*",
-        F.lag(F.lit(1)).over(w).isNull().alias("_first"),
-        F.coalesce(F.lead("opens").over(w), F.lit(True)).alias("_last"),
-    ).where(F.col("opens") | F.col("_first") | F.col("_last"))
-    edges = edges.select("*", F.lead(tail_of_row).over(w).alias("_next_tail"))
-    parts = edges.where(F.col("opens") | F.col("_first")).select(
-        "id", chunk, "lm",
-        F.struct(*keys, F.col("stime").alias("_stime"), F.col("site").alias("_site")).alias("head"),
-        F.when(F.col("_last"), tail_of_row).otherwise(F.col("_next_tail")).alias("tail"))
-    numbered = number_parts(parts, ["id"], chunk, "lm", "_m")
-    head, tail = F.min("head"), F.max("tail")
-    return numbered.groupBy("id", "_m").agg(
-        head["_stime"].alias("stime"), head["_site"].alias("site"), tail["_etime"].alias("etime")).drop("_m")
-
-
 def dedupe_segments(df: DataFrame) -> DataFrame:
     """Exact duplicates of ``(id, stime, site, etime)`` removed (a partial
     aggregate: duplicates fold map-side before the shuffle)."""

@@ -9,7 +9,7 @@ seconds and starts less than ``gap`` seconds after the previous segment's end.
   short segments is a run -> run key ``(run, short)``.
 
 Both are one running count of non-short segments; the walk is
-:func:`sequence.number_blocks` over slices of ``SLICE_SEGMENTS`` consecutive
+:func:`sequence.halo_walk` over slices of ``SLICE_SEGMENTS`` consecutive
 segments, so an id with billions of segments is still scanned in parallel.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.stage import materialize
-from .sequence import halo_walk, number_blocks, number_parts, rank_chunk
+from .sequence import halo_walk, number_parts, rank_chunk
 from .smoothing import site_stats
 
 SLICE_SEGMENTS = 100_000
@@ -30,26 +30,28 @@ SPLIT_RULE = (300, 1800)        # split job, head excluded
 SPLIT_RULE_TIGHT = (300, 300)   # second split variant and the interval job
 
 
-def mark_runs(segments: DataFrame, dur: int, gap: int, slice_segments: int = SLICE_SEGMENTS,
-              chunk: str | None = None) -> DataFrame:
-    """Segments ``(id, seg, stime, site, etime)`` with dense ``seg`` ->
-    the same rows plus ``short`` (bool) and ``run`` (dense per id from 1).
-
-    ``chunk`` names an existing slice column (``seg`` cut into blocks) when
-    the input is already partitioned on ``(id, chunk)``; otherwise slices of
-    ``slice_segments`` segments are made here."""
-    if chunk is None:
-        segs = segments.withColumn("_chunk", rank_chunk("seg", slice_segments))
-        chunk = "_chunk"
-    else:
-        segs = segments
-
+def walk_runs(segments: DataFrame, dur: int, gap: int, slice_segments: int, chunk: str,
+              halo_flag: str | None = None) -> DataFrame:
+    """The run walk: the slice's own segments with ``short`` and ``lrun``, the runs opened so far inside
+    the slice.  A segment's rule looks at the previous segment only, which for a slice's first row is
+    the previous slice's last segment (``seg % slice_segments == 0``): that one row per slice border is
+    the halo (already present when ``halo_flag`` names its flag column)."""
     def breaks(prev, cur):
         short = ((cur["etime"] - cur["stime"]) < dur) & ((cur["stime"] - prev["etime"]) < gap)
         return ~F.coalesce(short, F.lit(False))
 
-    walked = number_blocks(segs, ["id"], chunk, ["seg"], ["stime", "etime"], breaks, out="run")
-    return walked.select(*[c for c in segments.columns], (~F.col("starts")).alias("short"), "run")
+    in_halo = (F.col("seg") % slice_segments) == 0
+    walked = halo_walk(segments, ["id"], chunk, ["seg"], in_halo, ["stime", "etime"], breaks, out="lrun",
+                       halo_flag=halo_flag)
+    return walked.withColumn("short", ~F.col("opens")).drop("opens")
+
+
+def mark_runs(segments: DataFrame, dur: int, gap: int, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+    """Segments ``(id, seg, stime, site, etime)`` with dense ``seg`` ->
+    the same rows plus ``short`` (bool) and ``run`` (dense per id from 1)."""
+    segs = segments.withColumn("_rc", rank_chunk("seg", slice_segments))
+    walked = materialize(walk_runs(segs, dur, gap, slice_segments, "_rc"), "run-rows")
+    return number_parts(walked, ["id"], "_rc", "lrun", "run").select(*segments.columns, "short", "run")
 
 
 def run_key(head_included: bool) -> list[str]:
@@ -61,22 +63,13 @@ def run_site_parts(segments: DataFrame, dur: int, gap: int, head_included: bool,
     """Runs marked and reduced to per-site statistics in one sorted pass.
 
     ``segments`` must be partitioned on ``(id, chunk)`` with
-    ``chunk = rank_chunk(seg, slice_segments)``.  A segment's rule looks at the
-    previous segment only, which for a slice's first row is the previous
-    slice's last segment (``seg % slice_segments == 0``): that one row per
-    slice border is the halo (already present when ``halo_flag`` names its
-    flag column).  Statistics are kept per run *part* (a run that crosses
-    slices has one part per slice); the parts are written, numbered and returned as ``(id, run[, short], site, cnt, m, d, fp, lp,
-    first, last)`` for :func:`smoothing.merge_site_stats`.
+    ``chunk = rank_chunk(seg, slice_segments)`` (see :func:`walk_runs`).
+    Statistics are kept per run *part* (a run that crosses slices has one part
+    per slice); the parts are written, numbered and returned as ``(id, run[,
+    short], site, cnt, m, d, fp, lp, first, last)`` for
+    :func:`smoothing.merge_site_stats`.
     """
-    def breaks(prev, cur):
-        short = ((cur["etime"] - cur["stime"]) < dur) & ((cur["stime"] - prev["etime"]) < gap)
-        return ~F.coalesce(short, F.lit(False))
-
-    in_halo = (F.col("seg") % slice_segments) == 0
-    walked = halo_walk(segments, ["id"], chunk, ["seg"], in_halo, ["stime", "etime"], breaks, out="lrun",
-                       halo_flag=halo_flag)
-    walked = walked.withColumn("short", ~F.col("opens"))
+    walked = walk_runs(segments, dur, gap, slice_segments, chunk, halo_flag)
     parts = site_stats(walked, ["lrun"] if head_included else ["lrun", "short"], extra=[chunk])
     # Numbering reads the parts twice: written once, the walk runs once.
     return number_parts(materialize(parts, "run-parts"), ["id"], chunk, "lrun", "run").drop(chunk)

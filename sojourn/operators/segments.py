@@ -10,8 +10,8 @@ a duplicate always extends the segment it follows, so the result is unchanged,
 and a hot id's raw rows collapse to its distinct seconds before any shuffle by
 id.  Points are walked by :func:`sequence.halo_walk` over one-day slices (a
 silence of ``gap`` always breaks, so only a slice's last ``gap`` seconds reach
-the next); intervals, whose previous end can reach arbitrarily far, by the
-generic :func:`sequence.number_blocks`.
+the next); intervals, whose previous end can reach arbitrarily far, over
+:func:`sequence.range_slices` with a per-slice summary.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import same_site
 from ..plans.stage import materialize
-from .sequence import day_chunk, halo_walk, number_blocks, number_parts
+from .sequence import day_chunk, halo_walk, number_parts, range_slices
 
 # Fixed value: two hours of silence (or a site change) ends a stay.
 DWELL_GAP = 7200
@@ -104,74 +104,78 @@ def merge_segment_parts(parts: DataFrame, slice_keys: tuple[str, ...] = (),
         head["t"].alias("stime"), head["site"].alias("site"), F.max("etime").alias("etime"))
 
 
-def interval_segments(intervals: DataFrame, gap: int = DWELL_GAP, slice_seconds: int = DAY_SLICE) -> DataFrame:
+def interval_segments(intervals: DataFrame, gap: int = DWELL_GAP, slices: int | None = None,
+                      copies: bool = True) -> DataFrame:
     """Intervals ``(id, stime, site, etime)`` -> segments ``(id, seg, stime, site, etime)``
-    (see :func:`interval_segment_parts`)."""
-    parts = materialize(interval_segment_parts(intervals, gap, slice_seconds), "interval-parts")
-    return number_interval_parts(parts, gap)
+    (see :func:`interval_segment_parts`).  Without ``copies`` the repeated copies of an
+    inverted interval, which are segments of their own, are left out and not numbered."""
+    parts = materialize(interval_segment_parts(intervals, gap, slices, copies), "interval-parts")
+    segments = number_interval_parts(parts, gap)
+    return expand_copies(segments) if copies else segments.select("id", "seg", "stime", "site", "etime")
 
 
-def interval_segment_parts(intervals: DataFrame, gap: int = DWELL_GAP, slice_seconds: int = DAY_SLICE) -> DataFrame:
-    """The walk of :func:`interval_segments`, summarized per day slice:
-    ``(id, _chunk, lseg, stime, site, etime)``.
+def interval_segment_parts(intervals: DataFrame, gap: int = DWELL_GAP, slices: int | None = None,
+                           copies: bool = True) -> DataFrame:
+    """The walk of :func:`interval_segments`, summarized per slice:
+    ``(id, _chunk, lseg, stime, site, etime, last)``.
 
     The gap is measured from the previous row's ``etime`` (it may be
     negative); the segment's ``etime`` is its *last* row's, not the largest.
     Order within an id is ``(stime, site, etime)``.
 
     A duplicate row merges into its twin unless ``stime - etime >= gap`` (an
-    inverted interval); only such rows keep their multiplicity.
+    inverted interval): then every copy after the first is a segment of its
+    own, and the row that follows breaks too, since it starts no earlier.  Such
+    copies are carried as a number (``last.extra`` of the part they follow),
+    never as rows.
 
     The previous row's end can lie arbitrarily far back, so no halo bounds the
-    look-back.  Instead one sorted pass per day slice finds the breaks
-    *inside* the slice (``lseg`` counts them) and reads parts off the ordered
-    rows.  The only cross-slice question -- does a slice's first row break
-    from the last row of the previous non-empty slice? -- is answered later on
-    a per-slice summary of the written parts (:func:`number_interval_parts`).
+    look-back.  Slices come from :func:`sequence.range_slices`; one sorted pass
+    per slice finds the breaks *inside* it (``lseg`` counts them) and reads
+    parts off the ordered rows.  Whether a slice's first row breaks from the
+    last row of the previous slice is answered later on a per-slice summary of
+    the written parts (:func:`number_interval_parts`).
     """
     rows = intervals.select("id", "stime", "site", "etime").where(
         F.col("id").isNotNull() & F.col("stime").isNotNull() & F.col("site").isNotNull()
         & F.col("etime").isNotNull())
-    # Fold duplicates (partial aggregate) and number the copies deterministically;
-    # only inverted intervals keep one row per copy.
-    counted = rows.groupBy("id", "stime", "site", "etime").agg(F.count(F.lit(1)).alias("_n"))
-    copies = F.when(F.col("stime") - F.col("etime") >= gap, F.sequence(F.lit(1).cast("long"), F.col("_n")))
-    rows = (counted.select("id", "stime", "site", "etime",
-                           F.explode(F.coalesce(copies, F.array(F.lit(0).cast("long")))).alias("_copy"))
-            .withColumn("_chunk", day_chunk("stime", slice_seconds)))
+    order = ["stime", "site", "etime"]
+    counted = rows.groupBy("id", *order).agg(F.count(F.lit(1)).alias("_n"))
+    extra = F.when((F.col("stime") - F.col("etime") >= gap) & F.lit(copies), F.col("_n") - 1).otherwise(F.lit(0).cast("long"))
+    rows = range_slices(counted.select("id", *order, extra.alias("extra")), order, slices=slices)
 
     def breaks(prev, cur):
         return ~same_site(cur["site"], prev["site"]) | (cur["stime"] - prev["etime"] >= gap)
 
-    order = ["stime", "site", "etime", "_copy"]
     w = Window.partitionBy("id", "_chunk").orderBy(*order)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prev = {"site": F.lag("site").over(w), "etime": F.lag("etime").over(w)}
     first = F.lag(F.lit(1)).over(w).isNull()
     inner = F.when(first, F.lit(False)).otherwise(
         F.coalesce(breaks(prev, {"site": F.col("site"), "stime": F.col("stime")}), F.lit(True)))
+    row_end = F.struct("stime", "site", "etime", "extra")
     walked = rows.select("*", first.alias("_first"), inner.alias("_inner"))
-    walked = walked.select("*", F.sum(F.col("_inner").cast("long")).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("lseg"),
-        F.coalesce(F.lead("_inner").over(w), F.lit(True)).alias("_last"))
+    walked = walked.select("*", (F.sum(F.col("_inner").cast("long") + F.col("extra")).over(running) - F.col("extra")).alias("lseg"),
+                           F.coalesce(F.lead("_inner").over(w), F.lit(True)).alias("_last"))
     edges = walked.where(F.col("_first") | F.col("_inner") | F.col("_last"))
-    edges = edges.select("*", F.lead("etime").over(w).alias("_next_end"))
+    edges = edges.select("*", F.lead(row_end).over(w).alias("_next_end"))
     return edges.where(F.col("_first") | F.col("_inner")).select(
         "id", "_chunk", "lseg", "stime", "site",
-        F.when(F.col("_last"), F.col("etime")).otherwise(F.col("_next_end")).alias("etime"))
+        F.when(F.col("_last"), row_end).otherwise(F.col("_next_end")).alias("last")).withColumn("etime", F.col("last.etime"))
 
 
 def number_interval_parts(parts: DataFrame, gap: int = DWELL_GAP) -> DataFrame:
-    """Segments from interval parts: decide each slice's first-row break on a
-    per-slice summary and merge parts that continue across slices."""
+    """Segments ``(id, seg, stime, site, etime, last)`` from interval parts: decide each slice's first-row
+    break on a per-slice summary and merge parts that continue across slices."""
     def breaks(prev, cur):
         return ~same_site(cur["site"], prev["site"]) | (cur["stime"] - prev["etime"] >= gap)
 
     # Per slice: its first row (part 0's head), its last row's end and site
-    # (last part; all rows of a part share the site up to case), internal breaks.
+    # (last part; all rows of a part share the site up to case), segments opened inside.
     per_slice = parts.groupBy("id", "_chunk").agg(
         F.min_by("stime", "lseg").alias("_fs"), F.min_by("site", "lseg").alias("_fsite"),
         F.max_by("etime", "lseg").alias("_le"), F.max_by("site", "lseg").alias("_lsite"),
-        F.max("lseg").alias("_n"))
+        F.max(F.col("lseg") + F.col("last.extra")).alias("_n"))
     ws = Window.partitionBy("id").orderBy("_chunk")
     cross = F.when(F.lag("_le").over(ws).isNull(), F.lit(True)).otherwise(F.coalesce(
         breaks({"site": F.lag("_lsite").over(ws), "etime": F.lag("_le").over(ws)},
@@ -183,9 +187,31 @@ def number_interval_parts(parts: DataFrame, gap: int = DWELL_GAP) -> DataFrame:
          - F.col("_fb") - F.col("_n")).alias("_off"))
     numbered = parts.join(per_slice, (parts["id"] == per_slice["_s_id"]) & (parts["_chunk"] == per_slice["_s_chunk"]))
     numbered = numbered.select("id", "_chunk", (F.col("_off") + F.col("_fb") + F.col("lseg")).alias("seg"),
-                               "stime", "site", "etime")
+                               "stime", "site", "etime", "last")
     return numbered.groupBy("id", "seg").agg(
         F.min_by("stime", "_chunk").alias("stime"),
         F.min_by("site", "_chunk").alias("site"),
         F.max_by("etime", "_chunk").alias("etime"),
+        F.max_by("last", "_chunk").alias("last"),
     )
+
+
+# Longest stretch of copies made by a single task.
+COPY_PIECE = 100_000
+
+
+def expand_copies(segments: DataFrame, piece: int = COPY_PIECE) -> DataFrame:
+    """Segments and, after each, the copies of the inverted interval it ends with; cut into pieces that
+    are spread over tasks."""
+    k = F.lit(piece).cast("long")
+    zero, extra = F.lit(0).cast("long"), F.col("extra")
+    flat = segments.select("id", "seg", "stime", "site", "etime", F.col("last.stime").alias("cstime"),
+                           F.col("last.site").alias("csite"), F.col("last.extra").alias("extra"))
+    pieces = (flat.select("*", F.explode(F.sequence(zero, F.ceil(extra / k).cast("long"))).alias("_p"))
+              .repartition("id", "seg", "_p"))
+    copy = F.explode(F.sequence(F.when(F.col("_p") == 0, zero).otherwise((F.col("_p") - 1) * k + 1),
+                                F.when(F.col("_p") == 0, zero).otherwise(F.least(F.col("_p") * k, extra))))
+    own = F.col("_j") == 0
+    return pieces.select("*", copy.alias("_j")).select(
+        "id", (F.col("seg") + F.col("_j")).alias("seg"), F.when(own, F.col("stime")).otherwise(F.col("cstime")).alias("stime"),
+        F.when(own, F.col("site")).otherwise(F.col("csite")).alias("site"), "etime")

@@ -16,11 +16,12 @@ that does not decrease along the walk order, e.g. the day of an event or
     summarized into per-slice parts, and ``number_parts`` gives them dense
     per-id numbers from a window per id over slices only.
 
-``number_blocks``
-    For any rule.  One window pass per slice gives in-slice ``lag`` values
-    and break counts; a per-slice summary (first row, last row, number of
-    breaks) is reduced by a window per id over slices only and joined back
-    on ``(id, chunk)``, whose partitioning the row side already has.
+``range_slices`` + a per-slice summary (``segments.interval_segments``, ``merge.remerge``)
+    For rules whose look-back has no bound.  Slices are cut by a range
+    partitioning over the whole order, so they hold about as many rows each
+    whatever an id, a day or a second holds.  One sorted window pass per
+    slice decides the breaks inside it; whether a slice's first row breaks
+    from the last row before it is decided on one row per slice.
 
 Both equal a single ordered walk over the whole id: block numbers are
 1-based and dense per id.  ``running_total`` is the same idea for a running
@@ -42,73 +43,6 @@ def _rows(cols: Sequence[str], get: Callable[[str], Column]) -> dict[str, Column
     return {c: get(c) for c in cols}
 
 
-def number_blocks(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence[str],
-                  carry: Sequence[str], breaks: BreakRule, out: str = "seg") -> DataFrame:
-    """Number maximal blocks of consecutive rows per ``key``.
-
-    A row starts a new block when it is the key's first row or when
-    ``breaks(prev, cur)`` is true; ``prev``/``cur`` map each ``carry`` column
-    name to a Column of the previous / current row.  ``order`` must be a total
-    order within the key (exact duplicates are interchangeable) and ``chunk``
-    non-decreasing along it.
-
-    Adds ``out`` (block number, 1-based), ``starts`` (this row opens a block)
-    and ``prev_<c>`` for each carry column (null on the key's first row).
-    """
-    key = list(key)
-    carry = list(carry)
-    df = _keys_present(df, key)
-    w = Window.partitionBy(*key, chunk).orderBy(*order)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    staged = df.select(
-        "*",
-        F.row_number().over(w).alias("_pos"),
-        F.lead(F.lit(True)).over(w).isNull().alias("_end"),
-        *[F.lag(c).over(w).alias(f"_lag_{c}") for c in carry],
-    )
-    local_prev = _rows(carry, lambda c: F.col(f"_lag_{c}"))
-    local_cur = _rows(carry, F.col)
-    staged = staged.withColumn(
-        "_lb",
-        F.when(F.col("_pos") > 1,
-               F.coalesce(breaks(local_prev, local_cur), F.lit(True)).cast("long"))
-        .otherwise(F.lit(0).cast("long")))
-    staged = staged.withColumn("_lc", F.sum("_lb").over(running))
-
-    # One row per slice, from its first and last rows only; grouped on the
-    # window's own partitioning, so no shuffle.
-    packed = F.struct(*carry)
-    edges = staged.where((F.col("_pos") == 1) | F.col("_end"))
-    summary = edges.groupBy(*key, chunk).agg(
-        F.min_by(packed, F.col("_pos")).alias("_first"),
-        F.max_by(packed, F.col("_pos")).alias("_last"),
-        F.max("_lc").alias("_tot"),
-    )
-    ws = Window.partitionBy(*key).orderBy(chunk)
-    summary = summary.withColumn("_prev", F.lag("_last").over(ws))
-    first_breaks = F.when(F.col("_prev").isNull(), F.lit(True)).otherwise(
-        F.coalesce(breaks(_rows(carry, lambda c: F.col("_prev")[c]),
-                          _rows(carry, lambda c: F.col("_first")[c])), F.lit(True)))
-    summary = summary.withColumn("_fb", first_breaks.cast("long"))
-    summary = summary.withColumn(
-        "_off",
-        F.sum(F.col("_fb") + F.col("_tot")).over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        - F.col("_tot"))
-    summary = summary.select(*key, chunk, "_prev", "_fb", "_off")
-
-    joined = _join_on_slice(staged, summary, [*key, chunk])
-    first = F.col("_pos") == 1
-    result = joined.select(
-        *[staged[c] for c in df.columns],
-        (F.col("_off") + F.col("_lc")).alias(out),
-        F.when(first, F.col("_fb") == 1).otherwise(F.col("_lb") == 1).alias("starts"),
-        *[F.when(first, F.col("_prev")[c]).otherwise(F.col(f"_lag_{c}")).alias(f"prev_{c}")
-          for c in carry],
-    )
-    return result
-
-
 def _keys_present(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows with a null key are dropped (they cannot be walked); stating it
     once here also tells the optimizer, so later joins add no filters."""
@@ -148,6 +82,17 @@ def day_chunk(seconds_col: str, width: int = 86400) -> Column:
     return F.coalesce(((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("long"), F.lit(0).cast("long"))
 
 
+#: Slices made by ``range_slices`` for each shuffle partition: hashing this many evens tasks out.
+SLICES_PER_TASK = 8
+
+
+def range_slices(df: DataFrame, order: Sequence[str], out: str = "_chunk", slices: int | None = None) -> DataFrame:
+    """Add a slice key that rises along ``order`` within each id and has about equal numbers of rows:
+    the partition of a range partitioning over ``(id, *order)``, whose bounds Spark samples."""
+    n = slices or SLICES_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, "id", *order).withColumn(out, F.spark_partition_id().cast("long"))
+
+
 def rank_chunk(rank_col: str, size: int) -> Column:
     """Slice key for scans over a dense 1-based rank: exactly ``size`` rows per slice."""
     return F.coalesce(((F.col(rank_col).cast("long") - 1) / F.lit(size)).cast("long"), F.lit(0).cast("long"))

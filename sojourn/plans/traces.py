@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from pyspark.sql import functions as F
 
-from ..operators.merge import dedupe_segments, remerge_sliced
+from ..operators.merge import dedupe_segments, remerge
 from ..operators.runs import RELAY_RULE, SLICE_SEGMENTS, SPLIT_RULE, SPLIT_RULE_TIGHT, run_key, run_site_parts
 from ..operators.segments import (DAY_SLICE, DWELL_GAP, dwell_segment_parts, interval_segments, merge_segment_parts,
                                   number_segment_parts)
@@ -79,10 +79,8 @@ def relay_runs(segments: DataFrame, dur: int = RELAY_RULE[0], gap: int = RELAY_R
 
 
 def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP, slice_runs: int = SLICE_RUNS) -> DataFrame:
-    """Re-merge re-laid slices in ``(run, ord)`` order, in slices of
-    ``slice_runs`` runs; the last run of a slice is the next slice's halo."""
-    relaid = materialize(relaid, "relaid").withColumn("_chunk", rank_chunk("run", slice_runs))
-    return remerge_sliced(relaid, ["run", "ord"], "_chunk", (F.col("run") % slice_runs) == 0, gap)
+    """Re-merge re-laid slices in ``(run, ord)`` order, in slices of ``slice_runs`` runs."""
+    return remerge(relaid.withColumn("_chunk", rank_chunk("run", slice_runs)), ["run", "ord"], "_chunk", gap)
 
 
 def trace_split_excl(points: DataFrame, slice_seconds: int = DAY_SLICE,
@@ -103,9 +101,10 @@ def trace_relay(points: DataFrame, slice_seconds: int = DAY_SLICE, slice_segment
     return remerge_relaid(relay_runs(segs, *RELAY_RULE, slice_segments=slice_segments), slice_runs=slice_runs)
 
 
-def trace_interval(intervals: DataFrame, slice_seconds: int = DAY_SLICE,
-                   slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    segs = sliced_segments(interval_segments(intervals, slice_seconds=slice_seconds), slice_segments, halo=True)
+def trace_interval(intervals: DataFrame, slices: int | None = None, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+    """Copies of an inverted interval are left out of the walk: such a row is never short, so each copy
+    would stand alone and the output drops duplicates."""
+    segs = sliced_segments(interval_segments(intervals, slices=slices, copies=False), slice_segments, halo=True)
     return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=False, slice_segments=slice_segments))
 
 

@@ -43,7 +43,7 @@ def random_intervals(seed, n_ids=4, n=120):
     return out
 
 
-SLICES = dict(slice_seconds=900, slice_segments=3)        # narrower than the gap: generic walk
+SLICES = dict(slice_seconds=900, slice_segments=3)        # narrower than the gap: widened to it
 HALO = dict(slice_seconds=7200, slice_segments=3)          # gap-wide slices: halo walk
 
 
@@ -66,10 +66,10 @@ def test_segments_and_pipelines_match_model(spark, seed):
 def test_interval_pipeline_matches_model(spark, seed):
     data = random_intervals(seed)
     iv = spark.createDataFrame(data, "id string, stime long, site string, etime long")
-    segs = interval_segments(iv, slice_seconds=600).select("id", "stime", "site", "etime")
+    segs = interval_segments(iv, slices=16).select("id", "stime", "site", "etime")
     want = sorted((i, *s) for i, r in model.by_id(data).items() for s in model.segments_from_intervals(r))
     assert rows(segs) == want
-    assert rows(traces.trace_interval(iv, **SLICES)) == model.pipeline(data, "interval")
+    assert rows(traces.trace_interval(iv, slices=7, slice_segments=3)) == model.pipeline(data, "interval")
 
 
 def test_default_slices_match_tiny_slices(spark):
@@ -83,10 +83,11 @@ def test_default_slices_match_tiny_slices(spark):
 @pytest.mark.parametrize("seed", [6, 7])
 def test_remerge_matches_model_across_slices(spark, seed):
     from sojourn.operators.merge import remerge
-    from sojourn.operators.sequence import day_chunk
+    from sojourn.operators.sequence import range_slices
 
     data = sorted(set(random_intervals(seed)))
     iv = spark.createDataFrame(data, "id string, stime long, site string, etime long")
-    got = remerge(iv.withColumn("_chunk", day_chunk("stime", 600)), ["stime", "site", "etime"], "_chunk")
+    order = ["stime", "site", "etime"]
+    got = remerge(range_slices(iv, order, slices=20), order, "_chunk")
     want = sorted((i, *s) for i, r in model.by_id(data).items() for s in model.remerge(sorted(r)))
     assert rows(got.select("id", "stime", "site", "etime")) == want

@@ -4,7 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from sojourn.operators.segments import dwell_segment_parts, merge_segment_parts, number_segment_parts
+from sojourn.operators.segments import (dwell_segment_parts, interval_segment_parts, interval_segments, merge_segment_parts,
+                                        number_segment_parts)
+from sojourn.operators.sequence import range_slices
 from sojourn.plans import traces
 from sojourn.plans.stage import materialize
 from tests import model
@@ -44,3 +46,34 @@ def test_hot_id_pipeline_matches_model(spark):
     data = skewed_points(days=6, step=45)
     pts = spark.createDataFrame(data, "id string, t long, site string")
     assert rows(traces.trace_relay(pts, slice_segments=500, slice_runs=200)) == model.pipeline(data, "relay")
+
+
+def test_hot_interval_day_spreads_evenly(spark):
+    """One id, one day, 500,000 different intervals: no task walks over twice the mean."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        iv = spark.range(500_000).selectExpr("'device-hot0001' AS id", "1700006400 + id % 80000 AS stime", "'A' AS site",
+                                             "1700006400 + id % 80000 + id div 80000 * 7 AS etime")
+        order = ["stime", "site", "etime"]
+        tasks = [r["count"] for r in range_slices(iv, order).repartition("id", "_chunk").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(tasks) == 500_000 and len(tasks) == 8 and max(tasks) <= 2 * 500_000 / 8
+        got = interval_segments(iv)
+        assert rows(got.select("seg", "stime", "etime"))[0][1] == 1_700_006_400
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_copies_of_an_inverted_interval(spark):
+    """Repeated inverted intervals are carried as a number and come out as single segments."""
+    data = [("device-a", 10_000, "A", 100)] * 5 + [("device-a", 9_000, "A", 9_500), ("device-a", 10_050, "A", 10_060)]
+    iv = spark.createDataFrame(data, "id string, stime long, site string, etime long")
+    want = sorted((i, *s) for i, r in model.by_id(data).items() for s in model.segments_from_intervals(r))
+    for slices in (1, 3, 50):
+        got = interval_segments(iv, slices=slices)
+        assert rows(got.select("id", "stime", "site", "etime")) == want
+        assert sorted(r.seg for r in got.collect()) == list(range(1, len(want) + 1))
+    many = spark.range(300_000).selectExpr("'d' AS id", "20000L AS stime", "'A' AS site", "0L AS etime")
+    parts = interval_segment_parts(many).collect()
+    assert len(parts) == 1 and parts[0].last.extra == 299_999
+    assert interval_segments(many).count() == 300_000
