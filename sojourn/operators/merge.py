@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import same_site
 from ..plans.stage import materialize
 from .segments import DWELL_GAP
+from .sequence import slice_offsets
 
 
 def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_GAP) -> DataFrame:
@@ -53,25 +54,18 @@ def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_
         "id", F.col(chunk).alias("_c"), "lm",
         F.struct(*keys, F.col("stime").alias("_stime"), F.col("site").alias("_site"),
                  F.col("etime").alias("_hetime")).alias("head"),
-        F.when(F.col("_last"), tail_of_row).otherwise(F.col("_next_tail")).alias("tail"))
+        F.when(F.col("_last"), tail_of_row).otherwise(F.col("_next_tail")).alias("tail"),
+        "_first", F.lead(F.lit(1)).over(w).isNull().alias("_end"))
     parts = materialize(parts, "remerge-parts")
 
-    # Per slice: first row (part 0's head), last row's end and site (the last
-    # part's; rows of a part share the site up to case), merges broken inside.
-    per_slice = parts.groupBy("id", "_c").agg(
-        F.min_by(F.col("head._site"), "lm").alias("_fsite"), F.min_by(F.col("head._hetime"), "lm").alias("_fe"),
-        F.max_by(F.col("tail._etime"), "lm").alias("_le"), F.max_by(F.col("head._site"), "lm").alias("_lsite"),
-        F.max("lm").alias("_n"))
-    ws = Window.partitionBy("id").orderBy("_c")
-    cross = F.when(F.lag("_le").over(ws).isNull(), F.lit(True)).otherwise(F.coalesce(
-        breaks({"site": F.lag("_lsite").over(ws), "etime": F.lag("_le").over(ws)},
-               {"site": F.col("_fsite"), "etime": F.col("_fe")}), F.lit(True)))
-    per_slice = per_slice.select("id", "_c", "_n", cross.cast("long").alias("_fb"))
-    per_slice = per_slice.select(
-        F.col("id").alias("_s_id"), F.col("_c").alias("_s_c"), "_fb",
-        (F.sum(F.col("_fb") + F.col("_n")).over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-         - F.col("_fb") - F.col("_n")).alias("_off"))
-    numbered = parts.join(per_slice, (parts["id"] == per_slice["_s_id"]) & (parts["_c"] == per_slice["_s_c"]))
+    # A slice's first part follows the previous slice's last part (rows of a part share the site up to
+    # case); ``etime`` is the part's last end, ``hetime`` its first row's.
+    ends = parts.where(F.col("_first") | F.col("_end")).select(
+        "id", "_c", "lm", F.col("head._site").alias("site"), F.col("tail._etime").alias("etime"),
+        F.col("head._hetime").alias("hetime"), "_first", F.when(F.col("_end"), F.col("lm")).otherwise(0).alias("_n"))
+    per_slice = slice_offsets(ends, "_c", "lm", lambda prev, cur: breaks(prev, {"site": cur["site"], "etime": cur["hetime"]}),
+                              ["site", "etime"], ["site", "hetime"])
+    numbered = parts.join(per_slice, (parts["id"] == per_slice["_s_id"]) & (parts["_c"] == per_slice["_s_chunk"]))
     numbered = numbered.select("id", (F.col("_off") + F.col("_fb") + F.col("lm")).alias("_m"), "head", "tail")
     head, tail = F.min("head"), F.max("tail")
     return numbered.groupBy("id", "_m").agg(

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import same_site
 from ..plans.stage import materialize
-from .sequence import day_chunk, halo_walk, number_parts, range_slices
+from .sequence import day_chunk, halo_walk, number_parts, range_slices, slice_offsets
 
 # Fixed value: two hours of silence (or a site change) ends a stay.
 DWELL_GAP = 7200
@@ -47,7 +47,7 @@ def _folded_points(points: DataFrame, slice_seconds: int) -> DataFrame:
 
 def dwell_segment_parts(points: DataFrame, gap: int = DWELL_GAP, slice_seconds: int = DAY_SLICE) -> DataFrame:
     """The walk of :func:`dwell_segments` summarized per slice:
-    ``(id, _chunk, lseg, head, etime)``, grouped on the walk's own partitioning.
+    ``(id, _chunk, lseg, head, etime, _end)``, grouped on the walk's own partitioning.
 
     ``lseg`` counts the segments that start inside the slice (0 = rows that
     continue the segment open at the end of the previous slice); a segment
@@ -80,15 +80,17 @@ def dwell_segment_parts(points: DataFrame, gap: int = DWELL_GAP, slice_seconds:
         F.coalesce(F.lead("opens").over(w), F.lit(True)).alias("_last"),
     ).where(F.col("opens") | F.col("_first") | F.col("_last"))
     edges = edges.select("*", F.lead("t").over(w).alias("_next_t"))
-    return edges.where(F.col("opens") | F.col("_first")).select(
+    heads = edges.where(F.col("opens") | F.col("_first"))
+    return heads.select(
         "id", "_chunk", "lseg", F.struct("t", "site").alias("head"),
         F.when(F.col("_last"), F.col("t")).otherwise(F.col("_next_t")).alias("etime"),
+        F.lead(F.lit(1)).over(w).isNull().alias("_end"),
     )
 
 
 def number_segment_parts(parts: DataFrame) -> DataFrame:
     """Add the dense per-id segment number ``seg`` to segment parts."""
-    return number_parts(parts, ["id"], "_chunk", "lseg", "seg")
+    return number_parts(parts, ["id"], "_chunk", "lseg", "seg", last="_end")
 
 
 def merge_segment_parts(parts: DataFrame, slice_keys: tuple[str, ...] = (),
@@ -161,7 +163,8 @@ def interval_segment_parts(intervals: DataFrame, gap: int = DWELL_GAP, slices: i
     edges = edges.select("*", F.lead(row_end).over(w).alias("_next_end"))
     return edges.where(F.col("_first") | F.col("_inner")).select(
         "id", "_chunk", "lseg", "stime", "site",
-        F.when(F.col("_last"), row_end).otherwise(F.col("_next_end")).alias("last")).withColumn("etime", F.col("last.etime"))
+        F.when(F.col("_last"), row_end).otherwise(F.col("_next_end")).alias("last"),
+        "_first", F.lead(F.lit(1)).over(w).isNull().alias("_end")).withColumn("etime", F.col("last.etime"))
 
 
 def number_interval_parts(parts: DataFrame, gap: int = DWELL_GAP) -> DataFrame:
@@ -170,21 +173,12 @@ def number_interval_parts(parts: DataFrame, gap: int = DWELL_GAP) -> DataFrame:
     def breaks(prev, cur):
         return ~same_site(cur["site"], prev["site"]) | (cur["stime"] - prev["etime"] >= gap)
 
-    # Per slice: its first row (part 0's head), its last row's end and site
-    # (last part; all rows of a part share the site up to case), segments opened inside.
-    per_slice = parts.groupBy("id", "_chunk").agg(
-        F.min_by("stime", "lseg").alias("_fs"), F.min_by("site", "lseg").alias("_fsite"),
-        F.max_by("etime", "lseg").alias("_le"), F.max_by("site", "lseg").alias("_lsite"),
-        F.max(F.col("lseg") + F.col("last.extra")).alias("_n"))
-    ws = Window.partitionBy("id").orderBy("_chunk")
-    cross = F.when(F.lag("_le").over(ws).isNull(), F.lit(True)).otherwise(F.coalesce(
-        breaks({"site": F.lag("_lsite").over(ws), "etime": F.lag("_le").over(ws)},
-               {"site": F.col("_fsite"), "stime": F.col("_fs")}), F.lit(True)))
-    per_slice = per_slice.select("id", "_chunk", "_n", cross.cast("long").alias("_fb"))
-    per_slice = per_slice.select(
-        F.col("id").alias("_s_id"), F.col("_chunk").alias("_s_chunk"), "_fb",
-        (F.sum(F.col("_fb") + F.col("_n")).over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-         - F.col("_fb") - F.col("_n")).alias("_off"))
+    # A slice's first part follows the previous slice's last part (all rows of a part share the site up to
+    # case); the last part also tells how many segments the slice has opened.
+    ends = parts.where(F.col("_first") | F.col("_end")).select(
+        "id", "_chunk", "lseg", "stime", "site", "etime", "_first",
+        F.when(F.col("_end"), F.col("lseg") + F.col("last.extra")).otherwise(0).alias("_n"))
+    per_slice = slice_offsets(ends, "_chunk", "lseg", breaks, ["site", "etime"], ["site", "stime"])
     numbered = parts.join(per_slice, (parts["id"] == per_slice["_s_id"]) & (parts["_chunk"] == per_slice["_s_chunk"]))
     numbered = numbered.select("id", "_chunk", (F.col("_off") + F.col("_fb") + F.col("lseg")).alias("seg"),
                                "stime", "site", "etime", "last")

@@ -93,6 +93,21 @@ def range_slices(df: DataFrame, order: Sequence[str], out: str = "_chunk", slice
     return df.repartitionByRange(n, "id", *order).withColumn(out, F.spark_partition_id().cast("long"))
 
 
+def slice_offsets(ends: DataFrame, chunk: str, local: str, breaks: BreakRule, before: Sequence[str],
+                  after: Sequence[str]) -> DataFrame:
+    """``_s_id``, ``_s_chunk``, ``_fb`` (1 if the slice's first row breaks from the row before it) and
+    ``_off`` (blocks opened in earlier slices), from each slice's first and last part (``_first``; ``_n``:
+    on the last part the blocks opened inside the slice, else 0): one window per id over two rows a slice."""
+    ws = Window.partitionBy("id").orderBy(chunk, local)
+    prev = {c: F.lag(c).over(ws) for c in before}
+    opens = F.when(F.lag(F.lit(1)).over(ws).isNull(), F.lit(True)).otherwise(
+        F.coalesce(breaks(prev, {c: F.col(c) for c in after}), F.lit(True)))
+    rows = ends.select("*", F.when(F.col("_first"), opens.cast("long")).otherwise(0).alias("_fb"))
+    total = F.sum(F.col("_fb") + F.col("_n")).over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.select("*", (total - F.col("_fb") - F.col("_n")).alias("_off"))
+    return rows.where("_first").select(F.col("id").alias("_s_id"), F.col(chunk).alias("_s_chunk"), "_fb", "_off")
+
+
 def rank_chunk(rank_col: str, size: int) -> Column:
     """Slice key for scans over a dense 1-based rank: exactly ``size`` rows per slice."""
     return F.coalesce(((F.col(rank_col).cast("long") - 1) / F.lit(size)).cast("long"), F.lit(0).cast("long"))
@@ -162,10 +177,12 @@ def halo_walk(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence[str
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
 
-def number_parts(parts: DataFrame, key: Sequence[str], chunk: str, local: str, out: str) -> DataFrame:
+def number_parts(parts: DataFrame, key: Sequence[str], chunk: str, local: str, out: str,
+                 last: str | None = None) -> DataFrame:
     """Dense per-key numbers for per-slice parts: ``out = local + (blocks
     opened in earlier slices)``.
 
+    ``last`` names a flag of each slice's last part, if the walk has set one.
     ``parts`` is read twice: for the per-slice maxima and for the parts
     themselves.  When it is a written table (``plans/stage.py``) both reads
     are scans.  Otherwise Spark runs the sorted pass that produced the parts
@@ -177,7 +194,11 @@ def number_parts(parts: DataFrame, key: Sequence[str], chunk: str, local: str, o
     """
     key = list(key)
     parts = _keys_present(parts, key)
-    per_slice = parts.groupBy(*key, chunk).agg(F.max(local).alias("_n"))
+    if last is None:
+        per_slice = parts.groupBy(*key, chunk).agg(F.max(local).alias("_n"))
+    else:  # the slice's last part has the largest number: no aggregate, no shuffle by slice
+        per_slice = parts.where(F.col(last)).select(*key, chunk, F.col(local).alias("_n"))
+        parts = parts.drop(last)
     ws = Window.partitionBy(*key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = per_slice.select(*key, chunk, (F.sum("_n").over(ws) - F.col("_n")).alias("_off"))
     joined = _join_on_slice(parts, offsets, [*key, chunk])
