@@ -16,6 +16,7 @@ import re
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +44,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors (once per context), so tasks can import it wherever the
+    driver was started from and without an installation on the workers."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sojourn_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="sojourn-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "sojourn-code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for at, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    z.write(path, os.path.join(os.path.basename(root), os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    sc._sojourn_shipped = True
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
