@@ -12,15 +12,15 @@ context, as one more Elias-Fano sequence; and the smoothed probabilities and
 back-off weights as 8-bit codes of their logarithms.  A query finds the context,
 takes its range from the pointers, and searches the successor in the range.
 
-Jobs.  (1) Blocks: a task turns a few megabytes of text into its distinct words,
-its distinct bigrams and each token's bigram number, written as a file of the
-shared folder.  (2) Shards: every block sends each shard one packed row of its
+Jobs.  (1) Blocks: a task turns a few megabytes of text into its distinct words
+and each token's word number, written as a file of the shared folder; a block's
+distinct bigrams follow from it.  (2) Shards: every block sends each shard one packed row of its
 words and bigrams, counts pre-aggregated; a shard sums them, builds and writes
 its trie, and answers each block from the mapped trie.  (3) Scores: a block
 meets its answers and sums over its documents.  A frequent word or bigram is one
 entry per block wherever it falls.  All counts cover all training documents.
 
-Words are held as 64-bit hashes, successors within a context as 44 bits or more.
+Words are held as 64-bit hashes, successors within a context as up to 40 bits.
 
 Cases: null text is empty text (one end token); a null ``doc_id`` is a training
 document; repeated rows each count and each give a row; an empty table gives an
@@ -46,7 +46,7 @@ from . import arrays
 from .common import read_table, small_batches, stage_table, text_bytes
 
 DISCOUNT = 0.75
-SUCCESSOR_BITS = 48
+SUCCESSOR_BITS = 40
 CODES = 255  # code 255: absent
 LOWEST = -8.0  # log10 of the smallest coded value
 END = xxhash.xxh64_intdigest(b"")  # no word is empty
@@ -213,24 +213,26 @@ def write_blocks(docs: DataFrame, folder: str) -> DataFrame:
                 sizes.append(len(words) + 1)
             words, number = np.unique(np.concatenate(tokens), return_inverse=True)
             size = np.array(sizes)
-            before = np.concatenate([[0], number[:-1]])
-            before[np.cumsum(size) - size] = len(words)  # the start
-            pair, token = np.unique(before.astype(np.int64) * len(words) + number, return_inverse=True)
             train = np.array([not held_out(i) for i in ids])
-            counted = np.repeat(train, size)
             path = f"{folder}/{block:016x}-{uuid.uuid4().hex}"
             arrays.save(path, {
                 "doc": np.array([i if i is not None else 0 for i in ids], np.int64), "null": np.array([i is None for i in ids]), "train": train, "size": size,
-                "words": words, "word_count": np.bincount(number[counted], minlength=len(words)).astype(np.uint32),
-                "many": np.bincount(pair // len(words), minlength=len(words) + 1).astype(np.uint32),
-                "next": (pair % len(words)).astype(np.uint32), "pair_count": np.bincount(token[counted], minlength=len(pair)).astype(np.uint32),
-                "token": token.astype(np.uint32)}, compress=True)
+                "words": words, "number": number.astype(np.uint32)}, compress=True)
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([path]), pa.array([int(size[train].sum())])], ["block", "path", "train_tokens"])
             block += 1
 
     return stage_table(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, BLOCK_SCHEMA), "ngram_blocks")
 
 
+def _bigrams(words: np.ndarray, number: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many distinct bigrams each context (words, then the start) has, their second words, and each
+    token's bigram; bigrams are in order of context and second word."""
+    before = np.concatenate([[0], number[:-1]]).astype(np.int64)
+    before[np.cumsum(size) - size] = len(words)
+    pair, token = np.unique(before * len(words) + number, return_inverse=True)
+    return np.bincount(pair // len(words), minlength=len(words) + 1), pair % len(words), token
+
+
 def _deal(words: np.ndarray, many: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each shard the contexts (numbers in words, then the start) and the bigrams that it owns."""
     shard = (np.append(words, np.uint64(START)) >> np.uint64(8)) % np.uint64(shards)
@@ -247,27 +249,27 @@ def _deal(words: np.ndarray, many: np.ndarray, shards: int) -> Iterator[tuple[in
 
 
 def _packed(*parts: np.ndarray) -> bytes:
-    return b"".join(len(p).to_bytes(8, "little") + p.tobytes() for p in parts)
+    blobs = [arrays.squeezed(p) if len(p) else b"" for p in parts]
+    return b"".join(len(b).to_bytes(8, "little") + b for b in blobs)
 
 
 def _unpacked(blob: bytes, *kinds: str) -> list[np.ndarray]:
     out, at = [], 0
     for kind in kinds:
-        n = int.from_bytes(blob[at: at + 8], "little")
-        size = n * np.dtype(kind).itemsize
-        out.append(np.frombuffer(blob, kind, n, at + 8))
+        size = int.from_bytes(blob[at: at + 8], "little")
+        out.append(arrays.unsqueezed(blob[at + 8: at + 8 + size], kind) if size else np.empty(0, kind))
         at += 8 + size
     return out
 
 
 def _short(hashes: np.ndarray) -> np.ndarray:
-    """The top 48 bits as six bytes each."""
-    return (hashes >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].ravel()
+    """The top 40 bits as five bytes each."""
+    return (hashes >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5].ravel()
 
 
-def _long(six: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(six) // 6, 8), np.uint8)
-    out[:, :6] = six.reshape(-1, 6)
+def _long(five: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(five) // 5, 8), np.uint8)
+    out[:, :5] = five.reshape(-1, 5)
     return out.view("<u8").ravel()
 
 
@@ -277,8 +279,13 @@ def to_shards(blocks: DataFrame, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words, word_count, many, following, pair_count = arrays.load(path, ["words", "word_count", "many", "next", "pair_count"])
-                every, count = np.append(words, np.uint64(START)), np.append(word_count, np.uint32(0))
+                words, number, size, train = arrays.load(path, ["words", "number", "size", "train"])
+                many, following, token = _bigrams(words, number, size)
+                counted = np.repeat(train, size)
+                every = np.append(words, np.uint64(START))
+                count = np.bincount(number[counted], minlength=len(every)).astype(np.uint32)
+                pair_count = np.bincount(token[counted], minlength=len(following)).astype(np.uint32)
+                many = many.astype(np.uint32)
                 rows = [(s, block, _packed(every[c], count[c], many[c], _short(words[following[g]]), pair_count[g])) for s, c, g in _deal(words, many, shards)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))], ["shard", "block", "data"])
 
@@ -329,8 +336,8 @@ def score(blocks: DataFrame, answered: DataFrame, shards: int) -> DataFrame:
     v = int(answered.agg(F.sum("words")).first()[0] or 0)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        doc, null, train, size, words, many, following, token = arrays.load(
-            pdf["path"].iloc[0], ["doc", "null", "train", "size", "words", "many", "next", "token"])
+        doc, null, train, size, words, number = arrays.load(pdf["path"].iloc[0], ["doc", "null", "train", "size", "words", "number"])
+        many, following, token = _bigrams(words, number, size)
         data = dict(zip(pdf["shard"], pdf["data"]))
         count = np.zeros(len(words) + 1, np.int64)
         gamma, alpha = np.empty(len(words) + 1, np.uint8), np.empty(len(following), np.uint8)
@@ -339,7 +346,7 @@ def score(blocks: DataFrame, answered: DataFrame, shards: int) -> DataFrame:
         p1 = (count[:-1] + 1.0) / (n + v + 1)
         back = np.where(gamma == CODES, 1.0, VALUE[gamma])
         log = np.log10(VALUE[alpha] + np.repeat(back, many) * p1[following])
-        word = following[token]
+        word = number.astype(np.int64)
         first = np.cumsum(size) - size
         return pd.DataFrame({
             "doc_id": pd.arrays.IntegerArray(doc.copy(), null.copy()),
