@@ -18,6 +18,7 @@ from .secrets import op9_blob_ledger
 from .simhash import op4_simhash_golay
 from .warc import ORACLE as OP1_SQL
 from .warc import op1_chunked_warc
+from .winnow import ORACLE as OP2_SQL
 from .winnow import op2_winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -35,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chunked_warc": OP1_SQL,
+    "op2_winnowing": OP2_SQL,
     "op6_line_dedup": OP6_SQL,
     "op9_blob_ledger": OP9_SQL,
 }

@@ -285,3 +285,27 @@ def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def _oracle() -> str:
+    """The same result in DuckDB: all windows of all documents joined with those of the items."""
+    def words(text: str) -> str:
+        return (f"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+                r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+    return f"""WITH iw AS (SELECT item_id, {words('text')} AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM (
+                  SELECT item_id, w, least({WINDOW}, len(w)) AS n, unnest(range(1, len(w) - least({WINDOW}, len(w)) + 2)) AS i FROM iw WHERE len(w) > 0)),
+        dw AS (SELECT row_number() OVER () AS row, doc_id, {words('text')} AS w FROM documents),
+        dwin AS (SELECT row, n, i, array_to_string(w[i:i + n - 1], ' ') AS t FROM (
+                  SELECT row, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM dw JOIN (SELECT DISTINCT n FROM win) ON len(w) >= n)),
+        hit AS (SELECT DISTINCT row, i, n, item_id FROM dwin JOIN win USING (t, n)),
+        cov AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS p FROM hit) GROUP BY row),
+        own AS (SELECT row, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items FROM (
+                  SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS x FROM hit WHERE item_id IS NOT NULL) GROUP BY row)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM dw LEFT JOIN cov USING (row) LEFT JOIN own USING (row)"""
+
+
+ORACLE = _oracle()

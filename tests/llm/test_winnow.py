@@ -5,6 +5,7 @@ import re
 import numpy as np
 
 from sojourn.llm import winnow as W
+from tests.harness import compare, duck
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -83,6 +84,8 @@ def test_query_on_the_table(spark):
     want = {d: (n, h, len(f), hashlib.sha256(",".join(f).encode()).hexdigest(), h > 0) for d, n, h, f in brute(docs, items)}
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in W.op2_winnowing(spark, sf).collect()}
     assert got == want and any(v[4] for v in want.values())
+    ok, message = compare(W.op2_winnowing(spark, sf), duck(sf), W.ORACLE)
+    assert ok, message
 
 
 def test_winnowing_keeps_a_common_print_of_every_shared_window():
