@@ -72,4 +72,4 @@ def run_site_parts(segments: DataFrame, dur: int, gap: int, head_included: bool,
     walked = walk_runs(segments, dur, gap, slice_segments, chunk, halo_flag)
     parts = site_stats(walked, ["lrun"] if head_included else ["lrun", "short"], extra=[chunk])
     # Numbering reads the parts twice: written once, the walk runs once.
-    return number_parts(materialize(parts, "run-parts"), ["id"], chunk, "lrun", "run").drop(chunk)
+    return number_parts(materialize(parts, "run-parts"), ["id"], chunk, "lrun", "run").drop(chunk, "lrun")

@@ -35,7 +35,12 @@ def dwell_segments(points: DataFrame, gap: int = DWELL_GAP, slice_seconds: int =
     text, ``etime`` the last event's time.  ``seg`` is dense per id from 1.
     """
     parts = materialize(dwell_segment_parts(points, gap, slice_seconds), "segment-parts")
-    return merge_segment_parts(number_segment_parts(parts))
+    numbered = number_segment_parts(parts)
+    # Only a slice's last part, and a part that continues an earlier slice, can belong to a segment of
+    # several parts; the others are segments as they stand and are not shuffled again.
+    border = (F.col("lseg") == 0) | F.col("_end")
+    inner = numbered.where(~border).select("id", "seg", F.col("head.t").alias("stime"), F.col("head.site").alias("site"), "etime")
+    return inner.unionByName(merge_segment_parts(numbered.where(border)))
 
 
 def _folded_points(points: DataFrame, slice_seconds: int) -> DataFrame:
@@ -181,13 +186,15 @@ def number_interval_parts(parts: DataFrame, gap: int = DWELL_GAP) -> DataFrame:
     per_slice = slice_offsets(ends, "_chunk", "lseg", breaks, ["site", "etime"], ["site", "stime"])
     numbered = parts.join(per_slice, (parts["id"] == per_slice["_s_id"]) & (parts["_chunk"] == per_slice["_s_chunk"]))
     numbered = numbered.select("id", "_chunk", (F.col("_off") + F.col("_fb") + F.col("lseg")).alias("seg"),
-                               "stime", "site", "etime", "last")
-    return numbered.groupBy("id", "seg").agg(
+                               "stime", "site", "etime", "last", (F.col("_first") | F.col("_end")).alias("_border"))
+    # Only a slice's first and last parts can belong to a segment of several parts.
+    merged = numbered.where("_border").groupBy("id", "seg").agg(
         F.min_by("stime", "_chunk").alias("stime"),
         F.min_by("site", "_chunk").alias("site"),
         F.max_by("etime", "_chunk").alias("etime"),
         F.max_by("last", "_chunk").alias("last"),
     )
+    return numbered.where("not _border").select("id", "seg", "stime", "site", "etime", "last").unionByName(merged)
 
 
 # Longest stretch of copies made by a single task.

@@ -198,8 +198,7 @@ def number_parts(parts: DataFrame, key: Sequence[str], chunk: str, local: str, o
         per_slice = parts.groupBy(*key, chunk).agg(F.max(local).alias("_n"))
     else:  # the slice's last part has the largest number: no aggregate, no shuffle by slice
         per_slice = parts.where(F.col(last)).select(*key, chunk, F.col(local).alias("_n"))
-        parts = parts.drop(last)
     ws = Window.partitionBy(*key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = per_slice.select(*key, chunk, (F.sum("_n").over(ws) - F.col("_n")).alias("_off"))
     joined = _join_on_slice(parts, offsets, [*key, chunk])
-    return joined.select(*[parts[c] for c in parts.columns if c != local], (F.col("_off") + parts[local]).alias(out))
+    return joined.select(*[parts[c] for c in parts.columns], (F.col("_off") + parts[local]).alias(out))
