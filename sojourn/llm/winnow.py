@@ -34,14 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bitmap import Bitmap, bitmap, bitmap_bits
 from .common import read_table, small_batches, stage_table, text_bytes
 
 WINDOW = 10
 GRAM = 5
-#: Bits of a bitmap: 64 for each entry, but never more than this (16 MB), however large the benchmark.
-MAX_BITMAP_BITS = 1 << 27
-MIN_BITMAP_BITS = 1 << 20
-
 _WORD_BYTES = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _WORD_BYTES else 0x20 for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -95,18 +92,6 @@ def winnow(h: np.ndarray, window: int) -> np.ndarray:
     return np.unique(at)
 
 
-class Bitmap:
-    """A set of hashes without false negatives."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-        self.shift = np.uint64(64 - int(len(bits) * 8).bit_length() + 1)
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        at = h >> self.shift
-        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
-
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``item_id``, ``len`` (in words), ``window`` (words joined by a space): each item's distinct windows."""
 
@@ -126,19 +111,6 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return rows.distinct()
 
 
-def _bitmap(hashes: DataFrame, bits: int) -> Bitmap:
-    """``hashes`` has one long column ``h``; pages of 64 bits are or-ed in the cluster, so what reaches
-    the driver is at most ``bits / 64`` rows."""
-    shift = 64 - (bits.bit_length() - 1)
-    at = F.shiftrightunsigned("h", shift)
-    pages = (hashes.select(F.shiftrightunsigned(at, 6).alias("page"), at.bitwiseAND(63).cast("int").alias("bit"))
-             .groupBy("page").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("word")))
-    table = np.zeros(bits // 64, np.int64)
-    for batch in pages.toArrow().to_batches():
-        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    return Bitmap(table.view(np.uint8))
-
-
 def item_sets(windows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[Bitmap, Bitmap, list[int]]:
     """Bitmaps of the kept fingerprints and of all windows, and the lengths of short items."""
 
@@ -158,9 +130,9 @@ def item_sets(windows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tup
 
     hashes = stage_table(windows.select("window").mapInArrow(run, "is_print boolean, h long").distinct(), "item_hashes")
     n = hashes.count()
-    bits = min(MAX_BITMAP_BITS, max(MIN_BITMAP_BITS, 1 << (64 * n).bit_length()))
+    bits = bitmap_bits(64 * n)
     lengths = [r.len for r in windows.where(F.col("len") < window).select("len").distinct().collect()]  # at most window - 1 rows
-    return _bitmap(hashes.where("is_print").select("h"), bits), _bitmap(hashes.where("not is_print").select("h"), bits), lengths
+    return bitmap(hashes.where("is_print").select("h"), bits), bitmap(hashes.where("not is_print").select("h"), bits), lengths
 
 
 def candidates(w: np.ndarray, prints: Bitmap, whole: Bitmap, lengths: list[int], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:

@@ -1,3 +1,5 @@
+import random
+
 from sojourn.llm import lines as L
 from tests.harness import compare, duck
 
@@ -9,21 +11,44 @@ def frame(spark, rows=ROWS):
     return spark.createDataFrame([(i, t, "r") for i, t in rows], "doc_id long, text string, removed string").repartition(3)
 
 
-def brute(rows, least=10):
+def cut(line, least):
+    """Units of a line as (start, end, words), written as a plain scan."""
+    ends = [i + 1 for i in range(len(line) - 1) if line[i] in " \t" and line[i + 1] not in " \t" and line[:i + 1].rstrip(" \t")[-1:] in tuple(".!?")]
+    edges = [0, *ends, len(line)] if line else []
+    parts = [(a, z, [w for w in line[a:z].translate(L._FOLD).split(" ") if w]) for a, z in zip(edges, edges[1:])]
+    out = []
+    for a, z, words in parts:
+        if out and not (len(words) >= least and out[-1][3]):
+            b, _, held, long = out[-1]
+            out[-1] = (b, z, held + words, long or len(words) >= least)
+        else:
+            out.append((a, z, words, len(words) >= least))
+    return out
+
+
+def brute(rows, least=L.MIN_WORDS):
     ranked = []
     for n, (i, t) in enumerate(rows):
         at = 0
-        for k, line in enumerate((t or "").split("\n")):
-            words = [w for w in line.translate(L._FOLD).split(" ") if w]
-            if len(words) >= least:
-                ranked.append((i is None, i or 0, at, n, k, " ".join(words)))
+        for line in (t or "").split("\n"):
+            ranked += [(i is None, i or 0, at + a, n, at + z, " ".join(w)) for a, z, w, _ in cut(line, least) if len(w) >= least]
             at += len(line) + 1
-    seen, gone = {}, set()
-    for none, i, at, n, k, unit in sorted(ranked):
+    seen, gone = set(), {}
+    for none, i, a, n, z, unit in sorted(ranked):
         if unit in seen:
-            gone.add((n, k))
-        seen.setdefault(unit, i)
-    return ["\n".join(x for k, x in enumerate(t.split("\n")) if (n, k) not in gone) if t is not None else None for n, (_, t) in enumerate(rows)]
+            gone.setdefault(n, []).append((a, z))
+        seen.add(unit)
+    out = []
+    for n, (_, t) in enumerate(rows):
+        lost, lines, at = {k for a, z in gone.get(n, ()) for k in range(a, z)}, [], 0
+        for line in (t or "").split("\n"):
+            own = range(at, at + len(line))
+            left = "".join(c for k, c in zip(own, line) if k not in lost)
+            if not line or any(k not in lost for k in own):
+                lines.append(left.rstrip(" \t") if lost & set(own) else left)
+            at += len(line) + 1
+        out.append(None if t is None else "\n".join(lines))
+    return out
 
 
 def test_against_brute_force(spark):
@@ -32,10 +57,26 @@ def test_against_brute_force(spark):
     assert sorted(repr((r.doc_id, r.text)) for r in got) == sorted(repr((i, t)) for (i, _), t in zip(rows, brute(rows)))
     text = dict((i, t) for i, t in rows)
     for r in got:
-        if r.text:
-            assert "\n".join(text[r.doc_id][s.start: s.end] for s in r.kept) == r.text
+        left = "".join(("\n" if n and "\n" in text[r.doc_id][r.kept[n - 1].end: s.start] else "") + text[r.doc_id][s.start: s.end] for n, s in enumerate(r.kept))
+        assert left == (r.text or "").strip("\n")
         for s in r.removed:
-            assert s.first_doc_id is not None and len(text[r.doc_id][s.start: s.end].split()) >= 10
+            assert s.first_doc_id is not None and len(text[r.doc_id][s.start: s.end].split()) >= L.MIN_WORDS
+
+
+def test_a_passage_inside_lines(spark):
+    passage = "One two three four five six seven eight. Nine. Ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen!"
+    rows = [(1, f"Mine. A first text of its own with nine words. {passage}"), (2, f"Quite another beginning with as many words as needed. {passage}\nend"),
+            (3, passage), (4, f"{passage}  A tail that no other document has in it here."), (5, "Nine. Ten."), (6, "one two three four five six seven eight.\tnine.")]
+    assert brute(rows)[1:] == ["Quite another beginning with as many words as needed.\nend", "", "A tail that no other document has in it here.", "Nine. Ten.", ""]
+    got = {r.doc_id: r.text for r in L.dedup(frame(spark, rows)).collect()}
+    assert got == {i: t for (i, _), t in zip(rows, brute(rows))}
+
+
+def test_random_texts(spark):
+    rng = random.Random(3)
+    sentences = [" ".join(rng.choice("abcdefghij") for _ in range(rng.choice([1, 2, 7, 8, 9, 14]))) + rng.choice([".", "!", "?", ""]) for _ in range(12)]
+    rows = [(i, "\n".join(rng.choice([" ", "  ", "\t"]).join(rng.choice(sentences) for _ in range(rng.randint(0, 4))) for _ in range(rng.randint(0, 4)))) for i in range(40)]
+    assert {r.doc_id: r.text for r in L.dedup(frame(spark, rows)).collect()} == {i: t for (i, _), t in zip(rows, brute(rows))}
 
 
 def test_a_tie_keeps_one_occurrence(spark):
@@ -51,7 +92,7 @@ def test_query_equals_oracle(spark):
 
 
 def test_without():
-    assert L.without("a\nb\nc", [(2, 3)]) == "a\nc"
-    assert L.without("a\nb\nc", [(0, 1), (4, 5)]) == "b"
-    assert L.without("a", [(0, 1)]) == ""
-    assert L.without("a\n", [(0, 1)]) == ""
+    assert L.without("a\nb\nc", [(2, 3)]) == ("a\nc", [(0, 1), (4, 5)])
+    assert L.without("a\n\nb c", [(0, 1), (3, 5)]) == ("\nc", [(5, 6)])
+    assert L.without("a", [(0, 1)]) == ("", [])
+    assert L.without("a b", [(2, 3)]) == ("a", [(0, 1)])
