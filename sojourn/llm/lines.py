@@ -114,6 +114,7 @@ def removed_units(table: DataFrame) -> DataFrame:
     u = stage_table(repeated_units(table), "repeated_units")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start", "row")
     first = u.groupBy("a", "b").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = stage_table(first, "first_units")  # a plain table on this side lets Spark split a frequent unit's rows in the join
     later = u.join(first, ["a", "b"]).where("not (row = first.row and start = first.start)")
     return later.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.col("first.doc_id").alias("first_doc_id")))).alias("removed"))
 

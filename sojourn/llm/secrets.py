@@ -118,7 +118,7 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: l
     """``versions``: any columns (path, commit, ...) and ``content``.  Returns the new ledger rows, written,
     and the versions (without their content) with ``blob`` and ``found``."""
     new = stage_table(scan(blobs(versions), ledger, rules), "ledger")
-    known = merged(new if ledger is None else ledger.unionByName(new))
+    known = new.select("blob", "found") if ledger is None else stage_table(merged(ledger.unionByName(new)), "ledger_merged")
     paths = versions.withColumn("blob", blob_id(F.col("content"))).drop("content")
     return new, paths.join(known, "blob")
 
@@ -177,7 +177,7 @@ def op9_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = docs.select("doc_id", blob_id(F.col("content")).alias("blob"))
     new = stage_table(scan(blobs(docs)), "ledger")
     base = F.filter("found", lambda s: s["kind"] < len(BASE))
-    per_blob = merged(new).select(
+    per_blob = new.select(  # a plain table: Spark can split the rows of a frequent blob in the join
         "blob", *(_count(k).alias(f"n_{r.kind}") for k, r in enumerate(BASE)),
         F.sha2(_listed(base, RULES), 256).alias("base_sha256"), _listed(F.col("found"), RULES).alias("spans"))
     return paths.join(per_blob, "blob").drop("blob")

@@ -273,7 +273,7 @@ def classes(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest ``doc_id`` of the component)."""
     found = stage_table(classes(docs, max_bits), "simhash_classes")
-    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = stage_table(found.groupBy("root").agg(F.min("doc_id").alias("component_id")), "simhash_least")
     return found.join(least, "root").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
