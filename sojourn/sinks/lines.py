@@ -30,6 +30,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_code
+
 _COPY_BYTES = 4 << 20
 
 
@@ -196,6 +198,7 @@ def compact_lines(spark: SparkSession, staging: str, library: str | Sequence[str
     fuse with the next.  Sources are deleted only after all outputs stand; a run that stopped half-way is
     finished first by the next call.
     """
+    ship_code(spark)
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
     libraries = [library.rstrip("/")] if isinstance(library, str) else [x.rstrip("/") for x in library]
     plan = f"{staging.rstrip('/')}/_compaction"
