@@ -36,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -105,8 +106,8 @@ class Vocabulary:
             if len(known) + len(new) > self.remember:
                 known.clear()
                 new = list(set(words))
-            for w, ids in zip(new, self.leaf.encode(new)):
-                known[w] = np.array(ids, "<i4").tobytes()
+            for w, ids in zip(new, self.leaf.encode(new, num_threads=1)):
+                known[w] = array("i", ids).tobytes()
         return b"".join(map(known.__getitem__, words))
 
     def token(self, piece: str) -> float | None:
