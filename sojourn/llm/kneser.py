@@ -1,11 +1,11 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
 
 The model is a trigram model of characters (A-Z folded, one end per text) for
-each language, trained on trusted text: documents labelled good and not toxic,
-at most ``TRUSTED`` of them in hash order (a distributed top-k; the only
-sample).  Counts, continuation counts, discounts by count of counts, back-off
-weights and probabilities are DataFrame aggregates and joins sharded by n-gram
-or context.
+each language, trained on trusted text: every document labelled good and not
+toxic.  Nothing is sampled: counts, continuation counts, discounts by count of
+counts, back-off weights and probabilities are DataFrame aggregates and joins
+sharded by n-gram or context.  Labels meet the documents' ids, not their texts;
+a block then counts its trusted documents from its file.
 
 A document's perplexity needs the probability of each of its trigrams.  One pass
 over the texts turns every block of a few megabytes into a file of the shared
@@ -42,7 +42,6 @@ from ..session import shared_dir
 from . import arrays
 from .common import read_table, small_batches, stage_table
 
-TRUSTED = 20_000
 QUANTILE = 0.999
 MARGIN = 1.05
 BINS = 1000  # of log10 perplexity, per unit
@@ -58,24 +57,25 @@ def trigrams(text: str) -> np.ndarray:
     return code[:-2] << 2 * BITS | code[1:-1] << BITS | code[2:]
 
 
-def trusted_ids(labels: DataFrame, bound: int = TRUSTED) -> DataFrame:
-    """At most ``bound`` ids: small enough to broadcast whatever the size of the labels."""
+def trusted_ids(labels: DataFrame, bound: int | None = None) -> DataFrame:
+    """The ids of all trusted documents, each once, or with ``bound`` the first of them in hash order."""
     toxic = F.coalesce("toxic", F.lit(0)) if "toxic" in labels.columns else F.lit(0)
     good = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max(toxic).alias("toxic")).where("quality > 0 and toxic <= 0")
-    return good.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    ids = good.select("doc_id")
+    return ids if bound is None else ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
-ROW_SCHEMA = "block long, k int, lang string, gram long, n long, path string"
+ROW_SCHEMA = "block long, k int, lang string, gram long, doc long, path string"
 
 
 def block_rows(docs: DataFrame, folder: str) -> DataFrame:
-    """``docs``: doc_id, lang, text, trusted.  A row per distinct (language, trigram) of a block, with its
-    count in trusted text, and a row with the block's file."""
+    """``docs``: doc_id, lang, text.  A row per distinct (language, trigram) of a block, a row per document
+    with an id (``k``: its place in the block), and a row with the block's file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for b in small_batches(batches):
-            ids, langs, texts, good = (c.to_pylist() for c in b.columns)
+            ids, langs, texts = (c.to_pylist() for c in b.columns)
             found = [np.unique(trigrams(t or ""), return_counts=True) for t in texts]
             size = np.array([len(g) for g, _ in found])
             times = np.concatenate([n for _, n in found])
@@ -89,15 +89,18 @@ def block_rows(docs: DataFrame, folder: str) -> DataFrame:
                 number[mine] = inverse + at
                 at += len(distinct)
                 lists.append(distinct)
-            counted = np.bincount(number, weights=times * np.repeat([bool(x) for x in good], size), minlength=at).astype(np.int64)
+            distinct, spelled = np.concatenate(lists), [x for x, d in zip(names, lists) for _ in range(len(d))]
             path = f"{folder}/{block:016x}-{uuid.uuid4().hex}"
             arrays.save(path, {
                 "doc": np.array([i if i is not None else 0 for i in ids], np.int64), "null": np.array([i is None for i in ids]),
-                "good": np.array([bool(x) for x in good]), "size": size, "lang": np.frombuffer(json.dumps(langs).encode(), np.uint8),
+                "size": size, "lang": np.frombuffer(json.dumps(langs).encode(), np.uint8),
+                "names": np.frombuffer(json.dumps(list(names)).encode(), np.uint8), "grams": distinct, "held": np.array([len(d) for d in lists]),
                 "number": number, "times": times.astype(np.uint32)}, compress=True)
-            spelled = [x for x, d in zip(names, lists) for _ in range(len(d))]
-            columns = [np.full(at + 1, block), np.append(np.arange(at), -1), pa.array([*spelled, None], pa.string()),
-                       np.append(np.concatenate(lists), -1), np.append(counted, 0), pa.array([None] * at + [path], pa.string())]
+            known = [k for k, i in enumerate(ids) if i is not None]
+            more = len(known) + 1
+            columns = [np.full(at + more, block), np.concatenate([np.arange(at), np.array([*known, -1])]), pa.array([*spelled, *[None] * more], pa.string()),
+                       np.append(distinct, np.full(more, -1)), pa.array([*[None] * at, *(ids[k] for k in known), None], pa.int64()),
+                       pa.array([None] * (at + more - 1) + [path], pa.string())]
             kinds = (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, kinds)], [f.split()[0] for f in ROW_SCHEMA.split(", ")])
             block += 1
@@ -105,6 +108,28 @@ def block_rows(docs: DataFrame, folder: str) -> DataFrame:
     return stage_table(docs.mapInArrow(run, ROW_SCHEMA), "kneser_blocks")
 
 
+def trusted_places(rows: DataFrame, good: DataFrame) -> DataFrame:
+    """``block`` and ``k`` of every trusted document; ``good`` is a written table of different ids."""
+    ids = rows.where("doc is not null").select("block", "k", F.col("doc").alias("doc_id"))
+    return stage_table(ids.join(good, "doc_id").select("block", "k"), "kneser_places")
+
+
+def trusted_counts(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """``lang``, ``gram`` and ``n``, the count in a block's trusted documents."""
+    files = rows.where("path is not null").select("block", "k", "path")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        path, good = pdf["path"].dropna().iloc[0], pdf["k"].to_numpy()
+        size, names, grams, held, number, times = arrays.load(path, ["size", "names", "grams", "held", "number", "times"])
+        trusted = np.zeros(len(size), bool)
+        trusted[good[good >= 0]] = True
+        n = np.bincount(number, weights=times * np.repeat(trusted, size), minlength=len(grams)).astype(np.int64)
+        lang = np.repeat(np.array(json.loads(names.tobytes()), object), held)
+        return pd.DataFrame({"lang": lang, "gram": grams, "n": n})[n > 0]
+
+    return files.unionByName(places.withColumn("path", F.lit(None).cast("string"))).groupBy("block").applyInPandas(run, "lang string, gram long, n long")
+
+
 def level(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``counts``: lang, gram, context, n.  Returns lang, gram, alpha (discounted relative count) and
     lang, context, gamma (what the discounts leave for the lower order)."""
@@ -126,11 +151,11 @@ def level(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return alpha, gamma
 
 
-def probabilities(rows: DataFrame) -> DataFrame:
-    """``lang``, ``gram`` and ``log`` (log10 of its probability) for every trigram that occurs; ``lang`` is
-    never null here (the caller spells a missing one)."""
+def probabilities(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """``lang``, ``gram`` and ``log`` (log10 of its probability) for every trigram of ``grams``, from the
+    ``counts`` in trusted text; ``lang`` is never null here (the caller spells a missing one)."""
     low = (1 << BITS) - 1
-    seen = rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    seen = grams.select("lang", "gram", F.lit(0).cast("long").alias("n")).unionByName(counts).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     seen = stage_table(seen, "kneser_counts")
     three = seen.where("n > 0").select("lang", "gram", F.shiftright("gram", BITS).alias("context"), "n")
     pair = F.col("gram").bitwiseAND((1 << 2 * BITS) - 1)
@@ -156,23 +181,28 @@ def probabilities(rows: DataFrame) -> DataFrame:
 SCORE_SCHEMA = "doc_id long, lang string, trusted boolean, n_tokens long, log10_prob double"
 
 
-def scores(rows: DataFrame, table: DataFrame) -> DataFrame:
+def scores(rows: DataFrame, table: DataFrame, places: DataFrame) -> DataFrame:
     """Per document ``n_tokens`` and ``log10_prob`` (null without a model of its language)."""
-    met = rows.where("gram >= 0").select("block", "k", "lang", "gram").join(table, ["lang", "gram"]).select("block", "k", "log", F.lit(None).cast("string").alias("path"))
-    files = rows.where("gram < 0").select("block", "k", F.lit(None).cast("double").alias("log"), "path")
+    none = {"log": F.lit(None).cast("double"), "path": F.lit(None).cast("string"), "good": F.lit(False)}
+    met = rows.where("gram >= 0").select("block", "k", "lang", "gram").join(table, ["lang", "gram"]).select("block", "k", "log", none["path"].alias("path"), none["good"].alias("good"))
+    files = rows.where("path is not null").select("block", "k", none["log"].alias("log"), "path", none["good"].alias("good"))
+    marks = places.select("block", "k", none["log"].alias("log"), none["path"].alias("path"), F.lit(True).alias("good"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         path = pdf["path"].dropna().iloc[0]
-        part = pdf[pdf["k"] >= 0]
+        mark = pdf["good"].to_numpy(bool)
+        part = pdf[(pdf["k"] >= 0).to_numpy() & ~mark]
         log = np.full(len(part), np.nan)
         log[part["k"].to_numpy()] = part["log"].to_numpy(np.float64)
-        doc, null, good, size, lang, number, times = arrays.load(path, ["doc", "null", "good", "size", "lang", "number", "times"])
+        doc, null, size, lang, number, times = arrays.load(path, ["doc", "null", "size", "lang", "number", "times"])
+        good = np.zeros(len(doc), bool)
+        good[pdf["k"].to_numpy()[mark]] = True
         first = np.cumsum(size) - size
         total = np.add.reduceat(log[number] * times, first)
-        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(doc.copy(), null.copy()), "lang": json.loads(lang.tobytes()), "trusted": good.copy(),
+        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(doc.copy(), null.copy()), "lang": json.loads(lang.tobytes()), "trusted": good,
                              "n_tokens": np.add.reduceat(times.astype(np.int64), first), "log10_prob": pd.array(total, "Float64")})
 
-    out = met.unionByName(files).groupBy("block").applyInPandas(run, SCORE_SCHEMA)
+    out = met.unionByName(files).unionByName(marks).groupBy("block").applyInPandas(run, SCORE_SCHEMA)
     return out.withColumn("log10_prob", F.when(~F.isnan("log10_prob"), F.col("log10_prob")))
 
 
@@ -186,15 +216,15 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE, margin: float = MA
             .groupBy("lang").agg((F.pow(F.lit(10.0), F.min("bin") / BINS) * margin).alias("threshold")))
 
 
-def classify(docs: DataFrame, labels: DataFrame, bound: int = TRUSTED, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
     """``doc_id``, ``lang``, ``n_tokens``, ``log10_prob``, ``perplexity``, ``threshold``, ``kept``; one row per input row."""
     missing = "\x00"  # spells a null language in keys
-    good = stage_table(trusted_ids(labels, bound), "kneser_trusted").withColumn("_good", F.lit(True))
-    marked = (docs.select("doc_id", F.coalesce("lang", F.lit(missing)).alias("lang"), "text")
-              .join(F.broadcast(good), "doc_id", "left")  # at most ``bound`` ids
-              .select(F.col("doc_id").cast("long"), "lang", "text", F.coalesce("_good", F.lit(False)).alias("trusted")))
-    rows = block_rows(marked, shared_dir(docs.sparkSession, "llm", "kneser"))
-    scored = stage_table(scores(rows, probabilities(rows.where("gram >= 0"))), "kneser_scores")
+    good = stage_table(trusted_ids(labels).select(F.col("doc_id").cast("long")), "kneser_trusted")
+    spelled = docs.select(F.col("doc_id").cast("long"), F.coalesce("lang", F.lit(missing)).alias("lang"), "text")
+    rows = block_rows(spelled, shared_dir(docs.sparkSession, "llm", "kneser"))
+    places = trusted_places(rows, good)
+    table = probabilities(rows.where("gram >= 0"), trusted_counts(rows, places))
+    scored = stage_table(scores(rows, table, places), "kneser_scores")
     limit = thresholds(scored, quantile, margin)
     perplexity = F.pow(F.lit(10.0), -F.col("log10_prob") / F.col("n_tokens"))
     return scored.join(limit, "lang", "left").select(

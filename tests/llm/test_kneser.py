@@ -81,3 +81,20 @@ def test_odd_rows(spark):
 def test_trusted_rows_are_bounded(spark):
     labels = spark.range(100).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
     assert K.trusted_ids(labels, 7).count() == 7
+
+
+def test_every_trusted_row_counts(spark):
+    """A rare language among more than 20,000 trusted rows has its model and threshold from all its trusted documents."""
+    labels = spark.range(20_010).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    first = K.trusted_ids(labels, 20_000)
+    a, b, c = (r.doc_id for r in labels.join(first, "doc_id", "left_anti").orderBy("doc_id").limit(3).collect())
+    rare = [(a, "rr", "hello there"), (b, "rr", "hello here"), (c, "rr", "well then"), (30_000, "rr", "0#%0#%"), (30_001, "rr", None)]
+    docs = first.selectExpr("doc_id", "'en' AS lang", "concat('w', doc_id % 10) AS text").union(spark.createDataFrame(rare, "doc_id long, lang string, text string"))
+    assert K.trusted_ids(labels).count() == 20_010
+    got = {r.doc_id: r for r in K.classify(docs, labels).where("lang = 'rr'").collect()}
+    for i, _, text in rare:
+        log, size = brute(["hello there", "hello here", "well then"], text)
+        assert got[i].n_tokens == size and got[i].log10_prob == pytest.approx(log, rel=1e-9)
+    assert [got[i].kept for i, _, _ in rare[:4]] == [True, True, True, False]
+    worst = max(got[i].perplexity for i in (a, b, c))
+    assert worst <= got[a].threshold <= worst * K.MARGIN * 10 ** (1 / K.BINS)
