@@ -8,10 +8,12 @@ sections (by element, role, or words of class and id) have ratio 0.  The ratios
 are smoothed over the page with a Gaussian, and two-means clustering of the
 smoothed values gives the threshold above which lines are content.
 
-The clustered lines select the region: the deepest container that holds at
-least four fifths of their text, or the outermost ``article`` / ``main`` around
-it.  All lines of the region outside the excluded parts are the main text, so a
-short paragraph or a heading between long ones is kept.
+The clustered lines select the region: the outermost ``article`` / ``main`` around
+the deepest container that holds at least four fifths of their text, or, without
+such an element, the smallest container that holds all of them.  All lines of the
+region outside the excluded parts are the main text, so a short paragraph or a
+heading between long ones is kept.  Without ``article`` / ``main``, lines around
+the region stay too (a title or a lead beside it), unless they are mostly links.
 
 Cases: null or empty html, or a page without text, gives an empty text; broken
 markup is taken as the parser reports it (an end tag without a start is
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table, small_batches
 
 SIGMA = 1.0
-#: Share of the clustered text that the region must hold.
+#: Share of the clustered text that an article must hold.
 HELD = 0.8
 
 BLOCKS = set("""address article aside blockquote body dd details dialog div dl dt fieldset figcaption figure footer form
@@ -75,24 +77,26 @@ def _excluded(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -
 
 
 class Lines(HTMLParser):
-    """Collects a page's lines: text, tags, excluded or not, and the containers around it."""
+    """Collects a page's lines: text, tags, excluded or not, the container around it, characters in links."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, int]] = []  # element, excluded (itself or around it), container
         self.kinds: list[tuple[str, int]] = [("html", -1)]  # container -> element, parent container
-        self.lines: list[tuple[str, int, bool, int]] = []
+        self.lines: list[tuple[str, int, bool, int, int]] = []
         self.words: list[str] = []
         self.tags = 0
+        self.linked = 0  # characters of the line inside links, without white space
+        self.link: int | None = None  # open elements around the link that is open
 
     def _end_line(self) -> None:
         if self.words:
             text = " ".join("".join(self.words).split())
             if text:
                 top = self.open[-1] if self.open else ("html", False, 0)
-                self.lines.append((text, self.tags, top[1], top[2]))
+                self.lines.append((text, self.tags, top[1], top[2], self.linked))
                 self.tags = 0
-            self.words = []
+            self.words, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -102,6 +106,8 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
+        if tag == "a":
+            self.link = len(self.open)
         _, out, box = self.open[-1] if self.open else ("", False, 0)
         if not out:
             out = _excluded(tag, attrs, self._inside(box))
@@ -135,17 +141,23 @@ class Lines(HTMLParser):
         if tag in BLOCKS:
             self._end_line()
         self.tags += 1
+        if tag == "a":
+            self.link = None
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 if self.open[k][1]:
                     self._end_line()
                 del self.open[k:]
                 break
+        if self.link is not None and len(self.open) < self.link:  # a link left open ends with what is around it
+            self.link = None
 
     def handle_data(self, data: str) -> None:
         self.words.append(data)
+        if self.link is not None:
+            self.linked += sum(map(len, data.split()))
 
-    def done(self) -> list[tuple[str, int, bool, int]]:
+    def done(self) -> list[tuple[str, int, bool, int, int]]:
         self.close()
         self._end_line()
         return self.lines
@@ -180,7 +192,7 @@ def main_text(html: str | None) -> str:
     lines = page.done()
     if not lines:
         return ""
-    ratio = np.array([0.0 if out else len(text) / max(tags, 1) for text, tags, out, _ in lines])
+    ratio = np.array([0.0 if out else len(text) / max(tags, 1) for text, tags, out, _, _ in lines])
     if not ratio.any():
         return ""
     smooth = smoothed(ratio)
@@ -188,25 +200,31 @@ def main_text(html: str | None) -> str:
     if not content.any():
         content = ratio > 0
     held = [0] * len(page.kinds)
-    for (text, _, _, box), yes in zip(lines, content):
+    for (text, _, _, box, _), yes in zip(lines, content):
         while yes and box >= 0:
             held[box] += len(text)
             box = page.kinds[box][1]
-    need = HELD * held[0]
-    region = max(k for k, h in enumerate(held) if h >= need and (k == 0 or held[page.kinds[k][1]] >= need))
-    box = region
+
+    def deepest(need: float) -> int:
+        return max(k for k, h in enumerate(held) if h >= need and (k == 0 or held[page.kinds[k][1]] >= need))
+
+    article, box = -1, deepest(HELD * held[0])
     while box >= 0:
         kind, up = page.kinds[box]
         if kind in ("article", "main"):
-            region = box
+            article = box
         box = up
+    region = article if article >= 0 else deepest(held[0])
 
     def within(box: int) -> bool:
         while box > region:  # a container's number is larger than its parent's
             box = page.kinds[box][1]
         return box == region
 
-    return "\n".join(text for text, _, out, box in lines if not out and within(box))
+    def beside(text: str, linked: int) -> bool:
+        return article < 0 and 2 * linked < sum(map(len, text.split()))
+
+    return "\n".join(text for text, _, out, box, linked in lines if not out and (within(box) or beside(text, linked)))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -50,3 +50,13 @@ def test_smoothing_and_threshold():
     assert np.isclose(s.sum(), 9, atol=0.1) and s.argmax() == 2 and s[1] == s[3] > s[0]
     assert 2 < X.threshold(np.array([1.0, 1.2, 0.9, 8, 9])) < 8
     assert X.threshold(np.array([3.0, 3.0])) == 0
+
+
+def test_nothing_of_the_article_is_dropped_without_an_article_element():
+    long = " ".join(["Long text that goes on and on with many words in it."] * 8)
+    assert X.main_text(f"<body><h1>Title</h1><div><p>{long}</p><p>{long}</p></div></body>") == f"Title\n{long}\n{long}"
+    assert X.main_text(f"<body><div id=content><div class=intro>A lead.</div><div class=body><p>{long}</p><p>{long}</p></div></div></body>") == f"A lead.\n{long}\n{long}"
+    second = "A second section, short but with a few sentences. It belongs to the text as well."
+    parts = f"<section><p>{long}</p><p>{long}</p></section><section><p>{second}</p></section>"
+    assert X.main_text(f"<body><ul><li><a href=1>Home</a><li><a href=2>News of the day</a></ul><div>{parts}</div><div><a href=3>More<p>and more</a></div></body>") == f"{long}\n{long}\n{second}"
+    assert X.main_text(f"<body><p><a href=1>left open</p><h1>Title</h1><div><p>{long}</p><p>{long}</p></div></body>") == f"Title\n{long}\n{long}"
