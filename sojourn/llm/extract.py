@@ -4,9 +4,13 @@ The standard library's parser streams a page's events.  Block-level tags cut
 the page into lines; a line has its text and the number of tags met in it, and
 its text-to-tag ratio is characters per tag.  Lines inside menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and comment
-sections (by element, role, or words of class and id) have ratio 0.  The ratios
-are smoothed over the page with a Gaussian, and two-means clustering of the
-smoothed values gives the threshold above which lines are content.
+sections (by element, role, or words of class and id) have ratio 0.  A word of
+class or id does not exclude an element that holds most of the page's remaining
+text outside links (a wrapper such as ``layout-with-sidebar``; the text inside
+``article`` / ``main`` if there is any, and adverts, comments and notices are
+never wrappers); where such words leave nothing, elements and roles alone exclude.  The ratios are smoothed
+over the page with a Gaussian, and two-means clustering of the smoothed values
+gives the threshold above which lines are content.
 
 The clustered lines select the region: the outermost ``article`` / ``main`` around
 the deepest container that holds at least four fifths of their text, or, without
@@ -51,39 +55,53 @@ MARKS = set("""ad ads adv advert adverts advertisement advertising banner breadc
  notice notices notification overlay pager pagination paywall popup promo promoted promotion recommend recommended related
  replies reply search share sharing sidebar sidenav signin signup skip social sponsor sponsored subscribe subscription toolbar
  topbar widget widgets""".split())
+#: Those that exclude even most of a page's text: there may be more adverts, comments or notices than article.
+SURE = set("""ad ads adv advert adverts advertisement advertising comment comments consent cookie cookies dialog disqus gdpr modal
+ newsletter notice notices overlay paywall popup promo promoted promotion recommend recommended related replies reply sponsor
+ sponsored subscribe subscription""".split())
+#: Words beside which a marker only says what a wrapper has or has not.
+MODIFIERS = {"no", "not", "with", "without", "has", "have", "hide", "show", "open", "closed", "enabled", "disabled", "on", "off"}
 #: Words that mark a part of the article itself, where a header holds its title.
 OWN = {"article", "entry", "post", "content", "story"}
 _TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
-def _excluded(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+KEPT, LIKELY, MARKED, OUT = range(4)  # not excluded, by a word unless it is a wrapper, by a word, by element or role
+
+
+def _excluded(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> int:
     if tag in SKIPPED or (tag == "header" and not in_article):
-        return True
+        return OUT
     if tag in ("html", "body", "main") or not attrs:
-        return False
+        return KEPT
+    marked, wraps, sure = False, False, False
     for name, value in attrs:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return OUT
         if name == "role" and value and value.lower() in ROLES:
-            return True
+            return OUT
         if name == "style" and value and re.search(r"display\s*:\s*none", value):
-            return True
+            return OUT
         if name in ("class", "id") and value:
             words = {w.lower() for w in _TOKENS.findall(value)}
             marks = words & MARKS
-            if marks and not (marks == {"header"} and (in_article or words & OWN)):
-                return True
-    return False
+            marked |= bool(marks) and not (marks == {"header"} and (in_article or words & OWN))
+            for token in value.split():
+                own = {w.lower() for w in _TOKENS.findall(token)}
+                wraps |= bool(own & OWN) and not own & MARKS
+                sure |= bool(own & SURE) and not own & MODIFIERS
+    return KEPT if not marked else MARKED if sure and not wraps else LIKELY
 
 
 class Lines(HTMLParser):
-    """Collects a page's lines: text, tags, excluded or not, the container around it, characters in links."""
+    """Collects a page's lines: text, tags, what excludes it, the container around it, characters in links."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # element, excluded (itself or around it), container
+        self.open: list[tuple[str, int, int]] = []  # element, what excludes it or an element around it, container
+        self.outs: list[tuple[int, int]] = [(KEPT, -1)]  # what excludes -> how, the next one around it
         self.kinds: list[tuple[str, int]] = [("html", -1)]  # container -> element, parent container
-        self.lines: list[tuple[str, int, bool, int, int]] = []
+        self.lines: list[tuple[str, int, int, int, int]] = []
         self.words: list[str] = []
         self.tags = 0
         self.linked = 0  # characters of the line inside links, without white space
@@ -93,7 +111,7 @@ class Lines(HTMLParser):
         if self.words:
             text = " ".join("".join(self.words).split())
             if text:
-                top = self.open[-1] if self.open else ("html", False, 0)
+                top = self.open[-1] if self.open else ("html", 0, 0)
                 self.lines.append((text, self.tags, top[1], top[2], self.linked))
                 self.tags = 0
             self.words, self.linked = [], 0
@@ -108,11 +126,11 @@ class Lines(HTMLParser):
             return
         if tag == "a":
             self.link = len(self.open)
-        _, out, box = self.open[-1] if self.open else ("", False, 0)
-        if not out:
-            out = _excluded(tag, attrs, self._inside(box))
-        if out and not (self.open and self.open[-1][1]):
+        _, out, box = self.open[-1] if self.open else ("", 0, 0)
+        if self.outs[out][0] != OUT and (how := _excluded(tag, attrs, self._inside(box))):
             self._end_line()  # an excluded inline part does not share a line with what is around it
+            self.outs.append((how, out))
+            out = len(self.outs) - 1
         if tag in CONTAINERS:
             self.kinds.append((tag, box))
             box = len(self.kinds) - 1
@@ -157,7 +175,7 @@ class Lines(HTMLParser):
         if self.link is not None:
             self.linked += sum(map(len, data.split()))
 
-    def done(self) -> list[tuple[str, int, bool, int, int]]:
+    def done(self) -> list[tuple[str, int, int, int, int]]:
         self.close()
         self._end_line()
         return self.lines
@@ -184,6 +202,26 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def exclusions(page: Lines) -> list[bool]:
+    """For each of ``page.outs`` whether it, or one around it, excludes its lines."""
+    outs = page.outs
+    sure = [False] * len(outs)
+    for k, (how, up) in enumerate(outs):  # one's number is larger than that of those around it
+        sure[k] = how >= MARKED or k > 0 and sure[up]
+    plain = [(k, sum(map(len, text.split())) - linked, page._inside(box)) for text, _, k, box, linked in page.lines if not sure[k]]
+    article = any(n and inside for _, n, inside in plain)
+    held = [0] * len(outs)
+    for k, n, inside in plain:
+        if inside or not article:
+            held[k] += n
+    for k in range(len(outs) - 1, 0, -1):
+        held[outs[k][1]] += held[k]
+    gone = [False] * len(outs)
+    for k, (how, up) in enumerate(outs):
+        gone[k] = k > 0 and (gone[up] or how >= MARKED or 2 * held[k] <= held[0])
+    return gone
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -192,6 +230,10 @@ def main_text(html: str | None) -> str:
     lines = page.done()
     if not lines:
         return ""
+    excluded = exclusions(page)
+    if all(excluded[line[2]] for line in lines):
+        excluded = [how == OUT for how, _ in page.outs]
+    lines = [(text, tags, excluded[out], box, linked) for text, tags, out, box, linked in lines]
     ratio = np.array([0.0 if out else len(text) / max(tags, 1) for text, tags, out, _, _ in lines])
     if not ratio.any():
         return ""

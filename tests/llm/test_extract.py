@@ -60,3 +60,14 @@ def test_nothing_of_the_article_is_dropped_without_an_article_element():
     parts = f"<section><p>{long}</p><p>{long}</p></section><section><p>{second}</p></section>"
     assert X.main_text(f"<body><ul><li><a href=1>Home</a><li><a href=2>News of the day</a></ul><div>{parts}</div><div><a href=3>More<p>and more</a></div></body>") == f"{long}\n{long}\n{second}"
     assert X.main_text(f"<body><p><a href=1>left open</p><h1>Title</h1><div><p>{long}</p><p>{long}</p></div></body>") == f"Title\n{long}\n{long}"
+
+
+def test_wrappers_with_marker_words_are_kept():
+    text = "Body text that is long enough to count, with a few more words."
+    for start in ('<div class="content no-sidebar">', '<div class="layout-with-sidebar">', '<div class="entry-content social-share-on">', '<article class="post has-comments">', '<div id="sidebar-right">'):
+        inner = f'<h1>Head</h1><p>{text}</p><p>{text}</p><div class="sidebar">aside text</div><div class="comments"><p>{text * 9}</p></div>'
+        assert X.main_text(f'<body><div class="menu"><a href=1>{"home and more " * 40}</a></div>{start}{inner}</{start[1:].split()[0]}></body>') == f"Head\n{text}\n{text}"
+    assert X.main_text(f'<body><div class="comments-area"><p>{text * 9}</p></div><p>{text}</p></body>') == text
+    # nothing else on the page: element and role rules alone
+    assert X.main_text(f'<body><nav>menu</nav><div class="cookie-free comments"><p>{text}</p></div><p role="search">find</p></body>') == text
+    assert X.main_text(f'<body><div class="ad">{text * 9}</div><div class="widget">{text * 9}</div><article><h1>Head</h1><p>Short.</p></article></body>') == "Head\nShort."
