@@ -12,6 +12,7 @@ do not overlap within a rule.  ``split`` gives the pieces between matches and
 ``regexp_extract_all`` the matches, so starts are running sums of lengths.
 The base kinds are ``assign``, ``access`` and ``hex``; the ledger's own rules
 add key headers, vendor tokens, JSON web tokens and passwords in addresses.
+``redact`` masks by ``MASKED``, whose newer key rule takes the whole key.
 
 Cases: null text is empty text; rows with null or repeated ``doc_id`` each give
 a row; a text that consists of a secret, an empty table and an empty ledger are
@@ -59,6 +60,16 @@ RULES = BASE + [
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("url_password", r"://[^/\x00-\x20:@]{1,128}:[^/\x00-\x20:@]{1,128}@"),
 ]
+# A key from its BEGIN line to its END line; if five dashes or the text's end come first, to the end of its base64
+# lines, after header lines if any: runs of 16 characters or more, then at most one shorter line.  Line ends may be
+# spelled (backslash, n), lines indented, quoted or joined by blanks.  All loops are possessive: linear, and no recursion in Java.
+_EOL, _RUN = r"(?:\r?\n|(?:\\r)?\\n)", "[A-Za-z0-9+/]"
+_BODY = (rf"(?:{_EOL}[\x20\t>]*+[A-Za-z]++-[A-Za-z]++:[^\n\\]*+)*+"
+         rf"(?:(?:\\[nrt]|[\s>\"'+,;])*+{_RUN}{{16,}}+={{0,2}}+)*+"
+         rf"(?:[\x20\t\"'+,;]*+{_EOL}[\x20\t>\"']*+{_RUN}++={{0,2}}+(?=[\x20\t\"'+,;]*+(?:[\r\n\\]|\z)))?+")
+PRIVATE_KEY = Rule("private_key", rf"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]{{0,40}}PRIVATE KEY-----|{_BODY})", version=2)
+#: What ``redact`` masks; RULES are those of op9 and its SQL.
+MASKED = [PRIVATE_KEY if r.kind == "private_key" else r for r in RULES]
 LEDGER_SCHEMA = "blob string, rules array<string>, found array<struct<start:int,kind:int,end:int>>"
 
 
@@ -146,7 +157,7 @@ def masked(content: Column, found: Column, rules: list[Rule] = RULES) -> Column:
     return F.when(F.size(found) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(content)
 
 
-def redact(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+def redact(docs: DataFrame, rules: list[Rule] = MASKED) -> DataFrame:
     """``docs`` with every finding masked in ``text``; null stays null, ``n_chars`` follows a changed text.
     Texts are shuffled once, as blobs; documents meet their blob by its address."""
     versions = docs.select(F.col("text").alias("content"))

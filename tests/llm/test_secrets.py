@@ -87,3 +87,31 @@ def test_plan_is_native_and_tables_may_be_empty(spark):
     assert S.redact(docs).count() == 0
     plan = S.scan(S.blobs(frame(spark, TEXTS).withColumnRenamed("text", "content")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_whole_private_keys_are_masked(spark):
+    rows = ["aB3/" * 16, "Zz+9" * 16, "qR7x" * 16, "Kw=="]
+    begin, end, mark = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "[private_key]"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0F1E2D\n\n"
+    cases = {
+        "a\n" + "\n".join([begin, *rows, end]) + "\nb": f"a\n{mark}\nb",
+        "\r\n".join([begin, *rows, end]) + " tail": f"{mark} tail",
+        f"{begin}\n{head}" + "\n".join([*rows, end]) + ".": f"{mark}.",
+        '{"key": "' + "\\n".join([begin, *rows, end, '", "x": 1}']): '{"key": "' + mark + '\\n", "x": 1}',
+        f"{begin} {' '.join(rows)} {end} and on": f"{mark} and on",
+        # without an END line: to the end of the base64 lines
+        "a\n" + "\n".join([begin, *rows]) + "\nand this text stays\n": f"a\n{mark}\nand this text stays\n",
+        "\n".join([begin, *rows]): mark,
+        f"{begin}\n{head}" + "\n".join(rows) + "\n\nThis stays, too.": f"{mark}\n\nThis stays, too.",
+        "\n    ".join([begin, *rows]) + "\n-----\nruled": f"{mark}\n-----\nruled",
+        f"The line {begin} starts a key, all of this stays.": f"The line {mark} starts a key, all of this stays.",
+        "\n".join([begin, *rows, begin, *rows, end]): f"{mark}\n{mark}",
+        begin + "\n" + "\n".join(["aB3/" * 16] * 40_000): mark,
+        begin + " a-b" * 100_000: mark + " a-b" * 100_000,
+    }
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(cases)], "doc_id long, text string, n_chars int")
+    got = {r.doc_id: r for r in S.redact(docs).collect()}
+    for i, want in enumerate(cases.values()):
+        assert got[i].text == want, (i, got[i].text[:200], want[:200])
+        assert got[i].n_chars == len(want)
+    assert [r.kind for r in S.MASKED] == [r.kind for r in S.RULES]
