@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bitsliced import ORACLE as OP11_SQL
+from .bitsliced import op11_bitsliced_bloom
 from .extract import op5_text_tag_ratio
 from .kneser import op7_kneser_ney
 from .lines import ORACLE as OP6_SQL
@@ -32,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_blob_ledger": op9_blob_ledger,
     "op10_quality_rules": op10_quality_rules,
+    "op11_bitsliced_bloom": op11_bitsliced_bloom,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -39,4 +42,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_winnowing": OP2_SQL,
     "op6_line_dedup": OP6_SQL,
     "op9_blob_ledger": OP9_SQL,
+    "op11_bitsliced_bloom": OP11_SQL,
 }
