@@ -12,6 +12,9 @@ from .extract import op5_text_tag_ratio
 from .kneser import op7_kneser_ney
 from .lines import ORACLE as OP6_SQL
 from .lines import op6_line_dedup
+from .merkle import ORACLE as OP12_SQL
+from .merkle import op12_merkle_intervals
+from .mixing import op13_pivotal_mix
 from .ngrams import op3_elias_fano_lm
 from .pieces import op8_sentencepiece
 from .rules import op10_quality_rules
@@ -35,6 +38,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_blob_ledger": op9_blob_ledger,
     "op10_quality_rules": op10_quality_rules,
     "op11_bitsliced_bloom": op11_bitsliced_bloom,
+    "op12_merkle_intervals": op12_merkle_intervals,
+    "op13_pivotal_mix": op13_pivotal_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -43,4 +48,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": OP6_SQL,
     "op9_blob_ledger": OP9_SQL,
     "op11_bitsliced_bloom": OP11_SQL,
+    "op12_merkle_intervals": OP12_SQL,
 }
