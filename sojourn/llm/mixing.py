@@ -12,7 +12,7 @@ a fraction, which is rounded so that the source's words come out near the target
   change, and the draw's odds keep the expectation of each.  The other document stays open and meets the next.
 * Each source's documents are dealt to chunks and walked from the largest to the smallest.  An open document
   with over ``1 / LARGE`` of the words that follow in its chunk meets all of them as one: it is rounded at
-  once, and their fractions make up for it in proportion.  A task holds one open document a chunk and hands
+  once, and their common fraction makes up for it.  A task holds one open document a chunk and hands
   on the last, a small one.
 * The open documents of ``FAN`` chunks meet in the next level of a tree, until a source has one.  That one is
   rounded by its fraction, so a source misses its target by less than the size of that document.
@@ -41,7 +41,7 @@ WEIGHTS = (1, 2, 3)
 MOST = 3
 SEED = 13
 #: Documents of a chunk (about), and chunks whose open documents meet in the next level.
-CHUNK = 1 << 16
+CHUNK = 1 << 12
 FAN = 1 << 10
 #: A document this many times of which outweigh what follows in its chunk meets all of it as one.
 LARGE = 32
@@ -97,61 +97,50 @@ def transfer(size_a: int, a: float, size_b: int, b: float, draw: float) -> tuple
 
 
 class Rest:
-    """What follows in a chunk, as one: ``words``, and ``worth`` of them are wanted.  Fractions of later rows
-    are ``scale * x + shift`` after what earlier documents took or left."""
+    """What follows in a chunk, as one: so many ``words``, all wanted by the same ``fraction``."""
 
-    def __init__(self, words: int, worth: float):
-        self.words, self.worth, self.scale, self.shift = words, worth, 1.0, 0.0
-
-    def next(self, size: int, x: float) -> float:
-        """Take a row out of the rest; its fraction now."""
-        x = min(1.0, max(0.0, self.scale * x + self.shift))
-        self.words -= size
-        self.worth = min(float(self.words), max(0.0, self.worth - size * x))
-        return x
+    def __init__(self, words: int, fraction: float):
+        self.words, self.fraction = words, fraction
 
     def rounds(self, size: int, x: float, draw: float) -> float | None:
-        """The document rounded against all that follows; None if it is not large or that does not suffice."""
-        free = self.words - self.worth
-        if size * LARGE <= self.words or size * (1 - x) >= self.worth or size * x >= free:
+        """The document rounded against all that follows; None if it is not large or that does not suffice.
+        Either way the rest gives or takes the document's words, so its expectation stays too."""
+        if size * LARGE <= self.words:
+            return None
+        less, more = self.fraction - size * (1 - x) / max(self.words, 1), self.fraction + size * x / max(self.words, 1)
+        if less <= NEAR or more >= 1 - NEAR:
             return None
-        if draw < x:  # one more copy: the rest gives its words
-            keep = 1 - size * (1 - x) / self.worth
-            self.scale, self.shift, self.worth = self.scale * keep, self.shift * keep, self.worth * keep
-            return 1.0
-        keep = 1 - size * x / free
-        self.scale, self.shift, self.worth = self.scale * keep, 1 - (1 - self.shift) * keep, self.words - free * keep
-        return 0.0
+        self.fraction = less if draw < x else more
+        return 1.0 if draw < x else 0.0
 
 
 def _meet(level: int, seed: int):
-    """Documents sorted by source and chunk, each with its chunk's words and worth; one open document of
-    each chunk is handed on."""
+    """Documents sorted by source and chunk, each with its chunk's words; one open document of each chunk
+    is handed on.  Only in the first level are a chunk's fractions the same, so only there is a rest one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list | None = None  # the open document; x is its column 6
         now, rest, at = None, None, 0
         for b in batches:
             out = []
-            for *row, words, worth in zip(*(c.to_pylist() for c in b.columns)):
+            for *row, words in zip(*(c.to_pylist() for c in b.columns)):
                 if now != (row[1], row[7]):
                     out += [kept] if kept else []
-                    kept, now, rest, at = None, (row[1], row[7]), Rest(words, worth), 0
+                    kept, now, rest, at = None, (row[1], row[7]), None if level else Rest(words, row[6]), 0
                 at += 1
-                if kept:
-                    whole = rest.rounds(kept[2], kept[6], _draw(kept[0], "", at, level, seed))
+                if rest:
+                    whole = rest.rounds(kept[2], kept[6], _draw(kept[0], "", at, level, seed)) if kept else None
                     if whole is not None:
                         kept[6] = whole
                         out.append(kept)
                         kept = None
-                row[6] = rest.next(row[2], row[6])
-                if kept and 0 < row[6] < 1:
+                    row[6] = rest.fraction
+                    rest.words -= row[2]
+                if kept:
                     kept[6], row[6] = transfer(kept[2], kept[6], row[2], row[6], _draw(kept[0], row[0], at, level, seed))
-                for r in (kept, row) if kept else (row,):
-                    if not 0 < r[6] < 1:
-                        out.append(r)
-                still = [r for r in (kept, row) if r and 0 < r[6] < 1]
-                kept = still[0] if still else None
+                both = [kept, row] if kept else [row]
+                out += [r for r in both if not 0 < r[6] < 1]
+                kept = next((r for r in both if 0 < r[6] < 1), None)
             if out:
                 yield _batch(out, b.schema)
         if kept:
@@ -182,9 +171,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     now = rows.where((F.col("x") >= NEAR) & (F.col("x") <= 1 - NEAR))
     many, level = -(-largest // CHUNK), 0
     while True:
-        each = Window.partitionBy("g", "chunk")
-        worth = F.sum(F.round(F.col("x") * F.col("size") * (1 << 20)).cast("long")).over(each) / float(1 << 20)  # of whole numbers: the same in any order
-        dealt = now.repartition("g", "chunk").select("*", F.sum("size").over(each).alias("words"), worth.alias("worth")).sortWithinPartitions("g", "chunk", F.desc("size"), F.xxhash64("doc_id"), "doc_id")
+        words = F.sum("size").over(Window.partitionBy("g", "chunk"))
+        dealt = now.repartition("g", "chunk").withColumn("words", words).sortWithinPartitions("g", "chunk", F.desc("size"), F.xxhash64("doc_id"), "doc_id")
         met = stage_table(dealt.mapInArrow(_meet(level, seed), OPEN), "mixing_open")
         whole = (F.col("x") == 0) | (F.col("x") == 1)
         done.append(met.where(whole))

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 from fractions import Fraction
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,16 +72,23 @@ def test_reruns_agree_whatever_the_partitions(spark, monkeypatch):
     assert runs[0] == runs[1]
 
 
-def test_every_document_is_taken_as_often_as_its_fraction(spark):
-    """Over many seeds the mean of the copies is the wanted number."""
-    rows = [(i, "ab"[i % 2], text(1 + 7 * i % 23)) for i in range(24)]
-    sized = frame(spark, rows)
-    want = {r.doc_id: r.target / r.source_size for r in M.mix(sized).collect()}
-    mean, n = defaultdict(float), 60
+@pytest.mark.parametrize("level", [0, 1])
+def test_every_document_is_taken_as_often_as_its_fraction(level):
+    """Over many seeds the mean of the rounded fractions is the fraction."""
+    rng = random.Random(4)
+    sizes = sorted((rng.choice((1, 5, 9, 40, 200)) for _ in range(60)), reverse=True)
+    x = [0.3] * 60 if level == 0 else [rng.random() for _ in sizes]
+    names = [f.split()[0] for f in M.OPEN.split(", ")] + ["words"]
+    k = len(sizes)
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (list(range(k)), ["=a"] * k, sizes, [1] * k, [1.0] * k, [0] * k, x, [0] * k, [sum(sizes)] * k)], names)
+    mean, worth, n = [0.0] * k, sum(s * f for s, f in zip(sizes, x)), 3000
     for seed in range(n):
-        for r in M.mix(sized, seed=seed).collect():
-            mean[r.doc_id] += r.copies / n
-    assert all(abs(mean[d] - w) < 4 * 0.5 / n**0.5 for d, w in want.items())
+        got = [r for b in M._meet(level, seed)(iter([batch])) for r in b.to_pylist()]
+        assert len(got) == k and sum(0 < r["x"] < 1 for r in got) <= 1
+        assert sum(r["size"] * r["x"] for r in got) == pytest.approx(worth)
+        for r in got:
+            mean[r["doc_id"]] += r["x"] / n
+    assert max(abs(m - f) for m, f in zip(mean, x)) < 5 * 0.5 / n**0.5
 
 
 def test_a_transfer_keeps_words_and_expectation():
@@ -98,19 +106,12 @@ def test_a_transfer_keeps_words_and_expectation():
 def test_the_rest_makes_up_for_a_large_document():
     rng = random.Random(5)
     for _ in range(300):
-        later = [(rng.randint(1, 20), rng.random()) for _ in range(40)]
-        words, worth = sum(s for s, _ in later), sum(s * x for s, x in later)
-        size, x = rng.randint(20, 60), rng.random()
-        ends = []
-        for draw in (0.0, 1.0):
-            rest = M.Rest(words, worth)
-            whole = rest.rounds(size, x, draw)
-            if whole is None:
-                break
-            ends.append([whole, *(rest.next(s, y) for s, y in later)])
-            assert size * whole + sum(s * y for (s, _), y in zip(later, ends[-1][1:])) == pytest.approx(size * x + worth)
-        if len(ends) == 2:
-            assert all(x * u + (1 - x) * d == pytest.approx(y) for u, d, y in zip(*ends, [x, *(y for _, y in later)]))
+        words, fraction, size, x = rng.randint(100, 900), rng.random(), rng.randint(20, 60), rng.random()
+        up, down = M.Rest(words, fraction), M.Rest(words, fraction)
+        if up.rounds(size, x, 0.0) == 1 and down.rounds(size, x, 1.0) == 0:
+            assert size + words * up.fraction == pytest.approx(size * x + words * fraction) == pytest.approx(words * down.fraction)
+            assert x * up.fraction + (1 - x) * down.fraction == pytest.approx(fraction)
+    assert M.Rest(1000, 0.5).rounds(30, 0.5, 0.1) is None and M.Rest(100, 0.1).rounds(30, 0.5, 0.1) is None and M.Rest(0, 0.1).rounds(30, 0.5, 0.1) is None
 
 
 def test_nulls_empty_texts_and_tables(spark):
