@@ -43,7 +43,6 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bitmap import bitmap, bitmap_bits
 from .common import read_table, small_batches, stage_table, text_bytes
 
 #: Slices that a term (at a level) sets.
@@ -53,16 +52,16 @@ BITS_PER_ENTRY = 20
 MIN_BITS = 512
 #: Rows and bytes of a block at most (eight rows at least).
 BLOCK_ROWS = 1024
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 #: Items, and their different terms, that are searched at once (one item at least).
 ITEMS = 256
 ITEM_TERMS = 1 << 16
 #: Different terms whose documents a task counts before it hands them on.
-HELD_TERMS = 1 << 18
+HELD_TERMS = 1 << 17
 #: Frequency levels: a term reaches level j if tf is at least THRESHOLDS[j].
 THRESHOLDS = np.array([1] + [(1 << j) + 1 for j in range(40)], np.int64)
 #: Cells of an unpacked presence matrix held at once.
-CELLS = 1 << 23
+CELLS = 1 << 21
 
 #: A-Z lower-cased; all ASCII characters but letters and digits become blanks.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -281,18 +280,10 @@ def _top(rows: DataFrame, by: str, k: int) -> DataFrame:
 
 
 def _scored(query: Query, docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``item``, ``doc_id``, ``score``, ``rank``: the k best of the wanted documents, scored on their whole texts.
-
-    A bitmap of bounded size leaves the texts of other documents where they lie."""
-    wanted = stage_table(wanted.withColumn("h", F.xxhash64("doc_id")), "bitsliced_wanted")
-    sieve = bitmap(wanted.select("h"), bitmap_bits(16 * wanted.count()))
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(sieve.has(b.column(0).to_numpy().view(np.uint64)))).select([1, 2])
-
-    few = docs.select(F.xxhash64(F.col("doc_id").cast("long")).alias("h"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(near, "doc_id long, text string")
-    met = few.join(wanted.drop("h").withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id"))).select("doc_id", "text", *MASKS)
+    """``item``, ``doc_id``, ``score``, ``rank``: the k best of the wanted documents, scored on their whole texts."""
+    wanted = stage_table(wanted.withColumnRenamed("doc_id", "__id"), "bitsliced_wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    met = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id"))).select("doc_id", "text", *MASKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[list[tuple]] = [[] for _ in query.items]
