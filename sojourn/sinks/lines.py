@@ -1,70 +1,47 @@
 """Line sinks: publish ``(t, line)`` rows as text files, and compact small files.
 
-Publishing stages all files of a run beside its first target, then renames one
-folder per target (``<target>/run=<id>``).  The run's id makes it repeatable: a
-run that stopped half-way resumes its renames from the complete staging folder,
-and a run with a commit marker publishes nothing again.  Row count and newest
-time for the high-water mark are collected in the same pass as the write
-(``observe``).
-
-Compaction works on bytes: the listing is a table, groups are formed per
-directory, and every task streams the files of its groups into one output file.
-No line is parsed, hashed or shuffled, so a line's bytes (carriage returns too)
-and the size of an output depend on neither the shuffle setting nor the lines.
-A manifest written before the first output makes it restartable.
-
-The driver handles one folder per target and one manifest, never single files.
+A run is named by its id, percent-encoded, so different ids never share a folder.  Every attempt at a run
+stages its files in a folder of its own beside the first target.  An attempt that is complete claims the
+run: it makes the commit marker, which holds the attempt and its statistics, by an exclusive create.  Of
+several attempts at a time one gets the marker, the others drop what they staged.  Then one folder for each
+target is renamed to ``<target>/run=<id>``; whoever finds a marker whose folders are still staged finishes
+that.  Row count and newest time for the high-water mark are collected in the same pass as the write
+(``observe``).  To a target in another store the files are copied by tasks first.
+
+Compaction works on bytes: the listing is a table that tasks make, groups are cut over slices of it, and
+every task streams the files of its groups into one output file.  No line is parsed, hashed or shuffled, so
+a line's bytes (carriage returns too) and the size of an output depend on neither the shuffle setting nor
+the lines.  A manifest written before the first output makes it restartable.
+
+The driver handles one folder for each target, a marker and one manifest, never single files.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
-import re
 import time
 import uuid
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.stage import stage_tables
 from ..session import ship_code
+from .files import COPY_BYTES, copy_tree, create_exclusive, delete_if_empty, done, listing, open_store, qualified, read_small, same_store
+from .files import delete as _delete
+from .files import exists as _exists
+from .files import file_system as _fs
+from .groups import groups
 
-_COPY_BYTES = 4 << 20
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-
-
-def _read_small(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _write_small(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    out.write(bytearray(text.encode()))
-    out.close()
+#: Attempts that staged files and were never finished are deleted by a later run after this many seconds.
+STALE_SECONDS = 86400
+#: A longer name is cut and carries its digest.
+NAME_BYTES = 180
 
 
 def _move(fs, src, dest) -> None:
@@ -73,11 +50,14 @@ def _move(fs, src, dest) -> None:
         raise RuntimeError(f"could not move {src} to {dest}; staging left in place")
 
 
-def listing(spark: SparkSession, root: str) -> DataFrame:
-    """``path``, ``length`` and ``modificationTime`` of every data file under ``root`` (names that begin
-    with ``_`` or ``.`` are skipped); contents are not read."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-            .select("path", "length", "modificationTime"))
+def run_name(run_id: str) -> str:
+    """A file name for the run; different ids have different names."""
+    name = quote(run_id, safe="")
+    if name.startswith((".", "_")):  # hidden from readers of a folder
+        name = f"%{ord(name[0]):02X}{name[1:]}"
+    if len(name) > NAME_BYTES:  # "+" is no character of an encoded id
+        name = f"{name[:NAME_BYTES - 65]}+{hashlib.sha256(run_id.encode()).hexdigest()}"
+    return name
 
 
 def staged_bytes(spark: SparkSession, root: str) -> int:
@@ -102,98 +82,81 @@ def publish_lines(df: DataFrame, targets: Sequence[str], num_files: int | None =
     Each output partition goes to one target, so a run makes ``num_files`` files
     in all (fewer if there are fewer rows; without it, one per partition of
     ``df``).  An empty run makes none.  ``run_id`` names the run: repeating it
-    resumes or skips, see the module notes.  Returns ``{"rows", "max_t"}``.
+    resumes or skips, and of runs at the same time one publishes, see the module
+    notes.  Returns ``{"rows", "max_t"}``.
     """
     spark = df.sparkSession
     targets = [t.rstrip("/") for t in targets]
-    run = re.sub(r"[^A-Za-z0-9._-]", "_", run_id or uuid.uuid4().hex)
+    run = run_name(run_id or uuid.uuid4().hex)
     marker, staging = f"{targets[0]}/_committed/{run}", f"{targets[0]}/_staging/{run}"
-    if _exists(spark, marker):
-        return json.loads(_read_small(spark, marker))
-    if not _exists(spark, f"{staging}/_stats"):
-        _delete(spark, staging)  # an unfinished write: nothing of it has been promoted
-        obs = Observation("publish")
-        out = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("t").alias("max_t")).select("line")
-        if num_files:
-            out = out.repartition(num_files)
-        (out.withColumn("_lib", F.spark_partition_id() % len(targets))
-            .write.partitionBy("_lib").option("lineSep", "\n").text(staging))
-        fs, folders = _fs(spark, f"{staging}/_lib=*")
-        got = obs.get if len(fs.globStatus(folders)) else {}  # Spark drops the observation of a plan it proves empty
-        _write_small(spark, f"{staging}/_stats", json.dumps({"rows": int(got.get("rows") or 0), "max_t": got.get("max_t")}))
-    stats = json.loads(_read_small(spark, f"{staging}/_stats"))
-    for k, target in enumerate(targets):
-        if stats["rows"]:
-            _promote(spark, f"{staging}/_lib={k}", target, run)
-    _write_small(spark, marker, json.dumps(stats))
-    _delete(spark, staging)
-    return stats
+    if not _exists(spark, marker):
+        _drop_stale(spark, staging)
+        attempt = uuid.uuid4().hex
+        stats = _stage(df, f"{staging}/{attempt}", len(targets), num_files)
+        if not create_exclusive(spark, marker, json.dumps({**stats, "attempt": attempt})):
+            _delete(spark, f"{staging}/{attempt}")
+    committed = json.loads(read_small(spark, marker))
+    staged = f"{staging}/{committed.get('attempt')}"
+    if _exists(spark, staged):  # not yet promoted, or not wholly
+        for k, target in enumerate(targets):
+            _promote(spark, f"{staged}/_lib={k}", target, run)
+        _delete(spark, staged)
+    delete_if_empty(spark, staging)
+    return {"rows": committed["rows"], "max_t": committed["max_t"]}
+
+
+def _stage(df: DataFrame, staged: str, n_targets: int, num_files: int | None) -> dict:
+    """Write the lines, a folder for each target; rows and newest time are observed on the way."""
+    spark = df.sparkSession
+    obs = Observation("publish")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("t").alias("max_t")).select("line")
+    if num_files:
+        out = out.repartition(num_files)
+    (out.withColumn("_lib", F.spark_partition_id() % n_targets)
+        .write.partitionBy("_lib").option("lineSep", "\n").text(staged))
+    fs, folders = _fs(spark, f"{staged}/_lib=*")
+    got = obs.get if len(fs.globStatus(folders)) else {}  # Spark drops the observation of a plan it proves empty
+    return {"rows": int(got.get("rows") or 0), "max_t": got.get("max_t")}
+
+
+def _drop_stale(spark: SparkSession, staging: str) -> None:
+    """Attempts at the run that were given up; one that may still be at work is let alone."""
+    fs, p = _fs(spark, staging)
+    if fs.exists(p):
+        for s in fs.listStatus(p):
+            if s.getModificationTime() < (time.time() - STALE_SECONDS) * 1000:
+                fs.delete(s.getPath(), True)
 
 
 def _promote(spark: SparkSession, staged: str, target: str, run: str) -> None:
-    """Rename a staged folder to ``<target>/run=<run>``; from another file system it is copied beside first."""
+    """Rename a staged folder to ``<target>/run=<run>``; in another store it is copied beside first."""
     fs, src = _fs(spark, staged)
     if not fs.exists(src):  # no partition of this target, or promoted by an earlier attempt
         return
     tfs, dest = _fs(spark, f"{target}/run={run}")
-    if fs.getUri().equals(tfs.getUri()):
-        fs.mkdirs(dest.getParent())
-        _move(fs, src, dest)
+    if tfs.exists(dest):  # copied and promoted; only the staged original was left
         return
-    _, beside = _fs(spark, f"{target}/_staging/{run}")
-    if not tfs.exists(dest):
-        tfs.delete(beside, True)
-        util, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil, spark.sparkContext._jsc.hadoopConfiguration()
-        tfs.mkdirs(beside.getParent())
-        if not util.copy(fs, src, tfs, beside, False, conf):
-            raise RuntimeError(f"could not copy {src} to {beside}; staging left in place")
-        _move(tfs, beside, dest)
-
-
-def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and plain path of a Hadoop path (which is not percent-encoded)."""
-    m = re.match(r"([A-Za-z][\w+.-]*):(?://([^/]*))?(/.*)", path)
-    if not m or m[1] == "file":
-        return pafs.LocalFileSystem(), m[3] if m else path
-    fs, root = pafs.FileSystem.from_uri(f"{m[1]}://{m[2] or ''}/")
-    return fs, root.rstrip("/") + m[3]
-
-
-def _groups(files: DataFrame, limit_bytes: int, limit_seconds: float, now_ms: int) -> DataFrame:
-    """Per directory: files older than ``limit_seconds``, and younger ones as far as they fill groups of
-    ``limit_bytes``, in name order; ``directory``, ``group``, ``path``, ``length``."""
-    rows = files.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("directory"), "path", "length",
-                        F.unix_millis("modificationTime").alias("mtime"))
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("path")
-        old = now_ms - pdf["mtime"] >= limit_seconds * 1000
-        out, number = [], 0
-        for part, keep_rest in ((pdf[old], True), (pdf[~old], False)):
-            held, size = [], 0
-            for path, length in zip(part["path"], part["length"]):
-                held.append((path, length))
-                size += length
-                if size >= limit_bytes:
-                    out += [(number, *h) for h in held]
-                    held, size, number = [], 0, number + 1
-            if held and keep_rest:
-                out += [(number, *h) for h in held]
-                number += 1
-        done = pd.DataFrame(out, columns=["group", "path", "length"])
-        done.insert(0, "directory", pdf["directory"].iloc[0])
-        return done
-
-    return rows.groupBy("directory").applyInPandas(fill, "directory string, group long, path string, length long")
+    if not same_store(spark, staged, target):
+        beside = f"{target}/_staging/{run}"
+        copy_tree(spark, staged, beside)
+        if tfs.exists(dest):  # another run of the same id was faster
+            _delete(spark, beside)
+            return
+        tfs, src = _fs(spark, beside)
+    tfs.mkdirs(dest.getParent())
+    try:
+        _move(tfs, src, dest)
+    except Exception:
+        if tfs.exists(src) or not tfs.exists(dest):  # else another run of the same id has moved it
+            raise
 
 
 def compact_lines(spark: SparkSession, staging: str, library: str | Sequence[str], limit_bytes: int,
                   limit_seconds: float, now_ms: int | None = None) -> dict:
     """Merge small staged line files into files of at least ``limit_bytes``, less than that plus one file.
 
-    Per staging directory, files older than ``limit_seconds`` are published; younger files are taken in
-    name order into groups that reach ``limit_bytes`` and full groups are published; the rest stay staged
-    for a later run.  A group becomes one file under the same relative path of one of the ``library``
+    Per staging directory, files older than ``limit_seconds`` are published; younger files are taken into
+    groups that reach ``limit_bytes`` and full groups are published; the rest stay staged for a later run.  A group becomes one file under the same relative path of one of the ``library``
     folders (dealt by a hash of the group).  A file without a final line feed gets one, so it does not
     fuse with the next.  Sources are deleted only after all outputs stand; a run that stopped half-way is
     finished first by the next call.
@@ -204,59 +167,55 @@ def compact_lines(spark: SparkSession, staging: str, library: str | Sequence[str
     plan = f"{staging.rstrip('/')}/_compaction"
     if not _exists(spark, f"{plan}/_SUCCESS"):
         _delete(spark, plan)
-        fs, p = _fs(spark, staging)
-        root = fs.makeQualified(p).toString().rstrip("/")
+        root = qualified(spark, staging)
         run = uuid.uuid4().hex
-        folders = [f"{lfs.makeQualified(lp).toString()}" for lfs, lp in (_fs(spark, x) for x in libraries)]
+        folders = [qualified(spark, x) for x in libraries]
         key = F.xxhash64("directory", "group")
         lib = F.element_at(F.array(*map(F.lit, folders)), (F.pmod(key, F.lit(len(folders))) + 1).cast("int"))
-        (_groups(listing(spark, staging), limit_bytes, limit_seconds, now_ms)
-         .groupBy("directory", "group").agg(F.array_sort(F.collect_list("path")).alias("paths"), F.sum("length").alias("bytes"))
-         .select(F.concat(lib, F.substring(F.col("directory"), len(root) + 1, 1 << 30), F.lit(f"/merged-{run}-"), F.hex(key), F.lit(".txt")).alias("out"),
-                 "paths", "bytes")
-         .write.parquet(plan))
-    groups = spark.read.schema("out string, paths array<string>, bytes long").parquet(plan)
-    n_out, n_in, size = groups.agg(F.count("*"), F.sum(F.size("paths")), F.sum("bytes")).first()
+        with stage_tables(spark):
+            (groups(listing(spark, staging), limit_bytes, limit_seconds, now_ms)
+             .groupBy("directory", "group").agg(F.array_sort(F.collect_list("path")).alias("paths"), F.sum("length").alias("bytes"))
+             .select(F.concat(lib, F.substring(F.col("directory"), len(root) + 1, 1 << 30), F.lit(f"/merged-{run}-"), F.hex(key), F.lit(".txt")).alias("out"),
+                     "paths", "bytes")
+             .write.parquet(plan))
+    manifest = spark.read.schema("out string, paths array<string>, bytes long").parquet(plan)
+    n_out, n_in, size = manifest.agg(F.count("*"), F.sum(F.size("paths")), F.sum("bytes")).first()
     if n_out:
         tasks = min(n_out, 10 * spark.sparkContext.defaultParallelism)
-        dealt = groups.select("out", "paths").repartition(tasks)
+        dealt = manifest.select("out", "paths").repartition(tasks)
         for step in (_merge_groups, _delete_sources):
             dealt.mapInArrow(step, "n long").agg(F.sum("n")).first()
     _delete(spark, plan)
     return {"files_in": int(n_in or 0), "files_out": int(n_out), "bytes": int(size or 0)}
 
 
-def _done(n: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
-
-
 def _merge_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for out, paths in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            fs, final = _open(out)
+            fs, final = open_store(out)
             if fs.get_file_info(final).type == pafs.FileType.NotFound:  # else made by an earlier attempt
                 folder, name = final.rsplit("/", 1)
                 fs.create_dir(folder, recursive=True)
                 part = f"{folder}/.{name}.{uuid.uuid4().hex}"
                 with fs.open_output_stream(part, compression=None) as sink:
                     for path in paths:
-                        sfs, source = _open(path)
+                        sfs, source = open_store(path)
                         end = b"\n"
                         with sfs.open_input_stream(source, compression=None) as f:
-                            while data := f.read(_COPY_BYTES):
+                            while data := f.read(COPY_BYTES):
                                 sink.write(data)
                                 end = data[-1:]
                         if end != b"\n":
                             sink.write(b"\n")
                 fs.move(part, final)
-        yield _done(b.num_rows)
+        yield done(b.num_rows)
 
 
 def _delete_sources(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for paths in b.column(1).to_pylist():
             for path in paths:
-                fs, source = _open(path)
+                fs, source = open_store(path)
                 if fs.get_file_info(source).type != pafs.FileType.NotFound:
                     fs.delete_file(source)
-        yield _done(b.num_rows)
+        yield done(b.num_rows)

@@ -1,6 +1,8 @@
 """Line publishing, compaction, the audit table and the folders they use."""
 
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +11,9 @@ from sojourn import session
 from sojourn.catalog import _points
 from sojourn.plans import jobs, stage, traces
 from sojourn.session import shared_dir
-from sojourn.sinks import audit_append, compact_lines, lines, publish_lines, published, read_audit
-from sojourn.sinks.lines import listing, read_lines, staged_bytes
+from sojourn.sinks import audit_append, compact_lines, files, groups, lines, publish_lines, published, read_audit
+from sojourn.sinks.files import listing
+from sojourn.sinks.lines import read_lines, staged_bytes
 from tests.conftest import SF_SMALL
 
 
@@ -63,6 +66,125 @@ def test_an_empty_run_publishes_no_file(spark):
     assert _files(target) == []
 
 
+def test_runs_whose_names_look_alike_both_publish(spark):
+    ids = ["job/a-0-10", "job_a-0-10", "job%2Fa-0-10", ".x", "_x", "%2Ex", "..", "é", "x" * 400, "x" * 401]
+    assert len({lines.run_name(i) for i in ids}) == len(ids)
+    assert all(len(lines.run_name(i)) <= lines.NAME_BYTES and lines.run_name(i)[0] not in "._" for i in ids)
+    target = shared_dir(spark, "t-clash")
+    for k, i in enumerate(ids[:4] + ids[8:]):
+        row = spark.createDataFrame([(k, f"line of run {k}")], "t long, line string")
+        assert publish_lines(row, [target], run_id=i) == {"rows": 1, "max_t": k}
+    assert _texts(published(spark, [target])) == [f"line of run {k}" for k in range(6)]
+
+
+def test_of_two_runs_at_a_time_one_publishes(spark, monkeypatch):
+    """Both stage their files before either claims the run."""
+    targets = [shared_dir(spark, "t-two", str(i)) for i in range(2)]
+    both, real = threading.Barrier(2), lines._stage
+
+    def together(*args):
+        stats = real(*args)
+        both.wait(120)
+        return stats
+
+    monkeypatch.setattr(lines, "_stage", together)
+    with ThreadPoolExecutor(2) as pool:
+        got = [f.result() for f in [pool.submit(publish_lines, _lines(spark, n), targets, 3, "one") for n in (400, 500)]]
+    assert got[0] == got[1] and got[0]["rows"] in (400, 500)
+    assert _texts(published(spark, targets)) == _texts(_lines(spark, got[0]["rows"]))
+    assert os.listdir(f"{targets[0]}/_staging") == [] and len(os.listdir(f"{targets[0]}/_committed")) <= 2
+
+
+def test_an_exclusive_file_is_made_once(spark):
+    path = f"{shared_dir(spark, 't-claim')}/marker"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda k: files.create_exclusive(spark, path, f"by {k}"), range(8)))
+    assert sum(won) == 1 and files.read_small(spark, path) == f"by {won.index(True)}"
+
+
+def test_an_attempt_without_a_claim_is_dropped_when_stale(spark, monkeypatch):
+    target = shared_dir(spark, "t-stale")
+    with monkeypatch.context() as m:
+        m.setattr(lines, "create_exclusive", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            publish_lines(_lines(spark, 50), [target], run_id="r")
+    assert len(os.listdir(f"{target}/_staging/r")) == 1
+    monkeypatch.setattr(lines, "STALE_SECONDS", -10)
+    assert publish_lines(_lines(spark, 60), [target], run_id="r")["rows"] == 60
+    assert published(spark, [target]).count() == 60 and os.listdir(f"{target}/_staging") == []
+
+
+def test_a_target_in_another_store_is_copied_by_tasks_and_resumes(spark, monkeypatch):
+    targets = [shared_dir(spark, "t-store", str(i)) for i in range(2)]
+    df = _lines(spark, 900)
+    monkeypatch.setattr(lines, "same_store", lambda s, a, b: targets[1] not in b)
+    real = lines._move
+
+    def refused(fs, src, dest):
+        if targets[1] in str(dest):
+            raise RuntimeError("refused")
+        real(fs, src, dest)
+
+    monkeypatch.setattr(lines, "_move", refused)
+    with pytest.raises(RuntimeError):
+        publish_lines(df, targets, num_files=6, run_id="far")
+    assert len(_files(targets[0])) == 3 and not os.path.exists(f"{targets[1]}/run=far")
+    monkeypatch.setattr(lines, "_move", real)
+    stats = publish_lines(df, targets, num_files=6, run_id="far")
+    assert stats["rows"] == 900 and _texts(published(spark, targets)) == _texts(df) and all(_files(t) for t in targets)
+
+
+def test_copied_files_are_not_copied_again(spark, tmp_path):
+    (tmp_path / "in/a b").mkdir(parents=True)
+    for k in range(20):
+        (tmp_path / ("in" if k % 2 else "in/a b") / f"f{k}%.txt").write_bytes(b"\r\n\x00" * k)
+    assert files.copy_tree(spark, str(tmp_path / "in"), str(tmp_path / "out")) == 20
+    first = {f: os.stat(f).st_mtime_ns for f in _files(tmp_path / "out")}
+    (tmp_path / "out/f1%.txt").write_bytes(b"cu")
+    os.remove(tmp_path / "out/a b/f2%.txt")
+    assert files.copy_tree(spark, str(tmp_path / "in"), str(tmp_path / "out")) == 20
+    same = [f for f in first if os.stat(f).st_mtime_ns == first[f]]
+    assert len(same) == 18
+    assert {os.path.relpath(f, tmp_path / "out"): open(f, "rb").read() for f in _files(tmp_path / "out")} == \
+        {os.path.relpath(f, tmp_path / "in"): open(f, "rb").read() for f in _files(tmp_path / "in")}
+
+
+def test_listing_walks_the_levels(spark, tmp_path):
+    want = []
+    for d in ("", "a", "a/b c", "a/b c/é%20", "z=1"):
+        (tmp_path / d).mkdir(exist_ok=True)
+        for k in range(3):
+            (tmp_path / d / f"f{k}").write_bytes(b"x" * k)
+            want.append((f"file:{tmp_path / d / f'f{k}'}", k))
+    (tmp_path / "_hidden").mkdir()
+    (tmp_path / "_hidden/f").write_bytes(b"x")
+    (tmp_path / "a/.part").write_bytes(b"x")
+    assert sorted((r.path, r.length) for r in listing(spark, str(tmp_path)).collect()) == sorted(want)
+    assert listing(spark, str(tmp_path / "absent")).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1000, 200_000])
+def test_one_directory_of_many_files_is_cut_by_many_tasks(spark, monkeypatch, limit):
+    monkeypatch.setattr(groups, "SLICE_FILES", 10_000)
+    n = 200_000
+    size = (F.pmod(F.xxhash64("id"), F.lit(300)) + 1).cast("long")
+    found = spark.range(n, numPartitions=4).select(F.concat(F.lit("/in/"), F.when(F.col("id") % 50 == 0, F.concat(F.lit("d"), F.col("id") % 20_000)).otherwise("hot"), F.lit("/f"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("path"),
+                                                  size.alias("length"), F.timestamp_millis(F.when(F.col("id") % 40 == 0, 0).otherwise(10**12)).alias("modificationTime"))
+    got = groups.groups(found, limit, 1000, 10**12 + 5).toPandas()
+    assert got["path"].is_unique
+    each = got.groupby(["directory", "group"])["length"].agg(["sum", "size"])
+    assert (each["sum"] < limit + 300).all()
+    young = found.where(F.col("modificationTime") > F.timestamp_millis(F.lit(1))).toPandas()
+    young["directory"] = young["path"].str.rsplit("/", n=1).str[0]
+    left = young[~young["path"].isin(set(got["path"]))].groupby("directory")["length"].sum()
+    assert (left < limit).all()  # what stays does not fill a group
+    small = each[each["sum"] < limit].reset_index()
+    assert small.groupby("directory").size().max() == 1  # the last of the old files only
+    first = got[got["group"].str.startswith("0-")]
+    per_task = first.groupby(first["group"].str.split("-").str[1]).size()
+    assert len(per_task) >= 20 and per_task.max() <= 2 * per_task.mean()
+
+
 def test_failed_rename_raises():
     class RefusingFS:
         def rename(self, src, dest):
