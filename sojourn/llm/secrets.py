@@ -70,11 +70,13 @@ _BODY = (rf"(?:{_EOL}[\x20\t>]*+[A-Za-z]++-[A-Za-z]++:[^\n\\]*+)*+"
 PRIVATE_KEY = Rule("private_key", rf"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]{{0,40}}PRIVATE KEY-----|{_BODY})", version=2)
 #: What ``redact`` masks; RULES are those of op9 and its SQL.
 MASKED = [PRIVATE_KEY if r.kind == "private_key" else r for r in RULES]
+#: Code points of a block that is masked as one.
+BLOCK = 4096
 LEDGER_SCHEMA = "blob string, rules array<string>, found array<struct<start:int,kind:int,end:int>>"
 
 
 def blob_id(content: Column) -> Column:
-    return F.sha2(F.coalesce(content, F.lit("")), 256)
+    return F.coalesce(F.sha2(F.coalesce(content, F.lit("")), 256), F.lit(""))  # never null, and Spark can tell
 
 
 def _passes(match: Column, rule: Rule) -> Column:
@@ -95,7 +97,7 @@ def _parts(content: Column, rule: Rule) -> Column:
 def blobs(versions: DataFrame) -> DataFrame:
     """``versions`` has ``content``; one row for each different content."""
     text = F.coalesce("content", F.lit(""))
-    return versions.select(text.alias("content")).groupBy(F.sha2("content", 256).alias("blob")).agg(F.first("content").alias("content"))
+    return versions.select(text.alias("content")).groupBy(blob_id(F.col("content")).alias("blob")).agg(F.first("content").alias("content"))
 
 
 def scan(found_blobs: DataFrame, ledger: DataFrame | None = None, rules: list[Rule] = RULES) -> DataFrame:
@@ -108,6 +110,12 @@ def scan(found_blobs: DataFrame, ledger: DataFrame | None = None, rules: list[Ru
         due = (found_blobs.join(seen, "blob", "left")
                .withColumn("due", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))))
                .where(F.size("due") > 0))
+    return (_spans(due, rules).withColumn("span", F.when(F.col("start").isNotNull(), F.struct("start", "kind", "end")))
+            .groupBy("blob").agg(F.first("due").alias("rules"), F.array_sort(F.collect_list("span")).alias("found")))
+
+
+def _spans(due: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Per blob and finding ``due``, ``kind``, ``start``, ``end``; a blob without any has a row of nulls."""
     hits = F.array(*(
         F.when(F.array_contains("due", r.name) & F.col("content").rlike(r.pattern),
                F.struct(F.lit(k).alias("kind"), _parts(F.col("content"), r).alias("parts")))
@@ -115,9 +123,8 @@ def scan(found_blobs: DataFrame, ledger: DataFrame | None = None, rules: list[Ru
     rows = (due.select("blob", "due", F.explode_outer(F.filter(hits, lambda h: h.isNotNull())).alias("h"))
             .select("blob", "due", F.col("h.kind").alias("kind"), F.posexplode_outer("h.parts").alias("at", "part")))
     w = Window.partitionBy("blob", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    spans = (rows.withColumn("end", F.sum(F.col("part.skip") + F.col("part.len")).over(w).cast("int"))
-             .withColumn("span", F.when(F.col("part.ok"), F.struct((F.col("end") - F.col("part.len")).alias("start"), "kind", "end"))))
-    return (spans.groupBy("blob").agg(F.first("due").alias("rules"), F.array_sort(F.collect_list("span")).alias("found")))
+    ends = rows.withColumn("end", F.sum(F.col("part.skip") + F.col("part.len")).over(w).cast("int"))
+    return ends.select("blob", "due", "kind", F.when(F.col("part.ok"), F.col("end") - F.col("part.len")).alias("start"), "end")
 
 
 def merged(ledger: DataFrame) -> DataFrame:
@@ -134,37 +141,57 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: l
     return new, paths.join(known, "blob")
 
 
-def _uncovered(found: Column) -> Column:
-    """Overlapping spans as (start, end, kind of the first)."""
-    span = "struct<start:int,end:int,kind:int>"
-    grown = F.aggregate(found, F.array().cast(f"array<{span}>"), lambda done, s: F.when(
-        (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
-        F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-            F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"), F.element_at(done, -1)["kind"].alias("kind")))),
-    ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))))
-    return grown
-
-
-def masked(content: Column, found: Column, rules: list[Rule] = RULES) -> Column:
-    """The text with every span replaced by its kind in brackets."""
-    kinds = F.array(*(F.lit(f"[{r.kind}]") for r in rules))
-    spans = _uncovered(found)
-    pieces = F.transform(spans, lambda s, i: F.concat(
-        F.substring(content, F.when(i == 0, F.lit(1)).otherwise(F.get(spans, i - 1)["end"] + 1),
-                    s["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["end"])),
-        F.get(kinds, s["kind"])))
-    tail = F.substring(content, F.element_at(spans, -1)["end"] + 1, F.length(content))
-    return F.when(F.size(found) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(content)
+def _cuts(spans: DataFrame) -> DataFrame:
+    """Per blob with findings ``cuts``: for each block of ``BLOCK`` code points, up to the last with a
+    finding, what to cut from it (from, to, and the kind where a finding begins).
+
+    Findings that overlap or touch are one, named by the first: in order of start, the running maximum of
+    the ends before a span tells whether it opens a new one."""
+    order = Window.partitionBy("blob").orderBy("start", "kind")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = spans.where("start is not null").select("blob", "kind", "start", "end", (F.coalesce(before, F.lit(-1)) < F.col("start")).alias("opens"))
+    number = F.sum(F.col("opens").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    one = (opens.select("*", number.alias("no")).groupBy("blob", "no")
+           .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max(F.when(F.col("opens"), F.col("kind"))).alias("kind")))
+    last = F.floor((F.col("end") - 1) / BLOCK).cast("int")
+    seen = F.coalesce(F.lag(last).over(Window.partitionBy("blob").orderBy("start")), F.lit(-1))
+    first = F.floor(F.col("start") / BLOCK).cast("int")
+    one = one.select("blob", "kind", "start", "end", first.alias("first"), last.alias("last"), seen.alias("seen"))
+    rows = one.select("blob", "kind", "start", "end", "first", F.explode(F.sequence(F.least("first", F.col("seen") + 1), "last")).alias("block"))
+    at = F.col("block") * BLOCK
+    cut = F.when(F.col("block") >= F.col("first"), F.struct(
+        F.greatest(F.col("start") - at, F.lit(0)).alias("from"), F.least(F.col("end") - at, F.lit(BLOCK)).alias("to"),
+        F.when(F.col("block") == F.col("first"), F.col("kind")).alias("kind")))  # blocks between two findings have no cut
+    each = rows.groupBy("blob", "block").agg(F.array_sort(F.collect_list(cut)).alias("cut"))
+    return each.groupBy("blob").agg(F.transform(F.array_sort(F.collect_list(F.struct("block", "cut"))), lambda x: x["cut"]).alias("cuts"))
+
+
+def _masked(content: Column, cuts: Column, rules: list[Rule]) -> Column:
+    """The text with every finding replaced by its kind in brackets, block by block: each block is cut by
+    positions within it, so the work grows with the text and its findings, not with their product."""
+    marks = F.array(*(F.lit(f"[{r.kind}]") for r in rules))
+
+    def without(block: Column, cut: Column) -> Column:
+        kept = F.transform(cut, lambda s, i: F.concat(
+            F.substring(block, F.when(i == 0, F.lit(0)).otherwise(F.get(cut, i - 1)["to"]) + 1,
+                        s["from"] - F.when(i == 0, F.lit(0)).otherwise(F.get(cut, i - 1)["to"])),
+            F.coalesce(F.get(marks, s["kind"]), F.lit(""))))
+        return F.concat(F.array_join(kept, ""), F.substring(block, F.element_at(cut, -1)["to"] + 1, F.lit(BLOCK)))
+
+    blocks = F.regexp_extract_all(content, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    parts = F.transform(blocks, lambda t, i: F.when(F.size(F.get(cuts, i)) > 0, without(t, F.get(cuts, i))).otherwise(t))
+    return F.when(cuts.isNotNull(), F.array_join(parts, "")).otherwise(content)
 
 
 def redact(docs: DataFrame, rules: list[Rule] = MASKED) -> DataFrame:
     """``docs`` with every finding masked in ``text``; null stays null, ``n_chars`` follows a changed text.
-    Texts are shuffled once, as blobs; documents meet their blob by its address."""
-    versions = docs.select(F.col("text").alias("content"))
-    content = blobs(versions)
-    new = stage_table(scan(content, None, rules), "ledger")
-    clean = (content.join(new.select("blob", "found"), "blob")
-             .select(F.col("blob").alias("__blob"), (F.size("found") > 0).alias("__hit"), masked(F.col("content"), F.col("found"), rules).alias("__text")))
+    Texts are shuffled once, as blobs: findings and masked texts stay with their blob, and documents meet it
+    by its address."""
+    content = blobs(docs.select(F.col("text").alias("content")))
+    due = content.withColumn("due", F.array(*(F.lit(r.name) for r in rules)))
+    found = _cuts(_spans(due, rules)).withColumnRenamed("blob", "__of")
+    clean = (content.join(found, F.col("blob") == F.col("__of"), "left")
+             .select(F.col("blob").alias("__blob"), F.col("cuts").isNotNull().alias("__hit"), _masked(F.col("content"), F.col("cuts"), rules).alias("__text")))
     text = F.when(F.col("__null"), F.lit(None)).otherwise(F.col("__text"))
     out = {c: F.col(c) for c in docs.columns} | {"text": text.alias("text")}
     if "n_chars" in docs.columns:
