@@ -28,12 +28,17 @@ DWELL_GAP = 7200
 DAY_SLICE = 86400
 
 
-def dwell_segments(points: DataFrame, gap: int = DWELL_GAP, slice_seconds: int = DAY_SLICE) -> DataFrame:
+def dwell_segments(points: DataFrame, gap: int = DWELL_GAP, slice_seconds: int = DAY_SLICE,
+                   slices: int | None = None) -> DataFrame:
     """Points ``(id, t, site)`` -> segments ``(id, seg, stime, site, etime)``.
 
     Order within an id is ``(t, site)``; the label is the first event's site
     text, ``etime`` the last event's time.  ``seg`` is dense per id from 1.
+    With ``slices`` the walk runs over that many slices of about equal numbers
+    of points instead of over time slices (:func:`even_dwell_segments`).
     """
+    if slices:
+        return even_dwell_segments(points, gap, slices)
     parts = materialize(dwell_segment_parts(points, gap, slice_seconds), "segment-parts")
     numbered = number_segment_parts(parts)
     # Only a slice's last part, and a part that continues an earlier slice, can belong to a segment of
@@ -43,6 +48,19 @@ def dwell_segments(points: DataFrame, gap: int = DWELL_GAP, slice_seconds: int =
     return inner.unionByName(merge_segment_parts(numbered.where(border)))
 
 
+def even_dwell_segments(points: DataFrame, gap: int = DWELL_GAP, slices: int | None = None) -> DataFrame:
+    """:func:`dwell_segments` over range slices: for ids with very many points in a day, or sites in a
+    second, where a time slice of one id would be one task's work.
+
+    A point is an interval without length, and the rule is the same (gap from the previous row's end, same
+    site ignoring case), so the walk is that of :func:`interval_segments`: breaks inside a slice in one
+    sorted pass, a slice's first row from a summary of two rows a slice, however many slices two hours of
+    one id span.  The range bounds are sampled, which reads the points once more than the time slices do.
+    """
+    flat = points.select("id", F.col("t").alias("stime"), "site", F.col("t").alias("etime"))
+    return interval_segments(flat, gap, slices, copies=False)
+
+
 def _folded_points(points: DataFrame, slice_seconds: int) -> DataFrame:
     return (points.select("id", "t", "site")
             .where(F.col("id").isNotNull() & F.col("t").isNotNull() & F.col("site").isNotNull())

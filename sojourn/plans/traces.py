@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import dedupe_segments, remerge
 from ..operators.runs import RELAY_RULE, SLICE_SEGMENTS, SPLIT_RULE, SPLIT_RULE_TIGHT, run_key, run_site_parts
-from ..operators.segments import (DAY_SLICE, DWELL_GAP, dwell_segment_parts, interval_segments, merge_segment_parts,
+from ..operators.segments import (DAY_SLICE, DWELL_GAP, dwell_segment_parts, even_dwell_segments, interval_segments, merge_segment_parts,
                                   number_segment_parts)
 from ..operators.sequence import rank_chunk, with_halo
 from ..operators.smoothing import MIN_RELAY_RUN, merge_site_stats, relay_from_stats, split_from_stats
@@ -42,10 +42,13 @@ def sliced_segments(segments: DataFrame, slice_segments: int = SLICE_SEGMENTS, h
 
 
 def sliced_point_segments(points: DataFrame, slice_seconds: int = DAY_SLICE,
-                          slice_segments: int = SLICE_SEGMENTS, halo: bool = False) -> DataFrame:
+                          slice_segments: int = SLICE_SEGMENTS, halo: bool = False, slices: int | None = None) -> DataFrame:
     """As :func:`sliced_segments` for point events: segment parts are written,
     numbered, copied into the next block when they belong to a block's last
-    segment, and merged after the one shuffle on ``(id, _sc)``."""
+    segment, and merged after the one shuffle on ``(id, _sc)``.  With ``slices``
+    the walk is :func:`segments.even_dwell_segments`, for very dense ids."""
+    if slices:
+        return sliced_segments(even_dwell_segments(points, slices=slices), slice_segments, halo)
     parts = materialize(dwell_segment_parts(points, slice_seconds=slice_seconds), "segment-parts")
     parts = number_segment_parts(parts).withColumn("_sc", rank_chunk("seg", slice_segments))
     trailing: tuple[str, ...] = ()
@@ -84,20 +87,20 @@ def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP, slice_runs: int = SL
 
 
 def trace_split_excl(points: DataFrame, slice_seconds: int = DAY_SLICE,
-                     slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True)
+                     slice_segments: int = SLICE_SEGMENTS, slices: int | None = None) -> DataFrame:
+    segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True, slices=slices)
     return dedupe_segments(split_runs(segs, *SPLIT_RULE, head_included=False, slice_segments=slice_segments))
 
 
 def trace_split_incl(points: DataFrame, slice_seconds: int = DAY_SLICE,
-                     slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
-    segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True)
+                     slice_segments: int = SLICE_SEGMENTS, slices: int | None = None) -> DataFrame:
+    segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True, slices=slices)
     return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=True, slice_segments=slice_segments))
 
 
 def trace_relay(points: DataFrame, slice_seconds: int = DAY_SLICE, slice_segments: int = SLICE_SEGMENTS,
-                slice_runs: int = SLICE_RUNS) -> DataFrame:
-    segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True)
+                slice_runs: int = SLICE_RUNS, slices: int | None = None) -> DataFrame:
+    segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True, slices=slices)
     return remerge_relaid(relay_runs(segs, *RELAY_RULE, slice_segments=slice_segments), slice_runs=slice_runs)
 
 

@@ -56,6 +56,11 @@ def test_segments_and_pipelines_match_model(spark, seed):
     assert rows(traces.trace_split_excl(pts, **SLICES)) == model.pipeline(data, "split_excl")
     assert rows(traces.trace_split_incl(pts, **SLICES)) == model.pipeline(data, "split_incl")
     assert rows(traces.trace_relay(pts, **SLICES, slice_runs=2)) == model.pipeline(data, "relay")
+    even = dwell_segments(pts, slices=23)
+    assert rows(even.select("id", "stime", "site", "etime")) == model.pipeline(data, "segments")
+    assert all(a == b for a, b in zip(sorted(even.select("id", "seg").collect()), sorted(dwell_segments(pts).select("id", "seg").collect())))
+    assert rows(traces.trace_relay(pts, slice_segments=3, slice_runs=2, slices=11)) == model.pipeline(data, "relay")
+    assert rows(traces.trace_split_excl(pts, slice_segments=3, slices=11)) == model.pipeline(data, "split_excl")
     halo = dwell_segments(pts, slice_seconds=HALO["slice_seconds"]).select("id", "stime", "site", "etime")
     assert rows(halo) == model.pipeline(data, "segments")
     assert rows(traces.trace_relay(pts, **HALO, slice_runs=2)) == model.pipeline(data, "relay")

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from sojourn.operators.segments import (dwell_segment_parts, interval_segment_parts, interval_segments, merge_segment_parts,
+from sojourn.operators.segments import (dwell_segment_parts, even_dwell_segments, interval_segment_parts, interval_segments, merge_segment_parts,
                                         number_segment_parts)
 from sojourn.operators.sequence import range_slices
 from sojourn.plans import traces
@@ -64,6 +64,25 @@ def test_hot_interval_day_spreads_evenly(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_dense_day_of_one_id_spreads_evenly(spark):
+    """One id, one day, 500,000 points, up to seven sites a second: no task walks over twice the mean, also
+    where the two hours before a point span several slices."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        pts = spark.range(500_000).selectExpr("'device-hot0001' AS id", "1700006400 + id % 80000 AS t", "concat('S', id div 80000) AS site")
+        flat = pts.selectExpr("id", "t AS stime", "site", "t AS etime")
+        sliced = range_slices(flat, ["stime", "site", "etime"], slices=64)
+        assert sliced.groupBy("_chunk").agg((F.max("stime") - F.min("stime")).alias("s")).agg(F.max("s")).first()[0] < 7200
+        tasks = [r["count"] for r in sliced.repartition("id", "_chunk").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(tasks) == 500_000 and len(tasks) == 8 and max(tasks) <= 2 * 500_000 / 8
+        few = [tuple(r) for r in pts.where("t < 1700006400 + 9000").collect()]
+        got = even_dwell_segments(pts.where("t < 1700006400 + 9000"), slices=64)
+        assert rows(got.select("id", "stime", "site", "etime")) == model.pipeline(few, "segments")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_copies_of_an_inverted_interval(spark):
     """Repeated inverted intervals are carried as a number and come out as single segments."""
     data = [("device-a", 10_000, "A", 100)] * 5 + [("device-a", 9_000, "A", 9_500), ("device-a", 10_050, "A", 10_060)]
