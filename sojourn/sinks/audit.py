@@ -1,5 +1,6 @@
 """Run audit: an append-only table of ``(ts, title, content)`` lines, with the
-optional import columns ``path, bytes, duration_ms``."""
+optional import columns ``path, bytes, duration_ms``.  Its files are folded into
+few as they grow (``append.fold``); every line stays."""
 
 from __future__ import annotations
 
@@ -7,6 +8,8 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .append import append_rows, fold, read_appended
+
 AUDIT_SCHEMA = "ts string, title string, content string, path string, bytes bigint, duration_ms bigint"
 
 
@@ -14,9 +17,9 @@ def audit_append(spark: SparkSession, table_path: str, title: str, content: str,
                  path: str | None = None, nbytes: int | None = None, duration_ms: int | None = None) -> None:
     """Append one audit line; ``ts`` defaults to now (UTC, ``yyyy-MM-dd HH:mm:ss``)."""
     ts = ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    row = spark.createDataFrame([(ts, title, content, path, nbytes, duration_ms)], AUDIT_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(table_path)
+    append_rows(spark, table_path, [(ts, title, content, path, nbytes, duration_ms)], AUDIT_SCHEMA)
+    fold(spark, table_path, AUDIT_SCHEMA)
 
 
 def read_audit(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).parquet(table_path)
+    return read_appended(spark, table_path, AUDIT_SCHEMA)

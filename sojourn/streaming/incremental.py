@@ -7,7 +7,8 @@ the number of rows written are saved and an audit line is appended.
 The control table is append-only (``id, type, name, value`` with increasing
 ids, read back through :func:`operators.state.state_latest`), so a run that
 dies half-way leaves the previous mark in force and the batch is simply
-processed again.  Publishing carries the slice as its run id: a rerun of a
+processed again.  Its files are folded to the newest row of each key as they
+grow, while readers go on (``sinks.append``).  Publishing carries the slice as its run id: a rerun of a
 slice whose lines were already committed publishes nothing again, so each slice
 is delivered once.  An empty slice publishes no file and moves the mark.
 """
@@ -24,6 +25,7 @@ from ..operators.state import state_latest
 from ..operators.watermark import next_watermark_value
 from ..plans.stage import stage_tables
 from ..sinks import audit_append, publish_lines
+from ..sinks.append import append_rows, fold, read_appended
 
 CONTROL_SCHEMA = "id bigint, type string, name string, value string"
 STOP_TIME = "stopTime"
@@ -33,10 +35,14 @@ RESULT_NUMS = "resultNums"
 def read_control(spark: SparkSession, path: str) -> DataFrame:
     """The control table; empty only if it does not exist yet.  Any other error raises, so a
     storage fault never looks like a job without a mark."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return spark.createDataFrame([], CONTROL_SCHEMA)
-    return spark.read.schema(CONTROL_SCHEMA).parquet(path)
+    return read_appended(spark, path, CONTROL_SCHEMA)
+
+
+def newest_rows(rows: DataFrame) -> DataFrame:
+    """Per type and name (without case) the row with the largest id: all that a reader of marks needs."""
+    key = [F.lower(F.trim("type")).alias("_type"), F.lower(F.trim("name")).alias("_name")]
+    columns = [f.split()[0] for f in CONTROL_SCHEMA.split(", ")]
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*columns), "id").alias("_row")).select("_row.*")
 
 
 def saved_value(spark: SparkSession, path: str, job: str, name: str) -> str | None:
@@ -50,7 +56,8 @@ def saved_value(spark: SparkSession, path: str, job: str, name: str) -> str | No
 def save_values(spark: SparkSession, path: str, job: str, values: dict[str, str]) -> None:
     base = time.time_ns()
     rows = [(base + i, job, name, str(v)) for i, (name, v) in enumerate(values.items())]
-    spark.createDataFrame(rows, CONTROL_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    append_rows(spark, path, rows, CONTROL_SCHEMA)
+    fold(spark, path, CONTROL_SCHEMA, newest_rows)
 
 
 def run_increment(spark: SparkSession, job: str, run: Callable[[int, int], DataFrame], targets: Sequence[str],
