@@ -3,7 +3,9 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
+from sojourn.llm import components as C
 from sojourn.llm import simhash as S
 from sojourn.llm.components import components
 
@@ -101,3 +103,21 @@ def test_groups_cut_by_batches(spark, monkeypatch):
     parts = S._links(key, probe, fp, 3)
     assert len(whole[0]) == len(parts[0]) > 0
     assert (np.bitwise_count((parts[0] ^ parts[1]).view(np.uint64)) <= 3).all()
+
+
+def test_the_edges_of_a_hub_are_spread(spark, monkeypatch):
+    """One node with four fifths of all edge ends: no task has over twice the mean."""
+    monkeypatch.setattr(C, "HUB", 1000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        n = 100_000
+        edges = spark.range(n, numPartitions=8).selectExpr("if(id % 5 < 4, 7, id + 1000000) AS u", "id + 5000000 AS v")
+        both = edges.unionByName(edges.selectExpr("v AS u", "u AS v"))
+        got = C._star(both, 2 * n)
+        tasks = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(tasks) == 2 * n and max(tasks) <= 2 * 2 * n / len(tasks)
+        assert got.where("u = 7").select("m").distinct().collect() == [(7,)]
+        roots = {r.node: r.root for r in components(edges).collect()}
+        assert len(roots) == n + 1 + n // 5 and all(r == (7 if (node - 5000000) % 5 < 4 else node - 4000000) for node, r in roots.items() if node >= 5000000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
