@@ -53,7 +53,7 @@ def _keys_present(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.where(cond)
 
 
-def _join_on_slice(rows: DataFrame, summary: DataFrame, cols: Sequence[str]) -> DataFrame:
+def join_on_slice(rows: DataFrame, summary: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Join a per-slice summary back to the slice's rows on plain equality.
 
     Keys are never null here (ids are filtered before every walk and slice
@@ -129,7 +129,7 @@ def running_total(df: DataFrame, key: Sequence[str], chunk: str, order: Sequence
     totals = df.groupBy(*key, chunk).agg(F.sum(value).alias("_tot"))
     ws = Window.partitionBy(*key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = totals.select(*key, chunk, (F.sum("_tot").over(ws) - F.col("_tot")).alias("_off"))
-    joined = _join_on_slice(staged, offsets, [*key, chunk])
+    joined = join_on_slice(staged, offsets, [*key, chunk])
     return joined.select(*[staged[c] for c in df.columns], (F.col("_off") + F.col("_ls")).alias(out))
 
 
@@ -200,5 +200,5 @@ def number_parts(parts: DataFrame, key: Sequence[str], chunk: str, local: str, o
         per_slice = parts.where(F.col(last)).select(*key, chunk, F.col(local).alias("_n"))
     ws = Window.partitionBy(*key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = per_slice.select(*key, chunk, (F.sum("_n").over(ws) - F.col("_n")).alias("_off"))
-    joined = _join_on_slice(parts, offsets, [*key, chunk])
+    joined = join_on_slice(parts, offsets, [*key, chunk])
     return joined.select(*[parts[c] for c in parts.columns], (F.col("_off") + parts[local]).alias(out))

@@ -5,6 +5,12 @@ aggregation, so a run of any length costs one small row per site) and finish
 with a window over the sites of one run -- bounded by the number of distinct
 sites, never by the number of rows.  No row-level join back is needed.
 
+A run over very many different sites is still one window.  ``slices=`` cuts the
+sites of all runs into that many slices of equal size instead: each slice is
+scanned on its own, and a slice's place in its run comes from the totals of
+the slices before it -- of numbers of sites for the equal split, and of
+``(sum, max-plus)`` pairs for the re-lay.  Both forms give the same rows.
+
 ``split_equal``  : the run's span, first start to last end, is cut into equal
                    slices, one per distinct site (case-sensitive) in first-seen
                    order; the step is the span integer-divided (toward zero) by
@@ -24,6 +30,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.stage import materialize
+from .sequence import join_on_slice, range_slices
+
 # Fixed value: runs shorter than this many segments are not re-laid.
 MIN_RELAY_RUN = 3
 
@@ -61,29 +70,53 @@ def merge_site_stats(parts: DataFrame, key: Sequence[str]) -> DataFrame:
         F.max_by("ls", "lp").alias("ls"), F.max_by("le", "lp").alias("le"))
 
 
-def split_from_stats(stats: DataFrame, key: Sequence[str]) -> DataFrame:
+def split_from_stats(stats: DataFrame, key: Sequence[str], slices: int | None = None) -> DataFrame:
     """Equal split from per-site statistics -> ``(id, *key, stime, site, etime)``."""
     k = ["id", *key]
+    sized = _sized_in_slices(stats, k, slices) if slices else _sized(stats, k)
+    step = F.expr("(hi - lo) div k")
+    return sized.select(
+        *k,
+        (F.col("lo") + F.col("r") * step).alias("stime"),
+        "site",
+        (F.col("lo") + (F.col("r") + 1) * step).alias("etime"),
+    )
+
+
+def _sized(stats: DataFrame, k: Sequence[str]) -> DataFrame:
+    """Each run's bounds ``lo`` and ``hi``, its sites ``k``, and the site's place ``r`` from 0."""
     seen = Window.partitionBy(*k).orderBy("fp")
     # Whole-run aggregates use the same order with a full frame: one sort serves both.
     whole = seen.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sized = stats.select(
+    return stats.select(
         *k, "site",
         F.min_by("fs", "fp").over(whole).alias("lo"),
         F.max_by("le", "lp").over(whole).alias("hi"),
         F.count(F.lit(1)).over(whole).cast("long").alias("k"),
         (F.row_number().over(seen) - 1).cast("long").alias("r"),
     )
-    step = F.expr("(hi - lo) div k")
-    return sized.select(
-        *k,
-        (F.col("lo") + F.col("r") * step).alias("stime"),
-        "site",
-        (F.col("lo") + (F.col("r") + 1) * step).alias("etime"),
-    )
 
 
-def relay_from_stats(stats: DataFrame, key: Sequence[str] = ("run",), min_run: int = MIN_RELAY_RUN) -> DataFrame:
+def _sized_in_slices(stats: DataFrame, k: Sequence[str], slices: int) -> DataFrame:
+    """As :func:`_sized`, scanned slice by slice."""
+    cut = range_slices(stats, [*k[1:], "fp"], slices=slices)
+    local = F.row_number().over(Window.partitionBy(*k, "_chunk").orderBy("fp"))
+    rows = materialize(cut.select(*k, "_chunk", "site", "fp", "fs", "lp", "le", local.cast("long").alias("r")), "split-slices")
+    each = rows.groupBy(*k, "_chunk").agg(
+        F.count(F.lit(1)).alias("c"), F.min("fp").alias("fp"), F.min_by("fs", "fp").alias("fs"),
+        F.max("lp").alias("lp"), F.max_by("le", "lp").alias("le"))
+    order = Window.partitionBy(*k).orderBy("_chunk")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    places = each.select(
+        *k, "_chunk", F.min_by("fs", "fp").over(whole).alias("lo"), F.max_by("le", "lp").over(whole).alias("hi"),
+        F.sum("c").over(whole).alias("k"),
+        (F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("c")).alias("before"))
+    met = join_on_slice(rows.select(*k, "_chunk", "site", "r"), places, [*k, "_chunk"])
+    return met.select(*k, "site", "lo", "hi", "k", (F.col("before") + F.col("r") - 1).alias("r"))
+
+
+def relay_from_stats(stats: DataFrame, key: Sequence[str] = ("run",), min_run: int = MIN_RELAY_RUN,
+                     slices: int | None = None) -> DataFrame:
     """Re-lay from per-site statistics -> ``(id, *key, ord, stime, site, etime)``.
 
     ``ord`` orders the output inside its run: the slice position for re-laid
@@ -94,17 +127,7 @@ def relay_from_stats(stats: DataFrame, key: Sequence[str] = ("run",), min_run: i
     the running total dwell, i.e. two running windows.
     """
     k = ["id", *key]
-    ordered = Window.partitionBy(*k).orderBy("m", "fp")
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Whole-run total with the same order and a full frame: one sort serves both.
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    staged = stats.select(
-        *k, "site", "cnt", "m", "d", "fp", "fs", "fe", "lp", "ls", "le",
-        F.sum("cnt").over(whole).alias("n"),
-        F.row_number().over(ordered).cast("long").alias("pos"),
-        F.sum("d").over(upto).alias("S"),
-    )
-    staged = staged.withColumn("X", F.col("S") + F.max(F.col("m") - (F.col("S") - F.col("d"))).over(upto))
+    staged = _laid_in_slices(stats, k, slices) if slices else _laid(stats, k)
 
     def piece(order, start, end):
         return F.struct(order.cast("long").alias("ord"), start.cast("long").alias("stime"),
@@ -119,11 +142,58 @@ def relay_from_stats(stats: DataFrame, key: Sequence[str] = ("run",), min_run: i
                       F.col("p.etime").alias("etime"))
 
 
-def split_equal(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+_STATS = ("site", "cnt", "m", "d", "fp", "fs", "fe", "lp", "ls", "le")
+
+
+def _laid(stats: DataFrame, k: Sequence[str]) -> DataFrame:
+    """The statistics with the run's segments ``n``, the site's place ``pos`` from 1 and its end ``X``."""
+    ordered = Window.partitionBy(*k).orderBy("m", "fp")
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Whole-run total with the same order and a full frame: one sort serves both.
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    staged = stats.select(
+        *k, *_STATS,
+        F.sum("cnt").over(whole).alias("n"),
+        F.row_number().over(ordered).cast("long").alias("pos"),
+        F.sum("d").over(upto).alias("S"),
+    )
+    return staged.withColumn("X", F.col("S") + F.max(F.col("m") - (F.col("S") - F.col("d"))).over(upto))
+
+
+def _laid_in_slices(stats: DataFrame, k: Sequence[str], slices: int) -> DataFrame:
+    """As :func:`_laid`, scanned slice by slice.
+
+    A slice that follows a total dwell of ``off`` adds ``off`` to each of its
+    sums, so its local maxima of ``m_j - S_{j-1}`` count less by ``off``; what
+    it takes over from earlier slices is that pair (sum, largest start).
+    """
+    cut = range_slices(stats, [*k[1:], "m", "fp"], slices=slices)
+    inside = Window.partitionBy(*k, "_chunk").orderBy("m", "fp")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = cut.select(*k, "_chunk", *_STATS, F.row_number().over(inside).cast("long").alias("pos"),
+                        F.sum("d").over(upto).alias("S"))
+    rows = materialize(summed.withColumn("M", F.max(F.col("m") - (F.col("S") - F.col("d"))).over(upto)), "relay-slices")
+    each = rows.groupBy(*k, "_chunk").agg(F.count(F.lit(1)).alias("c"), F.sum("cnt").alias("n"), F.sum("d").alias("d"),
+                                          F.max("M").alias("M"))
+    order = Window.partitionBy(*k).orderBy("_chunk")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sums = each.select(
+        *k, "_chunk", "M", F.sum("n").over(whole).alias("n"),
+        (F.sum("c").over(so_far) - F.col("c")).alias("before"), (F.sum("d").over(so_far) - F.col("d")).alias("off"))
+    carried = F.max(F.col("M") - F.col("off")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    met = join_on_slice(rows, sums.select(*k, "_chunk", "n", "before", "off", carried.alias("carried")), [*k, "_chunk"])
+    # greatest() passes over the null that a run's first slice takes over
+    end = F.col("off") + F.col("S") + F.greatest("carried", F.col("M") - F.col("off"))
+    return met.select(*k, *_STATS, "n", (F.col("before") + F.col("pos")).alias("pos"), end.alias("X"))
+
+
+def split_equal(rows: DataFrame, key: Sequence[str], slices: int | None = None) -> DataFrame:
     """``(id, seg, stime, site, etime, *key)`` -> ``(id, *key, stime, site, etime)``."""
-    return split_from_stats(site_stats(rows, key), key)
+    return split_from_stats(site_stats(rows, key), key, slices)
 
 
-def relay_by_dwell(rows: DataFrame, key: Sequence[str] = ("run",), min_run: int = MIN_RELAY_RUN) -> DataFrame:
+def relay_by_dwell(rows: DataFrame, key: Sequence[str] = ("run",), min_run: int = MIN_RELAY_RUN,
+                   slices: int | None = None) -> DataFrame:
     """``(id, seg, stime, site, etime, *key)`` -> ``(id, *key, ord, stime, site, etime)``."""
-    return relay_from_stats(site_stats(rows, key), key, min_run)
+    return relay_from_stats(site_stats(rows, key), key, min_run, slices)

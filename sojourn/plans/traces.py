@@ -9,7 +9,9 @@
 
 Each stage keeps ``id`` in its keys, and every per-id walk is sliced (see
 ``operators/sequence.py``), so no stage sends one id's whole history to one
-task.  All outputs are ``(id, stime, site, etime)``.
+task.  All outputs are ``(id, stime, site, etime)``.  With ``slices`` the walks and the
+scans of each run's sites go over that many slices of equal size, for very dense ids
+and for runs over very many sites.
 """
 
 from __future__ import annotations
@@ -59,26 +61,27 @@ def sliced_point_segments(points: DataFrame, slice_seconds: int = DAY_SLICE,
 
 
 def run_stats(segments: DataFrame, dur: int, gap: int, head_included: bool,
-              slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+              slice_segments: int = SLICE_SEGMENTS, slices: int | None = None) -> DataFrame:
     """Sliced segments (with halo copies) -> per ``(id, run[, short], site)``
-    statistics, partitioned on ``(id, run)`` for the per-run windows."""
+    statistics, partitioned on ``(id, run)`` for the per-run windows; with ``slices``, whose
+    scans need no such partitioning, on the whole key, so a run's sites are spread."""
     flag = "_halo" if "_halo" in segments.columns else None
     parts = run_site_parts(segments, dur, gap, head_included, slice_segments, halo_flag=flag)
-    return merge_site_stats(parts.repartition("id", "run"), run_key(head_included))
+    return merge_site_stats(parts if slices else parts.repartition("id", "run"), run_key(head_included))
 
 
 def split_runs(segments: DataFrame, dur: int, gap: int, head_included: bool,
-               slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+               slice_segments: int = SLICE_SEGMENTS, slices: int | None = None) -> DataFrame:
     """Sliced segments -> each run cut into equal slices; ``(id, *key, stime, site, etime)``."""
     key = run_key(head_included)
-    return split_from_stats(run_stats(segments, dur, gap, head_included, slice_segments), key)
+    return split_from_stats(run_stats(segments, dur, gap, head_included, slice_segments, slices), key, slices)
 
 
 def relay_runs(segments: DataFrame, dur: int = RELAY_RULE[0], gap: int = RELAY_RULE[1],
-               min_run: int = MIN_RELAY_RUN, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
+               min_run: int = MIN_RELAY_RUN, slice_segments: int = SLICE_SEGMENTS, slices: int | None = None) -> DataFrame:
     """Sliced segments -> runs (head included) re-laid by dwell;
     ``(id, run, ord, stime, site, etime)``."""
-    return relay_from_stats(run_stats(segments, dur, gap, True, slice_segments), ["run"], min_run)
+    return relay_from_stats(run_stats(segments, dur, gap, True, slice_segments, slices), ["run"], min_run, slices)
 
 
 def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP, slice_runs: int = SLICE_RUNS) -> DataFrame:
@@ -89,26 +92,26 @@ def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP, slice_runs: int = SL
 def trace_split_excl(points: DataFrame, slice_seconds: int = DAY_SLICE,
                      slice_segments: int = SLICE_SEGMENTS, slices: int | None = None) -> DataFrame:
     segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True, slices=slices)
-    return dedupe_segments(split_runs(segs, *SPLIT_RULE, head_included=False, slice_segments=slice_segments))
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE, head_included=False, slice_segments=slice_segments, slices=slices))
 
 
 def trace_split_incl(points: DataFrame, slice_seconds: int = DAY_SLICE,
                      slice_segments: int = SLICE_SEGMENTS, slices: int | None = None) -> DataFrame:
     segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True, slices=slices)
-    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=True, slice_segments=slice_segments))
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=True, slice_segments=slice_segments, slices=slices))
 
 
 def trace_relay(points: DataFrame, slice_seconds: int = DAY_SLICE, slice_segments: int = SLICE_SEGMENTS,
                 slice_runs: int = SLICE_RUNS, slices: int | None = None) -> DataFrame:
     segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True, slices=slices)
-    return remerge_relaid(relay_runs(segs, *RELAY_RULE, slice_segments=slice_segments), slice_runs=slice_runs)
+    return remerge_relaid(relay_runs(segs, *RELAY_RULE, slice_segments=slice_segments, slices=slices), slice_runs=slice_runs)
 
 
 def trace_interval(intervals: DataFrame, slices: int | None = None, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:
     """Copies of an inverted interval are left out of the walk: such a row is never short, so each copy
     would stand alone and the output drops duplicates."""
     segs = sliced_segments(interval_segments(intervals, slices=slices, copies=False), slice_segments, halo=True)
-    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=False, slice_segments=slice_segments))
+    return dedupe_segments(split_runs(segs, *SPLIT_RULE_TIGHT, head_included=False, slice_segments=slice_segments, slices=slices))
 
 
 __all__ = ["SLICE_SEGMENTS", "relay_runs", "remerge_relaid", "run_stats", "sliced_point_segments", "sliced_segments",

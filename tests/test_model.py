@@ -61,6 +61,8 @@ def test_segments_and_pipelines_match_model(spark, seed):
     assert all(a == b for a, b in zip(sorted(even.select("id", "seg").collect()), sorted(dwell_segments(pts).select("id", "seg").collect())))
     assert rows(traces.trace_relay(pts, slice_segments=3, slice_runs=2, slices=11)) == model.pipeline(data, "relay")
     assert rows(traces.trace_split_excl(pts, slice_segments=3, slices=11)) == model.pipeline(data, "split_excl")
+    assert rows(traces.trace_split_incl(pts, slice_segments=3, slices=90)) == model.pipeline(data, "split_incl")
+    assert rows(traces.trace_relay(pts, slice_segments=3, slice_runs=2, slices=90)) == model.pipeline(data, "relay")
     halo = dwell_segments(pts, slice_seconds=HALO["slice_seconds"]).select("id", "stime", "site", "etime")
     assert rows(halo) == model.pipeline(data, "segments")
     assert rows(traces.trace_relay(pts, **HALO, slice_runs=2)) == model.pipeline(data, "relay")
@@ -96,3 +98,25 @@ def test_remerge_matches_model_across_slices(spark, seed):
     got = remerge(range_slices(iv, order, slices=20), order, "_chunk")
     want = sorted((i, *s) for i, r in model.by_id(data).items() for s in model.remerge(sorted(r)))
     assert rows(got.select("id", "stime", "site", "etime")) == want
+
+
+def random_runs(seed, n_runs=6, sites=40):
+    """Segments in long runs over many sites, with equal starts and dwells of zero and less."""
+    rnd = random.Random(seed)
+    out = []
+    for run in range(1, n_runs + 1):
+        for _ in range(rnd.choice([1, 2, 3, 50, 200])):
+            t = rnd.randint(0, 400)
+            out.append(("device-run", len(out) + 1, t, f"S{rnd.randint(0, sites)}", t + rnd.choice([-5, 0, 3, 40]), run))
+    return out
+
+
+@pytest.mark.parametrize("slices", [1, 3, 40, 300])
+def test_sliced_runs_equal_whole_windows(spark, slices):
+    from sojourn.operators.smoothing import relay_by_dwell, split_equal
+
+    segs = spark.createDataFrame(random_runs(slices), "id string, seg long, stime long, site string, etime long, run long")
+    for whole, cut in ((relay_by_dwell(segs), relay_by_dwell(segs, slices=slices)), (split_equal(segs, ["run"]), split_equal(segs, ["run"], slices=slices))):
+        assert whole.schema.names == cut.schema.names and [f.dataType for f in whole.schema] == [f.dataType for f in cut.schema]
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cut.collect()))
+    assert relay_by_dwell(segs.limit(0), slices=slices).count() == 0 and split_equal(segs.limit(0), ["run"], slices=slices).count() == 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sojourn.operators.segments import (dwell_segment_parts, even_dwell_segments, interval_segment_parts, interval_segments, merge_segment_parts,
                                         number_segment_parts)
 from sojourn.operators.sequence import range_slices
+from sojourn.operators.smoothing import relay_by_dwell, split_equal
 from sojourn.plans import traces
 from sojourn.plans.stage import materialize
 from tests import model
@@ -96,3 +97,34 @@ def test_copies_of_an_inverted_interval(spark):
     parts = interval_segment_parts(many).collect()
     assert len(parts) == 1 and parts[0].last.extra == 299_999
     assert interval_segments(many).count() == 300_000
+
+
+def test_run_over_a_million_sites_spreads_evenly(spark):
+    """One run of 1,000,000 sites: no task scans over twice the mean, and the rows are those of one sequential scan."""
+    n = 1_000_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        start = "id * 7 - id % 1000 * 5"
+        segs = spark.range(n).selectExpr("'device-hot0001' AS id", "id + 1 AS seg", f"{start} AS stime", "concat('S', id) AS site",
+                                         f"{start} + id % 11 AS etime", "1L AS run")
+        order = ["run", "stime", "seg"]
+        tasks = [r["count"] for r in range_slices(segs, order).repartition("id", "run", "_chunk").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(tasks) == n and len(tasks) == 8 and max(tasks) <= 2 * n / 8
+
+        sites = sorted((k * 7 - k % 1000 * 5, k) for k in range(n))
+        end, total, ends = sites[0][0], 0, 0
+        for m, k in sites:
+            end = max(end, m) + k % 11
+            total += end
+            ends ^= end * (k + 1)
+        got = relay_by_dwell(segs, slices=64)
+        key = F.col("etime") * (F.substring("site", 2, 9).cast("long") + 1)
+        assert tuple(got.agg(F.count("*"), F.max("ord"), F.max("etime"), F.sum("etime"), F.bit_xor(key)).first()) == (n, n, end, total, ends)
+
+        lo, hi = 0, (n - 1) * 7 - (n - 1) % 1000 * 5 + (n - 1) % 11
+        cut = split_equal(segs, ["run"], slices=64).withColumn("k", F.substring("site", 2, 9).cast("long"))
+        step = (hi - lo) // n
+        assert cut.where((F.col("stime") == lo + F.col("k") * step) & (F.col("etime") == lo + (F.col("k") + 1) * step)).count() == n
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
