@@ -46,18 +46,34 @@ REVISIT_BYTES = 1000
 #: An archive is closed, and another begun, after so many bytes.
 FILE_BYTES = 1 << 30
 LEVEL = 3
+#: Rows of a hot digest at least, and hot digests at most.
+HOT = 100_000
+HOTS = 100_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
+def meet_unique(rows: DataFrame, unique: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with ``unique``, which has one row per key.  ``rows`` is a written table, read several times.
+
+    All rows of a key would be one task's work; what a key with over ``HOT`` rows and over one in ``HOTS`` of
+    all rows meets is broadcast instead, which are fewer than ``HOTS`` rows whatever the table."""
+    least = max(HOT, rows.count() // HOTS)
+    hot = stage_table(rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > least).select(*keys), "hot_keys")
+    if hot.isEmpty():
+        return rows.join(unique, keys)
+    few = unique.join(F.broadcast(hot), keys, "left_semi")
+    return rows.join(F.broadcast(few), keys).unionByName(rows.join(F.broadcast(hot), keys, "left_anti").join(unique, keys))
+
+
 def records(pages: DataFrame) -> DataFrame:
     """``pages`` as records: ``page_id``, ``url``, ``html``, ``digest`` and ``refers_to`` (revisits only).
     ``found`` holds ids and digests; texts meet it by row, and only if there are revisits at all."""
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html"), F.sha1(payload.cast("binary")).alias("digest"))
-    large = rows.where(F.octet_length("html") >= REVISIT_BYTES).select("page_id", "digest")
+    large = stage_table(rows.where(F.octet_length("html") >= REVISIT_BYTES).select("page_id", "digest"), "digests")
     groups = large.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null").drop("n")
-    found = large.join(groups, "digest").where("page_id is null or page_id < refers_to").distinct()
+    found = meet_unique(large, stage_table(groups, "repeated_digests"), ["digest"]).where("page_id is null or page_id < refers_to").distinct()
     found = stage_table(found.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "refers_to"), "revisits")
     return rows.join(found, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left").drop("_id", "_digest")
 
@@ -65,9 +81,11 @@ def records(pages: DataFrame) -> DataFrame:
 def chunk_rows(found: DataFrame, size: int = CHUNK) -> DataFrame:
     """One row per chunk, in order; a revisit and an empty payload have one empty chunk."""
     body = F.when(F.col("refers_to").isNull(), F.col("html").cast("binary")).otherwise(F.lit(b""))
-    last = F.greatest(F.lit(0), F.ceil(F.octet_length(body) / size).cast("int") - 1)
-    cut = F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(body, k * size + 1, F.lit(size)))
-    return found.select("page_id", "url", "digest", "refers_to", F.octet_length(body).cast("long").alias("n_bytes"), F.posexplode(cut).alias("chunk", "data"))
+    last = F.greatest(F.lit(0), F.ceil(F.octet_length("body") / size).cast("int") - 1)
+    numbered = (found.select("page_id", "url", "digest", "refers_to", body.alias("body"))
+                .select("*", F.explode(F.sequence(F.lit(0), last)).alias("chunk")))  # numbers only: no second copy of the payload
+    return numbered.select("page_id", "url", "digest", "refers_to", F.octet_length("body").cast("long").alias("n_bytes"), "chunk",
+                           F.substring("body", F.col("chunk") * size + 1, F.lit(size)).alias("data"))
 
 
 def _urn(page_id: int | None, digest: str) -> str:
@@ -233,7 +251,7 @@ def payloads(chunks: DataFrame) -> DataFrame:
     whole = stage_table(whole, "warc_records")
     response = whole.where("record_type = 'response'").select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
     targets = response.select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("declared"), "payload_bytes", "payload_digest").distinct()
-    revisit = (whole.where("record_type = 'revisit'").drop("payload_bytes", "digest").join(targets, ["refers_to", "declared"])
+    revisit = (meet_unique(whole.where("record_type = 'revisit'").drop("payload_bytes", "digest"), targets, ["refers_to", "declared"])
                .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
     return response.unionByName(revisit)
 

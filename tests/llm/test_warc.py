@@ -71,3 +71,40 @@ def test_empty_table_and_oracle(spark):
     assert W.payloads(W.read(W.write(W.chunk_rows(W.records(pages(spark).limit(0))), shared_dir(spark, "warc-test")))).count() == 0
     ok, message = compare(W.op1_chunked_warc(spark, "/root/testdata/sf0.001"), duck("/root/testdata/sf0.001"), W.ORACLE)
     assert ok, message
+
+
+def test_a_digest_of_most_pages_is_spread(spark, monkeypatch):
+    """80 % of the pages share one payload: the joins on its digest have no task over twice the mean, and the result is that of plain code."""
+    monkeypatch.setattr(W, "HOT", 1000)
+    n, conf = 20_000, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = W.stage_table(spark.range(n).repartition(8).selectExpr("id AS page_id", "CASE WHEN id % 5 < 4 THEN 'hot' ELSE concat('d', id % 1000) END AS digest"), "hot-test")
+        unique = rows.groupBy("digest").agg(W.F.max("page_id").alias("refers_to"))
+        met = W.meet_unique(rows, unique, ["digest"])
+        tasks = [r["count"] for r in met.where("digest = 'hot'").groupBy(W.F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(tasks) == n * 4 // 5 and max(tasks) <= 2 * n / 8
+        top = {"hot": n - 2} | {f"d{k % 1000}": k for k in range(n) if k % 5 == 4}
+        assert sorted(map(tuple, met.select("page_id", "refers_to").collect())) == [(k, top["hot" if k % 5 < 4 else f"d{k % 1000}"]) for k in range(n)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_most_pages_are_revisits(spark, monkeypatch):
+    monkeypatch.setattr(W, "HOT", 50)
+    html = {k: ("a hot page" if k % 5 else f"page {k}") * 300 for k in range(500)}
+    table = spark.createDataFrame([(k, "u", h, "d") for k, h in html.items()], "page_id long, url string, html string, digest string")
+    got = W.payloads(W.read(W.write(W.chunk_rows(W.records(table), 100), shared_dir(spark, "warc-test")), 100)).collect()
+    want = [(k, len(h), hashlib.sha1(h.encode()).hexdigest(), *(("revisit", 499) if k % 5 and k < 499 else ("response", None))) for k, h in html.items()]
+    assert sorted(map(tuple, got)) == [w for w in want]
+
+
+def test_a_large_payload_moves_in_chunks(spark):
+    size = 64 << 20
+    table = spark.range(1).selectExpr("1L AS page_id", "'u' AS url", f"repeat(concat('0123456789abcde', id), {size // 16}) AS html")
+    table = W.stage_table(table, "large-test")
+    got = W.payloads(W.read(W.write(W.chunk_rows(W.records(table)), shared_dir(spark, "warc-test")))).collect()
+    assert [tuple(r) for r in got] == [(1, size, hashlib.sha1(b"0123456789abcde0" * (size // 16)).hexdigest(), "response", None)]
