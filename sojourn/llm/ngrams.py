@@ -20,7 +20,8 @@ its trie, and answers each block from the mapped trie.  (3) Scores: a block
 meets its answers and sums over its documents.  A frequent word or bigram is one
 entry per block wherever it falls.  All counts cover all training documents.
 
-Words are held as 64-bit hashes, successors within a context as up to 40 bits.
+Words are held as 64-bit hashes, successors within a context as 40 bits.  The number
+of shards grows with the blocks' words and tokens, so a shard's do not.
 
 Cases: null text is empty text (one end token); a null ``doc_id`` is a training
 document; repeated rows each count and each give a row; an empty table gives an
@@ -47,6 +48,9 @@ from .common import read_table, small_batches, stage_table, text_bytes
 
 DISCOUNT = 0.75
 SUCCESSOR_BITS = 40
+#: Bounds of a shard; a shard of over 2 ** 23 words would not have room for the successors' bits.
+SHARD_WORDS = 4_000_000
+SHARD_TOKENS = 32_000_000
 CODES = 255  # code 255: absent
 LOWEST = -8.0  # log10 of the smallest coded value
 END = xxhash.xxh64_intdigest(b"")  # no word is empty
@@ -195,11 +199,11 @@ def held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
-BLOCK_SCHEMA = "block long, path string, train_tokens long"
+BLOCK_SCHEMA = "block long, path string, train_tokens long, tokens long, words long"
 
 
 def write_blocks(docs: DataFrame, folder: str) -> DataFrame:
-    """One file per block; a row (``block``, ``path``, ``train_tokens``) for each."""
+    """One file per block; a row (``block``, ``path``, its training tokens, tokens and distinct words) for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, block = _Hashes(), TaskContext.get().partitionId() << 32
@@ -218,7 +222,7 @@ def write_blocks(docs: DataFrame, folder: str) -> DataFrame:
             arrays.save(path, {
                 "doc": np.array([i if i is not None else 0 for i in ids], np.int64), "null": np.array([i is None for i in ids]), "train": train, "size": size,
                 "words": words, "number": number.astype(np.uint32)}, compress=True)
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([path]), pa.array([int(size[train].sum())])], ["block", "path", "train_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (block, path, int(size[train].sum()), int(size.sum()), len(words))], ["block", "path", "train_tokens", "tokens", "words"])
             block += 1
 
     return stage_table(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, BLOCK_SCHEMA), "ngram_blocks")
@@ -305,8 +309,10 @@ def answers(sent: DataFrame, folder: str, discount: float = DISCOUNT) -> DataFra
         words, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         word_count = np.bincount(number, weights=np.concatenate([p[1] for p in parts]), minlength=len(words)).astype(np.int64)
         many = np.concatenate([p[2] for p in parts])
-        bits = min(SUCCESSOR_BITS, 63 - len(words).bit_length())
-        successor = _long(np.concatenate([p[3] for p in parts])) >> np.uint64(SUCCESSOR_BITS - bits)
+        bits = SUCCESSOR_BITS
+        if len(words).bit_length() + bits > 63:
+            raise ValueError(f"{len(words)} words in a shard: successors would lose bits; take more shards")
+        successor = _long(np.concatenate([p[3] for p in parts]))
         count = np.concatenate([p[4] for p in parts])
         key = np.repeat(number, many).astype(np.uint64) << np.uint64(bits) | successor
         pair, which = np.unique(key[count > 0], return_inverse=True)
@@ -357,11 +363,18 @@ def score(blocks: DataFrame, answered: DataFrame, shards: int) -> DataFrame:
     return met.groupBy("block").applyInPandas(run, SCORE_SCHEMA)
 
 
+def shard_count(blocks: DataFrame, least: int) -> int:
+    """Shards such that one has at most about ``SHARD_WORDS`` words and ``SHARD_TOKENS`` tokens: distinct words
+    and bigrams are fewer than the blocks' sums, which hashing deals evenly."""
+    tokens, words = blocks.agg(F.sum("tokens"), F.sum("words")).first()
+    return max(least, -(-(tokens or 0) // SHARD_TOKENS), -(-(words or 0) // SHARD_WORDS))
+
+
 def train_and_score(docs: DataFrame, discount: float = DISCOUNT) -> DataFrame:
     """Train on the documents that are not held out and score all."""
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = write_blocks(docs, shared_dir(spark, "llm", "blocks"))
+    shards = shard_count(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     answered = answers(to_shards(blocks, shards), shared_dir(spark, "llm", "tries"), discount)
     return score(blocks, answered, shards)
 

@@ -86,3 +86,17 @@ def test_pointers_may_repeat():
 def test_codes():
     x = 10 ** -np.linspace(0, 7.9, 500)
     assert (np.abs(np.log10(N.VALUE[N.code(x)]) - np.log10(x)) <= 8 / 254 / 2 + 1e-9).all()
+
+
+def test_shards_follow_the_data(spark, monkeypatch):
+    """More words or tokens make more shards, not larger ones, and no other scores."""
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string").repartition(3)
+    blocks = N.write_blocks(docs, N.shared_dir(spark, "llm", "blocks"))
+    tokens = sum(len((t or "").split()) + 1 for _, t in ROWS)
+    assert blocks.agg(N.F.sum("tokens")).first()[0] == tokens and N.shard_count(blocks, 8) == 8
+    monkeypatch.setattr(N, "SHARD_TOKENS", 200)
+    assert N.shard_count(blocks, 8) == -(-tokens // 200) > 8
+    monkeypatch.setattr(N, "SHARD_WORDS", 1)
+    assert N.shard_count(blocks, 8) >= 9
+    assert N.shard_count(blocks.limit(0), 8) == 8
+    check(N.train_and_score(docs).collect(), brute(ROWS))
