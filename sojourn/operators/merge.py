@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..functions import same_site
 from ..plans.stage import materialize
 from .segments import DWELL_GAP
-from .sequence import slice_offsets
 
 
 def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_GAP) -> DataFrame:
@@ -25,9 +24,10 @@ def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_
 
     ``order`` is a total order per id and ``chunk`` a slice key that does not
     decrease along it.  One sorted pass per slice finds the merges *inside*
-    the slice and reads parts off the ordered rows; the parts are written, and
-    whether a slice's first row continues the previous non-empty slice's last
-    row is decided on a per-slice summary (a window per id over slices only).
+    the slice and reads parts off the ordered rows; the parts are written.
+    Only a slice's first and last part can be a piece of a longer segment: they
+    alone are walked again, in one window per id over two rows a slice, and
+    merged on the same partitioning.  All other parts stay where they lie.
     """
     order = list(order)
 
@@ -38,38 +38,28 @@ def remerge(rows: DataFrame, order: Sequence[str], chunk: str, gap: int = DWELL_
     w = Window.partitionBy("id", chunk).orderBy(*order)
     first = F.lag(F.lit(1)).over(w).isNull()
     prev = {"site": F.lag("site").over(w), "etime": F.lag("etime").over(w)}
-    inner = F.when(first, F.lit(False)).otherwise(
-        F.coalesce(breaks(prev, {"site": F.col("site"), "etime": F.col("etime")}), F.lit(True)))
-    walked = rows.select("*", first.alias("_first"), inner.alias("_inner"))
-    walked = walked.select(
-        "*",
-        F.sum(F.col("_inner").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        .alias("lm"),
-        F.coalesce(F.lead("_inner").over(w), F.lit(True)).alias("_last"))
-    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(order)]
-    tail_of_row = F.struct(*keys, F.col("etime").alias("_etime"))
-    edges = walked.where(F.col("_first") | F.col("_inner") | F.col("_last"))
-    edges = edges.select("*", F.lead(tail_of_row).over(w).alias("_next_tail"))
-    parts = edges.where(F.col("_first") | F.col("_inner")).select(
-        "id", F.col(chunk).alias("_c"), "lm",
-        F.struct(*keys, F.col("stime").alias("_stime"), F.col("site").alias("_site"),
-                 F.col("etime").alias("_hetime")).alias("head"),
-        F.when(F.col("_last"), tail_of_row).otherwise(F.col("_next_tail")).alias("tail"),
+    opens = first | F.coalesce(breaks(prev, {"site": F.col("site"), "etime": F.col("etime")}), F.lit(True))
+    walked = rows.select("*", first.alias("_first"), opens.alias("_opens"))
+    walked = walked.select("*", F.coalesce(F.lead("_opens").over(w), F.lit(True)).alias("_last"))
+    edges = walked.where(F.col("_opens") | F.col("_last"))
+    edges = edges.select("*", F.lead("etime").over(w).alias("_next_etime"))
+    parts = edges.where("_opens").select(
+        "id", F.col(chunk).alias("_c"), "stime", "site", F.col("etime").alias("_hetime"),
+        F.when(F.col("_last"), F.col("etime")).otherwise(F.col("_next_etime")).alias("etime"),
         "_first", F.lead(F.lit(1)).over(w).isNull().alias("_end"))
     parts = materialize(parts, "remerge-parts")
 
+    border = F.col("_first") | F.col("_end")
     # A slice's first part follows the previous slice's last part (rows of a part share the site up to
-    # case); ``etime`` is the part's last end, ``hetime`` its first row's.
-    ends = parts.where(F.col("_first") | F.col("_end")).select(
-        "id", "_c", "lm", F.col("head._site").alias("site"), F.col("tail._etime").alias("etime"),
-        F.col("head._hetime").alias("hetime"), "_first", F.when(F.col("_end"), F.col("lm")).otherwise(0).alias("_n"))
-    per_slice = slice_offsets(ends, "_c", "lm", lambda prev, cur: breaks(prev, {"site": cur["site"], "etime": cur["hetime"]}),
-                              ["site", "etime"], ["site", "hetime"])
-    numbered = parts.join(per_slice, (parts["id"] == per_slice["_s_id"]) & (parts["_c"] == per_slice["_s_chunk"]))
-    numbered = numbered.select("id", (F.col("_off") + F.col("_fb") + F.col("lm")).alias("_m"), "head", "tail")
-    head, tail = F.min("head"), F.max("tail")
-    return numbered.groupBy("id", "_m").agg(
-        head["_stime"].alias("stime"), head["_site"].alias("site"), tail["_etime"].alias("etime")).drop("_m")
+    # case; ``etime`` is its last end, ``_hetime`` its first row's); a last part that is not also the first opened there.
+    ws = Window.partitionBy("id").orderBy("_c", F.col("_first").desc())
+    prev = {"site": F.lag("site").over(ws), "etime": F.lag("etime").over(ws)}
+    continues = F.coalesce(F.col("_first") & ~breaks(prev, {"site": F.col("site"), "etime": F.col("_hetime")}), F.lit(False))
+    ends = parts.where(border).select("id", "_c", "stime", "site", "etime", (~continues).cast("long").alias("_new"), "_first")
+    upto = ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    merged = ends.withColumn("_m", F.sum("_new").over(upto)).groupBy("id", "_m").agg(
+        F.min_by("stime", "_c").alias("stime"), F.min_by("site", "_c").alias("site"), F.max_by("etime", "_c").alias("etime"))
+    return parts.where(~border).select("id", "stime", "site", "etime").unionByName(merged.drop("_m"))
 
 
 def dedupe_segments(df: DataFrame) -> DataFrame:

@@ -15,11 +15,11 @@ segments, so an id with billions of segments is still scanned in parallel.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.stage import materialize
-from .sequence import halo_walk, number_parts, rank_chunk
+from .sequence import halo_walk, key_parts, number_parts, rank_chunk
 from .smoothing import site_stats
 
 SLICE_SEGMENTS = 100_000
@@ -65,11 +65,16 @@ def run_site_parts(segments: DataFrame, dur: int, gap: int, head_included: bool,
     ``segments`` must be partitioned on ``(id, chunk)`` with
     ``chunk = rank_chunk(seg, slice_segments)`` (see :func:`walk_runs`).
     Statistics are kept per run *part* (a run that crosses slices has one part
-    per slice); the parts are written, numbered and returned as ``(id, run[,
-    short], site, cnt, m, d, fp, lp, first, last)`` for
-    :func:`smoothing.merge_site_stats`.
+    per slice); the parts are written, given their run's key and returned as
+    ``(id, run[, short], site, cnt, m, d, fp, lp, first, last)`` for
+    :func:`smoothing.merge_site_stats`.  ``run`` rises along an id's runs but is
+    not dense: the slice and the place in it where the run opens
+    (:func:`sequence.key_parts`), so ``rank_chunk(run, slice_segments)`` is that slice.
     """
     walked = walk_runs(segments, dur, gap, slice_segments, chunk, halo_flag)
-    parts = site_stats(walked, ["lrun"] if head_included else ["lrun", "short"], extra=[chunk])
-    # Numbering reads the parts twice: written once, the walk runs once.
-    return number_parts(materialize(parts, "run-parts"), ["id"], chunk, "lrun", "run").drop(chunk, "lrun")
+    end = F.lead(F.lit(1)).over(Window.partitionBy("id", chunk).orderBy("seg")).isNull()
+    parts = site_stats(walked.withColumn("_end", end), ["lrun"] if head_included else ["lrun", "short"], extra=[chunk],
+                       flags=["_end"])
+    # The keys read the parts twice: written once, the walk runs once.
+    keyed = key_parts(materialize(parts, "run-parts"), ["id"], chunk, "lrun", "run", slice_segments, last="_end")
+    return keyed.drop(chunk, "lrun", "_end")

@@ -14,7 +14,8 @@ that does not decrease along the walk order, e.g. the day of an event or
     depend on (its *halo*) are copied into that slice in the same pass; one
     sorted window pass per slice then decides every break.  Blocks are
     summarized into per-slice parts, and ``number_parts`` gives them dense
-    per-id numbers from a window per id over slices only.
+    per-id numbers from a window per id over slices only; where only the
+    order matters, ``key_parts`` gives sparse ones without joining most parts.
 
 ``range_slices`` + a per-slice summary (``segments.interval_segments``, ``merge.remerge``)
     For rules whose look-back has no bound.  Slices are cut by a range
@@ -202,3 +203,26 @@ def number_parts(parts: DataFrame, key: Sequence[str], chunk: str, local: str, o
     offsets = per_slice.select(*key, chunk, (F.sum("_n").over(ws) - F.col("_n")).alias("_off"))
     joined = join_on_slice(parts, offsets, [*key, chunk])
     return joined.select(*[parts[c] for c in parts.columns], (F.col("_off") + parts[local]).alias(out))
+
+
+def key_parts(parts: DataFrame, key: Sequence[str], chunk: str, local: str, out: str, size: int, last: str) -> DataFrame:
+    """Sparse per-key numbers for per-slice parts, in the order of the dense ones.
+
+    A block is named by the slice where it opens and its place there,
+    ``chunk * size + local`` (a slice opens at most ``size`` blocks), so most parts
+    know their number without looking at any other slice.  Only parts that
+    continue an earlier slice (``local`` = 0) meet a summary, one row a slice with
+    the newest number before it; the others are neither joined nor shuffled.
+    ``last`` flags one part of each slice that holds its largest ``local``.
+    ``parts`` should be a written table: it is scanned three times.
+    """
+    key = list(key)
+    parts = _keys_present(parts, key)
+    number = F.col(chunk) * F.lit(size).cast("long") + F.col(local)
+    slices = parts.where(F.col(last)).select(*key, chunk, F.when(F.col(local) > 0, number).alias("_n"))
+    earlier = Window.partitionBy(*key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    newest = slices.select(*key, chunk, F.max("_n").over(earlier).alias("_before"))
+    going_on = parts.where(F.col(local) == 0)
+    joined = join_on_slice(going_on, newest, [*key, chunk])
+    joined = joined.select(*[going_on[c] for c in parts.columns], F.col("_before").alias(out))
+    return parts.where(F.col(local) > 0).withColumn(out, number).unionByName(joined)

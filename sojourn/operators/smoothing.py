@@ -53,12 +53,12 @@ def _site_aggregates() -> list:
     ]
 
 
-def site_stats(rows: DataFrame, key: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+def site_stats(rows: DataFrame, key: Sequence[str], extra: Sequence[str] = (), flags: Sequence[str] = ()) -> DataFrame:
     """Per ``(id, *key, site)``: segment count ``cnt``, earliest start ``m``,
     total dwell ``d``, first/last segment number ``fp``/``lp`` and that
-    segment's start/end (``fs``, ``fe`` / ``ls``, ``le``).  A partial
-    aggregate (combined map-side)."""
-    return rows.groupBy("id", *extra, *key, "site").agg(*_site_aggregates())
+    segment's start/end (``fs``, ``fe`` / ``ls``, ``le``), and whether any row
+    has each of ``flags``.  A partial aggregate (combined map-side)."""
+    return rows.groupBy("id", *extra, *key, "site").agg(*_site_aggregates(), *[F.max(f).alias(f) for f in flags])
 
 
 def merge_site_stats(parts: DataFrame, key: Sequence[str]) -> DataFrame:

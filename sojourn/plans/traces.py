@@ -61,12 +61,16 @@ def sliced_point_segments(points: DataFrame, slice_seconds: int = DAY_SLICE,
 
 
 def run_stats(segments: DataFrame, dur: int, gap: int, head_included: bool,
-              slice_segments: int = SLICE_SEGMENTS, slices: int | None = None) -> DataFrame:
+              slice_segments: int = SLICE_SEGMENTS, slices: int | None = None, slice_runs: int | None = None) -> DataFrame:
     """Sliced segments (with halo copies) -> per ``(id, run[, short], site)``
-    statistics, partitioned on ``(id, run)`` for the per-run windows; with ``slices``, whose
-    scans need no such partitioning, on the whole key, so a run's sites are spread."""
+    statistics, partitioned on ``(id, run)`` for the per-run windows; with ``slice_runs`` on
+    ``(id, _rb)``, the blocks of run keys in which a later walk goes on, so it needs no shuffle;
+    with ``slices``, whose scans need no such partitioning, on the whole key, so a run's sites are spread."""
     flag = "_halo" if "_halo" in segments.columns else None
     parts = run_site_parts(segments, dur, gap, head_included, slice_segments, halo_flag=flag)
+    if slice_runs and not slices:
+        parts = parts.withColumn("_rb", rank_chunk("run", slice_runs)).repartition("id", "_rb")
+        return merge_site_stats(parts, ["_rb", *run_key(head_included)])
     return merge_site_stats(parts if slices else parts.repartition("id", "run"), run_key(head_included))
 
 
@@ -78,15 +82,19 @@ def split_runs(segments: DataFrame, dur: int, gap: int, head_included: bool,
 
 
 def relay_runs(segments: DataFrame, dur: int = RELAY_RULE[0], gap: int = RELAY_RULE[1],
-               min_run: int = MIN_RELAY_RUN, slice_segments: int = SLICE_SEGMENTS, slices: int | None = None) -> DataFrame:
+               min_run: int = MIN_RELAY_RUN, slice_segments: int = SLICE_SEGMENTS, slices: int | None = None,
+               slice_runs: int = SLICE_RUNS) -> DataFrame:
     """Sliced segments -> runs (head included) re-laid by dwell;
-    ``(id, run, ord, stime, site, etime)``."""
-    return relay_from_stats(run_stats(segments, dur, gap, True, slice_segments, slices), ["run"], min_run, slices)
+    ``(id, _rb, run, ord, stime, site, etime)`` with ``_rb`` the block of ``slice_runs`` run keys."""
+    stats = run_stats(segments, dur, gap, True, slice_segments, slices, slice_runs)
+    if slices:
+        return relay_from_stats(stats, ["run"], min_run, slices).withColumn("_rb", rank_chunk("run", slice_runs))
+    return relay_from_stats(stats, ["_rb", "run"], min_run)
 
 
-def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP, slice_runs: int = SLICE_RUNS) -> DataFrame:
-    """Re-merge re-laid slices in ``(run, ord)`` order, in slices of ``slice_runs`` runs."""
-    return remerge(relaid.withColumn("_chunk", rank_chunk("run", slice_runs)), ["run", "ord"], "_chunk", gap)
+def remerge_relaid(relaid: DataFrame, gap: int = DWELL_GAP) -> DataFrame:
+    """Re-merge re-laid slices in ``(run, ord)`` order, in the blocks ``_rb`` that :func:`relay_runs` made."""
+    return remerge(relaid, ["run", "ord"], "_rb", gap)
 
 
 def trace_split_excl(points: DataFrame, slice_seconds: int = DAY_SLICE,
@@ -104,7 +112,7 @@ def trace_split_incl(points: DataFrame, slice_seconds: int = DAY_SLICE,
 def trace_relay(points: DataFrame, slice_seconds: int = DAY_SLICE, slice_segments: int = SLICE_SEGMENTS,
                 slice_runs: int = SLICE_RUNS, slices: int | None = None) -> DataFrame:
     segs = sliced_point_segments(points, slice_seconds, slice_segments, halo=True, slices=slices)
-    return remerge_relaid(relay_runs(segs, *RELAY_RULE, slice_segments=slice_segments, slices=slices), slice_runs=slice_runs)
+    return remerge_relaid(relay_runs(segs, *RELAY_RULE, slice_segments=slice_segments, slices=slices, slice_runs=slice_runs))
 
 
 def trace_interval(intervals: DataFrame, slices: int | None = None, slice_segments: int = SLICE_SEGMENTS) -> DataFrame:

@@ -89,3 +89,34 @@ def test_row_windows_partition_by_slice(no_aqe, walk):
     specs = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", plan)
     assert specs and all("_chunk" in s or "_c#" in s or s.strip().startswith("id#") for s in specs)
     assert any("_chunk" in s for s in specs)
+
+
+def test_relay_pipeline_jobs_and_row_shuffles(spark, monkeypatch):
+    """Four row-sized shuffles: the duplicate fold, the day slices, the segment blocks and the run blocks
+    (which serve statistics, re-lay and re-merge alike).  All others are of per-slice summaries."""
+    from sojourn.operators import merge, runs
+    from sojourn.plans import stage, traces
+
+    plans = {}
+
+    def kept(df, name):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plans[name] = plan_of(df)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        return stage.materialize(df, name)
+
+    for module in (merge, runs, traces):
+        monkeypatch.setattr(module, "materialize", kept)
+    spark.sparkContext.setJobGroup("relay-jobs", "relay")
+    try:
+        traces.trace_relay(tb.points(tb.read_table(spark, SF_SMALL, "events"))).toPandas()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("relay-jobs")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 14
+
+    def shuffles(plan):
+        return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", re.sub(r"#\d+L?", "", plan))
+
+    by_row = [s for name in ("segment-parts", "run-parts", "remerge-parts") for s in shuffles(plans[name]) if s != "id"]
+    assert sorted(by_row) == ["id, _chunk", "id, _rb", "id, _sc", "id, t, site"]
