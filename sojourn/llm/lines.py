@@ -3,13 +3,16 @@
 Units: a line is cut after sentence ends (``.``, ``!`` or ``?`` before a blank or
 tab); a sentence of at least ``MIN_WORDS`` words begins a unit, shorter ones
 belong to the unit before them (leading ones to the first), and a line without
-such a sentence is one unit.  So a passage is found wherever it stands in a
-line, and short sentences that recur by chance stay.  A unit is normalised (A-Z
-folded, runs of white space to one space, trimmed) and counts if it has at
-least ``MIN_WORDS`` words.  Digests are grouped over the whole table, the
-earliest occurrence in rank (``doc_id``, then offset) is kept and the others are
-removed; what is left of a text keeps its original offsets.  A line that has
-lost a unit loses trailing blanks, and a line that has lost all goes entirely.
+such a sentence is one unit.  Each unit also has parts: its long sentence, and
+the shorter ones before and after it.  A unit goes whole where all of it has
+occurred before, else those of its parts that have.  So a repeated sentence is
+found whatever stands beside it, and a short one goes only with a repeat of
+its surroundings.  A unit or part is normalised (A-Z folded, runs of white space
+to one space, trimmed) and counts if it has at least ``MIN_WORDS`` words.  Digests
+are grouped over the whole table, the earliest occurrence in rank (``doc_id``,
+then offset) is kept and the others are removed; what is left of a text keeps
+its original offsets.  A line that has lost something loses trailing blanks, and
+a line that has lost all goes entirely.
 
 Digests travel without text.  A first aggregate counts 64-bit digests; a bitmap
 of those that occur more than once, of bounded size, then drops most units where
@@ -46,22 +49,30 @@ UNIT = "struct<start:int,end:int,a:long,b:long>"
 
 
 def line_units(line: str, min_words: int) -> list[tuple[int, int, list[str]]]:
-    """Start, end (where the next begins) and words of the units of a line."""
-    starts, words, long = [], [], False
+    """Start, end and words of the units of a line, each followed by its parts if it has several."""
+    found: list[list[list]] = []  # units of parts [start, end, words, kind]; kind: 0 before, 1 long, 2 after
+    kind = 0
     for m in _SENTENCE.finditer(line):
         own = [w for w in m[0].translate(_FOLD).split(" ") if w]
         is_long = len(own) >= min_words
-        if not starts or is_long and long:
-            starts.append(m.start())
-            words.append(own)
+        if not found or is_long and kind:
+            found.append([])
+        kind = 1 if is_long else 2 if kind else 0
+        unit = found[-1]
+        if unit and unit[-1][3] == kind:
+            unit[-1][1] = m.end()
+            unit[-1][2] += own
         else:
-            words[-1] += own
-        long = long or is_long
-    return list(zip(starts, [*starts[1:], len(line)], words))
+            unit.append([m.start(), m.end(), own, kind])
+    out = []
+    for unit in found:
+        out.append((unit[0][0], unit[-1][1], [w for part in unit for w in part[2]]))
+        out += [(a, z, words) for a, z, words, _ in unit] if len(unit) > 1 else []
+    return out
 
 
 def units_of(text: str, min_words: int) -> list[tuple[int, int, int, int]]:
-    """Start, end (code points) and two halves of the digest of each unit that counts."""
+    """Start, end (code points) and two halves of the digest of each unit and part that counts."""
     out, at = [], 0
     for line in text.split("\n"):
         for a, z, words in line_units(line, min_words):
@@ -72,6 +83,15 @@ def units_of(text: str, min_words: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def outermost(spans: list[dict]) -> list[dict]:
+    """The spans, which are nested or apart, without those that lie in another."""
+    out: list[dict] = []
+    for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
+        if not out or s["start"] >= out[-1]["end"]:
+            out.append(s)
+    return out
+
+
 def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``row``, ``doc_id``, ``text`` and ``units``, one row per input row."""
 
@@ -110,7 +130,7 @@ def repeated_units(table: DataFrame) -> DataFrame:
 
 
 def removed_units(table: DataFrame) -> DataFrame:
-    """``row`` and ``removed``: its units that occur earlier in rank, with the ``doc_id`` that keeps them."""
+    """``row`` and ``removed``: its units and parts that occur earlier in rank, with the ``doc_id`` that keeps them."""
     u = stage_table(repeated_units(table), "repeated_units")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start", "row")
     first = u.groupBy("a", "b").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -156,6 +176,7 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 if text is None or not gone:
                     out.append((text, [], [{"start": 0, "end": len(text)}] if text else []))
                 else:
+                    gone = outermost(gone)
                     left, kept = without(text, [(g["start"], g["end"]) for g in gone])
                     out.append((left, gone, [{"start": a, "end": z} for a, z in kept]))
             text, gone, left = zip(*out)
@@ -166,13 +187,17 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: ``text`` left, ``n_removed`` units and ``removed`` as start:end:first_doc_id, comma-joined."""
+    """Per document: ``text`` left, ``n_removed`` (units and single parts), ``removed`` as start:end:first_doc_id
+    and ``kept`` as start:end of the pieces left, comma-joined."""
     out = dedup(read_table(spark, sf_dir, "documents"))
     listed = F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"), s["first_doc_id"].cast("string")))
-    return out.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(listed, ",").alias("removed"))
+    kept = F.transform("kept", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return out.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(listed, ",").alias("removed"),
+                      F.array_join(kept, ",").alias("kept"))
 
 
 _WORDS = r"trim(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\x0B\x0C\r]+', ' ', 'g'), ' ')"
+_ITEM = f"""min(start) AS start, sum(length(piece)) AS len, string_agg(norm, ' ' ORDER BY j) FILTER (norm <> '') AS norm, sum(nw) >= {MIN_WORDS} AS counts"""
 ORACLE = rf"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
     l AS (SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS k FROM d),
     o AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY row ORDER BY k) - length(line) - 1 AS off,
@@ -182,15 +207,30 @@ ORACLE = rf"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, text FROM d
     p AS (SELECT row, doc_id, k, off, unnest(pieces) AS piece, unnest(range(len(pieces))) AS j FROM o),
     w AS (SELECT *, {_WORDS.format('piece')} AS norm, off + sum(length(piece)) OVER (PARTITION BY row, k ORDER BY j) - length(piece) AS start FROM p),
     n AS (SELECT *, CASE WHEN norm = '' THEN 0 ELSE length(norm) - length(replace(norm, ' ', '')) + 1 END AS nw FROM w),
-    m AS (SELECT *, greatest(1, sum(CASE WHEN nw >= {MIN_WORDS} THEN 1 ELSE 0 END) OVER (PARTITION BY row, k ORDER BY j)) AS u FROM n),
-    u AS (SELECT row, doc_id, k, u, min(start) AS start, string_agg(piece, '' ORDER BY j) AS unit,
-                 string_agg(norm, ' ' ORDER BY j) FILTER (norm <> '') AS norm, sum(nw) >= {MIN_WORDS} AS counts FROM m GROUP BY ALL),
-    r AS (SELECT *, counts AND row_number() OVER win > 1 AS gone, first_value(doc_id) OVER win AS first_doc
-          FROM u WINDOW win AS (PARTITION BY norm, counts ORDER BY doc_id NULLS LAST, start, row)),
-    g AS (SELECT row, k, bool_or(gone) AS lost, rtrim(string_agg(unit, '' ORDER BY u) FILTER (NOT gone), ' ' || chr(9)) AS left_of FROM r GROUP BY row, k),
+    c AS (SELECT *, sum(CASE WHEN nw >= {MIN_WORDS} THEN 1 ELSE 0 END) OVER (PARTITION BY row, k ORDER BY j) AS longs FROM n),
+    m AS (SELECT *, greatest(1, longs) AS u, CASE WHEN nw >= {MIN_WORDS} THEN 1 WHEN longs = 0 THEN 0 ELSE 2 END AS part FROM c),
+    q AS (SELECT *, min(part) OVER win < max(part) OVER win AS parted FROM m WINDOW win AS (PARTITION BY row, k, u)),
+    i AS (SELECT row, doc_id, k, u, -1 AS part, {_ITEM} FROM q GROUP BY row, doc_id, k, u
+          UNION ALL SELECT row, doc_id, k, u, part, {_ITEM} FROM q WHERE parted GROUP BY row, doc_id, k, u, part),
+    e AS (SELECT *, counts AND row_number() OVER win > 1 AS gone, first_value(doc_id) OVER win AS first_doc
+          FROM i WINDOW win AS (PARTITION BY norm, counts ORDER BY doc_id NULLS LAST, start, row)),
+    r AS (SELECT *, bool_or(gone AND part = -1) OVER (PARTITION BY row, k, u) AS unit_gone FROM e),
+    z AS (SELECT q.row, q.k, q.j, q.start, q.piece, coalesce(a.gone, false) OR coalesce(b.gone, false) AS lost
+          FROM q LEFT JOIN r a ON a.row = q.row AND a.k = q.k AND a.u = q.u AND a.part = -1
+                 LEFT JOIN r b ON b.row = q.row AND b.k = q.k AND b.u = q.u AND b.part = q.part),
+    g AS (SELECT row, k, bool_or(lost) AS lost, rtrim(string_agg(piece, '' ORDER BY j) FILTER (NOT lost), ' ' || chr(9)) AS left_of FROM z GROUP BY row, k),
     t AS (SELECT row, string_agg(CASE WHEN lost THEN left_of ELSE line END, chr(10) ORDER BY k) FILTER (NOT coalesce(lost AND left_of IS NULL, false)) AS text
           FROM l LEFT JOIN g USING (row, k) GROUP BY row),
-    x AS (SELECT row, count(*) AS n_removed, string_agg(concat_ws(':', start::BIGINT, (start + length(unit))::BIGINT, first_doc), ',' ORDER BY start) AS removed
-          FROM r WHERE gone GROUP BY row)
+    x AS (SELECT row, count(*) AS n_removed, string_agg(concat_ws(':', start::BIGINT, (start + len)::BIGINT, first_doc), ',' ORDER BY start) AS removed
+          FROM r WHERE gone AND (part = -1 OR NOT unit_gone) GROUP BY row),
+    y AS (SELECT z.row, z.k, z.start, z.piece, z.lost, z.j, sum(CASE WHEN z.lost THEN 1 ELSE 0 END) OVER (PARTITION BY z.row, z.k ORDER BY z.j) AS run
+          FROM z JOIN g ON g.row = z.row AND g.k = z.k AND g.lost),
+    s AS (SELECT row, k, min(start) AS start, string_agg(piece, '' ORDER BY j) AS whole, run FROM y WHERE NOT lost GROUP BY row, k, run),
+    f AS (SELECT row, start::BIGINT AS a, (start + length(CASE WHEN run = max(run) OVER (PARTITION BY row, k) THEN rtrim(whole, ' ' || chr(9)) ELSE whole END))::BIGINT AS b FROM s
+          UNION ALL SELECT o.row, off::BIGINT, (off + length(line))::BIGINT FROM o JOIN x USING (row) LEFT JOIN g ON g.row = o.row AND g.k = o.k
+                    WHERE NOT coalesce(g.lost, false) AND line <> ''),
+    h AS (SELECT row, string_agg(concat_ws(':', a, b), ',' ORDER BY a) AS kept FROM f GROUP BY row)
     SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END AS text, coalesce(n_removed, 0) AS n_removed,
-           coalesce(removed, '') AS removed FROM d LEFT JOIN t USING (row) LEFT JOIN x USING (row)"""
+           coalesce(removed, '') AS removed,
+           CASE WHEN n_removed IS NULL THEN CASE WHEN coalesce(d.text, '') = '' THEN '' ELSE concat_ws(':', 0, length(d.text)) END ELSE coalesce(kept, '') END AS kept
+    FROM d LEFT JOIN t USING (row) LEFT JOIN x USING (row) LEFT JOIN h USING (row)"""

@@ -12,17 +12,21 @@ def frame(spark, rows=ROWS):
 
 
 def cut(line, least):
-    """Units of a line as (start, end, words), written as a plain scan."""
+    """Spans (start, end, words) of a line that may go: units, and inside them the long sentence, what
+    leads it and what follows it; written as a plain scan."""
     ends = [i + 1 for i in range(len(line) - 1) if line[i] in " \t" and line[i + 1] not in " \t" and line[:i + 1].rstrip(" \t")[-1:] in tuple(".!?")]
     edges = [0, *ends, len(line)] if line else []
-    parts = [(a, z, [w for w in line[a:z].translate(L._FOLD).split(" ") if w]) for a, z in zip(edges, edges[1:])]
+    words = lambda a, z: [w for w in line[a:z].translate(L._FOLD).split(" ") if w]
+    parts = list(zip(edges, edges[1:]))
+    longs = [p for p in parts if len(words(*p)) >= least]
+    starts = [0, *(a for a, _ in longs[1:]), len(line)] if line else []
     out = []
-    for a, z, words in parts:
-        if out and not (len(words) >= least and out[-1][3]):
-            b, _, held, long = out[-1]
-            out[-1] = (b, z, held + words, long or len(words) >= least)
-        else:
-            out.append((a, z, words, len(words) >= least))
+    for u, (a, z) in enumerate(zip(starts, starts[1:])):
+        spans = {(a, z)}
+        if longs:
+            b, c = longs[u]
+            spans |= {(a, b), (b, c), (c, z)}
+        out += [(x, y, words(x, y)) for x, y in spans if x < y]
     return out
 
 
@@ -31,7 +35,7 @@ def brute(rows, least=L.MIN_WORDS):
     for n, (i, t) in enumerate(rows):
         at = 0
         for line in (t or "").split("\n"):
-            ranked += [(i is None, i or 0, at + a, n, at + z, " ".join(w)) for a, z, w, _ in cut(line, least) if len(w) >= least]
+            ranked += [(i is None, i or 0, at + a, n, at + z, " ".join(w)) for a, z, w in cut(line, least) if len(w) >= least]
             at += len(line) + 1
     seen, gone = set(), {}
     for none, i, a, n, z, unit in sorted(ranked):
@@ -72,6 +76,19 @@ def test_a_passage_inside_lines(spark):
     assert got == {i: t for (i, _), t in zip(rows, brute(rows))}
 
 
+def test_a_repeated_sentence_goes_whatever_stands_beside_it(spark):
+    long = " ".join(f"w{k}" for k in range(60)) + "."
+    run = "One two three. Four five six. Seven eight nine."
+    rows = [(1, f"{long} Yes."), (2, f"{long} Another sentence which is long enough to be one."), (3, f"No. {long} Perhaps."), (4, long), (5, f"No. {long} Perhaps."),
+            (6, f"A sentence of its own with all its words. {run}"), (7, f"Here is one more that no other text has. {run}"), (8, f"Yes. No.\n{run}")]
+    want = [f"{long} Yes.", "Another sentence which is long enough to be one.", "No. Perhaps.", "", "", rows[5][1], "Here is one more that no other text has.", "Yes. No."]
+    assert brute(rows) == want
+    got = {r.doc_id: r for r in L.dedup(frame(spark, rows)).collect()}
+    assert [got[i].text for i in range(1, 9)] == want
+    assert [(s.start, s.end, s.first_doc_id) for s in got[3].removed] == [(4, 4 + len(long) + 1, 1)]
+    assert [(s.start, s.end, s.first_doc_id) for s in got[5].removed] == [(0, len(rows[4][1]), 3)]
+
+
 def test_random_texts(spark):
     rng = random.Random(3)
     sentences = [" ".join(rng.choice("abcdefghij") for _ in range(rng.choice([1, 2, 7, 8, 9, 14]))) + rng.choice([".", "!", "?", ""]) for _ in range(12)]
