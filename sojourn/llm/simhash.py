@@ -34,11 +34,13 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bitmap import bitmap, bitmap_bits
 from .common import read_table, small_batches, stage_table, text_bytes
 from .components import components
 
@@ -279,10 +281,24 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Of each group the document with the smallest ``doc_id``, with all its columns (one row, if rows
-    repeat it; a null ``doc_id`` only where the group has no other).  Texts are shuffled once, by row."""
-    found = classes(docs, max_bits)
-    stay = (found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("x"))
-            .select(F.col("x.doc_id").alias("__id"), F.col("x.fp").alias("__fp")))
+    repeat it; a null ``doc_id`` only where the group has no other).
+
+    A bitmap of bounded size holds the ids that some row in doubt has: one that its group drops, or that
+    repeats an id.  Rows outside it stay without a shuffle; the others, and rows without an id, are decided
+    by an exact join on id and fingerprint."""
+    found = stage_table(classes(docs, max_bits), "simhash_classes")
+    least = stage_table(found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("x"))
+                        .select("root", F.col("x.doc_id").alias("__id"), F.col("x.fp").alias("__fp")), "simhash_least")
+    own = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("fp") == F.col("__fp"))
+    in_doubt = (found.join(least, "root").where("doc_id is not null").groupBy("doc_id")
+                .agg(F.count("*").alias("n"), F.bool_and(own).alias("own")).where("n > 1 or not own"))
+    in_doubt = stage_table(in_doubt.select(F.xxhash64("doc_id").alias("h")), "simhash_doubt")
+    seen = bitmap(in_doubt, bitmap_bits(16 * in_doubt.count()))
+
+    @F.pandas_udf("boolean")
+    def listed(h: pd.Series) -> pd.Series:
+        return pd.Series(seen.has(h.to_numpy(np.int64).view(np.uint64)))
+
     at = docs.columns.index("text")
     schema = docs.select("*", F.lit(0).cast("long").alias("__print")).schema
 
@@ -290,9 +306,11 @@ def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         for b in small_batches(batches):
             yield pa.RecordBatch.from_arrays([*b.columns, _prints(b.column(at))], [*b.schema.names, "__print"])
 
-    marked = docs.mapInArrow(run, schema)
-    return (marked.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__fp")), "left_semi")
-            .dropDuplicates(["doc_id", "__print"]).select(*docs.columns))
+    doubt = F.col("doc_id").isNull() | listed(F.xxhash64(F.col("doc_id").cast("long")))
+    marked = docs.where(doubt).mapInArrow(run, schema)
+    decided = (marked.join(least.drop("root"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__fp")), "left_semi")
+               .dropDuplicates(["doc_id", "__print"]).select(*docs.columns))
+    return docs.where(~doubt).unionByName(decided)
 
 
 def op4_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,6 +92,24 @@ def test_odd_rows(spark):
     assert S.near_duplicates(docs.limit(0)).count() == 0 and S.one_of_each(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_whatever_the_bitmap_lists(spark, monkeypatch):
+    """Copies, repeated rows, one id with two texts and rows without an id; with few and with all rows in doubt."""
+    rows = [(i, f"text number {i % 40} of " + " ".join(f"w{i % 40 * k}" for k in range(30)), i) for i in range(60)]
+    rows += [(5, "quite other words under a known id", 100), (5, rows[5][1], 101), (None, rows[7][1], 102), (None, "a text that no other row has at all", 103),
+             (None, "a text that no other row has at all", 104)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(4)
+    group = brute_groups([brute_print(t) for _, t, _ in rows])
+    least = {}
+    for (i, _, _), g in zip(rows, group):
+        least[g] = min(least.get(g, (True, 0)), (i is None, i or 0))
+    want = sorted({(i or -1, t) for (i, t, _), g in zip(rows, group) if least[g] == (i is None, i or 0)})
+    for bits in (S.bitmap_bits, lambda wanted: 64):
+        monkeypatch.setattr(S, "bitmap_bits", bits)
+        kept = S.one_of_each(docs)
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == want
+
+
 def test_groups_cut_by_batches(spark, monkeypatch):
     key = np.repeat(np.arange(50), 8)
     probe = np.tile(np.arange(8) >= 4, 50)
