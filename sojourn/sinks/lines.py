@@ -8,6 +8,9 @@ target is renamed to ``<target>/run=<id>``; whoever finds a marker whose folders
 that.  Row count and newest time for the high-water mark are collected in the same pass as the write
 (``observe``).  To a target in another store the files are copied by tasks first.
 
+A file is one task's work, so an asked number of files holds only while they stay small: the lines are
+measured before they are dealt, and a run too large for that many files of ``file_bytes`` makes more.
+
 Compaction works on bytes: the listing is a table that tasks make, groups are cut over slices of it, and
 every task streams the files of its groups into one output file.  No line is parsed, hashed or shuffled, so
 a line's bytes (carriage returns too) and the size of an output depend on neither the shuffle setting nor
@@ -42,6 +45,8 @@ from .groups import groups
 STALE_SECONDS = 86400
 #: A longer name is cut and carries its digest.
 NAME_BYTES = 180
+#: Bytes of a published file, and so of a writing task, before a run makes more files than asked (about).
+FILE_BYTES = 128 << 20
 
 
 def _move(fs, src, dest) -> None:
@@ -76,12 +81,15 @@ def published(spark: SparkSession, targets: Sequence[str]) -> DataFrame:
     return read_lines(spark, targets)
 
 
-def publish_lines(df: DataFrame, targets: Sequence[str], num_files: int | None = None, run_id: str | None = None) -> dict:
+def publish_lines(df: DataFrame, targets: Sequence[str], num_files: int | None = None, run_id: str | None = None,
+                  file_bytes: int = FILE_BYTES) -> dict:
     """Write the ``line`` column of ``df`` under the ``targets`` directories.
 
     Each output partition goes to one target, so a run makes ``num_files`` files
-    in all (fewer if there are fewer rows; without it, one per partition of
-    ``df``).  An empty run makes none.  ``run_id`` names the run: repeating it
+    in all (fewer if there are fewer rows; more where these would be larger than
+    ``file_bytes`` on average; without it, one per partition of ``df``).  With
+    ``num_files`` the lines are evaluated twice, to measure and to write them: give
+    a costly ``df`` as a stored table.  An empty run makes none.  ``run_id`` names the run: repeating it
     resumes or skips, and of runs at the same time one publishes, see the module
     notes.  Returns ``{"rows", "max_t"}``.
     """
@@ -92,7 +100,7 @@ def publish_lines(df: DataFrame, targets: Sequence[str], num_files: int | None =
     if not _exists(spark, marker):
         _drop_stale(spark, staging)
         attempt = uuid.uuid4().hex
-        stats = _stage(df, f"{staging}/{attempt}", len(targets), num_files)
+        stats = _stage(df, f"{staging}/{attempt}", len(targets), num_files, file_bytes)
         if not create_exclusive(spark, marker, json.dumps({**stats, "attempt": attempt})):
             _delete(spark, f"{staging}/{attempt}")
     committed = json.loads(read_small(spark, marker))
@@ -105,13 +113,19 @@ def publish_lines(df: DataFrame, targets: Sequence[str], num_files: int | None =
     return {"rows": committed["rows"], "max_t": committed["max_t"]}
 
 
-def _stage(df: DataFrame, staged: str, n_targets: int, num_files: int | None) -> dict:
+def _file_count(df: DataFrame, num_files: int, file_bytes: int) -> int:
+    """The asked number of files, or as many as the lines fill (a null line is written as an empty one)."""
+    size = df.agg(F.sum(F.coalesce(F.octet_length("line"), F.lit(0)) + 1)).first()[0] or 0
+    return max(num_files, -(-size // file_bytes))
+
+
+def _stage(df: DataFrame, staged: str, n_targets: int, num_files: int | None, file_bytes: int) -> dict:
     """Write the lines, a folder for each target; rows and newest time are observed on the way."""
     spark = df.sparkSession
     obs = Observation("publish")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("t").alias("max_t")).select("line")
     if num_files:
-        out = out.repartition(num_files)
+        out = out.repartition(_file_count(df, num_files, file_bytes))
     (out.withColumn("_lib", F.spark_partition_id() % n_targets)
         .write.partitionBy("_lib").option("lineSep", "\n").text(staged))
     fs, folders = _fs(spark, f"{staged}/_lib=*")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..operators.state import state_latest
 from ..operators.watermark import next_watermark_value
-from ..plans.stage import stage_tables
+from ..plans.stage import materialize, stage_tables
 from ..sinks import audit_append, publish_lines
 from ..sinks.append import append_rows, fold, read_appended
 
@@ -73,7 +73,10 @@ def run_increment(spark: SparkSession, job: str, run: Callable[[int, int], DataF
     if start >= end:
         return {"start": start, "end": end, "rows": 0, "stop_time": start}
     with stage_tables(spark):
-        stats = publish_lines(run(start, end), targets, num_files=num_files, run_id=f"{job}-{start}-{end}")
+        lines = run(start, end)
+        if num_files:  # they are measured, then written
+            lines = materialize(lines.select("t", "line"), "increment")
+        stats = publish_lines(lines, targets, num_files=num_files, run_id=f"{job}-{start}-{end}")
     rows, max_t = stats["rows"], stats["max_t"]
     if rows == 0:
         stop = end                       # empty slice: move on, nothing written

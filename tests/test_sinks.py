@@ -38,6 +38,19 @@ def test_publish_makes_the_asked_number_of_files(spark):
     assert not os.path.exists(f"{targets[0]}/_staging/x") and os.listdir(f"{targets[0]}/_staging") == []
 
 
+def test_more_lines_than_the_asked_files_hold_make_more_files(spark):
+    """No task writes more than about ``file_bytes``; a line may be null or hold longer characters."""
+    df = _lines(spark, 4000).withColumn("line", F.when(F.col("t") % 9 != 0, F.concat("line", F.lit("é"))))
+    for rows, files_made in ((df, 11), (df.where("t < 40"), 3)):
+        texts = [r.line or "" for r in rows.collect()]
+        size = sum(len(x.encode()) + 1 for x in texts)
+        targets = [shared_dir(spark, "t-grow", str(i)) for i in range(2)]
+        assert publish_lines(rows, targets, num_files=3, file_bytes=4000)["rows"] == len(texts)
+        made = [os.path.getsize(f) for t in targets for f in _files(t)]
+        assert _texts(published(spark, targets)) == sorted(texts)
+        assert sum(made) == size and len(made) == files_made == max(3, -(-size // 4000)) and max(made) <= 5000
+
+
 def test_a_run_that_failed_half_way_resumes_without_duplicates(spark, monkeypatch):
     df = _lines(spark)
     targets = [shared_dir(spark, "t-half", str(i)) for i in range(3)]
